@@ -43,5 +43,6 @@ from meterline.streaming import (
     stop_all,
     stream_appended,
     stream_complete,
+    stream_messages,
     stream_updates,
 )

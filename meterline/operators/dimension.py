@@ -34,15 +34,21 @@ def last_write(rows: DataFrame, key: str, order: list[str], columns: list[str])
 
 
 def upsert(
-    base: DataFrame, updates: DataFrame, key: str, order: list[str], columns: list[str]
+    base: DataFrame,
+    updates: DataFrame,
+    key: str,
+    order: list[str],
+    columns: list[str],
+    **limits: int,
 ) -> DataFrame:
     """``base`` with the last update per key replacing or joining its rows.
 
     ``base`` holds each key once. Few updated keys are broadcast and the base is not
     shuffled at all; many are merged by a full join of two sides without repeated keys.
+    ``limits`` are passed on to ``fits_broadcast``.
     """
     latest = cut_lineage(last_write(updates, key, order, columns))
-    if fits_broadcast(latest):
+    if fits_broadcast(latest, **limits):
         kept = base.select(key, *columns).join(F.broadcast(latest.select(key)), key, "left_anti")
         return kept.unionByName(latest)
     merged = base.select(key, F.struct(*columns).alias("old")).join(

@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.functions import cache_status, convert_amount, parse_event_time
+from meterline.functions import cache_status, convert_amount
 from meterline.operators import dimension as dim
 from meterline.operators import ordered, reports, requests, rollup
-from meterline.operators.prepare import prepare
+from meterline.operators.prepare import prepare, with_event_time
 from meterline.plans.dimension import dimension_from, load_dimension, load_into
 from meterline.plans.requests import answer_requests
 from meterline.plans.revenue import FOLDERS, report_set, reports_from, run_reports
@@ -39,6 +39,7 @@ from meterline.streaming import (
     read_updates,
     stream_appended,
     stream_complete,
+    stream_messages,
     stream_updates,
 )
 
@@ -408,11 +409,8 @@ def mixed_times(spark, folder) -> DataFrame:
 
 
 def parsed_times(spark, folder, pattern) -> DataFrame:
-    parsed = mixed_times(spark, folder).withColumn(
-        "timestamp", parse_event_time(F.col("text"), pattern)
-    )
-    kept = parsed.filter(F.col("timestamp").isNotNull()).select("o_orderkey", "timestamp")
-    return plain_times(kept, "timestamp")
+    parsed = with_event_time(mixed_times(spark, folder), "text", pattern)
+    return plain_times(parsed.select("o_orderkey", "timestamp"), "timestamp")
 
 
 @checked_by("SELECT o_orderkey, o_orderdate AS timestamp FROM orders WHERE o_orderstatus <> 'P'")
@@ -856,6 +854,23 @@ def stream_request_log_files(spark, folder):
     return plain_times(appended(spark, log), "ts")
 
 
+@checked_by(CITIES + """
+SELECT request_id, city, response_time, cache_status,
+       name IS NOT NULL AS found, country_code FROM requests LEFT JOIN cities ON city = name""")
+def stream_lookup_log(spark, folder):
+    """Answers of a stream, written as log messages and joined to the cities once more."""
+    asked = city_requests(event_stream(spark, folder))
+    answers = dim.lookup(asked, cities(spark, folder))
+    path = new_folder(spark, "log")
+    stream_messages(
+        answers, new_folder(spark, "checkpoint"), path=path, trigger=AT_ONCE
+    ).awaitTermination()
+    log = read_request_log(spark, path).select(
+        "request_id", "city", "response_time", "cache_status"
+    )
+    return dim.lookup(log, cities(spark, folder))
+
+
 @checked_by("SELECT count(*) AS input_rows FROM events")
 def stream_progress(spark, folder):
     report = reports.interval_revenue(record_stream(spark, folder))

@@ -6,6 +6,7 @@ from meterline.streaming.queries import (
     read_updates,
     stream_appended,
     stream_complete,
+    stream_messages,
     stream_updates,
 )
 
@@ -16,5 +17,6 @@ __all__ = [
     "stop_all",
     "stream_appended",
     "stream_complete",
+    "stream_messages",
     "stream_updates",
 ]

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from meterline.schemas import REQUEST_TOPIC
+from meterline.sinks.request_log import log_messages
 from meterline.sinks.versions import read_latest, write_version
 from meterline.sources.paths import expand_home
 
@@ -48,6 +50,23 @@ def stream_appended(
     return writer.start(expand_home(path))
 
 
+def stream_messages(
+    log: DataFrame,
+    checkpoint: str,
+    path: str | None = None,
+    servers: str | None = None,
+    topic: str = REQUEST_TOPIC,
+    name: str | None = None,
+    trigger: dict = EVERY_30_SECONDS,
+) -> StreamingQuery:
+    """Send a stream of log records to a folder of JSON lines or, with ``servers``, a topic."""
+    writer = _writer(log_messages(log), checkpoint, "append", name, trigger)
+    if servers:
+        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        return writer.format("kafka").options(**options).start()
+    return writer.format("text").start(expand_home(path))
+
+
 def stream_complete(
     stream: DataFrame,
     path: str,
