@@ -77,10 +77,13 @@ def sized_join(
     keys beforehand, so there every key is spread over ``stream_salts`` tasks.
     """
     if fits_broadcast(right, max_rows, max_bytes):
-        return left.join(F.broadcast(right), key, how)
-    if left.isStreaming:
-        return salted_join(left, right, key, how, stream_salts, None)
-    partitions = _partitions(left)
-    share = 1 / min(partitions, MOST_HOT_KEYS) / 2
-    hot = hot_keys(left.select(key), key, share)
-    return salted_join(left, right, key, how, partitions, hot)
+        joined = left.join(F.broadcast(right), key, how)
+    elif left.isStreaming:
+        joined = salted_join(left, right, key, how, stream_salts, None)
+    else:
+        partitions = _partitions(left)
+        share = 1 / min(partitions, MOST_HOT_KEYS) / 2
+        hot = hot_keys(left.select(key), key, share)
+        joined = salted_join(left, right, key, how, partitions, hot)
+    added = [] if how in ("left_semi", "left_anti") else right.columns
+    return joined.select(*left.columns, *[name for name in added if name != key])
