@@ -2,15 +2,21 @@
 
 A running total has no key to partition by, and one key may hold a large share of all
 rows. Both are solved by cutting the *order* into ranges of about equal size: a range can
-begin and end inside a key, or between two rows of equal time. Every row gets its range by
-binary search in a constant list of cut points. Since the list is a constant, a row always
-falls into the same range, also when a lost task is repeated, and the cut points (taken
-from a sample) decide only how even the ranges are, never what the result is. What one
-range must know of the ranges before it is a table of at most a few rows per range.
+begin and end inside a key, or between two rows of equal time. Every row gets its range
+from a constant list of cut points. Since the list is a constant, a row always falls into
+the same range, also when a lost task is repeated, and the cut points (taken from a
+sample) decide only how even the ranges are, never what the result is. What one range must
+know of the ranges before it is a table of at most a few rows per range.
+
+A table is read several times here, each time only in the columns needed. If it is itself
+the result of heavy work, write it first (``session.cut_lineage``).
 """
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +29,7 @@ from meterline.functions import hit_percentage
 ROWS_PER_RANGE = 2_000_000
 MOST_RANGES = 8192
 _SAMPLES_PER_RANGE = 40
+_CELLS_PER_RANGE = 8
 _RANGE = "__range"
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -31,43 +38,33 @@ _JSON = {
 
 
 @dataclass(frozen=True)
-class Ranges:
-    """Ranges of an order; ``cuts`` is a constant sorted array of their lower bounds."""
+class Cut:
+    """One cut point: all order columns as JSON, the first as it is and as a number."""
 
-    order: tuple[str, ...]
-    count: int
-    cuts: Column | None = None
+    point: str
+    first: object
+    number: int | None
 
-    def index(self) -> Column:
-        """The number of cut points at or below the row, found by halving the step."""
-        if self.cuts is None:
-            return F.lit(0)
-        row = F.struct(*self.order)
-        bounds = self.count - 1
-        steps = [1 << bit for bit in reversed(range(bounds.bit_length()))]
 
-        def advance(found: Column, step: Column) -> Column:
-            reached = found + step
-            passed = (reached <= bounds) & (F.get(self.cuts, reached - 1) <= row)
-            return F.when(passed, reached).otherwise(found)
+def _as_number(df: DataFrame, name: str) -> Column:
+    """A whole number that sorts like the column, or null if its type has none at hand."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("bigint")
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("bigint")
+    return F.lit(None).cast("bigint")
 
-        return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
 
-    def tag(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(_RANGE, self.index())
-
-    def gather(self, tagged: DataFrame) -> DataFrame:
-        """One partition per range, so that windows over ranges need no other shuffle."""
-        return tagged.repartitionById(self.count, F.col(_RANGE))
-
-
-def plan_ranges(
+def plan_cuts(
     df: DataFrame,
     *order: str,
     rows_per_range: int = ROWS_PER_RANGE,
     most_ranges: int = MOST_RANGES,
-) -> Ranges:
-    """Cut the order of ``df`` into ranges of about ``rows_per_range`` rows.
+) -> list[Cut]:
+    """Points that cut the order of ``df`` into ranges of about ``rows_per_range`` rows.
 
     Reads the order columns of a sample; the driver receives a fixed number of them per
     range.
@@ -76,23 +73,65 @@ def plan_ranges(
     total = keys.count()
     count = min(most_ranges, -(-total // rows_per_range))
     if count <= 1:
-        return Ranges(order, 1)
+        return []
     share = min(1.0, count * _SAMPLES_PER_RANGE / total)
     sample = (
         keys.sample(share, seed=17)
         .orderBy(*order)
-        .select(F.to_json(F.struct(*order), _JSON).alias("point"))
+        .select(
+            F.to_json(F.struct(*order), _JSON).alias("point"),
+            F.col(order[0]).alias("first"),
+            _as_number(df, order[0]).alias("number"),
+        )
         .collect()
     )
-    points = sorted(
-        {len(sample) * i // count for i in range(1, count)} if sample else set()
+    picked = sorted({len(sample) * i // count for i in range(1, count)}) if sample else []
+    cuts = {sample[i]["point"]: Cut(*sample[i]) for i in picked}
+    return list(cuts.values())
+
+
+def _constant(values: str, element: T.DataType) -> Column:
+    """An array from JSON text, folded to a constant by the optimizer."""
+    return F.from_json(F.lit(values), T.ArrayType(element), _JSON)
+
+
+def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Column:
+    """The number of cut points at or below the row."""
+    if not cuts:
+        return F.lit(0)
+    bounds = len(cuts)
+    point = T.StructType([df.schema[name] for name in order])
+    points = F.sort_array(_constant("[" + ",".join(cut.point for cut in cuts) + "]", point))
+    row = F.struct(*order)
+
+    def advance(found: Column, step: Column) -> Column:
+        reached = found + step
+        passed = (reached <= bounds) & (F.get(points, reached - 1) <= row)
+        return F.when(passed, reached).otherwise(found)
+
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bounds.bit_length()))])
+    searched = F.aggregate(steps, F.lit(0), advance)
+
+    numbers = [cut.number for cut in cuts]
+    if None in numbers or numbers[0] == numbers[-1]:
+        return searched
+    # Most rows are far from any cut point: in a grid over the first column, a cell
+    # without a cut point tells the range at once. Only the others need the search.
+    low, high = numbers[0], numbers[-1]
+    width = -(-(high - low + 1) // (bounds * _CELLS_PER_RANGE))
+    starts = range(low, high + 1, width)
+    fewest = _constant(json.dumps([bisect_left(numbers, at) for at in starts]), T.IntegerType())
+    most = _constant(
+        json.dumps([bisect_right(numbers, at + width - 1) for at in starts]), T.IntegerType()
+    )
+    number = _as_number(df, order[0])
+    cell = F.call_function("div", number - low, F.lit(width)).cast("int")
+    return (
+        F.when(number < low, 0)
+        .when(number > high, bounds)
+        .when(F.get(fewest, cell) == F.get(most, cell), F.get(fewest, cell))
+        .otherwise(searched)
     )
-    chosen = list(dict.fromkeys(sample[i]["point"] for i in points))
-    if not chosen:
-        return Ranges(order, 1)
-    point_type = T.ArrayType(T.StructType([keys.schema[name] for name in order]))
-    cuts = F.sort_array(F.from_json(F.lit("[" + ",".join(chosen) + "]"), point_type, _JSON))
-    return Ranges(order, len(chosen) + 1, cuts)
 
 
 def running_hit_rate(
@@ -100,33 +139,35 @@ def running_hit_rate(
 ) -> DataFrame:
     """Per request the requests, hits and hit percentage up to and including it.
 
-    One shuffle: rows are totalled inside their range, and the totals of all earlier
-    ranges (one row per range) are added.
+    One shuffle of the rows: they are totalled inside their range, and the totals of all
+    earlier ranges (one row per range) are added.
     """
-    ranges = plan_ranges(log, time, tie_breaker, **cutting)
-    tagged = ranges.tag(log)
+    order = (time, tie_breaker)
+    cuts = plan_cuts(log, *order, **cutting)
+    tagged = log.withColumn(_RANGE, range_index(log, order, cuts))
+    inside = W.partitionBy(_RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    # A partition per range, so that the window needs no shuffle of its own.
+    counted = tagged.repartitionById(len(cuts) + 1, F.col(_RANGE)).withColumns(
+        {
+            "running_requests": F.count("*").over(inside),
+            "running_hits": F.count_if(hit).over(inside),
+        }
+    )
     totals = tagged.groupBy(_RANGE).agg(
         F.count("*").alias("__requests"), F.count_if(hit).alias("__hits")
     )
+    # One row per range goes through this window, at most MOST_RANGES.
     earlier = W.orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     before = totals.select(
         _RANGE,
         F.coalesce(F.sum("__requests").over(earlier), F.lit(0)).alias("__requests"),
         F.coalesce(F.sum("__hits").over(earlier), F.lit(0)).alias("__hits"),
     )
-    inside = (
-        W.partitionBy(_RANGE).orderBy(time, tie_breaker).rowsBetween(W.unboundedPreceding, 0)
-    )
-    counted = ranges.gather(tagged).withColumns(
-        {
-            "running_requests": F.count("*").over(inside),
-            "running_hits": F.count_if(hit).over(inside),
-        }
-    )
+    requests = F.col("running_requests") + F.col("__requests")
+    hits = F.col("running_hits") + F.col("__hits")
     return (
         counted.join(F.broadcast(before), _RANGE, "left")
-        .withColumn("running_requests", F.col("running_requests") + F.col("__requests"))
-        .withColumn("running_hits", F.col("running_hits") + F.col("__hits"))
+        .withColumns({"running_requests": requests, "running_hits": hits})
         .withColumn(
             "cache_hit_percentage", hit_percentage(F.col("running_hits"), F.col("running_requests"))
         )
@@ -144,39 +185,48 @@ def repeat_within(
 ) -> DataFrame:
     """Flag requests that follow one for the same key by less than ``seconds``.
 
-    The rows are cut by ``(key, time, tie_breaker)``, so a key of any size is spread. Only
-    the keys a cut runs through need a row of carried time per range.
+    Keys of ordinary size are spread by hash, each whole. A key that fills more than a
+    range is cut by time, and each of its ranges gets the last time of the one before.
     """
-    ranges = plan_ranges(log, key, time, tie_breaker, **cutting)
-    tagged = ranges.tag(log)
-    in_key = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
-    previous = F.lag(time).over(in_key)
-    flagged = ranges.gather(tagged).withColumn("previous_ts", previous)
-    if ranges.cuts is not None:
-        split_keys = (
-            log.sparkSession.range(1)
-            .select(F.explode(ranges.cuts).alias("cut"))
-            .select(F.col(f"cut.{key}").alias("__key"))
-            .distinct()
-        )
-        cut_key = F.col(key).eqNullSafe(F.col("__key"))
-        last_times = (
-            tagged.join(F.broadcast(split_keys), cut_key, "left_semi")
-            .groupBy(_RANGE, key)
-            .agg(F.max(time).alias("__last"))
-        )
-        carried = last_times.select(
-            F.col(_RANGE).alias("__carry_range"),
-            F.col(key).alias("__carry_key"),
-            F.lag("__last").over(W.partitionBy(key).orderBy(_RANGE)).alias("__carried"),
-        )
-        same = (F.col(_RANGE) == F.col("__carry_range")) & F.col(key).eqNullSafe(
-            F.col("__carry_key")
-        )
-        flagged = (
-            flagged.join(F.broadcast(carried), same, "left")
-            .withColumn("previous_ts", F.coalesce("previous_ts", "__carried"))
-            .drop("__carry_range", "__carry_key", "__carried")
-        )
+    order = (key, time, tie_breaker)
+    planned = plan_cuts(log, *order, **cutting)
+    frequency = Counter(cut.first for cut in planned)
+    cuts = [cut for cut in planned if frequency[cut.first] > 1]
+    if cuts:
+        flagged = _previous_with_hot_keys(log, order, cuts, len(planned) + 1 - len(cuts))
+    else:
+        in_key = W.partitionBy(key).orderBy(time, tie_breaker)
+        flagged = log.withColumn("previous_ts", F.lag(time).over(in_key))
     limit = F.col("previous_ts") + F.make_dt_interval(secs=F.lit(seconds))
-    return flagged.withColumn("repeated", F.coalesce(F.col(time) < limit, F.lit(False))).drop(_RANGE)
+    return flagged.withColumn("repeated", F.coalesce(F.col(time) < limit, F.lit(False)))
+
+
+def _previous_with_hot_keys(
+    log: DataFrame, order: tuple[str, str, str], cuts: list[Cut], whole: int
+) -> DataFrame:
+    """``previous_ts`` with the keys of ``cuts`` cut and all others in ``whole`` partitions."""
+    key, time, tie_breaker = order
+    hot = {cut.first for cut in cuts}
+    is_hot = F.col(key).isin([k for k in hot if k is not None])
+    is_hot = F.coalesce(is_hot, F.lit(None in hot))
+    by_hash = F.pmod(F.xxhash64(key), F.lit(whole)).cast("int")
+    in_range = F.lit(whole) + range_index(log, order, cuts)
+    tagged = log.withColumn(_RANGE, F.when(is_hot, in_range).otherwise(by_hash))
+
+    in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
+    parts = tagged.repartitionById(whole + len(cuts) + 1, F.col(_RANGE))
+    previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
+
+    # One row per hot key and range it reaches into: at most two per cut.
+    last_times = tagged.filter(is_hot).groupBy(_RANGE, key).agg(F.max(time).alias("__last"))
+    carried = last_times.select(
+        F.col(_RANGE).alias("__carry_range"),
+        F.col(key).alias("__carry_key"),
+        F.lag("__last").over(W.partitionBy(key).orderBy(_RANGE)).alias("__carried"),
+    )
+    same = (F.col(_RANGE) == F.col("__carry_range")) & F.col(key).eqNullSafe(F.col("__carry_key"))
+    return (
+        previous.join(F.broadcast(carried), same, "left")
+        .withColumn("previous_ts", F.coalesce("previous_ts", "__carried"))
+        .drop(_RANGE, "__carry_range", "__carry_key", "__carried")
+    )

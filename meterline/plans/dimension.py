@@ -13,7 +13,7 @@ from meterline.sinks.versions import write_version
 from meterline.sources.dimension_files import read_dimension_files
 from meterline.sources.tables import read_dimension
 
-READING_ORDER = ["file_path", "block_start", "row_id"]
+READING_ORDER = ["file_no", "block_start", "row_id"]
 
 
 @dataclass(frozen=True)

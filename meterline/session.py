@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -51,13 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     folder = spark.conf.get(SHARED_FOLDER_SETTING, None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {SHARED_FOLDER_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="meterline-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError(f"set {SHARED_FOLDER_SETTING} to a folder all executors share")
+    spark.conf.set(SHARED_FOLDER_SETTING, tempfile.mkdtemp(prefix="meterline-"))
+    return spark.conf.get(SHARED_FOLDER_SETTING)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -65,7 +64,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Write ``df`` to the shared folder once, so that later steps do not repeat its work."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder once, so that later steps do not repeat its work.
+
+    A Parquet table outlives executors as a checkpoint does, and later steps read only the
+    columns they use. The folder is left to the cluster's own cleaning.
+    """
+    path = new_folder(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.functions import first_non_empty, strip_whitespace
@@ -39,7 +40,11 @@ def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def _positions(headers: DataFrame, width: int, names: list[str]) -> DataFrame:
-    """Per file, the 1-based column of each name; the last one counts, 0 means absent."""
+    """Per file its number by path and the 1-based column of each name.
+
+    Of a repeated name the last column counts; 0 means absent. The numbering is a window
+    over one row per file.
+    """
     cells = ", ".join(f"c{i} string" for i in range(width))
     parsed = F.from_csv("header", cells, _DIALECT)
     backwards = headers.select(
@@ -49,6 +54,7 @@ def _positions(headers: DataFrame, width: int, names: list[str]) -> DataFrame:
     found = [F.coalesce(F.array_position("cells", name), F.lit(0)) for name in names]
     return backwards.select(
         "file_path",
+        F.row_number().over(W.orderBy("file_path")).alias("file_no"),
         *[
             F.when(position > 0, width + 1 - position).otherwise(0).cast("int").alias(f"at_{i}")
             for i, position in enumerate(found)
@@ -75,8 +81,8 @@ def read_dimension_files(
 
     Per target column the first non-empty alias wins. A row is rejected if a column is
     missing or empty before white space is stripped, so a cell of blanks only is accepted
-    as ``''`` unless ``reject_blank`` is set. ``(file_path, block_start, row_id)`` is
-    unique and follows the order of the rows in each file.
+    as ``''`` unless ``reject_blank`` is set. ``(file_no, block_start, row_id)`` is unique
+    and follows the files by path and the rows of each file.
     """
     path = expand_home(path)
     headers = cut_lineage(_header_lines(spark, path, pattern))
@@ -110,7 +116,7 @@ def read_dimension_files(
         for target, spellings in aliases.items()
     }
     picked = located.select(
-        "file_path", "block_start", "row_id", *[cell.alias(target) for target, cell in raw.items()]
+        "file_path", "file_no", "block_start", "row_id", *[cell.alias(target) for target, cell in raw.items()]
     )
     accepted = reduce(Column.__and__, [F.col(target).isNotNull() for target in aliases])
     if reject_blank:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -23,7 +24,7 @@ from meterline import (
     running_hit_rate,
     write_request_log,
 )
-from meterline.operators.ordered import plan_ranges
+from meterline.operators.ordered import plan_cuts, range_index
 
 START = datetime(2024, 1, 1)
 SCHEMA = "request_id long, ts timestamp, city string, hit boolean"
@@ -97,15 +98,35 @@ def test_ordered_passes_on_any_rows(spark, picks, per_range):
     )
 
 
-def test_ranges_split_hot_keys_and_equal_times_evenly(spark):
-    data = skewed(4000, 1)
-    log = spark.createDataFrame(data, SCHEMA)
-    for order in (("ts", "request_id"), ("city", "ts", "request_id")):
-        ranges = plan_ranges(log, *order, rows_per_range=200)
-        sizes = [n for _, n in rows(ranges.tag(log).groupBy("__range").count())]
-        assert ranges.count == 20 and sum(sizes) == 4000
-        assert len(sizes) == 20 and max(sizes) < 2 * 200
-    assert plan_ranges(log, "ts", rows_per_range=1, most_ranges=8).count <= 8
+@pytest.mark.parametrize("order", [("ts", "request_id"), ("city", "ts", "request_id"),
+                                   ("request_id",), ("hit", "ts", "request_id")])
+def test_ranges_follow_the_order_and_are_even(spark, order):
+    log = spark.createDataFrame(skewed(4000, 1), SCHEMA)
+    cuts = plan_cuts(log, *order, rows_per_range=200)
+    tagged = log.withColumn("range", range_index(log, order, cuts))
+    sizes = Counter(row["range"] for row in tagged.collect())
+    assert len(cuts) == 19 and set(sizes) == set(range(20))
+    assert max(sizes.values()) < 2 * 200
+    in_order = [row["range"] for row in tagged.orderBy(*order).collect()]
+    assert in_order == sorted(in_order)
+
+
+def test_number_of_ranges_is_bounded(spark):
+    log = spark.createDataFrame(skewed(300, 1), SCHEMA)
+    assert len(plan_cuts(log, "ts", "request_id", rows_per_range=1, most_ranges=8)) == 7
+    assert plan_cuts(log.limit(0), "ts", rows_per_range=1) == []
+
+
+def test_hot_keys_are_cut_and_others_stay_whole(spark):
+    log = spark.createDataFrame(skewed(3000, 3), SCHEMA)
+    text = plan(repeat_within(log, rows_per_range=100))
+    assert "shufflepartitionidpassthrough" in text
+    assert "IN (hot)" in text or "= hot" in text
+    even = spark.range(3000).select(
+        F.col("id").alias("request_id"), F.timestamp_seconds("id").alias("ts"),
+        F.concat(F.lit("c"), F.col("id") % 500).alias("city"))
+    text = plan(repeat_within(even, rows_per_range=100))
+    assert "hashpartitioning(city" in text and "shufflepartitionidpassthrough" not in text
 
 
 def test_ordered_passes_shuffle_the_rows_once(spark):
