@@ -40,9 +40,11 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_reports,
     stop_all,
     stream_appended,
     stream_complete,
     stream_messages,
     stream_updates,
+    stream_upsert,
 )

@@ -6,6 +6,8 @@ occur often on the left spread over many tasks.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,32 +35,50 @@ def fits_broadcast(
     return len(sizes) <= max_rows and sum(row["bytes"] for row in sizes) <= max_bytes
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def hot_keys(df: DataFrame, key: str, share: float) -> list:
-    """All keys holding at least ``share`` of the rows, perhaps with some others.
+def hot_levels(df: DataFrame, key: str, partitions: int) -> dict[int, list]:
+    """Keys with more rows than a partition should get, by the number of tasks to spread them over.
 
-    One pass that keeps at most ``1 / share`` candidates per task and shuffles only those.
+    A first pass keeps the few keys that may be frequent, a second one counts them. Neither
+    shuffles more than those. The numbers are powers of two and add up to a small multiple
+    of ``partitions``, however the rows are distributed.
     """
-    return [k for k in df.stat.freqItems([key], share).first()[0] if k is not None]
+    share = 1 / min(partitions, MOST_HOT_KEYS)
+    frequent = df.stat.freqItems([key], share / 2).first()[0]
+    candidates = [value for value in frequent if value is not None]
+    candidate = F.when(F.col(key).isin(candidates), F.col(key))
+    counts = df.groupBy(candidate.alias("key")).count().collect()
+    total = sum(row["count"] for row in counts)
+    levels: dict[int, list] = {}
+    for row in counts:
+        if row["key"] is not None and row["count"] > total * share:
+            fair = math.ceil(row["count"] * partitions / total)
+            levels.setdefault(1 << fair.bit_length(), []).append(row["key"])
+    return levels
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, salts: int, hot: list | None
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str,
+    levels: dict[int, list],
+    others: int = 1,
+    empty: int = 1,
 ) -> DataFrame:
-    """Join with each hot key spread over ``salts`` tasks; ``hot=None`` spreads all keys.
+    """Join with the rows of a key spread over several tasks.
 
-    Rows without a key match nothing, so they are spread too.
+    ``levels`` gives the number of tasks for some keys, ``others`` that for all other keys,
+    and ``empty`` that for rows without a key, which match nothing. The right side's rows
+    of a key are repeated once per task.
     """
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    copies = F.sequence(F.lit(0), F.lit(salts - 1))
-    if hot is not None:
-        spread = F.when(F.col(key).isNull() | F.col(key).isin(hot), spread).otherwise(0)
-        copies = F.when(F.col(key).isin(hot), copies).otherwise(F.array(F.lit(0)))
-    salted_left = left.withColumn(_SALT, spread)
-    salted_right = right.withColumn(_SALT, F.explode(copies))
+    tasks = F.lit(others)
+    for number, keys in levels.items():
+        tasks = F.when(F.col(key).isin(keys), number).otherwise(tasks)
+    spread = F.pmod(
+        F.xxhash64(*left.columns), F.when(F.col(key).isNull(), empty).otherwise(tasks)
+    )
+    salted_left = left.withColumn(_SALT, spread.cast("int"))
+    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), tasks - 1)))
     return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)
 
 
@@ -69,21 +89,20 @@ def sized_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    stream_salts: int = 8,
+    stream_tasks: int = 8,
 ) -> DataFrame:
     """Join a large left side, batch or stream, to a table on one equal-named key.
 
     ``how`` is inner, left, left_semi or left_anti. A stream cannot be searched for hot
-    keys beforehand, so there every key is spread over ``stream_salts`` tasks.
+    keys beforehand, so there every key is spread over ``stream_tasks`` tasks.
     """
     if fits_broadcast(right, max_rows, max_bytes):
         joined = left.join(F.broadcast(right), key, how)
     elif left.isStreaming:
-        joined = salted_join(left, right, key, how, stream_salts, None)
+        joined = salted_join(left, right, key, how, {}, stream_tasks, stream_tasks)
     else:
-        partitions = _partitions(left)
-        share = 1 / min(partitions, MOST_HOT_KEYS) / 2
-        hot = hot_keys(left.select(key), key, share)
-        joined = salted_join(left, right, key, how, partitions, hot)
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        levels = hot_levels(left.select(key), key, partitions)
+        joined = salted_join(left, right, key, how, levels, empty=partitions)
     added = [] if how in ("left_semi", "left_anti") else right.columns
     return joined.select(*left.columns, *[name for name in added if name != key])

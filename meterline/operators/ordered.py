@@ -113,7 +113,7 @@ def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Colum
     searched = F.aggregate(steps, F.lit(0), advance)
 
     numbers = [cut.number for cut in cuts]
-    if None in numbers or numbers[0] == numbers[-1]:
+    if None in numbers or not 0 < numbers[-1] - numbers[0] < 1 << 62:
         return searched
     # Most rows are far from any cut point: in a grid over the first column, a cell
     # without a cut point tells the range at once. Only the others need the search.

@@ -2,7 +2,7 @@
 
 from meterline.plans.dimension import load_dimension, load_into
 from meterline.plans.requests import answer_requests
-from meterline.plans.revenue import ReportSet, report_set, run_reports
+from meterline.plans.revenue import ReportSet, report_set, reports_from, run_reports
 
 __all__ = [
     "ReportSet",
@@ -10,5 +10,6 @@ __all__ = [
     "load_dimension",
     "load_into",
     "report_set",
+    "reports_from",
     "run_reports",
 ]

@@ -8,6 +8,7 @@ keyed dimension, and ``orders`` its updates.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from meterline.plans.requests import answer_requests
 from meterline.plans.revenue import FOLDERS, report_set, reports_from, run_reports
 from meterline.schemas import BRIEF, FULL
 from meterline.session import new_folder
-from meterline.sinks import land_cdr, preview, write_report, write_request_log
+from meterline.sinks import land_cdr, preview, write_report, write_request_log, write_version
 from meterline.sources import (
     builtin_mapping,
     load_mapping,
@@ -37,10 +38,12 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_reports,
     stream_appended,
     stream_complete,
     stream_messages,
     stream_updates,
+    stream_upsert,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,42 +275,57 @@ def one_pass_interval_count_by_name(spark, folder):
     return plain_times(one_pass(spark, folder).interval_count_by_name, "interval_start")
 
 
-@checked_by(CDR + f"""
+def summary_sql(closed: str = "") -> str:
+    """Rows and amounts of the four reports, of closed intervals or days if asked."""
+    days = f"HAVING CAST(t AS DATE) + INTERVAL '1 day' <= {closed}" if closed else ""
+    slots = f"HAVING {SLOT} + INTERVAL '15 minutes' <= {closed}" if closed else ""
+    return CDR + f"""
 SELECT report, count(*) AS report_rows, CAST(sum(amount) AS DECIMAL(20,3)) AS amount FROM (
-  SELECT 'daily_revenue' AS report, sum(rev) AS amount FROM cdr GROUP BY CAST(t AS DATE)
-  UNION ALL SELECT 'interval_revenue', sum(rev) FROM cdr GROUP BY {SLOT}, code
-  UNION ALL SELECT 'interval_min_max', max(rev) - min(rev) FROM cdr GROUP BY {SLOT}, code
+  SELECT 'daily_revenue' AS report, sum(rev) AS amount FROM cdr GROUP BY CAST(t AS DATE) {days}
+  UNION ALL SELECT 'interval_revenue', sum(rev) FROM cdr GROUP BY {SLOT}, code {slots}
+  UNION ALL SELECT 'interval_min_max', max(rev) - min(rev) FROM cdr GROUP BY {SLOT}, code {slots}
   UNION ALL SELECT 'interval_count_by_name', sum(rev) FROM cdr LEFT JOIN {NAMED}
-            ON cdr.code = m.c GROUP BY {SLOT}, m.value)
-GROUP BY 1""")
+            ON cdr.code = m.c GROUP BY {SLOT}, m.value {slots})
+GROUP BY 1"""
+
+
+def report_summary(spark: SparkSession, target: str) -> DataFrame:
+    """Rows and amounts of the four reports written as CSV below a target."""
+    layouts = {
+        "daily_revenue": ("date date, total_revenue decimal(16,3)", "total_revenue"),
+        "interval_revenue": (
+            "PAYTYPE_515 int, revenue decimal(16,3), interval_start timestamp",
+            "revenue",
+        ),
+        "interval_min_max": (
+            "PAYTYPE_515 int, min_revenue decimal(6,3), max_revenue decimal(6,3), "
+            "interval_start timestamp",
+            "max_revenue - min_revenue",
+        ),
+        "interval_count_by_name": (
+            "value string, record_count bigint, revenue decimal(16,3), interval_start timestamp",
+            "revenue",
+        ),
+    }
+    parts = []
+    for name, (schema, amount) in layouts.items():
+        written = spark.read.schema(schema).option("header", True).csv(f"{target}/{FOLDERS[name]}")
+        parts.append(
+            written.agg(
+                F.lit(name).alias("report"),
+                F.count("*").alias("report_rows"),
+                F.sum(F.expr(amount)).cast("decimal(20,3)").alias("amount"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+@checked_by(summary_sql())
 def written_reports(spark, folder):
     """All four reports written as CSV to two targets, and read back from the second."""
     targets = [new_folder(spark, "reports"), new_folder(spark, "reports")]
     run_reports(records(spark, folder), builtin_mapping(spark, NAMES), targets)
-    amounts = {
-        "daily_revenue": "total_revenue",
-        "interval_revenue": "revenue",
-        "interval_min_max": "max_revenue - min_revenue",
-        "interval_count_by_name": "revenue",
-    }
-    schemas = {
-        "daily_revenue": "date date, total_revenue decimal(16,3)",
-        "interval_revenue": "PAYTYPE_515 int, revenue decimal(16,3), interval_start timestamp",
-        "interval_min_max": "PAYTYPE_515 int, min_revenue decimal(6,3), "
-        "max_revenue decimal(6,3), interval_start timestamp",
-        "interval_count_by_name": "value string, record_count bigint, revenue decimal(16,3), "
-        "interval_start timestamp",
-    }
-    summary = None
-    for name, sub in FOLDERS.items():
-        written = spark.read.schema(schemas[name]).option("header", True)
-        counted = written.csv(f"{targets[1]}/{sub}").agg(
-            F.lit(name).alias("report"),
-            F.count("*").alias("report_rows"),
-            F.sum(F.expr(amounts[name])).cast("decimal(20,3)").alias("amount"),
-        )
-        summary = counted if summary is None else summary.unionByName(counted)
-    return summary
+    return report_summary(spark, targets[1])
 
 
 @checked_by(CDR + """
@@ -548,8 +566,9 @@ WITH newest AS (
 """
 
 
-def priority_updates(spark, folder) -> DataFrame:
-    return table(spark, folder, "orders").select(
+def priorities(orders: DataFrame) -> DataFrame:
+    """Orders as updates: the customer's label becomes the order's priority."""
+    return orders.select(
         F.col("o_custkey").alias("key"),
         F.col("o_orderpriority").alias("label"),
         "o_orderdate",
@@ -557,9 +576,14 @@ def priority_updates(spark, folder) -> DataFrame:
     )
 
 
+def solvent_segments(spark, folder) -> DataFrame:
+    solvent = table(spark, folder, "customer").filter("c_acctbal >= 0")
+    return solvent.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("label"))
+
+
 @checked_by(PRIORITIES + "SELECT o_custkey AS key, priority AS label FROM newest")
 def last_write_per_key(spark, folder):
-    updates = priority_updates(spark, folder)
+    updates = priorities(table(spark, folder, "orders"))
     return dim.last_write(updates, "key", ["o_orderdate", "o_orderkey"], ["label"])
 
 
@@ -568,15 +592,20 @@ SELECT coalesce(c_custkey, o_custkey) AS key, coalesce(priority, c_mktsegment) A
 FROM (SELECT * FROM customer WHERE c_acctbal >= 0) FULL JOIN newest ON c_custkey = o_custkey""")
 def upsert_last_write(spark, folder):
     """Segments of solvent customers, overwritten and extended by order priorities."""
-    base = (
-        table(spark, folder, "customer")
-        .filter("c_acctbal >= 0")
-        .select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("label"))
-    )
-    updates = priority_updates(spark, folder)
+    updates = priorities(table(spark, folder, "orders"))
+    base = solvent_segments(spark, folder)
     return dim.upsert(base, updates, "key", ["o_orderdate", "o_orderkey"], ["label"])
 
 
+@checked_by(SQL["upsert_last_write"])
+def upsert_last_write_shuffled(spark, folder):
+    """The same without a broadcast, as for updates of very many keys."""
+    updates = priorities(table(spark, folder, "orders"))
+    base = solvent_segments(spark, folder)
+    order = ["o_orderdate", "o_orderkey"]
+    return dim.upsert(base, updates, "key", order, ["label"], max_rows=0)
+
+
 # --- lookups and their log ------------------------------------------------------------
 
 CITIES = """
@@ -822,6 +851,40 @@ def stream_roll_up_by_name(spark, folder):
     return plain_times(named, "interval_start")
 
 
+@checked_by(summary_sql(CLOSED))
+def stream_written_reports(spark, folder):
+    """All four reports of one stream, each written as CSV by a query of its own."""
+    target = new_folder(spark, "reports")
+    running = start_reports(
+        record_stream(spark, folder),
+        builtin_mapping(spark, NAMES),
+        target,
+        new_folder(spark, "checkpoints"),
+        trigger=AT_ONCE,
+    )
+    for query in running.values():
+        query.awaitTermination()
+    return report_summary(spark, target)
+
+
+@checked_by(SQL["upsert_last_write"])
+def stream_upsert_last_write(spark, folder):
+    """Order priorities arrive as a stream and are merged into a stored dimension."""
+    path = new_folder(spark, "stored")
+    write_version(solvent_segments(spark, folder), path)
+    orders = (
+        spark.readStream.schema(table(spark, folder, "orders").schema)
+        .option("pathGlobFilter", "orders.parquet")
+        .parquet(folder)
+    )
+    order = ["o_orderdate", "o_orderkey"]
+    checkpoint = new_folder(spark, "checkpoint")
+    stream_upsert(
+        priorities(orders), path, checkpoint, "key", order, ["label"], trigger=AT_ONCE
+    ).awaitTermination()
+    return read_dimension(spark, path)
+
+
 @checked_by(REVENUE_SQL)
 def stream_interval_complete(spark, folder):
     path = new_folder(spark, "complete")

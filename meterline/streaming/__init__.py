@@ -1,6 +1,7 @@
 """Reports and lookups as Structured Streaming queries, and their control."""
 
 from meterline.streaming.control import progress_rows, stop_all
+from meterline.streaming.jobs import start_reports, stream_upsert
 from meterline.streaming.queries import (
     read_complete,
     read_updates,
@@ -14,9 +15,11 @@ __all__ = [
     "progress_rows",
     "read_complete",
     "read_updates",
+    "start_reports",
     "stop_all",
     "stream_appended",
     "stream_complete",
     "stream_messages",
     "stream_updates",
+    "stream_upsert",
 ]

@@ -10,6 +10,8 @@ store: ``spark.sql.streaming.stateStore.providerClass`` set to
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,6 +33,18 @@ def _writer(stream: DataFrame, checkpoint: str, mode: str, name: str | None, tri
     return writer.queryName(name) if name else writer
 
 
+def start_batches(
+    stream: DataFrame,
+    checkpoint: str,
+    mode: str,
+    work: Callable[[DataFrame, int], None],
+    name: str | None = None,
+    trigger: dict = EVERY_30_SECONDS,
+) -> StreamingQuery:
+    """Hand each micro-batch to ``work``, which must bear being called twice for one."""
+    return _writer(stream, checkpoint, mode, name, trigger).foreachBatch(work).start()
+
+
 def stream_appended(
     stream: DataFrame,
     path: str,
@@ -81,7 +95,7 @@ def stream_complete(
     def replace(report: DataFrame, batch: int) -> None:
         write_version(report.orderBy(*order), path, version=batch, keep=keep)
 
-    return _writer(stream, checkpoint, "complete", name, trigger).foreachBatch(replace).start()
+    return start_batches(stream, checkpoint, "complete", replace, name, trigger)
 
 
 def read_complete(spark: SparkSession, path: str) -> DataFrame | None:
@@ -100,7 +114,7 @@ def stream_updates(
     def keep_changes(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{expand_home(path)}/batch={batch}")
 
-    return _writer(stream, checkpoint, "update", name, trigger).foreachBatch(keep_changes).start()
+    return start_batches(stream, checkpoint, "update", keep_changes, name, trigger)
 
 
 def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:

@@ -19,7 +19,7 @@ from meterline import (
     upsert,
     write_version,
 )
-from meterline.operators.joins import fits_broadcast, hot_keys, salted_join, sized_join
+from meterline.operators.joins import fits_broadcast, hot_levels, salted_join, sized_join
 from meterline.plans.dimension import dimension_from
 from meterline.sinks.versions import read_latest
 
@@ -194,20 +194,26 @@ def test_lookup(spark, asked, limits):
 
 def test_hot_keys_are_spread(spark, asked):
     data, requests, _, dimension = asked
-    hot = hot_keys(requests, "city", 0.2)
-    assert "hot" in hot and len(hot) <= 5
+    levels = hot_levels(requests, "city", 8)
+    assert levels == {4: ["hot"]}
     keyed = dimension.withColumnRenamed("name", "city")
-    spread = salted_join(requests, keyed, "city", "left", 8, hot)
-    sizes = dict(
-        rows(
-            requests.withColumn("s", F.pmod(F.xxhash64("request_id", "city"), F.lit(8)))
-            .filter("city = 'hot'").groupBy("s").count()
-        )
-    )
-    assert len(sizes) == 8 and max(sizes.values()) < 2 * 1000 / 8
-    assert bag(spread.select("request_id")) == sorted([(i,) for i, _ in data], key=repr)
-    everywhere = salted_join(requests, keyed, "city", "left", 4, None)
-    assert bag(everywhere) == bag(spread)
+    salt = F.pmod(F.xxhash64("request_id", "city"), F.lit(4))
+    sizes = [n for _, n in rows(requests.filter("city = 'hot'").groupBy(salt).count())]
+    assert len(sizes) == 4 and max(sizes) < 1.5 * 1000 / 4
+    expected = bag(requests.join(keyed, "city", "left").select(*requests.columns, "country_code"))
+    for arguments in ((levels, 1, 8), ({}, 4, 4), ({16: ["hot"], 2: ["c2", "c4"]}, 1, 1)):
+        spread = salted_join(requests, keyed, "city", "left", *arguments)
+        assert bag(spread.select(*requests.columns, "country_code")) == expected
+
+
+def test_hot_levels_are_bounded_and_skip_rare_keys(spark):
+    even = spark.range(20000).select((F.col("id") % 5000).alias("k"))
+    assert hot_levels(even, "k", 64) == {}
+    few = spark.range(20000).select((F.col("id") % 5).alias("k"))
+    levels = hot_levels(few, "k", 64)
+    assert {n: sorted(keys) for n, keys in levels.items()} == {16: [0, 1, 2, 3, 4]}
+    assert hot_levels(even.limit(0), "k", 64) == {}
+    assert hot_levels(spark.createDataFrame([(None,)] * 9, "k string"), "k", 4) == {}
 
 
 def test_dimension_copies_of_a_key_are_kept_when_salted(spark, asked):
