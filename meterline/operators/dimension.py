@@ -68,18 +68,18 @@ def lookup(
     request_key: str = "city",
     key: str = "name",
     how: str = "left",
-    **limits: int,
+    **joining: object,
 ) -> DataFrame:
     """Requests with the dimension's columns, as a table or a stream.
 
     ``left`` keeps every request and adds ``found``; ``inner`` keeps those found;
-    ``left_anti`` keeps those not found, without new columns. ``limits`` are passed on to
+    ``left_anti`` keeps those not found, without new columns. ``joining`` is passed on to
     ``sized_join``.
     """
     keyed = dimension.withColumnRenamed(key, request_key)
     if how == "left_anti":
-        return sized_join(requests, keyed.select(request_key), request_key, how, **limits)
+        return sized_join(requests, keyed.select(request_key), request_key, how, **joining)
     joined = sized_join(
-        requests, keyed.withColumn("found", F.lit(True)), request_key, how, **limits
+        requests, keyed.withColumn("found", F.lit(True)), request_key, how, **joining
     )
     return joined.withColumn("found", F.coalesce("found", F.lit(False)))

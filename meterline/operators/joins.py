@@ -90,19 +90,25 @@ def sized_join(
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     stream_tasks: int = 8,
+    key_rows: DataFrame | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Join a large left side, batch or stream, to a table on one equal-named key.
 
     ``how`` is inner, left, left_semi or left_anti. A stream cannot be searched for hot
-    keys beforehand, so there every key is spread over ``stream_tasks`` tasks.
+    keys beforehand, so there every key is spread over ``stream_tasks`` tasks. ``key_rows``
+    is searched in place of a left side that is dear to compute, and ``even`` says that no
+    key of it can be hot.
     """
     if fits_broadcast(right, max_rows, max_bytes):
         joined = left.join(F.broadcast(right), key, how)
     elif left.isStreaming:
         joined = salted_join(left, right, key, how, {}, stream_tasks, stream_tasks)
+    elif even:
+        joined = left.join(right, key, how)
     else:
         partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        levels = hot_levels(left.select(key), key, partitions)
+        levels = hot_levels((key_rows or left).select(key), key, partitions)
         joined = salted_join(left, right, key, how, levels, empty=partitions)
     added = [] if how in ("left_semi", "left_anti") else right.columns
     return joined.select(*left.columns, *[name for name in added if name != key])

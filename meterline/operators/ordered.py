@@ -31,10 +31,7 @@ MOST_RANGES = 8192
 _SAMPLES_PER_RANGE = 40
 _CELLS_PER_RANGE = 8
 _RANGE = "__range"
-_JSON = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-}
+_JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 @dataclass(frozen=True)
@@ -46,15 +43,20 @@ class Cut:
     number: int | None
 
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """The column, or a value that sorts like it and survives a trip through JSON exactly."""
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.unix_micros(name).alias(name)
+    return F.col(name)
+
+
 def _as_number(df: DataFrame, name: str) -> Column:
     """A whole number that sorts like the column, or null if its type has none at hand."""
     kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
     if isinstance(kind, T.DateType):
         return F.unix_date(name).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return F.col(name).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.IntegralType)):
+        return _comparable(df, name).cast("bigint")
     return F.lit(None).cast("bigint")
 
 
@@ -79,7 +81,7 @@ def plan_cuts(
         keys.sample(share, seed=17)
         .orderBy(*order)
         .select(
-            F.to_json(F.struct(*order), _JSON).alias("point"),
+            F.to_json(F.struct(*[_comparable(df, name) for name in order]), _JSON).alias("point"),
             F.col(order[0]).alias("first"),
             _as_number(df, order[0]).alias("number"),
         )
@@ -100,9 +102,9 @@ def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Colum
     if not cuts:
         return F.lit(0)
     bounds = len(cuts)
-    point = T.StructType([df.schema[name] for name in order])
+    row = F.struct(*[_comparable(df, name) for name in order])
+    point = df.select(row.alias("row")).schema["row"].dataType
     points = F.sort_array(_constant("[" + ",".join(cut.point for cut in cuts) + "]", point))
-    row = F.struct(*order)
 
     def advance(found: Column, step: Column) -> Column:
         reached = found + step

@@ -77,7 +77,8 @@ def name_totals(totals: DataFrame, mapping: DataFrame, key: str, sum_type) -> Da
     record first, also for repeated codes: each copy of a code counts its records again.
     """
     names = mapping.groupBy(F.col("PayType").alias(key), "value").agg(F.count("*").alias("copies"))
-    named = sized_join(totals, names, key, "left").withColumn(
+    # A code has at most one total per interval, so none is hot.
+    named = sized_join(totals, names, key, "left", even=True).withColumn(
         "copies", F.coalesce("copies", F.lit(1))
     )
     return named.groupBy("value", "interval_start").agg(
