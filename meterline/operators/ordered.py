@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions import hit_percentage
+from meterline.schemas import SECONDS_TO_LIVE
 
 ROWS_PER_RANGE = 2_000_000
 MOST_RANGES = 8192
@@ -182,7 +183,7 @@ def repeat_within(
     key: str = "city",
     time: str = "ts",
     tie_breaker: str = "request_id",
-    seconds: int = 600,
+    seconds: int = SECONDS_TO_LIVE,
     **cutting: int,
 ) -> DataFrame:
     """Flag requests that follow one for the same key by less than ``seconds``.

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from meterline.functions import event_date, widened_sum_type
 from meterline.operators.joins import sized_join
 
+# The columns that preparation adds, the interval and the watermark delay.
 TIME = "timestamp"
 REVENUE = "revenue_toman"
 INTERVAL = "15 minutes"

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from meterline.functions import hit_percentage
 
+# Fixed value: how many of the latest keys are of interest.
+RECENT = 10
+
 
 def request_stats(log: DataFrame, hit: str = "hit") -> DataFrame:
     """One row: total requests, cache hits and their percentage."""
@@ -51,7 +54,7 @@ def _last_requests(log: DataFrame, key: str, time: str) -> DataFrame:
     return log.groupBy(key).agg(F.max(time).alias("last_request"))
 
 
-def recent_keys(log: DataFrame, key: str = "city", time: str = "ts", n: int = 10) -> DataFrame:
+def recent_keys(log: DataFrame, key: str = "city", time: str = "ts", n: int = RECENT) -> DataFrame:
     """The ``n`` keys requested last, newest first."""
     return _last_requests(log, key, time).orderBy(F.desc("last_request"), key).limit(n)
 

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from meterline.functions import cache_status
 from meterline.operators.dimension import lookup
 from meterline.operators.ordered import repeat_within, running_hit_rate
+from meterline.schemas import SECONDS_TO_LIVE
 from meterline.session import cut_lineage
 
 
 def answer_requests(
-    requests: DataFrame, dimension: DataFrame, seconds: int = 600, **cutting: int
+    requests: DataFrame, dimension: DataFrame, seconds: int = SECONDS_TO_LIVE, **cutting: int
 ) -> DataFrame:
     """One log row per request, found or not.
 

@@ -55,6 +55,8 @@ DIMENSION_ALIASES = {
     "country_code": ("countyCode", "country_code", "CountryCode"),
 }
 
+# The log's fields and topic. The id and the time are ours, so that the
+# order of requests is known.
 REQUEST_LOG = T.StructType(
     [
         T.StructField("request_id", T.LongType()),
@@ -67,6 +69,9 @@ REQUEST_LOG = T.StructType(
 )
 REQUEST_TOPIC = "city_requests"
 
+# Fixed value: seconds after a request during which a repeat of it can be served.
+SECONDS_TO_LIVE = 600
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -82,6 +87,7 @@ class Layout:
     trim: bool
 
 
+# Time formats, divisors and revenue types of the two layouts.
 FULL = Layout(
     schema=FULL_CDR,
     time_column="RECORD_DATE",

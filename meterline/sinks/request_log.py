@@ -15,12 +15,19 @@ def log_messages(log: DataFrame) -> DataFrame:
 
 
 def write_request_log(
-    log: DataFrame, path: str | None = None, servers: str | None = None, topic: str = REQUEST_TOPIC
+    log: DataFrame,
+    path: str | None = None,
+    servers: str | None = None,
+    topic: str = REQUEST_TOPIC,
+    **connection: str,
 ) -> None:
-    """Append the messages to a folder of JSON lines or, with ``servers``, to a topic."""
+    """Append the messages to a folder of JSON lines or, with ``servers``, to a topic.
+
+    ``connection`` holds further options of the connector.
+    """
     messages = log_messages(log)
     if servers:
-        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        options = {"kafka.bootstrap.servers": servers, "topic": topic, **connection}
         messages.write.format("kafka").options(**options).save()
     else:
         messages.write.mode("append").text(expand_home(path))

@@ -18,11 +18,12 @@ def parse_log_messages(messages: DataFrame, schema: T.StructType = REQUEST_LOG)
     return messages.select(record.alias("record")).select("record.*")
 
 
-def _topic_options(servers: str, topic: str) -> dict[str, str]:
+def topic_options(servers: str, topic: str, connection: dict[str, str]) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
+        **connection,
     }
 
 
@@ -32,13 +33,15 @@ def read_request_log(
     servers: str | None = None,
     topic: str = REQUEST_TOPIC,
     schema: T.StructType = REQUEST_LOG,
+    **connection: str,
 ) -> DataFrame:
     """All log records of a folder of JSON lines or, with ``servers``, of a topic.
 
-    Reading a topic needs the Kafka connector on the session's class path.
+    Reading a topic needs the Kafka connector on the session's class path; ``connection``
+    holds further options of it.
     """
     if servers:
-        source = spark.read.format("kafka").options(**_topic_options(servers, topic))
+        source = spark.read.format("kafka").options(**topic_options(servers, topic, connection))
         return parse_log_messages(source.load(), schema)
     return spark.read.schema(schema).options(**JSON_TIMES).json(expand_home(path))
 
@@ -50,10 +53,14 @@ def stream_request_log(
     topic: str = REQUEST_TOPIC,
     schema: T.StructType = REQUEST_LOG,
     max_files: int | None = None,
+    **connection: str,
 ) -> DataFrame:
-    """The same as a stream, from the earliest record on."""
+    """The same as a stream, from the earliest record on.
+
+    ``max_files`` bounds a micro-batch of files; for a topic pass ``maxOffsetsPerTrigger``.
+    """
     if servers:
-        source = spark.readStream.format("kafka").options(**_topic_options(servers, topic))
+        source = spark.readStream.format("kafka").options(**topic_options(servers, topic, connection))
         return parse_log_messages(source.load(), schema)
     reader = spark.readStream.schema(schema).options(**JSON_TIMES)
     if max_files:

@@ -21,6 +21,7 @@ def start_reports(
     key: str = "PAYTYPE_515",
     width: str = reports.INTERVAL,
     delay: str = reports.DELAY,
+    day_starts: str | None = None,
     form: str = "csv",
     trigger: dict = EVERY_30_SECONDS,
 ) -> dict[str, StreamingQuery]:
@@ -30,7 +31,7 @@ def start_reports(
     the stream instead and make the reports from its table with ``plans.reports_from``.
     """
     frames = {
-        "daily_revenue": reports.daily_revenue(records, delay),
+        "daily_revenue": reports.daily_revenue(records, delay, day_starts),
         "interval_revenue": reports.interval_revenue(records, key, width, delay),
         "interval_min_max": reports.interval_min_max(records, key, width, delay),
         "interval_count_by_name": reports.interval_count_by_name(

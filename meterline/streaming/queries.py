@@ -21,6 +21,7 @@ from meterline.sinks.request_log import log_messages
 from meterline.sinks.versions import read_latest, write_version
 from meterline.sources.paths import expand_home
 
+# Fixed value: the time between two micro-batches.
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 
 
@@ -72,11 +73,12 @@ def stream_messages(
     topic: str = REQUEST_TOPIC,
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
+    **connection: str,
 ) -> StreamingQuery:
     """Send a stream of log records to a folder of JSON lines or, with ``servers``, a topic."""
     writer = _writer(log_messages(log), checkpoint, "append", name, trigger)
     if servers:
-        options = {"kafka.bootstrap.servers": servers, "topic": topic}
+        options = {"kafka.bootstrap.servers": servers, "topic": topic, **connection}
         return writer.format("kafka").options(**options).start()
     return writer.format("text").start(expand_home(path))
 

@@ -51,6 +51,18 @@ def test_header_layouts(spark, city_files):
     assert rows(later_file_wins) == [("Berlin", "US")]
 
 
+def test_very_many_files_need_no_broadcast(spark, city_files, monkeypatch):
+    expected = bag(read_dimension_files(spark, city_files).drop("row_id"))
+    monkeypatch.setattr("meterline.operators.joins.fits_broadcast", lambda *a, **k: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unbroadcast = read_dimension_files(spark, city_files)
+        assert "BroadcastHashJoin" not in plan(unbroadcast)
+        assert bag(unbroadcast.drop("row_id")) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_blank_names_can_be_rejected(spark, city_files):
     assert rows(load_counters(read_dimension_files(spark, city_files, reject_blank=True))) == [(8, 5, 3)]
 

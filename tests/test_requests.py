@@ -25,6 +25,7 @@ from meterline import (
     write_request_log,
 )
 from meterline.operators.ordered import plan_cuts, range_index
+from meterline.sources.request_log import topic_options
 
 START = datetime(2024, 1, 1)
 SCHEMA = "request_id long, ts timestamp, city string, hit boolean"
@@ -228,6 +229,16 @@ def test_log_files_and_messages(spark, tmp_path):
     assert bag(parse_log_messages(as_bytes)) == expected
 
 
+def test_topic_options():
+    options = topic_options("host:9092", "city_requests", {"maxOffsetsPerTrigger": "9"})
+    assert options == {
+        "kafka.bootstrap.servers": "host:9092",
+        "subscribe": "city_requests",
+        "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "9",
+    }
+
+
 def test_log_columns_not_used_are_not_parsed(spark, tmp_path):
     path = str(tmp_path / "log")
     log = spark.createDataFrame([(1, "HIT")], "request_id long, cache_status string")

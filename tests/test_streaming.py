@@ -21,9 +21,11 @@ from meterline import (
     progress_rows,
     read_cdr,
     read_complete,
+    read_dimension,
     read_request_log,
     read_updates,
     roll_up,
+    start_reports,
     stop_all,
     stream_appended,
     stream_cdr,
@@ -31,10 +33,12 @@ from meterline import (
     stream_messages,
     stream_request_log,
     stream_updates,
+    stream_upsert,
 )
 from meterline.plans.revenue import reports_from
 
 AT_ONCE = {"availableNow": True}
+OFTEN = {"processingTime": "1 second"}
 START = datetime(2024, 1, 1)
 WIDTH = timedelta(minutes=15)
 
@@ -248,9 +252,9 @@ def test_large_tables_beside_a_stream(spark, three_days, tmp_path, monkeypatch):
 def test_stop_all_and_progress(spark, three_days, tmp_path):
     queries = [
         stream_appended(interval_revenue(stream(spark, three_days)), str(tmp_path / "a"),
-                        str(tmp_path / "ca"), name="revenue"),
+                        str(tmp_path / "ca"), name="revenue", trigger=OFTEN),
         stream_complete(daily_revenue(stream(spark, three_days)), str(tmp_path / "b"),
-                        str(tmp_path / "cb"), ["date"], name="daily"),
+                        str(tmp_path / "cb"), ["date"], name="daily", trigger=OFTEN),
     ]
     for query in queries:
         query.processAllAvailable()
@@ -280,6 +284,51 @@ def test_log_streams(spark, tmp_path):
         assert bag(read_request_log(spark, path)) == bag(log)
 
 
+def test_stream_upsert_goes_on_after_a_failure(spark, tmp_path, monkeypatch):
+    import meterline.streaming.jobs as jobs
+
+    schema = "name string, country_code string, seq long"
+    folder, path, checkpoint = (str(tmp_path / name) for name in ("in", "stored", "checkpoint"))
+    batches = [[("A", "1", 1), ("B", "1", 2), ("A", "2", 3)], [("B", "2", 1), ("C", "1", 1)]]
+    for batch_rows in batches:
+        spark.createDataFrame(batch_rows, schema).coalesce(1).write.mode("append").json(folder)
+    for number, file in enumerate(sorted((tmp_path / "in").glob("*.json"), key=os.path.getmtime)):
+        os.utime(file, (START.timestamp() + number, START.timestamp() + number))
+
+    def run():
+        updates = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(folder)
+        stream_upsert(
+            updates, path, checkpoint, "name", ["seq"], ["country_code"], trigger=AT_ONCE
+        ).awaitTermination()
+
+    write = jobs.write_version
+
+    def write_then_fail(*args, **kwargs):
+        write(*args, **kwargs)
+        raise OSError("lost after the write")
+
+    monkeypatch.setattr(jobs, "write_version", write_then_fail)
+    with pytest.raises(StreamingQueryException, match="lost after the write"):
+        run()
+    monkeypatch.setattr(jobs, "write_version", write)
+    run()
+    assert dict(rows(read_dimension(spark, path))) == {"A": "2", "B": "2", "C": "1"}
+    run()
+    assert read_dimension(spark, path).count() == 3
+
+
+def test_four_reports_of_one_stream(spark, three_days, tmp_path):
+    running = start_reports(stream(spark, three_days), builtin_mapping(spark), str(tmp_path / "out"),
+                            str(tmp_path / "state"), form="parquet", trigger=AT_ONCE)
+    for query in running.values():
+        query.awaitTermination()
+    assert {query.name for query in running.values()} == set(running)
+    assert len(list((tmp_path / "state").iterdir())) == len(list((tmp_path / "out").iterdir())) == 4
+    expected = closed(interval_revenue(batch(spark, three_days)), latest_time(spark, three_days))
+    got = spark.read.parquet(str(tmp_path / "out" / "revenue_15min_by_paytype"))
+    assert bag(got.select("PAYTYPE_515", "revenue", "interval_start")) == sorted(expected, key=repr)
+
+
 def test_amounts_in_a_stream_keep_their_type(spark, three_days):
     assert dict(interval_revenue(stream(spark, three_days)).dtypes)["revenue"] == "decimal(16,3)"
     total = batch(spark, three_days).agg(F.sum("revenue_toman")).first()[0]
