@@ -14,23 +14,31 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.ui.enabled": "false",
+}
+
+# For streams with very many open windows (delay / width times the number of keys). The
+# reports keep a row per interval and pay type of a day, which the default store holds.
+LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.ui.enabled": "false",
 }
 
 
-def build_session(app: str = "meterline", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the defaults above; ``settings`` use ``__`` for the dots of a Spark key.
+def build_session(
+    app: str = "meterline", master: str | None = None, large_state: bool = False, **settings: str
+) -> SparkSession:
+    """A session with the settings above; ``settings`` use ``__`` for the dots of a Spark key.
 
     Partition counts and memory belong to the cluster and are not set here.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    chosen = DEFAULTS | {name.replace("__", "."): value for name, value in settings.items()}
+    chosen = DEFAULTS | (LARGE_STATE if large_state else {})
+    chosen |= {name.replace("__", "."): value for name, value in settings.items()}
     for name, value in chosen.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
@@ -59,8 +67,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_FOLDER_SETTING} to a folder all executors share")
-    spark.conf.set(SHARED_FOLDER_SETTING, tempfile.mkdtemp(prefix="meterline-"))
-    return spark.conf.get(SHARED_FOLDER_SETTING)
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="meterline-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

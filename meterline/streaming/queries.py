@@ -3,9 +3,8 @@
 Each query has its own checkpoint folder and resumes from it. The default trigger fires
 every 30 seconds; ``trigger={"availableNow": True}`` works off what is there and ends.
 
-For many open windows (delay / width times the number of keys) use the RocksDB state
-store: ``spark.sql.streaming.stateStore.providerClass`` set to
-``org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider``.
+The state of a report is a row per open interval and key, however many records there are.
+Complete mode keeps every interval there ever was, so use it for bounded streams.
 """
 
 from __future__ import annotations

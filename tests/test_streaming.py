@@ -36,6 +36,7 @@ from meterline import (
     stream_upsert,
 )
 from meterline.plans.revenue import reports_from
+from meterline.session import LARGE_STATE
 
 AT_ONCE = {"availableNow": True}
 OFTEN = {"processingTime": "1 second"}
@@ -115,6 +116,18 @@ def test_append_gives_the_closed_intervals(spark, three_days, tmp_path):
         assert bag(got) == expected and len(expected) > 100
 
 
+def test_append_with_the_store_for_large_state(spark, three_days, tmp_path):
+    expected = closed(interval_revenue(batch(spark, three_days)), latest_time(spark, three_days))
+    for name, value in LARGE_STATE.items():
+        spark.conf.set(name, value)
+    try:
+        got = run_appended(spark, tmp_path, interval_revenue(stream(spark, three_days)))
+    finally:
+        for name in LARGE_STATE:
+            spark.conf.unset(name)
+    assert bag(got) == sorted(expected, key=repr)
+
+
 def test_append_to_csv(spark, three_days, tmp_path):
     expected = closed(interval_revenue(batch(spark, three_days)), latest_time(spark, three_days))
     got = run_appended(spark, tmp_path, interval_revenue(stream(spark, three_days)), form="csv")
