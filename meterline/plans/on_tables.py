@@ -124,15 +124,14 @@ def records(spark: SparkSession, folder: str) -> DataFrame:
     return prepare(as_records(table(spark, folder, "events")))
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table as a stream; the pattern fits one file as well as a folder of files."""
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).parquet(f"{folder}/{name}.parquet*")
 
 
 def record_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare(as_records(event_stream(spark, folder)))
+    return prepare(as_records(table_stream(spark, folder, "events")))
 
 
 def plain_times(df: DataFrame, *names: str) -> DataFrame:
@@ -870,11 +869,7 @@ def stream_upsert_last_write(spark, folder):
     """Order priorities arrive as a stream and are merged into a stored dimension."""
     path = new_folder(spark, "stored")
     write_version(solvent_segments(spark, folder), path)
-    orders = (
-        spark.readStream.schema(table(spark, folder, "orders").schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(folder)
-    )
+    orders = table_stream(spark, folder, "orders")
     order = ["o_orderdate", "o_orderkey"]
     checkpoint = new_folder(spark, "checkpoint")
     stream_upsert(
@@ -905,7 +900,7 @@ def stream_min_max_update(spark, folder):
 
 @checked_by(SQL["lookup_all"])
 def stream_lookup(spark, folder):
-    asked = city_requests(event_stream(spark, folder)).select("request_id", "city")
+    asked = city_requests(table_stream(spark, folder, "events")).select("request_id", "city")
     return appended(spark, dim.lookup(asked, cities(spark, folder)))
 
 
@@ -920,7 +915,7 @@ SELECT request_id, city, response_time, cache_status,
        name IS NOT NULL AS found, country_code FROM requests LEFT JOIN cities ON city = name""")
 def stream_lookup_log(spark, folder):
     """Answers of a stream, written as log messages and joined to the cities once more."""
-    asked = city_requests(event_stream(spark, folder))
+    asked = city_requests(table_stream(spark, folder, "events"))
     answers = dim.lookup(asked, cities(spark, folder))
     path = new_folder(spark, "log")
     stream_messages(

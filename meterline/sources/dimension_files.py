@@ -115,9 +115,8 @@ def read_dimension_files(
         target: first_non_empty(*[_cell(*next(cells)) for _ in spellings])
         for target, spellings in aliases.items()
     }
-    picked = located.select(
-        "file_path", "file_no", "block_start", "row_id", *[cell.alias(target) for target, cell in raw.items()]
-    )
+    place = ["file_path", "file_no", "block_start", "row_id"]
+    picked = located.select(*place, *[cell.alias(target) for target, cell in raw.items()])
     accepted = reduce(Column.__and__, [F.col(target).isNotNull() for target in aliases])
     if reject_blank:
         blank = [strip_whitespace(F.col(target)) == "" for target in aliases]

@@ -62,7 +62,8 @@ def main() -> int:
             got = spark_side(spark, queries()[name], folder)
             expected = sql_side(connection, oracle_sql()[name])
             verdict = "equal" if got == expected else "DIFFERENT"
-            print(f"{verdict:10} {name:36} {len(got[1]):7} rows {time.time() - started:6.2f} s", flush=True)
+            spent = time.time() - started
+            print(f"{verdict:10} {name:36} {len(got[1]):7} rows {spent:6.2f} s", flush=True)
             if got != expected:
                 bad += 1
                 print("  columns", got[0], expected[0], "rows", len(got[1]), len(expected[1]))

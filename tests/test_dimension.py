@@ -68,7 +68,8 @@ def test_blank_names_can_be_rejected(spark, city_files):
 
 
 def test_awkward_files(spark, tmp_path):
-    (tmp_path / "bom.csv").write_text("﻿name,country_code\r\n\"Quote \"\"A\"\", B\",Q\r\n", newline="")
+    quoted = "\ufeffname,country_code\r\n\"Quote \"\"A\"\", B\",Q\r\n"
+    (tmp_path / "bom.csv").write_text(quoted, encoding="utf-8", newline="")
     (tmp_path / "case.csv").write_text("CITY,country_code\nHidden,XX\n")
     (tmp_path / "twice.csv").write_text("name,country_code,name\nfirst,T,last\n")
     (tmp_path / "short.csv").write_text("country_code,name\nS\nL,Long,more,cells\n")
@@ -138,7 +139,8 @@ def test_unfinished_and_old_versions(spark, tmp_path):
 
 
 def test_reading_a_catalog_table(spark):
-    spark.createDataFrame([("A", "B")], "name string, country_code string").createOrReplaceTempView("cities")
+    cities = spark.createDataFrame([("A", "B")], "name string, country_code string")
+    cities.createOrReplaceTempView("cities")
     assert rows(read_dimension(spark, table="cities")) == [("A", "B")]
 
 
@@ -232,7 +234,8 @@ def test_dimension_copies_of_a_key_are_kept_when_salted(spark, asked):
     _, requests, _, dimension = asked
     doubled = dimension.unionByName(dimension).withColumnRenamed("name", "city")
     plain = requests.join(doubled, "city", "left")
-    assert bag(sized_join(requests, doubled, "city", "left", max_rows=0).select(plain.columns)) == bag(plain)
+    salted = sized_join(requests, doubled, "city", "left", max_rows=0)
+    assert bag(salted.select(plain.columns)) == bag(plain)
 
 
 def test_size_check_counts_rows_and_bytes(spark):

@@ -178,7 +178,8 @@ def test_recent_and_oldest_keys(spark):
 def test_response_times(spark):
     data = [(i, START + timedelta(hours=6 * (i % 8)), "HIT" if i % 2 else "MISS", i / 8)
             for i in range(400)]
-    log = spark.createDataFrame(data, "id long, ts timestamp, cache_status string, response_time double")
+    schema = "id long, ts timestamp, cache_status string, response_time double"
+    log = spark.createDataFrame(data, schema)
     times = response_times(log).orderBy("interval_start", "cache_status")
     first = times.first()
     group = sorted(i / 8 for i, ts, status, _ in data if ts.day == 1 and status == "HIT")
@@ -192,9 +193,10 @@ def test_answers(spark):
     dimension = spark.createDataFrame(
         [("Rome", "IT"), ("Blank", "")], "name string, country_code string"
     )
-    asked = [(0, "Rome"), (1, "Rome"), (2, "Gone"), (3, "Gone"), (4, "Blank"), (5, "Blank"), (6, "Rome")]
-    data = [(i, START + timedelta(seconds=i), city, 0.5) for i, city in asked]
-    requests = spark.createDataFrame(data, "request_id long, ts timestamp, city string, response_time double")
+    asked = ["Rome", "Rome", "Gone", "Gone", "Blank", "Blank", "Rome"]
+    data = [(i, START + timedelta(seconds=i), city, 0.5) for i, city in enumerate(asked)]
+    schema = "request_id long, ts timestamp, city string, response_time double"
+    requests = spark.createDataFrame(data, schema)
     for per_range in (100, 2):
         log = answer_requests(requests, dimension, rows_per_range=per_range).orderBy("request_id")
         assert [(r["country_code"], r["found"], r["cache_status"], str(r["cache_hit_percentage"]))
