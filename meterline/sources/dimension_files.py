@@ -19,7 +19,9 @@ from meterline.schemas import DIMENSION_ALIASES
 from meterline.session import cut_lineage
 from meterline.sources.paths import expand_home
 
-_DIALECT = {"quote": '"', "escape": '"'}
+# Every cell is parsed, because the parser can lose a quoted cell that follows a skipped one
+# made of escaped quotes.
+_DIALECT = {"quote": '"', "escape": '"', "columnPruning": False}
 
 
 def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import csv
 import random
 
 import pytest
 from helpers import bag, plan, rows
+from hypothesis import HealthCheck, Phase, example, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from meterline import (
@@ -21,6 +24,7 @@ from meterline import (
 )
 from meterline.operators.joins import fits_broadcast, hot_levels, salted_join, sized_join
 from meterline.plans.dimension import dimension_from
+from meterline.schemas import DIMENSION_ALIASES
 from meterline.sinks.versions import read_latest
 
 
@@ -255,3 +259,66 @@ def test_find_is_exact_and_pushed_down(spark, tmp_path):
     one = find(read_dimension(spark, path), "name", "Rome")
     assert rows(one) == [("Rome", "IT")]
     assert "EqualTo(name,Rome)" in plan(one)
+
+
+# Shrinking a failure would take minutes, as every example is a Spark job.
+FEW = settings(
+    deadline=None,
+    suppress_health_check=list(HealthCheck),
+    phases=[Phase.explicit, Phase.reuse, Phase.generate],
+)
+HEADERS = st.lists(
+    st.sampled_from(["city", "City", "name", "Name", "countyCode", "country_code", "CountryCode",
+                     "x", "y z", " city"]),
+    min_size=1,
+    max_size=6,
+)
+
+
+def files_of(alphabet: str):
+    lines = st.lists(st.lists(st.text(alphabet, max_size=5), min_size=1, max_size=7), max_size=5)
+    return st.lists(st.tuples(HEADERS, lines), min_size=1, max_size=4)
+
+
+def as_a_csv_reader_would(folder, files) -> list[tuple]:
+    """Write the files, and read them back row by row."""
+    expected = []
+    for number, (header, lines) in enumerate(files):
+        path = folder / f"f{number}.csv"
+        with path.open("w", newline="", encoding="utf-8") as out:
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerow(header)
+            # A line without visible text is no row to Spark.
+            writer.writerows(line for line in lines if ",".join(line).strip())
+        with path.open(newline="", encoding="utf-8") as source:
+            for row in csv.DictReader(source):
+                picked = {
+                    target: next((row[a] for a in spellings if row.get(a)), None)
+                    for target, spellings in DIMENSION_ALIASES.items()
+                }
+                accepted = None not in picked.values()
+                expected.append((*[v and v.strip() for v in picked.values()], accepted))
+    return expected
+
+
+def read_in_order(spark, folder, **reading) -> list[tuple]:
+    read = read_dimension_files(spark, str(folder), **reading)
+    ordered = read.orderBy("file_no", "block_start", "row_id")
+    return rows(ordered.select("name", "country_code", "accepted"))
+
+
+@settings(FEW, max_examples=12)
+@given(files_of("ab ,\"\t\xa0é'\\;"))
+@example([(["city"] * 6, [["", "", '"', "", "", ",a'"]])])
+def test_any_files(spark, tmp_path_factory, files):
+    folder = tmp_path_factory.mktemp("files")
+    expected = as_a_csv_reader_would(folder, files)
+    assert read_in_order(spark, folder) == expected
+
+
+@settings(FEW, max_examples=8)
+@given(files_of("ab ,\"\n'\\;"))
+def test_any_files_with_lines_inside_quotes(spark, tmp_path_factory, files):
+    folder = tmp_path_factory.mktemp("files")
+    expected = as_a_csv_reader_would(folder, files)
+    assert read_in_order(spark, folder, multi_line=True) == expected
