@@ -211,7 +211,8 @@ def _previous_with_hot_keys(
     key, time, tie_breaker = order
     hot = {cut.first for cut in cuts}
     is_hot = F.col(key).isin([k for k in hot if k is not None])
-    is_hot = F.coalesce(is_hot, F.lit(None in hot))
+    if None in hot:
+        is_hot = is_hot | F.col(key).isNull()
     by_hash = F.pmod(F.xxhash64(key), F.lit(whole)).cast("int")
     in_range = F.lit(whole) + range_index(log, order, cuts)
     tagged = log.withColumn(_RANGE, F.when(is_hot, in_range).otherwise(by_hash))

@@ -130,6 +130,22 @@ def test_hot_keys_are_cut_and_others_stay_whole(spark):
     assert "hashpartitioning(city" in text and "shufflepartitionidpassthrough" not in text
 
 
+def test_rows_without_a_key_may_be_the_hot_ones(spark):
+    data = [(i, START + timedelta(seconds=i % 700), None if i % 3 else f"c{i % 7}", False)
+            for i in range(1500)]
+    log = spark.createDataFrame(data, SCHEMA)
+    repeats = repeat_within(log, rows_per_range=100)
+    assert "isnull(city" in plan(repeats)
+    got = {row["request_id"]: (row["previous_ts"], row["repeated"]) for row in repeats.collect()}
+    assert got == expected_repeats(data)
+
+
+def test_search_for_carried_times_is_pushed_down(spark, tmp_path):
+    spark.createDataFrame(skewed(2000, 4), SCHEMA).write.parquet(str(tmp_path / "log"))
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert "EqualTo(city,hot)" in plan(repeat_within(log, rows_per_range=200))
+
+
 def test_ordered_passes_shuffle_the_rows_once(spark):
     log = spark.createDataFrame(skewed(500, 2), SCHEMA)
     text = plan(running_hit_rate(log, rows_per_range=50))
