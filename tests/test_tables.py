@@ -6,6 +6,7 @@ import pytest
 from check_tables import open_tables, spark_side, sql_side
 
 import __spark_entry__ as contract
+from meterline.plans import on_tables
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +14,7 @@ def connection():
     return open_tables("/root/testdata/sf0.01")
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(on_tables.QUERIES))
 def test_query_equals_its_sql(spark, tables, connection, name):
     got = spark_side(spark, contract.queries()[name], tables)
     assert got == sql_side(connection, contract.oracle_sql()[name])
