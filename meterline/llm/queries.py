@@ -5,20 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_dedup
+from meterline.llm import exact_dedup, language, simhash
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, most_bits=3)
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(language.fold("doc_id") != 0))
+    judged = language.identify(docs.select("doc_id", "text"), model)
+    held_out = (language.fold("doc_id") == 0).alias("held_out")
+    return judged.select("doc_id", held_out, "lang_pred", "score", "accepted")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = exact_dedup.exact_duplicates(docs, keep="largest")
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup}
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_language_id": op2_language_id,
+    "op5_exact_dedup": op5_exact_dedup,
+}
 
 SQL = {
     "op5_exact_dedup": """
