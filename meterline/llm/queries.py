@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_dedup, language, simhash
+from meterline.llm import bpe, exact_dedup, language, packing, simhash
+
+VOCABULARY = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,10 +33,22 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = bpe.token_digests(docs, public_tokenizers.path(VOCABULARY))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_bpe": op6_bpe,
+    "op7_packing": op7_packing,
 }
 
 SQL = {
