@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm.bpe import encoder
 from meterline.llm.columns import by_slices, hidden
@@ -114,7 +115,8 @@ def placed(pieces: DataFrame, capacity: int, most_open: int) -> DataFrame:
                 "sequence_id", pa.array([first + s for s, _ in places], pa.int64())
             ).append_column("offset", pa.array([at for _, at in places], pa.int64()))
 
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
+    added = [T.StructField(name, T.LongType()) for name in ("sequence_id", "offset")]
+    schema = T.StructType([*pieces.schema.fields, *added])
     return pieces.mapInArrow(compute, schema)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, language, packing, simhash
+from meterline.llm import bpe, exact_dedup, language, packing, quality, simhash
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -43,12 +43,18 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
+    return judged.drop("text", "n_lines", "n_echoes", "n_plain_words", "failed")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op10_quality": op10_quality,
 }
 
 SQL = {
@@ -62,4 +68,46 @@ SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(plain) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY plain)
     """,
+    "op10_quality": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text,
+                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS words
+            FROM documents
+        ), places AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS run
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM t)
+        ), again AS (
+            SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+            FROM again, range(8) AS r(k) GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+        ), measured AS (
+            SELECT doc_id, len(words) AS n_words,
+                   length(array_to_string(words, '')) AS word_chars,
+                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   coalesce(n_dup_lines, 0) AS n_dup_lines,
+                   coalesce(n_repeat_words, 0) AS n_repeat_words,
+                   coalesce(n_lines, 0) AS n_lines,
+                   len(list_filter(range(2, len(words) + 1),
+                                   lambda i: words[i] = words[i - 1])) AS n_echoes,
+                   len(list_filter(words, lambda w: regexp_matches(w, '\p{L}'))) AS n_plain
+            FROM t LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words
+                    OR 10 * n_symbols > 3 * n_words OR 10 * n_echoes > 3 * n_words
+                    OR word_chars > 25 * n_words OR 2 * word_chars < 3 * n_words
+                    OR 10 * n_plain < 3 * n_words
+                    OR (n_lines >= 5 AND 10 * n_dup_lines > 5 * n_lines)
+                    OR (10 * n_symbols > n_words)::INT
+                       + (n_lines >= 5 AND 10 * n_dup_lines > 3 * n_lines)::INT
+                       + (10 * n_echoes > n_words)::INT >= 2) AS kept
+        FROM measured
+    """,
 }

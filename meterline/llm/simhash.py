@@ -17,6 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm import golay
 from meterline.llm.columns import by_slices, hidden, shown
@@ -62,7 +63,7 @@ def fingerprints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
     rest = [c for c in docs.columns if c != text_col]
     plain = docs.select(*rest, F.col(text_col).cast("binary").alias("_text"))
-    schema = docs.select(*rest).schema.add("_fp", "long")
+    schema = T.StructType([*docs.select(*rest).schema.fields, T.StructField("_fp", T.LongType())])
     return plain.mapInArrow(compute, schema)
 
 
