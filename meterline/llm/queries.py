@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, language, packing, quality, simhash
+from meterline.llm import bpe, exact_dedup, language, packing, quality, simhash, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,10 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", held_out, "lang_pred", "score", "accepted")
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.revisit_resolution(table(spark, folder, "pages"), min_bytes=0)
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = exact_dedup.exact_duplicates(docs, keep="largest")
@@ -51,6 +55,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
+    "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
@@ -58,6 +63,24 @@ QUERIES = {
 }
 
 SQL = {
+    "op4_warc": """
+        WITH t AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha1(coalesce(html, '')) AS hex FROM pages
+        ), d AS (
+            SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS first_id,
+                   array_to_string(list_transform(range(8), lambda g: array_to_string(
+                       list_transform([15, 10, 5, 0], lambda b: substr(
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                           ((('0x' || substr(hex, g * 5 + 1, 5))::INT >> b) & 31) + 1, 1)), '')),
+                       '') AS payload_digest
+            FROM t
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM d
+    """,
     "op5_exact_dedup": """
         WITH t AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
