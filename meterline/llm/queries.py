@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, language, packing, quality, simhash, warc
+from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, quality, simhash, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -27,6 +27,32 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", held_out, "lang_pred", "score", "accepted")
 
 
+# Pages whose main text is known teach the extraction; so many are enough.
+LABELLED_PAGES = 300
+PAGE_OF_DOCUMENT = r"^https?://[^/]+/[^/]+/(\d+)"
+
+
+def labelled_pages(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """Some pages and the documents they show, which their addresses number."""
+    number = F.regexp_extract("url", PAGE_OF_DOCUMENT, 1).try_cast("long").alias("doc_id")
+    pages = table(spark, folder, "pages")
+    known = pages.select("page_id", number).filter("doc_id is not null")
+    chosen = known.orderBy(F.xxhash64("page_id"), "page_id").limit(LABELLED_PAGES).collect()
+    documents = table(spark, folder, "documents").filter(
+        F.col("doc_id").isin([row.doc_id for row in chosen])
+    )
+    texts = dict(documents.select("doc_id", "text").collect())
+    shown = pages.filter(F.col("page_id").isin([row.page_id for row in chosen]))
+    pairs = shown.select("page_id", number, "html").orderBy("page_id").collect()
+    return [(row.html, texts[row.doc_id]) for row in pairs if row.doc_id in texts]
+
+
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    weights = html_extraction.learn(labelled_pages(spark, folder))
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages, weights).select("page_id", "url", "text", "n_chars")
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.revisit_resolution(table(spark, folder, "pages"), min_bytes=0)
 
@@ -55,6 +81,7 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
+    "op3_html_extraction": op3_html_extraction,
     "op4_warc": op4_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
