@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, quality, simhash, warc
+from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, quality, secret_scan, simhash, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -73,6 +73,22 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+
+    def of(kind: str):
+        return F.filter("secrets", lambda s: s["kind"] == kind)
+
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
     return judged.drop("text", "n_lines", "n_echoes", "n_plain_words", "failed")
@@ -86,6 +102,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
 
