@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterline.llm.columns import by_slices, hidden, shown
 
@@ -398,7 +399,7 @@ def per_text(docs: DataFrame, text_col: str, results: list[T.StructField], work)
         for batch in by_slices(batches, column):
             made = [work(text or "") for text in batch.column(column).to_pylist()]
             made = zip(*made, strict=True) if made else [[] for _ in results]
-            kinds = kinds or [arrow_type(f.dataType) for f in results]
+            kinds = kinds or [to_arrow_type(f.dataType) for f in results]
             arrays = [pa.array(list(m), k) for m, k in zip(made, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *arrays], [*batch.schema.names, *(f.name for f in results)]
@@ -408,13 +409,6 @@ def per_text(docs: DataFrame, text_col: str, results: list[T.StructField], work)
     return shown(source.mapInArrow(compute, schema), names, *(f.name for f in results))
 
 
-def arrow_type(kind: T.DataType) -> pa.DataType:
-    known = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_()}
-    if isinstance(kind, T.ArrayType):
-        return pa.list_(arrow_type(kind.elementType))
-    return known[kind.simpleString()]
-
-
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids``, the tokens of each whole text; null and empty texts have none."""
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, quality, secret_scan, simhash, warc
+from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, pii, quality, secret_scan, simhash, warc
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -73,6 +73,22 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("personal", lambda s: s["base"])
+
+    def of(kind: str):
+        return F.filter(base, lambda s: s["kind"] == kind)
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS),
+        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+        pii.listed(F.col("personal")).alias("spans"),
+    )
+
+
 def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.fit(docs))
@@ -102,6 +118,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op7_packing": op7_packing,
+    "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
 }
