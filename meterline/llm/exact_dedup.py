@@ -63,17 +63,17 @@ def exact_duplicates(
     ranged = source.withColumns(
         {"_start": F.left(plain, F.lit(PREFIX_CHARS)), "_hash": F.xxhash64(plain)}
     )
+    places = ["_start", "_hash"]
     if any_hot:
-        ranged = ranged.join(F.broadcast(hot), "_hash", "left")
-    else:
-        ranged = ranged.withColumn("_salts", F.lit(None).cast("int"))
-    salt = F.when(F.col("_salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(key), F.col("_salts")))
-    ranged = ranged.withColumn("_salt", salt.cast("int")).repartitionByRange(
-        "_start", "_hash", "_salt"
-    )
+        places.append("_salt")
+        salt = F.pmod(F.xxhash64(key), F.col("_salts"))
+        ranged = ranged.join(F.broadcast(hot), "_hash", "left").withColumn(
+            "_salt", F.coalesce(salt, F.lit(0)).cast("int")
+        )
+    ranged = ranged.repartitionByRange(*places)
 
     best = key.asc_nulls_last() if keep == "smallest" else key.desc_nulls_last()
-    run = W.partitionBy("_start", "_hash", "_salt", "_plain").orderBy(best)
+    run = W.partitionBy(*places, "_plain").orderBy(best)
     whole = run.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     runs = (
         ranged.withColumn("_plain", plain)
