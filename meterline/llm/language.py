@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
 from meterline.llm.columns import by_slices, hidden, shown
 
@@ -35,6 +34,7 @@ BLOCK = 1 << 19
 # many characters. Fitting reads no more than these, whatever the size of the table.
 SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 20_000
+MOST_LANGUAGES = 500  # the most frequent ones
 
 # Of the sampled texts left out, the accepted ones must be right this often.
 TARGET_PRECISION = 0.995
@@ -125,11 +125,14 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
         & (F.length(text_col) <= SAMPLE_CHARS)
     )
     share = usable.groupBy(lang_col).agg(F.count("*").alias("_n"))
-    languages = F.count("*").over(W.partitionBy(F.lit(1)))
-    # One row for each language.
-    share = share.select(F.col(lang_col).alias("_lang"), (rows / languages / F.col("_n")).alias("_share"))
+    # One row for each language, and no more than the model may have.
+    share = share.orderBy(F.desc("_n"), lang_col).limit(MOST_LANGUAGES)
+    found = share.collect()
+    share = docs.sparkSession.createDataFrame(
+        [(lang, rows / len(found) / n) for lang, n in found], "_lang string, _share double"
+    )
     place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / (1 << 30)
-    return usable.join(share, F.col(lang_col) == F.col("_lang")).filter(place < F.col("_share"))
+    return usable.join(F.broadcast(share), F.col(lang_col) == F.col("_lang")).filter(place < F.col("_share"))
 
 
 def fit(
