@@ -1,0 +1,167 @@
+"""Fingerprints, keys and components against plain Python."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from helpers import bag, rows
+from meterline.llm import components, golay, simhash
+
+
+def plain_fingerprint(text, width=3):
+    words = "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+    if not words:
+        return 0
+    runs = [b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))]
+    hashes = [xxhash.xxh64_intdigest(run, 42) for run in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(pairs, bits=3):
+    """Ids and fingerprints to the smallest id that links reach."""
+    root = list(range(len(pairs)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    prints = np.array([p for _, p in pairs], dtype=np.uint64)
+    for i in range(len(pairs)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints) <= bits):
+            root[find(i)] = find(int(j))
+    groups = {}
+    for i, (key, _) in enumerate(pairs):
+        groups.setdefault(find(i), []).append(key)
+    return [min((k for k in groups[find(i)] if k is not None), default=None) for i in range(len(pairs))]
+
+
+def test_the_code_is_perfect():
+    _, errors = golay.tables()
+    assert len(set(errors.tolist())) == 1 << 11
+    assert np.bitwise_count(errors).max() == 3
+    words = np.arange(0, 1 << 23, 4099, dtype=np.uint32)
+    codes = golay.index(words)
+    remainder, _ = golay.tables()
+    nearest = (codes << 11) | remainder[codes]
+    assert np.bitwise_count(nearest ^ words).max() == 3
+
+
+@pytest.mark.parametrize("flips", [1, 2])
+def test_near_words_share_a_number(flips):
+    rng = np.random.default_rng(flips)
+    words = rng.integers(0, 1 << 23, 4000).astype(np.uint32)
+    others = words.copy()
+    for i in range(len(others)):
+        for bit in rng.choice(23, flips, replace=False):
+            others[i] ^= np.uint32(1 << int(bit))
+    a, a_valid = golay.near_indices(words)
+    b, b_valid = golay.near_indices(others)
+    assert set(a_valid.sum(axis=1).tolist()) == {1, 6}
+    assert ((a[:, :, None] == b[:, None, :]) & a_valid[:, :, None] & b_valid[:, None, :]).any((1, 2)).all()
+    if flips == 1:
+        assert ((a == golay.index(others)[:, None]) & a_valid).any(axis=1).all()
+
+
+def test_all_pairs_within_three_bits_meet():
+    rng = np.random.default_rng(5)
+    left = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    right = left.copy()
+    for i in range(len(right)):
+        for bit in rng.choice(64, int(rng.integers(1, 4)), replace=False):
+            right[i] ^= np.uint64(1 << int(bit))
+
+    def keys(values, wide):
+        found = [set() for _ in values]
+        for side, owners, codes in simhash.keys_of(values):
+            if side == wide:
+                for i, code in zip(owners.tolist(), codes.tolist(), strict=True):
+                    found[i].add(code)
+        return found
+
+    assert all(a & b for a, b in zip(keys(left, True), keys(right, False), strict=True))
+
+
+def test_pairs_of_a_dense_cluster(spark):
+    rng = np.random.default_rng(9)
+    centre = int(rng.integers(0, 1 << 63))
+    values = {centre}
+    while len(values) < 300:
+        near = centre
+        for bit in rng.choice(12, int(rng.integers(1, 7)), replace=False):
+            near ^= 1 << int(bit) * 5
+        values.add(near)
+    values |= {int(x) for x in rng.integers(0, 1 << 63, 500)}
+    signed = np.array(sorted(values), dtype=np.uint64).view(np.int64).tolist()
+    got = rows(simhash.close_pairs(spark.createDataFrame([(v,) for v in signed], "_fp long")))
+    wanted = {
+        (min(a, b), max(a, b))
+        for i, a in enumerate(signed)
+        for b in signed[:i]
+        if ((a ^ b) & (2**64 - 1)).bit_count() <= 3
+    }
+    assert len(got) == len(wanted) > 300 and set(got) == wanted
+
+
+def test_more_bits_than_the_keys_cover_are_refused(spark):
+    with pytest.raises(ValueError):
+        simhash.close_pairs(spark.createDataFrame([(1,)], "_fp long"), 4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aA bÉ\t\n\x0b\x85\xa0é", max_size=40))
+def test_fingerprint_of_any_text(text):
+    assert simhash.fingerprint(text.encode(), 3) == plain_fingerprint(text)
+
+
+def test_fingerprint_of_a_long_text():
+    text = " ".join(f"w{i % 977}" for i in range(200_000))
+    hashes = np.array(
+        [xxhash.xxh64_intdigest(f"w{i % 977} w{(i + 1) % 977} w{(i + 2) % 977}", 42) for i in range(199_998)],
+        dtype="<u8",
+    )
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0)
+    wanted = int(np.packbits(2 * bits.astype(int) > 199_998, bitorder="little").view("<u8")[0])
+    assert simhash.fingerprint(text.encode(), 3) == wanted
+
+
+def test_documents_against_brute_force(spark, documents):
+    wanted = [(d["doc_id"], plain_fingerprint(d["text"])) for d in documents]
+    roots = plain_components(wanted)
+    got = simhash.near_duplicates(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert bag(got) == sorted(
+        ((key, f"{p:016x}", root) for (key, p), root in zip(wanted, roots, strict=True)), key=repr
+    )
+
+
+def test_nulls_empty_texts_and_repeats(docs_of):
+    base = [(7, None), (3, ""), (9, " \t\n"), (4, "One two"), (4, "one two"), (None, "one TWO"), (None, "lonely words here")]
+    got = simhash.near_duplicates(docs_of(base))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    prints = [plain_fingerprint(text) for _, text in base]
+    roots = plain_components(list(zip([k for k, _ in base], prints, strict=True)))
+    wanted = [(k, f"{p:016x}", r) for (k, _), p, r in zip(base, prints, roots, strict=True)]
+    assert bag(got) == sorted(wanted, key=repr)
+    stay = simhash.one_of_each(docs_of(base))
+    assert stay.columns == ["doc_id", "text", "_text", "key"]
+    assert {r.doc_id for r in stay.collect()} == {3, 4, None}
+
+
+def test_empty_table(docs_of):
+    assert simhash.near_duplicates(docs_of([])).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 200)]
+    links += [(301, 300), (300, 301), (302, 301)]
+    got = dict(rows(components.components(spark.createDataFrame(links, "a long, b long"))))
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {300: 300, 301: 300, 302: 300}
+
+
+def test_no_links(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
