@@ -1,0 +1,111 @@
+"""Language identification by held-out accuracy, and its blocks against whole texts."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+
+from helpers import bag
+from meterline.llm import language
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(table):
+    return language.fit(table.filter(language.fold("doc_id") != 0))
+
+
+def test_held_out_accuracy(table, model):
+    held = table.filter(language.fold("doc_id") == 0)
+    got = language.identify(held, model).select("lang", "lang_pred", "score", "accepted").collect()
+    assert len(got) > 150
+    assert np.mean([r.lang == r.lang_pred for r in got]) >= 0.98
+    right = [r for r in got if r.accepted]
+    assert len(right) >= 0.98 * len(got)
+    assert np.mean([r.lang == r.lang_pred for r in right]) >= 0.99
+    assert all(0 <= r.score <= 1 for r in got)
+    # Calibrated: mean score and accuracy agree.
+    assert abs(np.mean([r.score for r in got]) - np.mean([r.lang == r.lang_pred for r in got])) < 0.05
+
+
+def test_folds(table):
+    got = table.select("doc_id", language.fold("doc_id").alias("fold")).collect()
+    assert all(r.fold == zlib.crc32(str(r.doc_id).encode()) % 5 for r in got)
+
+
+def test_held_out_rows_are_not_learned(spark, table, model):
+    poisoned = table.selectExpr(
+        "doc_id", "text", "IF(pmod(crc32(cast(cast(doc_id AS string) AS binary)), 5) = 0, 'xx', lang) AS lang"
+    )
+    again = language.fit(poisoned.filter(language.fold("doc_id") != 0))
+    assert again.languages == model.languages
+    assert np.array_equal(again.weights, model.weights)
+
+
+def test_only_the_text_decides(table, model):
+    some = table.limit(50)
+    a = bag(language.identify(some, model).select("lang_pred", "score"))
+    b = bag(language.identify(some.selectExpr("text"), model).select("lang_pred", "score"))
+    assert a == b
+
+
+def test_blocks_do_not_change_the_mean(model, monkeypatch):
+    text = "Étionqueré là où, 123 the reason. " * 300
+    points = [language.code_points(t) for t in (text, "", "a", text[:50], "été")]
+    whole = language.means(points, model.weights)
+    monkeypatch.setattr(language, "BLOCK", 97)
+    cut = language.means(points, model.weights)
+    assert np.allclose(whole[0], cut[0]) and np.array_equal(whole[1], cut[1])
+
+
+def test_texts_do_not_touch_each_other(model):
+    points = [language.code_points(t) for t in ("abc", "def")]
+    together = language.means(points, model.weights)[0]
+    alone = [language.means([p], model.weights)[0][0] for p in points]
+    assert np.allclose(together, alone)
+
+
+def test_subwords_are_those_of_words():
+    found = sum(len(places) for places, _ in language.grams(language.code_points("ab c")))
+    # a, b, c; <a ab b> <c c>; <ab ab> <c>; <ab>
+    assert found == 3 + 5 + 3 + 1
+
+
+def test_texts_without_letters(docs_of, model):
+    docs = docs_of([(1, None), (2, ""), (3, "123 !?"), (None, "über die Straße"), (None, "über die Straße")])
+    found = language.identify(docs, model)
+    assert found.columns == ["doc_id", "text", "_text", "key", "lang_pred", "score", "accepted"]
+    got = {(r.doc_id, r.text): (r.lang_pred, r.score, r.accepted) for r in found.collect()}
+    assert all(got[k] == ("und", 0.0, False) for k in ((1, None), (2, ""), (3, "123 !?")))
+    assert got[None, "über die Straße"][0] in model.languages
+    assert found.count() == 5
+
+
+def test_without_labels(spark, docs_of):
+    docs = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
+    assert language.fit(docs) is None
+    assert bag(language.identify(docs, None).select("doc_id", "lang_pred", "score")) == [(1, "und", 0.0), (2, "und", 0.0)]
+    assert language.identify(docs.limit(0), None).count() == 0
+
+
+def test_one_row_per_language(spark):
+    docs = spark.createDataFrame([(1, "the reason", "en"), (2, "la raison", "fr")], "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert model.languages == ("en", "fr")
+    assert dict(bag(language.identify(docs, model).select("lang", "lang_pred"))) == {"en": "en", "fr": "fr"}
+
+
+def test_uncertain_texts_are_rejected():
+    chances = np.array([[4.0, 0], [3, 0], [0.2, 0], [0, 3.0]] * 50)
+    wanted = np.array([0, 0, 1, 1] * 50)
+    empty = language.LanguageModel(("a", "b"), np.zeros((1, 2)), np.zeros(2), 1.0, 0.0)
+    fitted = language.calibrated(empty, chances, wanted)
+    best = language.softmax(chances / fitted.temperature).max(axis=1)
+    assert (best[2::4] < fitted.limit).all() or fitted.limit == 0.5
+    assert (best[0::4] >= fitted.limit).all()
