@@ -1,0 +1,110 @@
+"""Measurements against plain Python, policies and ablations against the ledger's rows."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from helpers import bag
+from meterline.llm import quality
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(text):
+    words = WORD.findall(text)
+    runs = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {i + k for i in range(len(words) - 7) if runs[tuple(words[i : i + 8])] > 1 for k in range(8)}
+    seen, repeated, lines = set(), 0, 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            lines += 1
+            repeated += line in seen
+            seen.add(line)
+    return (
+        len(words),
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        repeated,
+        len(covered),
+        lines,
+        sum(a == b for a, b in zip(words, words[1:])),
+        sum(any(c.isalpha() for c in w) for w in words),
+    )
+
+
+def test_documents(documents):
+    for d in documents:
+        assert quality.measure(d["text"]) == plain(d["text"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a ", "b ", "é\n", "\n", "\x0b", "#x ", "  ", "\xa0", "1 "]), max_size=70))
+def test_any_text(parts):
+    text = "".join(parts)
+    assert quality.measure(text) == plain(text)
+
+
+def test_a_long_text():
+    text = " ".join(f"w{i % 40_000}" for i in range(100_000))
+    assert quality.measure(text)[4] == 100_000
+    assert quality.measure(" ".join(f"w{i}" for i in range(100_000)))[4] == 0
+
+
+def test_clean_documents_stay_and_junk_goes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    judged = quality.judge(docs).join(labels, "doc_id")
+    got = {(r.quality, r.base_failed, r.kept): r["count"] for r in judged.groupBy("quality", "base_failed", "kept").count().collect()}
+    assert got.get((1, False, False), 0) == 0
+    assert got.get((0, False, True), 0) <= 1
+
+
+def test_nulls_empty_texts_and_repeats(docs_of):
+    good = " ".join(f"word{i}" for i in range(30))
+    docs = docs_of([(1, None), (2, ""), (3, good), (3, good), (None, "# " * 40)])
+    judged = quality.judge(docs)
+    assert judged.columns[:4] == ["doc_id", "text", "_text", "key"]
+    got = bag(judged.select("doc_id", "n_words", "n_symbols", "base_failed", "kept"))
+    assert got == sorted(
+        [(1, 0, 0, True, False), (2, 0, 0, True, False), (3, 30, 0, False, True), (3, 30, 0, False, True), (None, 40, 40, True, False)],
+        key=repr,
+    )
+    assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_policies_read_only_the_ledger(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    entries = quality.ledger(docs).select("doc_id", "failed", *quality.MEASUREMENTS).collect()
+    table = spark.createDataFrame([tuple(r) for r in entries], ["doc_id", "failed", *quality.MEASUREMENTS])
+    for policy in (quality.BASIC, quality.STANDARD):
+        strong, weak = quality.mask(policy.rules), quality.mask(policy.weak_rules)
+        kept = {r.doc_id for r in table.filter(quality.verdict(policy)).collect()}
+        wanted = {
+            r.doc_id for r in entries if not r.failed & strong and (r.failed & weak).bit_count() < policy.weak_limit
+        }
+        assert kept == wanted
+        names = [*policy.rules, *policy.weak_rules]
+        found = {r.rule: r for r in quality.ablations(table, policy).collect()}
+        assert list(found) == names
+        for name in names:
+            bit = quality.mask([name])
+            without = {
+                r.doc_id
+                for r in entries
+                if not r.failed & ~bit & strong and (r.failed & ~bit & weak).bit_count() < policy.weak_limit
+            }
+            assert found[name].failed == sum(bool(r.failed & bit) for r in entries)
+            assert found[name].changed == len(without - wanted)
+            assert found[name].version == policy.version and found[name].n_rows == len(entries)
+    assert all(r.failed == 0 for r in quality.ablations(table.limit(0)).collect())
+
+
+def test_bits_follow_the_rules():
+    assert quality.mask(["few_words", "many_symbols"]) == 0b101
+    with pytest.raises(KeyError):
+        quality.mask(["no such rule"])
