@@ -14,6 +14,7 @@ import numpy as np
 
 HIDDEN = 12
 EPOCHS = 14
+LEAST_STEPS = 600  # few windows are seen more often
 BATCH = 64
 RATE = 0.02
 
@@ -159,8 +160,10 @@ def train(windows: np.ndarray, tags: np.ndarray, symbols: int, kinds: int, seed:
     tagger = Tagger.fresh(symbols, kinds, rng)
     mean = {name: np.zeros_like(value) for name, value in tagger.weights.items()}
     square = {name: np.zeros_like(value) for name, value in tagger.weights.items()}
-    step, steps = 0, EPOCHS * -(-len(windows) // BATCH)
-    for _ in range(EPOCHS):
+    batches = -(-len(windows) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    step, steps = 0, epochs * batches
+    for _ in range(epochs):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
             some = order[at : at + BATCH]

@@ -48,6 +48,7 @@ LONGEST_ADDED = 80
 SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 20_000
 SAMPLE_WINDOWS = 1500
+MOST_REPEATS = 8
 TRAINING_WINDOW = 64
 
 SPAN = T.StructType(
@@ -248,7 +249,9 @@ def examples(texts: list[str], rng: np.random.Generator) -> tuple[np.ndarray, np
         marks.append(row)
         tags.append(goal)
 
-    for before, kind, span, behind in wanted[:SAMPLE_WINDOWS]:
+    # Few spans are shown several times, at other places of the window and written otherwise.
+    times = min(MOST_REPEATS, max(1, SAMPLE_WINDOWS // max(1, len(wanted))))
+    for before, kind, span, behind in (wanted * times)[:SAMPLE_WINDOWS]:
         for written in (span, variants(kind, span, rng)):
             lead = before[len(before) - int(rng.integers(0, 32)) :] if before else ""
             text = lead + written + behind
