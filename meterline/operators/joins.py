@@ -6,15 +6,17 @@ occur often on the left spread over many tasks.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.session import cut_lineage
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-MOST_HOT_KEYS = 2000
+# A key that fills a task has about so many sampled rows, and is a hot one from half as many.
+SAMPLES_PER_TASK = 40
 _SALT = "__salt"
+_TASKS = "__tasks"
 
 
 def fits_broadcast(
@@ -22,8 +24,8 @@ def fits_broadcast(
 ) -> bool:
     """Whether a table is proven small.
 
-    ``take`` reads partitions step by step and stops once it has too many rows, so asking
-    about a huge table is cheap. What reaches the driver is one number per row.
+    No task reads more than ``max_rows`` and one rows, and the driver receives two numbers.
+    Rows that are on the driver anyway need no job.
     """
     row_size = F.lit(16 * len(df.columns))
     for field in df.schema.fields:
@@ -31,29 +33,31 @@ def fits_broadcast(
             row_size = row_size + F.coalesce(F.octet_length(field.name), F.lit(0))
         elif field.dataType.typeName() in ("array", "map", "struct"):
             row_size = row_size + F.octet_length(F.to_json(F.struct(field.name)))
-    sizes = df.select(row_size.alias("bytes")).take(max_rows + 1)
-    return len(sizes) <= max_rows and sum(row["bytes"] for row in sizes) <= max_bytes
+    sizes = df.select(row_size.alias("bytes")).limit(max_rows + 1)
+    if df.isLocal():
+        found = [row["bytes"] for row in sizes.collect()]
+        rows, size = len(found), sum(found)
+    else:
+        rows, size = sizes.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
-def hot_levels(df: DataFrame, key: str, partitions: int) -> dict[int, list]:
-    """Keys with more rows than a partition should get, by the number of tasks to spread them over.
+def hot_keys(df: DataFrame, key: str, partitions: int) -> DataFrame | None:
+    """Keys with more rows than a partition should get, and ``__tasks`` to spread each over.
 
-    A first pass keeps the few keys that may be frequent, a second one counts them. Neither
-    shuffles more than those. The numbers are powers of two and add up to a small multiple
-    of ``partitions``, however the rows are distributed.
+    One pass over a sample; its size follows the number of partitions. The numbers of tasks
+    are powers of two. There are at most about two such keys for each partition, and their
+    tasks add up to a small multiple of the partitions. Null is no key.
     """
-    share = 1 / min(partitions, MOST_HOT_KEYS)
-    frequent = df.stat.freqItems([key], share / 2).first()[0]
-    candidates = [value for value in frequent if value is not None]
-    candidate = F.when(F.col(key).isin(candidates), F.col(key))
-    counts = df.groupBy(candidate.alias("key")).count().collect()
-    total = sum(row["count"] for row in counts)
-    levels: dict[int, list] = {}
-    for row in counts:
-        if row["key"] is not None and row["count"] > total * share:
-            fair = math.ceil(row["count"] * partitions / total)
-            levels.setdefault(1 << fair.bit_length(), []).append(row["key"])
-    return levels
+    total = df.count()
+    share = min(1.0, partitions * SAMPLES_PER_TASK / max(1, total))
+    counts = df.sample(share, seed=23).groupBy(key).agg(F.count("*").alias("__rows"))
+    fair = F.col("__rows") * partitions / (total * share)
+    # Of a sample, half the rows of a full task are enough, so that hardly any key is missed.
+    often = counts.filter(F.col(key).isNotNull() & (fair > (1.0 if share == 1 else 0.5)))
+    tasks = F.pow(F.lit(2), F.floor(F.log2(fair)) + 2)
+    found = cut_lineage(often.select(key, tasks.cast("int").alias(_TASKS)))
+    return None if found.isEmpty() else found
 
 
 def salted_join(
@@ -61,25 +65,29 @@ def salted_join(
     right: DataFrame,
     key: str,
     how: str,
-    levels: dict[int, list],
+    hot: DataFrame | None = None,
     others: int = 1,
     empty: int = 1,
 ) -> DataFrame:
     """Join with the rows of a key spread over several tasks.
 
-    ``levels`` gives the number of tasks for some keys, ``others`` that for all other keys,
-    and ``empty`` that for rows without a key, which match nothing. The right side's rows
-    of a key are repeated once per task.
+    ``hot`` gives the number of tasks for some keys, ``others`` that for all other keys, and
+    ``empty`` that for rows without a key, which match nothing. The right side's rows of a
+    key are repeated once per task. The salt does not depend on what a row holds, so equal
+    rows are spread too, and a task that runs again draws the same.
     """
-    tasks = F.lit(others)
-    for number, keys in levels.items():
-        tasks = F.when(F.col(key).isin(keys), number).otherwise(tasks)
-    spread = F.pmod(
-        F.xxhash64(*left.columns), F.when(F.col(key).isNull(), empty).otherwise(tasks)
-    )
-    salted_left = left.withColumn(_SALT, spread.cast("int"))
-    salted_right = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), tasks - 1)))
-    return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)
+
+    def with_tasks(df: DataFrame) -> DataFrame:
+        if hot is None:
+            return df.withColumn(_TASKS, F.lit(others))
+        joined = df.join(F.broadcast(hot), key, "left")
+        return joined.withColumn(_TASKS, F.coalesce(_TASKS, F.lit(others)))
+
+    tasks = F.when(F.col(key).isNull(), empty).otherwise(F.col(_TASKS))
+    salted_left = with_tasks(left).withColumn(_SALT, F.floor(F.rand(29) * tasks).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.col(_TASKS) - 1))
+    salted_right = with_tasks(right).withColumn(_SALT, salts).drop(_TASKS)
+    return salted_left.drop(_TASKS).join(salted_right, [key, _SALT], how).drop(_SALT)
 
 
 def sized_join(
@@ -103,12 +111,13 @@ def sized_join(
     if fits_broadcast(right, max_rows, max_bytes):
         joined = left.join(F.broadcast(right), key, how)
     elif left.isStreaming:
-        joined = salted_join(left, right, key, how, {}, stream_tasks, stream_tasks)
+        joined = salted_join(left, right, key, how, None, stream_tasks, stream_tasks)
     elif even:
         joined = left.join(right, key, how)
     else:
         partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        levels = hot_levels((key_rows or left).select(key), key, partitions)
-        joined = salted_join(left, right, key, how, levels, empty=partitions)
+        # Written, so that both sides of the join see the same numbers.
+        found = hot_keys((key_rows if key_rows is not None else left).select(key), key, partitions)
+        joined = salted_join(left, right, key, how, found, empty=partitions)
     added = [] if how in ("left_semi", "left_anti") else right.columns
     return joined.select(*left.columns, *[name for name in added if name != key])

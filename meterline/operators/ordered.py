@@ -8,6 +8,10 @@ the same range, also when a lost task is repeated, and the cut points (taken fro
 sample) decide only how even the ranges are, never what the result is. What one range must
 know of the ranges before it is a table of at most a few rows per range.
 
+Up to ``COARSE_RANGES`` ranges come from one list of cut points. Where a table needs more,
+each of those, or each key with many rows, is cut again at points that are found where the
+sample lies and kept in a table, so the driver never holds more than the first list.
+
 A table is read several times here, each time only in the columns needed. If it is itself
 the result of heavy work, write it first (``session.cut_lineage``).
 """
@@ -25,10 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions import hit_percentage
+from meterline.operators.joins import BROADCAST_ROWS, fits_broadcast
 from meterline.schemas import SECONDS_TO_LIVE
+from meterline.session import cut_lineage
 
 ROWS_PER_RANGE = 2_000_000
-MOST_RANGES = 8192
+COARSE_RANGES = 4096
 _SAMPLES_PER_RANGE = 40
 _CELLS_PER_RANGE = 8
 _RANGE = "__range"
@@ -65,16 +71,18 @@ def plan_cuts(
     df: DataFrame,
     *order: str,
     rows_per_range: int = ROWS_PER_RANGE,
-    most_ranges: int = MOST_RANGES,
+    coarse_ranges: int = COARSE_RANGES,
+    total: int | None = None,
 ) -> list[Cut]:
     """Points that cut the order of ``df`` into ranges of about ``rows_per_range`` rows.
 
-    Reads the order columns of a sample; the driver receives a fixed number of them per
+    At most ``coarse_ranges`` of them, to be cut again by ``cut_again`` where that is too
+    few. Reads the order columns of a sample; the driver receives a fixed number of them per
     range.
     """
     keys = df.select(*order)
-    total = keys.count()
-    count = min(most_ranges, -(-total // rows_per_range))
+    total = keys.count() if total is None else total
+    count = min(coarse_ranges, -(-total // rows_per_range))
     if count <= 1:
         return []
     share = min(1.0, count * _SAMPLES_PER_RANGE / total)
@@ -93,11 +101,88 @@ def plan_cuts(
     return list(cuts.values())
 
 
+def cut_again(
+    df: DataFrame, group: str, order: tuple[str, ...], total: int, rows_per_range: int
+) -> DataFrame:
+    """``__points`` that cut each group of more than two ranges' rows, found on a sample.
+
+    One row per such group, written to the shared folder. The sample has a fixed number of
+    rows per range; only the rows of one group in the sample meet in one task.
+    """
+    share = min(1.0, _SAMPLES_PER_RANGE / rows_per_range)
+    in_group = W.partitionBy(group)
+    ranges = F.floor(F.col("__rows") / (rows_per_range * share))
+    place = F.col("__place")
+    # The row before the first and that before each further range is no cut point.
+    starts = F.floor(place * ranges / F.col("__rows")) > F.floor(
+        (place - 1) * ranges / F.col("__rows")
+    )
+    sampled = (
+        df.select(group, *order)
+        .sample(share, seed=19)
+        .withColumns(
+            {
+                "__rows": F.count("*").over(in_group),
+                "__place": F.row_number().over(in_group.orderBy(*order)) - 1,
+            }
+        )
+    )
+    point = F.struct(*[_comparable(df, name) for name in order])
+    points = sampled.filter((ranges >= 2) & (place > 0) & starts).groupBy(group)
+    return cut_lineage(points.agg(F.sort_array(F.collect_set(point)).alias("__points")))
+
+
 def _constant(values: str, element: T.DataType) -> Column:
     """An array from JSON text, folded to a constant by the optimizer."""
     return F.from_json(F.lit(values), T.ArrayType(element), _JSON)
 
 
+def _reached(points: Column, bounds: Column, row: Column, bits: int) -> Column:
+    """How many of the sorted points lie at or below the row, by halving steps."""
+
+    def advance(found: Column, step: Column) -> Column:
+        reached = found + step
+        passed = (reached <= bounds) & (F.get(points, reached - 1) <= row)
+        return F.when(passed, reached).otherwise(found)
+
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), advance)
+
+
+def _point_index(df: DataFrame, order: tuple[str, ...], bits: int) -> Column:
+    """The number of the row's own ``__points`` at or below it; 0 if it has none."""
+    row = F.struct(*[_comparable(df, name) for name in order])
+    points = F.col("__points")
+    inner = _reached(points, F.size(points), row, bits)
+    return F.when(points.isNull(), 0).otherwise(inner)
+
+
+def _beside(df: DataFrame, small: DataFrame, same: Column, most_rows: int) -> DataFrame:
+    """A left join to a table of so many rows, broadcast only if that is proven small."""
+    fits = most_rows <= BROADCAST_ROWS and fits_broadcast(small)
+    return df.join(F.broadcast(small) if fits else small, same, "left")
+
+
+def _in_ranges(
+    df: DataFrame, order: tuple[str, ...], rows_per_range: int, coarse_ranges: int
+) -> tuple[DataFrame, int, int]:
+    """``df`` with its range, the number of range numbers and that of ranges cut again."""
+    total = df.count()
+    cuts = plan_cuts(
+        df, *order, rows_per_range=rows_per_range, coarse_ranges=coarse_ranges, total=total
+    )
+    tagged = df.withColumn(_RANGE, range_index(df, order, cuts))
+    if -(-total // rows_per_range) <= coarse_ranges:
+        return tagged, len(cuts) + 1, 1
+    again = cut_again(tagged, _RANGE, order, total, rows_per_range)
+    inner = 1 + (again.agg(F.max(F.size("__points"))).first()[0] or 0)
+    again = again.withColumnRenamed(_RANGE, "__coarse")
+    joined = _beside(tagged, again, F.col(_RANGE) == F.col("__coarse"), len(cuts) + 1)
+    number = F.col(_RANGE) * inner + _point_index(df, order, inner.bit_length())
+    ranged = joined.withColumn(_RANGE, number.cast("int")).drop("__points", "__coarse")
+    return ranged, (len(cuts) + 1) * inner, inner
+
+
 def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Column:
     """The number of cut points at or below the row."""
     if not cuts:
@@ -106,14 +191,7 @@ def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Colum
     row = F.struct(*[_comparable(df, name) for name in order])
     point = df.select(row.alias("row")).schema["row"].dataType
     points = F.sort_array(_constant("[" + ",".join(cut.point for cut in cuts) + "]", point))
-
-    def advance(found: Column, step: Column) -> Column:
-        reached = found + step
-        passed = (reached <= bounds) & (F.get(points, reached - 1) <= row)
-        return F.when(passed, reached).otherwise(found)
-
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(bounds.bit_length()))])
-    searched = F.aggregate(steps, F.lit(0), advance)
+    searched = _reached(points, F.lit(bounds), row, bounds.bit_length())
 
     numbers = [cut.number for cut in cuts]
     if None in numbers or not 0 < numbers[-1] - numbers[0] < 1 << 62:
@@ -138,7 +216,12 @@ def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Colum
 
 
 def running_hit_rate(
-    log: DataFrame, time: str = "ts", tie_breaker: str = "request_id", hit: str = "hit", **cutting: int
+    log: DataFrame,
+    time: str = "ts",
+    tie_breaker: str = "request_id",
+    hit: str = "hit",
+    rows_per_range: int = ROWS_PER_RANGE,
+    coarse_ranges: int = COARSE_RANGES,
 ) -> DataFrame:
     """Per request the requests, hits and hit percentage up to and including it.
 
@@ -146,11 +229,10 @@ def running_hit_rate(
     earlier ranges (one row per range) are added.
     """
     order = (time, tie_breaker)
-    cuts = plan_cuts(log, *order, **cutting)
-    tagged = log.withColumn(_RANGE, range_index(log, order, cuts))
+    tagged, ranges, inner = _in_ranges(log, order, rows_per_range, coarse_ranges)
     inside = W.partitionBy(_RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     # A partition per range, so that the window needs no shuffle of its own.
-    counted = tagged.repartitionById(len(cuts) + 1, F.col(_RANGE)).withColumns(
+    counted = tagged.repartitionById(ranges, F.col(_RANGE)).withColumns(
         {
             "running_requests": F.count("*").over(inside),
             "running_hits": F.count_if(hit).over(inside),
@@ -159,17 +241,12 @@ def running_hit_rate(
     totals = tagged.groupBy(_RANGE).agg(
         F.count("*").alias("__requests"), F.count_if(hit).alias("__hits")
     )
-    # One row per range goes through this window, at most MOST_RANGES.
-    earlier = W.orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
-    before = totals.select(
-        _RANGE,
-        F.coalesce(F.sum("__requests").over(earlier), F.lit(0)).alias("__requests"),
-        F.coalesce(F.sum("__hits").over(earlier), F.lit(0)).alias("__hits"),
-    )
+    before = _totals_before(totals, inner)
     requests = F.col("running_requests") + F.col("__requests")
     hits = F.col("running_hits") + F.col("__hits")
+    small = F.broadcast(before) if ranges <= BROADCAST_ROWS else before
     return (
-        counted.join(F.broadcast(before), _RANGE, "left")
+        counted.join(small, _RANGE, "left")
         .withColumns({"running_requests": requests, "running_hits": hits})
         .withColumn(
             "cache_hit_percentage", hit_percentage(F.col("running_hits"), F.col("running_requests"))
@@ -178,13 +255,38 @@ def running_hit_rate(
     )
 
 
+def _totals_before(totals: DataFrame, inner: int) -> DataFrame:
+    """Per range the sums of all ranges before it: of its own coarse range, and of earlier ones.
+
+    One row per coarse range goes through a single task, at most ``COARSE_RANGES``.
+    """
+    names = ("__requests", "__hits")
+
+    def sums_before(rows: DataFrame, window) -> DataFrame:
+        sums = [F.coalesce(F.sum(n).over(window), F.lit(0)).alias(n) for n in names]
+        return rows.select(*[c for c in rows.columns if c not in names], *sums)
+
+    if inner == 1:
+        return sums_before(totals, W.orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1))
+    coarse = F.floor(F.col(_RANGE) / inner).cast("int").alias("__coarse")
+    fine = totals.select(coarse, _RANGE, *names)
+    in_coarse = W.partitionBy("__coarse").orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
+    earlier = sums_before(
+        fine.groupBy("__coarse").agg(*[F.sum(n).alias(n) for n in names]),
+        W.orderBy("__coarse").rowsBetween(W.unboundedPreceding, -1),
+    ).select("__coarse", *[F.col(n).alias(f"{n}_before") for n in names])
+    within = sums_before(fine, in_coarse).join(F.broadcast(earlier), "__coarse")
+    return within.select(_RANGE, *[(F.col(n) + F.col(f"{n}_before")).alias(n) for n in names])
+
+
 def repeat_within(
     log: DataFrame,
     key: str = "city",
     time: str = "ts",
     tie_breaker: str = "request_id",
     seconds: int = SECONDS_TO_LIVE,
-    **cutting: int,
+    rows_per_range: int = ROWS_PER_RANGE,
+    coarse_ranges: int = COARSE_RANGES,
 ) -> DataFrame:
     """Flag requests that follow one for the same key by less than ``seconds``.
 
@@ -192,18 +294,60 @@ def repeat_within(
     range is cut by time, and each of its ranges gets the last time of the one before.
     """
     order = (key, time, tie_breaker)
-    planned = plan_cuts(log, *order, **cutting)
-    frequency = Counter(cut.first for cut in planned)
-    cuts = [cut for cut in planned if frequency[cut.first] > 1]
-    if cuts:
-        flagged = _previous_with_hot_keys(log, order, cuts, len(planned) + 1 - len(cuts))
+    total = log.count()
+    ranges = -(-total // rows_per_range)
+    if ranges > coarse_ranges:
+        flagged = _previous_with_many_hot_keys(log, order, total, rows_per_range)
     else:
-        in_key = W.partitionBy(key).orderBy(time, tie_breaker)
-        flagged = log.withColumn("previous_ts", F.lag(time).over(in_key))
+        planned = plan_cuts(
+            log, *order, rows_per_range=rows_per_range, coarse_ranges=coarse_ranges, total=total
+        )
+        frequency = Counter(cut.first for cut in planned)
+        cuts = [cut for cut in planned if frequency[cut.first] > 1]
+        if cuts:
+            flagged = _previous_with_hot_keys(log, order, cuts, len(planned) + 1 - len(cuts))
+        else:
+            flagged = _previous(log, order)
     limit = F.col("previous_ts") + F.make_dt_interval(secs=F.lit(seconds))
     return flagged.withColumn("repeated", F.coalesce(F.col(time) < limit, F.lit(False)))
 
 
+def _previous(log: DataFrame, order: tuple[str, str, str]) -> DataFrame:
+    key, time, tie_breaker = order
+    return log.withColumn(
+        "previous_ts", F.lag(time).over(W.partitionBy(key).orderBy(time, tie_breaker))
+    )
+
+
+def _previous_with_many_hot_keys(
+    log: DataFrame, order: tuple[str, str, str], total: int, rows_per_range: int
+) -> DataFrame:
+    """``previous_ts`` where the ranges of hot keys are too many for one list of cut points."""
+    key, *inner_order = order
+    again = cut_again(log, key, tuple(inner_order), total, rows_per_range)
+    if again.isEmpty():
+        return _previous(log, order)
+    ranges = -(-total // rows_per_range)
+    # One row per hot key, each of two ranges at least.
+    places = W.orderBy(F.col(key)).rowsBetween(W.unboundedPreceding, -1)
+    numbered = again.withColumn(
+        "__begin", F.coalesce(F.sum(F.size("__points") + 1).over(places), F.lit(0))
+    )
+    hot = cut_lineage(numbered.withColumnRenamed(key, "__hot_key"))
+    last, longest = hot.agg(
+        F.max(F.col("__begin") + F.size("__points")), F.max(F.size("__points"))
+    ).first()
+    whole = max(1, ranges - last)
+    by_hash = F.pmod(F.xxhash64(key), F.lit(whole))
+    in_range = whole + F.col("__begin") + _point_index(log, tuple(inner_order), longest.bit_length())
+    joined = _beside(log, hot, F.col(key).eqNullSafe(F.col("__hot_key")), ranges)
+    number = F.when(F.col("__points").isNull(), by_hash).otherwise(in_range)
+    tagged = joined.withColumn(_RANGE, number.cast("int"))
+    is_hot = F.col("__points").isNotNull()
+    flagged = _carried_previous(tagged, order, is_hot, whole + last + 1, 2 * ranges)
+    return flagged.drop("__points", "__begin", "__hot_key")
+
+
 def _previous_with_hot_keys(
     log: DataFrame, order: tuple[str, str, str], cuts: list[Cut], whole: int
 ) -> DataFrame:
@@ -217,11 +361,19 @@ def _previous_with_hot_keys(
     in_range = F.lit(whole) + range_index(log, order, cuts)
     tagged = log.withColumn(_RANGE, F.when(is_hot, in_range).otherwise(by_hash))
 
+    return _carried_previous(tagged, order, is_hot, whole + len(cuts) + 1, 2 * len(cuts))
+
+
+def _carried_previous(
+    tagged: DataFrame, order: tuple[str, str, str], is_hot: Column, partitions: int, most: int
+) -> DataFrame:
+    """``previous_ts`` inside each range, or else the last time of the key's range before."""
+    key, time, tie_breaker = order
     in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
-    parts = tagged.repartitionById(whole + len(cuts) + 1, F.col(_RANGE))
+    parts = tagged.repartitionById(partitions, F.col(_RANGE))
     previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
 
-    # One row per hot key and range it reaches into: at most two per cut.
+    # One row per hot key and range it reaches into: at most ``most``.
     last_times = tagged.filter(is_hot).groupBy(_RANGE, key).agg(F.max(time).alias("__last"))
     carried = last_times.select(
         F.col(_RANGE).alias("__carry_range"),
@@ -230,7 +382,7 @@ def _previous_with_hot_keys(
     )
     same = (F.col(_RANGE) == F.col("__carry_range")) & F.col(key).eqNullSafe(F.col("__carry_key"))
     return (
-        previous.join(F.broadcast(carried), same, "left")
+        previous.join(F.broadcast(carried) if most <= BROADCAST_ROWS else carried, same, "left")
         .withColumn("previous_ts", F.coalesce("previous_ts", "__carried"))
         .drop(_RANGE, "__carry_range", "__carry_key", "__carried")
     )

@@ -24,7 +24,7 @@ from meterline import (
     running_hit_rate,
     write_request_log,
 )
-from meterline.operators.ordered import plan_cuts, range_index
+from meterline.operators.ordered import _in_ranges, plan_cuts, range_index
 from meterline.sources.request_log import topic_options
 
 START = datetime(2024, 1, 1)
@@ -112,12 +112,41 @@ def test_ranges_follow_the_order_and_are_even(spark, order):
     assert in_order == sorted(in_order)
 
 
-def test_number_of_ranges_is_bounded(spark):
+def test_the_first_list_of_cut_points_is_bounded(spark):
     log = spark.createDataFrame(skewed(300, 1), SCHEMA)
-    assert len(plan_cuts(log, "ts", "request_id", rows_per_range=1, most_ranges=8)) == 7
+    assert len(plan_cuts(log, "ts", "request_id", rows_per_range=1, coarse_ranges=8)) == 7
     assert plan_cuts(log.limit(0), "ts", rows_per_range=1) == []
 
 
+@pytest.mark.parametrize(("per_range", "coarse"), [(10, 16), (3, 5), (60, 2), (1, 7)])
+def test_ranges_cut_in_two_levels(spark, per_range, coarse):
+    """More ranges than one list of cut points may hold: none grows, nothing changes."""
+    data = skewed(2000, per_range)
+    log = spark.createDataFrame(data, SCHEMA).repartition(5)
+    tagged, ranges, inner = _in_ranges(log, ("ts", "request_id"), per_range, coarse)
+    assert inner > 1
+    sizes = Counter(row["__range"] for row in tagged.collect())
+    assert max(sizes) < ranges and max(sizes.values()) <= 2 * per_range + 1
+    in_order = [row["__range"] for row in tagged.orderBy("ts", "request_id").collect()]
+    assert in_order == sorted(in_order)
+    cutting = {"rows_per_range": per_range, "coarse_ranges": coarse}
+    running = running_hit_rate(log, **cutting)
+    got = {row["request_id"]: tuple(row)[4:] for row in running.collect()}
+    assert got == expected_running(data)
+    repeats = repeat_within(log, **cutting)
+    assert repeats.columns == [*log.columns, "previous_ts", "repeated"]
+    got = {row["request_id"]: (row["previous_ts"], row["repeated"]) for row in repeats.collect()}
+    assert got == expected_repeats(data)
+
+
+def test_very_many_even_keys_are_not_cut(spark):
+    even = spark.range(3000).select(
+        F.col("id").alias("request_id"), F.timestamp_seconds("id").alias("ts"),
+        F.concat(F.lit("c"), F.col("id") % 1500).alias("city"))
+    text = plan(repeat_within(even, rows_per_range=20, coarse_ranges=4))
+    assert "hashpartitioning(city" in text and "shufflepartitionidpassthrough" not in text
+
+
 def test_hot_keys_are_cut_and_others_stay_whole(spark):
     log = spark.createDataFrame(skewed(3000, 3), SCHEMA)
     text = plan(repeat_within(log, rows_per_range=100))
