@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.functions import first_non_empty, strip_whitespace
@@ -42,10 +41,9 @@ def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def _positions(headers: DataFrame, width: int, names: list[str]) -> DataFrame:
-    """Per file its number by path and the 1-based column of each name.
+    """Per file the 1-based column of each name.
 
-    Of a repeated name the last column counts; 0 means absent. The numbering is a window
-    over one row per file.
+    Of a repeated name the last column counts; 0 means absent.
     """
     cells = ", ".join(f"c{i} string" for i in range(width))
     parsed = F.from_csv("header", cells, _DIALECT)
@@ -56,7 +54,6 @@ def _positions(headers: DataFrame, width: int, names: list[str]) -> DataFrame:
     found = [F.coalesce(F.array_position("cells", name), F.lit(0)) for name in names]
     return backwards.select(
         "file_path",
-        F.row_number().over(W.orderBy("file_path")).alias("file_no"),
         *[
             F.when(position > 0, width + 1 - position).otherwise(0).cast("int").alias(f"at_{i}")
             for i, position in enumerate(found)
@@ -77,14 +74,17 @@ def read_dimension_files(
     aliases: dict[str, tuple[str, ...]] = DIMENSION_ALIASES,
     pattern: str = "*.csv",
     reject_blank: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Rows of all files in reading order columns, with an ``accepted`` flag.
 
     Per target column the first non-empty alias wins. A row is rejected if a column is
     missing or empty before white space is stripped, so a cell of blanks only is accepted
-    as ``''`` unless ``reject_blank`` is set. ``(file_no, block_start, row_id)`` is unique
+    as ``''`` unless ``reject_blank`` is set. ``(file_path, block_start, row_id)`` is unique
     and follows the files by path and the rows of each file.
+
+    A quoted cell may hold line breaks, so a file is read by one task. Files known to have
+    none can be split: pass ``multi_line=False``.
     """
     path = expand_home(path)
     headers = cut_lineage(_header_lines(spark, path, pattern))
@@ -117,7 +117,7 @@ def read_dimension_files(
         target: first_non_empty(*[_cell(*next(cells)) for _ in spellings])
         for target, spellings in aliases.items()
     }
-    place = ["file_path", "file_no", "block_start", "row_id"]
+    place = ["file_path", "block_start", "row_id"]
     picked = located.select(*place, *[cell.alias(target) for target, cell in raw.items()])
     accepted = reduce(Column.__and__, [F.col(target).isNotNull() for target in aliases])
     if reject_blank:
