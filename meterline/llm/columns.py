@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def by_slices(
 ) -> Iterator[pa.RecordBatch]:
     """Cut batches so that one slice holds about ``most_bytes`` of text, or one longer row."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy()
+        lengths = pc.binary_length(batch.column(text)).fill_null(0).to_numpy()
         start = total = 0
         for i, n in enumerate(lengths):
             if total and total + n > most_bytes:
