@@ -29,7 +29,7 @@ from meterline.llm.columns import by_slices, hidden, shown
 
 CHUNK_CHARS = 1 << 16  # of a text at once
 BUFFER_SYMBOLS = 1 << 12  # of a long piece at once
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 LONGEST_CACHED = 48
 ALL = sys.maxunicode + 1
 NEVER = 1 << 30  # the rank of a pair that no merge joins
