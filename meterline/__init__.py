@@ -12,13 +12,24 @@ from meterline.operators.reports import (
 )
 from meterline.operators.requests import oldest_key, recent_keys, request_stats, response_times
 from meterline.operators.rollup import roll_up
-from meterline.plans import answer_requests, load_dimension, load_into, report_set, run_reports
+from meterline.plans import (
+    answer_requests,
+    load_dimension,
+    load_into,
+    put_rows,
+    report_set,
+    run_reports,
+)
 from meterline.schemas import BRIEF, FULL, Layout
 from meterline.session import build_session, object_store_settings
 from meterline.sinks import (
+    VersionConflict,
     land_cdr,
     log_messages,
+    merge_table,
+    merge_version,
     preview,
+    write_changes,
     write_report,
     write_request_log,
     write_version,
@@ -37,6 +48,7 @@ from meterline.sources import (
     stream_request_log,
 )
 from meterline.streaming import (
+    log_progress,
     progress_rows,
     read_complete,
     read_updates,

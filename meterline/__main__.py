@@ -23,7 +23,9 @@ from meterline import (
     find,
     load_into,
     load_mapping,
+    log_progress,
     prepare,
+    put_rows,
     read_cdr,
     read_dimension,
     read_request_log,
@@ -32,8 +34,6 @@ from meterline import (
     start_reports,
     stop_all,
     stream_cdr,
-    upsert,
-    write_version,
 )
 from meterline.schemas import DIMENSION, FALLBACK_MAPPING
 
@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
         job.add_argument("--target", action="append", required=True)
         if name == "stream":
             job.add_argument("--checkpoints", required=True)
+            job.add_argument("--progress", help="a folder to keep every trigger in")
             job.add_argument("--once", action="store_true", help="end when all files are read")
         else:
             job.add_argument("--single-file", action="store_true")
@@ -65,10 +66,17 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("find")
     for argument in ("dimension", "name"):
         job.add_argument(argument)
+    for name in ("load", "put", "find"):
+        jobs.choices[name].add_argument("--table", action="store_true", help="DIMENSION is a table")
     jobs.add_parser("stats").add_argument("log")
     return top
 
 
+def stored(chosen: argparse.Namespace) -> dict[str, str]:
+    """Where the dimension is: a folder of versions, or a table of the catalog."""
+    return {"table" if chosen.table else "dimension_path": chosen.dimension}
+
+
 def main(arguments: list[str] | None = None) -> int:
     chosen = parser().parse_args(arguments)
     spark = build_session("meterline", chosen.master)
@@ -84,29 +92,25 @@ def main(arguments: list[str] | None = None) -> int:
         else:
             records = prepare(stream_cdr(spark, chosen.records, layout), layout)
             trigger = {"availableNow": True} if chosen.once else {"processingTime": "30 seconds"}
-            running = [
-                query
-                for number, target in enumerate(chosen.target)
-                for query in start_reports(
-                    records, mapping, target, f"{chosen.checkpoints}/{number}",
-                    layout.key_column, trigger=trigger,
-                ).values()
-            ]
+            if chosen.progress:
+                log_progress(spark, chosen.progress)
+            running = start_reports(
+                records, mapping, chosen.target, chosen.checkpoints, layout.key_column,
+                trigger=trigger,
+            )
             try:
-                for query in running:
-                    query.awaitTermination()
+                running.awaitTermination()
             finally:
                 stop_all(spark)
     elif chosen.job == "load":
-        print(load_into(spark, chosen.files, chosen.dimension).counters)
+        print(load_into(spark, chosen.files, **stored(chosen)).counters)
     elif chosen.job == "put":
         row = [(chosen.name.strip(), chosen.code.strip())]
         update = spark.createDataFrame(row, DIMENSION).withColumn("write", F.lit(0))
-        base = read_dimension(spark, chosen.dimension)
-        merged = upsert(base, update, "name", ["write"], ["country_code"])
-        write_version(merged, chosen.dimension)
+        put_rows(spark, update, "name", ["write"], ["country_code"], **stored(chosen))
     elif chosen.job == "find":
-        row = find(read_dimension(spark, chosen.dimension), "name", chosen.name).first()
+        place = (None, chosen.dimension) if chosen.table else (chosen.dimension, None)
+        row = find(read_dimension(spark, *place), "name", chosen.name).first()
         print(row["country_code"] if row else "not found")
         return 0 if row else 1
     else:

@@ -44,12 +44,16 @@ def daily_revenue(
 ) -> DataFrame:
     """``date, total_revenue``.
 
-    On a stream, days start at UTC midnight; in another zone pass the offset of its
-    midnight as ``day_starts``, for example ``"20 hours 30 minutes"``.
+    A stream's days are windows of 24 hours from UTC midnight. In another zone of a fixed
+    offset pass that of its midnight as ``day_starts``, for example ``"20 hours 30 minutes"``.
+    For a zone with summer time keep the dates of ``roll_up``, as ``start_reports`` does.
     """
     total = F.sum(REVENUE).alias("total_revenue")
     if not records.isStreaming:
         return records.groupBy(event_date(F.col(TIME)).alias("date")).agg(total).orderBy("date")
+    zone = records.sparkSession.conf.get("spark.sql.session.timeZone")
+    if day_starts is None and zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"days of {zone} need day_starts, or the dates of roll_up")
     day = F.window(TIME, "1 day", startTime=day_starts)
     totals = records.withWatermark(TIME, delay).groupBy(day).agg(total)
     return totals.select(event_date(F.col("window.start")).alias("date"), "total_revenue")

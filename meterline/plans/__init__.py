@@ -1,6 +1,6 @@
 """Whole jobs made of the operators: reports, dimension loads and answered requests."""
 
-from meterline.plans.dimension import load_dimension, load_into
+from meterline.plans.dimension import load_dimension, load_into, put_rows
 from meterline.plans.requests import answer_requests
 from meterline.plans.revenue import ReportSet, report_set, reports_from, run_reports
 
@@ -9,6 +9,7 @@ __all__ = [
     "answer_requests",
     "load_dimension",
     "load_into",
+    "put_rows",
     "report_set",
     "reports_from",
     "run_reports",

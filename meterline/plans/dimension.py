@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from meterline.operators.dimension import last_write, load_counter_columns, upsert
 from meterline.schemas import DIMENSION_ALIASES
 from meterline.session import cut_lineage
-from meterline.sinks.versions import write_version
+from meterline.sinks.versions import merge_table, merge_version
 from meterline.sources.dimension_files import read_dimension_files
-from meterline.sources.tables import read_dimension
+from meterline.sources.tables import empty_dimension
 
 READING_ORDER = ["file_path", "block_start", "row_id"]
 
@@ -43,19 +43,42 @@ def load_dimension(
 def load_into(
     spark: SparkSession,
     files: str,
-    dimension_path: str,
+    dimension_path: str | None = None,
     aliases: dict[str, tuple[str, ...]] = DIMENSION_ALIASES,
+    table: str | None = None,
     **reading: object,
 ) -> LoadedRows:
-    """Load a folder and write the dimension's next version; the last row of a key wins."""
+    """Load a folder and write the dimension's next version; the last row of a key wins.
+
+    With ``table``, a table of the session's catalog is replaced instead.
+    """
     key, *columns = aliases
     loaded = load_dimension(spark, files, aliases, **reading)
-    base = read_dimension(spark, dimension_path)
-    merged = upsert(base, loaded.accepted, key, READING_ORDER, columns)
-    write_version(merged, dimension_path)
+    put_rows(spark, loaded.accepted, key, READING_ORDER, columns, dimension_path, table)
     return loaded
 
 
+def put_rows(
+    spark: SparkSession,
+    rows: DataFrame,
+    key: str,
+    order: list[str],
+    columns: list[str],
+    dimension_path: str | None = None,
+    table: str | None = None,
+) -> None:
+    """Upsert rows into the stored dimension, merging again if another writer was faster."""
+    if table:
+        merge_table(spark, table, lambda base: upsert(base, rows, key, order, columns))
+        return
+    empty = empty_dimension(spark, rows.select(key, *columns).schema)
+    merge_version(
+        spark,
+        dimension_path,
+        lambda base: upsert(empty if base is None else base, rows, key, order, columns),
+    )
+
+
 def dimension_from(rows: DataFrame, aliases: dict[str, tuple[str, ...]] = DIMENSION_ALIASES):
     """The dimension that accepted rows alone make up."""
     key, *columns = aliases

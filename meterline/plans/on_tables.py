@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from meterline.session import new_folder
 from meterline.sinks import land_cdr, preview, write_report, write_request_log, write_version
 from meterline.sources import (
     builtin_mapping,
+    empty_dimension,
     load_mapping,
     read_cdr,
     read_dimension,
@@ -35,10 +37,12 @@ from meterline.sources import (
     stream_request_log,
 )
 from meterline.streaming import (
+    log_progress,
     progress_rows,
     read_complete,
     read_updates,
     start_reports,
+    stop_all,
     stream_appended,
     stream_complete,
     stream_messages,
@@ -274,57 +278,77 @@ def one_pass_interval_count_by_name(spark, folder):
     return plain_times(one_pass(spark, folder).interval_count_by_name, "interval_start")
 
 
-def summary_sql(closed: str = "") -> str:
-    """Rows and amounts of the four reports, of closed intervals or days if asked."""
-    days = f"HAVING CAST(t AS DATE) + INTERVAL '1 day' <= {closed}" if closed else ""
-    slots = f"HAVING {SLOT} + INTERVAL '15 minutes' <= {closed}" if closed else ""
-    return CDR + f"""
-SELECT report, count(*) AS report_rows, CAST(sum(amount) AS DECIMAL(20,3)) AS amount FROM (
-  SELECT 'daily_revenue' AS report, sum(rev) AS amount FROM cdr GROUP BY CAST(t AS DATE) {days}
-  UNION ALL SELECT 'interval_revenue', sum(rev) FROM cdr GROUP BY {SLOT}, code {slots}
-  UNION ALL SELECT 'interval_min_max', max(rev) - min(rev) FROM cdr GROUP BY {SLOT}, code {slots}
-  UNION ALL SELECT 'interval_count_by_name', sum(rev) FROM cdr LEFT JOIN {NAMED}
-            ON cdr.code = m.c GROUP BY {SLOT}, m.value {slots})
-GROUP BY 1"""
+TARGETS = ("first", "second")
+CLOSED_DAYS = f"(SELECT max(CAST(t AS DATE)) FROM cdr WHERE {SLOT} + INTERVAL '15 minutes' <= {CLOSED})"
 
 
-def report_summary(spark: SparkSession, target: str) -> DataFrame:
-    """Rows and amounts of the four reports written as CSV below a target."""
+def written_sql(closed: bool = False) -> str:
+    """All rows of the four reports at both targets, of closed intervals and days if asked."""
+    days = f"HAVING CAST(t AS DATE) < {CLOSED_DAYS}" if closed else ""
+    slots = f"HAVING {SLOT} + INTERVAL '15 minutes' <= {CLOSED}" if closed else ""
+    money = "CAST({} AS DECIMAL(16,3))"
+    return CDR + f"""
+SELECT target, r.* FROM (VALUES ('first'), ('second')) AS targets(target), (
+  SELECT 'daily_revenue' AS report, CAST(CAST(t AS DATE) AS TIMESTAMP) AS starts, NULL AS name,
+         NULL::BIGINT AS record_count, {money.format("sum(rev)")} AS amount,
+         NULL::DECIMAL(16,3) AS most
+  FROM cdr GROUP BY CAST(t AS DATE) {days}
+  UNION ALL SELECT 'interval_revenue', {SLOT}, CAST(code AS VARCHAR), NULL,
+         {money.format("sum(rev)")}, NULL
+  FROM cdr GROUP BY {SLOT}, code {slots}
+  UNION ALL SELECT 'interval_min_max', {SLOT}, CAST(code AS VARCHAR), NULL,
+         {money.format("min(rev)")}, {money.format("max(rev)")}
+  FROM cdr GROUP BY {SLOT}, code {slots}
+  UNION ALL SELECT 'interval_count_by_name', {SLOT}, m.value, count(*),
+         {money.format("sum(rev)")}, NULL
+  FROM cdr LEFT JOIN {NAMED} ON cdr.code = m.c GROUP BY {SLOT}, m.value {slots}) AS r"""
+
+
+def written_rows(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
+    """The four reports written as CSV below each target, in common columns."""
+    money, none = "decimal(16,3)", F.lit(None)
     layouts = {
-        "daily_revenue": ("date date, total_revenue decimal(16,3)", "total_revenue"),
+        "daily_revenue": (
+            f"date date, total_revenue {money}",
+            [F.col("date").cast("timestamp"), none, none, F.col("total_revenue"), none],
+        ),
         "interval_revenue": (
-            "PAYTYPE_515 int, revenue decimal(16,3), interval_start timestamp",
-            "revenue",
+            f"PAYTYPE_515 int, revenue {money}, interval_start timestamp",
+            [F.col("interval_start"), F.col("PAYTYPE_515"), none, F.col("revenue"), none],
         ),
         "interval_min_max": (
-            "PAYTYPE_515 int, min_revenue decimal(6,3), max_revenue decimal(6,3), "
-            "interval_start timestamp",
-            "max_revenue - min_revenue",
+            f"PAYTYPE_515 int, min_revenue {money}, max_revenue {money}, interval_start timestamp",
+            [F.col("interval_start"), F.col("PAYTYPE_515"), none, F.col("min_revenue"),
+             F.col("max_revenue")],
         ),
         "interval_count_by_name": (
-            "value string, record_count bigint, revenue decimal(16,3), interval_start timestamp",
-            "revenue",
+            f"value string, record_count bigint, revenue {money}, interval_start timestamp",
+            [F.col("interval_start"), F.col("value"), F.col("record_count"), F.col("revenue"), none],
         ),
     }
+    names = {"starts": "timestamp_ntz", "name": "string", "record_count": "bigint",
+             "amount": money, "most": money}
     parts = []
-    for name, (schema, amount) in layouts.items():
-        written = spark.read.schema(schema).option("header", True).csv(f"{target}/{FOLDERS[name]}")
-        parts.append(
-            written.agg(
-                F.lit(name).alias("report"),
-                F.count("*").alias("report_rows"),
-                F.sum(F.expr(amount)).cast("decimal(20,3)").alias("amount"),
+    for target, place in targets.items():
+        for report, (schema, columns) in layouts.items():
+            reader = spark.read.schema(schema).option("header", True)
+            written = reader.option("recursiveFileLookup", True).csv(f"{place}/{FOLDERS[report]}")
+            typed = [
+                column.cast(kind).alias(name)
+                for column, (name, kind) in zip(columns, names.items(), strict=True)
+            ]
+            parts.append(
+                written.select(F.lit(target).alias("target"), F.lit(report).alias("report"), *typed)
             )
-        )
     return reduce(DataFrame.unionByName, parts)
 
 
-@checked_by(summary_sql())
+@checked_by(written_sql())
 def written_reports(spark, folder):
-    """All four reports written as CSV to two targets, and read back from the second."""
-    targets = [new_folder(spark, "reports"), new_folder(spark, "reports")]
-    run_reports(records(spark, folder), builtin_mapping(spark, NAMES), targets)
-    return report_summary(spark, targets[1])
+    """All four reports written as CSV to two targets, and every row read back from both."""
+    targets = {name: new_folder(spark, name) for name in TARGETS}
+    run_reports(records(spark, folder), builtin_mapping(spark, NAMES), [*targets.values()])
+    return written_rows(spark, targets)
 
 
 @checked_by(CDR + """, daily AS (
@@ -383,19 +407,17 @@ def landed_daily_revenue(spark, folder):
 
 
 @checked_by("""
-SELECT l_returnflag, count(*) AS n,
-       CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(10,3)) * CAST(0.0001 AS DECIMAL(5,4))
-            AS DECIMAL(6,3))) AS DECIMAL(16,3)) AS revenue
-FROM lineitem GROUP BY 1""")
+SELECT l_orderkey, l_linenumber,
+       CAST(CAST(l_extendedprice AS DECIMAL(10,3)) * CAST(0.0001 AS DECIMAL(5,4))
+            AS DECIMAL(6,3)) AS revenue
+FROM lineitem""")
 def converted_decimal_amounts(spark, folder):
-    converted = table(spark, folder, "lineitem").select(
-        "l_returnflag",
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
         convert_amount(
             F.col("l_extendedprice").cast("decimal(10,3)"), FULL.divisor, FULL.revenue_type
-        ).alias("rev"),
-    )
-    return converted.groupBy("l_returnflag").agg(
-        F.count("*").alias("n"), F.sum("rev").alias("revenue")
+        ).alias("revenue"),
     )
 
 
@@ -532,8 +554,15 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 UNION ALL
 SELECT s_name, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
 def dimension_after_two_loads(spark, folder):
-    """A first version of all customers, then one that changes some and adds suppliers."""
-    stored, first, second = (new_folder(spark, name) for name in ("stored", "first", "second"))
+    stored = new_folder(spark, "stored")
+    for files in two_loads(spark, folder):
+        load_into(spark, files, stored)
+    return read_dimension(spark, stored)
+
+
+def two_loads(spark, folder) -> tuple[str, str]:
+    """Files of all customers, then some that change a few of them and add suppliers."""
+    first, second = new_folder(spark, "first"), new_folder(spark, "second")
     nation = table(spark, folder, "nation")
     customers = table(spark, folder, "customer").join(
         nation, F.col("c_nationkey") == F.col("n_nationkey")
@@ -551,46 +580,75 @@ def dimension_after_two_loads(spark, folder):
         suppliers.select(F.col("n_name").alias("CountryCode"), F.col("s_name").alias("name"))
     )
     changed.write.option("header", True).csv(second)
-    load_into(spark, first, stored)
-    load_into(spark, second, stored)
-    return read_dimension(spark, stored)
+    return first, second
 
 
-PRIORITIES = """
+@checked_by("""
+SELECT c_name || chr(10) || c_mktsegment AS name, n_name AS country_code
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def dimension_with_line_breaks(spark, folder):
+    """Names that hold a line break, in quotes."""
+    path = new_folder(spark, "breaks")
+    customers = table(spark, folder, "customer").join(
+        table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    name = F.concat_ws("\n", "c_name", "c_mktsegment").alias("City")
+    customers.select(name, F.col("n_name").alias("CountryCode")).write.options(
+        header=True, quoteAll=True, escape='"'
+    ).csv(path)
+    return dimension_from(load_dimension(spark, path).accepted)
+
+
+@checked_by(SQL["dimension_after_two_loads"])
+def dimension_in_a_catalog_table(spark, folder):
+    """The same two loads into one table of the catalog that everybody reads."""
+    name = f"dimension_{uuid4().hex}"
+    empty = empty_dimension(spark)
+    empty.write.option("path", new_folder(spark, "table")).format("parquet").saveAsTable(name)
+    for files in two_loads(spark, folder):
+        load_into(spark, files, table=name)
+    return read_dimension(spark, table=name)
+
+
+UPDATED_KEY = "CASE WHEN o_orderpriority = '5-LOW' THEN -1 - o_custkey ELSE o_custkey END"
+PRIORITIES = f"""
 WITH newest AS (
-  SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority
+  SELECT {UPDATED_KEY} AS key, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS priority
   FROM orders GROUP BY 1)
 """
 
 
 def priorities(orders: DataFrame) -> DataFrame:
-    """Orders as updates: the customer's label becomes the order's priority."""
+    """Orders as updates: the label becomes the order's priority.
+
+    Most have the key of a customer; orders of low priority have keys that no customer has.
+    """
     return orders.select(
-        F.col("o_custkey").alias("key"),
+        F.expr(UPDATED_KEY).alias("key"),
         F.col("o_orderpriority").alias("label"),
         "o_orderdate",
         "o_orderkey",
     )
 
 
-def solvent_segments(spark, folder) -> DataFrame:
-    solvent = table(spark, folder, "customer").filter("c_acctbal >= 0")
-    return solvent.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("label"))
+def segments(spark, folder) -> DataFrame:
+    customers = table(spark, folder, "customer")
+    return customers.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("label"))
 
 
-@checked_by(PRIORITIES + "SELECT o_custkey AS key, priority AS label FROM newest")
+@checked_by(PRIORITIES + "SELECT key, priority AS label FROM newest")
 def last_write_per_key(spark, folder):
     updates = priorities(table(spark, folder, "orders"))
     return dim.last_write(updates, "key", ["o_orderdate", "o_orderkey"], ["label"])
 
 
 @checked_by(PRIORITIES + """
-SELECT coalesce(c_custkey, o_custkey) AS key, coalesce(priority, c_mktsegment) AS label
-FROM (SELECT * FROM customer WHERE c_acctbal >= 0) FULL JOIN newest ON c_custkey = o_custkey""")
+SELECT coalesce(c_custkey, key) AS key, coalesce(priority, c_mktsegment) AS label
+FROM customer FULL JOIN newest ON c_custkey = key""")
 def upsert_last_write(spark, folder):
-    """Segments of solvent customers, overwritten and extended by order priorities."""
+    """Segments of all customers, overwritten and extended by order priorities."""
     updates = priorities(table(spark, folder, "orders"))
-    base = solvent_segments(spark, folder)
+    base = segments(spark, folder)
     return dim.upsert(base, updates, "key", ["o_orderdate", "o_orderkey"], ["label"])
 
 
@@ -598,7 +656,7 @@ def upsert_last_write(spark, folder):
 def upsert_last_write_shuffled(spark, folder):
     """The same without a broadcast, as for updates of very many keys."""
     updates = priorities(table(spark, folder, "orders"))
-    base = solvent_segments(spark, folder)
+    base = segments(spark, folder)
     order = ["o_orderdate", "o_orderkey"]
     return dim.upsert(base, updates, "key", order, ["label"], max_rows=0)
 
@@ -608,9 +666,11 @@ def upsert_last_write_shuffled(spark, folder):
 CITIES = """
 WITH cities AS (
   SELECT c_name AS name, n_name AS country_code
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
 requests AS (
-  SELECT event_id AS request_id, ts, printf('Customer#%09d', user_id) AS city,
+  SELECT event_id AS request_id, ts,
+         printf(CASE WHEN event_type = 'error' THEN 'Nobody#%09d' ELSE 'Customer#%09d' END,
+                user_id) AS city,
          value AS response_time, event_type = 'view' AS hit,
          CASE WHEN event_type = 'view' THEN 'HIT' ELSE 'MISS' END AS cache_status
   FROM events)
@@ -618,11 +678,12 @@ requests AS (
 
 
 def city_requests(events: DataFrame) -> DataFrame:
-    """Events as lookup requests; views count as hits."""
+    """Events as lookup requests; views count as hits, and errors ask for unknown names."""
+    pattern = F.when(F.col("event_type") == "error", "Nobody#").otherwise("Customer#")
     return events.select(
         F.col("event_id").alias("request_id"),
         F.col("ts").cast("timestamp").alias("ts"),
-        F.format_string("Customer#%09d", "user_id").alias("city"),
+        F.concat(pattern, F.format_string("%09d", "user_id")).alias("city"),
         F.col("value").alias("response_time"),
         (F.col("event_type") == "view").alias("hit"),
         cache_status(F.col("event_type") == "view").alias("cache_status"),
@@ -630,10 +691,9 @@ def city_requests(events: DataFrame) -> DataFrame:
 
 
 def cities(spark, folder) -> DataFrame:
-    """Nations of the customers that are not overdrawn."""
-    solvent = table(spark, folder, "customer").filter("c_acctbal >= 0")
-    nation = table(spark, folder, "nation")
-    return solvent.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    """Nations of all customers."""
+    customers, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
+    return customers.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_name").alias("name"), F.col("n_name").alias("country_code")
     )
 
@@ -659,6 +719,15 @@ def lookup_all_shuffled(spark, folder):
     return dim.lookup(asked, cities(spark, folder), max_bytes=0)
 
 
+@checked_by(CITIES + """
+SELECT city, country_code, name IS NOT NULL AS found
+FROM requests LEFT JOIN cities ON city = name""")
+def lookup_of_keys_alone(spark, folder):
+    """Requests that hold nothing but their key, so that many are equal; shuffled."""
+    asked = request_table(spark, folder).select("city")
+    return dim.lookup(asked, cities(spark, folder), max_bytes=0)
+
+
 @checked_by(CITIES + """
 SELECT request_id, city, country_code, true AS found FROM requests JOIN cities ON city = name""")
 def lookup_found(spark, folder):
@@ -763,23 +832,26 @@ def oldest_key(spark, folder):
 
 @checked_by(CITIES + """
 SELECT time_bucket(INTERVAL '1 day', ts) AS interval_start, cache_status, count(*) AS requests,
-       round(avg(response_time), 6) AS mean_response, max(response_time) AS max_response
+       round(avg(response_time), 6) AS mean_response, max(response_time) AS max_response,
+       list_sort(list(response_time))[(95 * count(*) + 99) // 100] AS p95_response
 FROM requests GROUP BY 1, 2""")
 def response_times(spark, folder):
-    times = requests.response_times(request_table(spark, folder)).drop("p95_response")
+    times = requests.response_times(request_table(spark, folder))
     rounded = times.withColumn("mean_response", F.round("mean_response", 6))
     return plain_times(rounded, "interval_start")
 
 
-LOG_SQL = CITIES + """
-SELECT request_id, ts, city, response_time, cache_status, 0.0::DOUBLE AS cache_hit_percentage
-FROM requests"""
+LOG_SQL = CITIES + f"""
+SELECT request_id, r.ts, city, response_time, cache_status,
+       CAST({PERCENTAGE} AS DOUBLE) AS cache_hit_percentage
+FROM requests r JOIN ({RUNNING}) USING (request_id)"""
 
 
 def log_files(spark, folder) -> str:
     path = new_folder(spark, "log")
-    log = request_table(spark, folder).withColumn("cache_hit_percentage", F.lit(0.0))
-    write_request_log(log, path)
+    rated = ordered.running_hit_rate(request_table(spark, folder))
+    percentage = F.col("cache_hit_percentage").cast("double")
+    write_request_log(rated.withColumn("cache_hit_percentage", percentage), path)
     return path
 
 
@@ -848,27 +920,25 @@ def stream_roll_up_by_name(spark, folder):
     return plain_times(named, "interval_start")
 
 
-@checked_by(summary_sql(CLOSED))
+@checked_by(written_sql(closed=True))
 def stream_written_reports(spark, folder):
-    """All four reports of one stream, each written as CSV by a query of its own."""
-    target = new_folder(spark, "reports")
-    running = start_reports(
+    """All four reports of one stream, read once and written as CSV to two targets."""
+    targets = {name: new_folder(spark, name) for name in TARGETS}
+    start_reports(
         record_stream(spark, folder),
         builtin_mapping(spark, NAMES),
-        target,
-        new_folder(spark, "checkpoints"),
+        [*targets.values()],
+        new_folder(spark, "checkpoint"),
         trigger=AT_ONCE,
-    )
-    for query in running.values():
-        query.awaitTermination()
-    return report_summary(spark, target)
+    ).awaitTermination()
+    return written_rows(spark, targets)
 
 
 @checked_by(SQL["upsert_last_write"])
 def stream_upsert_last_write(spark, folder):
     """Order priorities arrive as a stream and are merged into a stored dimension."""
     path = new_folder(spark, "stored")
-    write_version(solvent_segments(spark, folder), path)
+    write_version(segments(spark, folder), path)
     orders = table_stream(spark, folder, "orders")
     order = ["o_orderdate", "o_orderkey"]
     checkpoint = new_folder(spark, "checkpoint")
@@ -927,10 +997,119 @@ def stream_lookup_log(spark, folder):
     return dim.lookup(log, cities(spark, folder))
 
 
-@checked_by("SELECT count(*) AS input_rows FROM events")
+BATCHES = 160
+
+
+@checked_by(f"""
+SELECT input_rows, count(*) AS batches, {BATCHES} AS different_ids, 0 AS first_id,
+       {BATCHES - 1} AS last_id
+FROM (SELECT count(*) AS input_rows FROM events GROUP BY event_id % {BATCHES}) GROUP BY 1""")
 def stream_progress(spark, folder):
-    report = reports.interval_revenue(record_stream(spark, folder))
-    path, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
-    query = stream_appended(report, path, checkpoint, trigger=AT_ONCE)
-    query.awaitTermination()
-    return progress_rows(query).agg(F.sum("input_rows").alias("input_rows"))
+    """Every trigger of a stream of many small files, also those Spark itself forgets."""
+    source, kept = new_folder(spark, "files"), new_folder(spark, "progress")
+    parts = table(spark, folder, "events").select((F.col("event_id") % BATCHES).alias("part"), "user_id")
+    parts.repartitionById(BATCHES, F.col("part").cast("int")).write.parquet(source)
+    stream = spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    listener = log_progress(spark, kept)
+    try:
+        path, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
+        query = stream_appended(stream, path, checkpoint, trigger=AT_ONCE)
+        query.awaitTermination()
+        listener.wait_for(query)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = progress_rows(spark, kept, query).filter("input_rows > 0")
+    ids = rows.agg(
+        F.count_distinct("batch_id").cast("int").alias("different_ids"),
+        F.min("batch_id").cast("int").alias("first_id"),
+        F.max("batch_id").cast("int").alias("last_id"),
+    )
+    counts = rows.groupBy("input_rows").agg(F.count("*").alias("batches"))
+    return counts.withColumns({name: F.lit(n) for name, n in ids.first().asDict().items()})
+
+
+def event_files(spark, folder, wanted: list[str]) -> tuple[str, Callable[[int], None]]:
+    """An empty folder and a function that adds the events of one condition as one file."""
+    path = new_folder(spark, "files")
+    events = table(spark, folder, "events")
+
+    def add(number: int) -> None:
+        events.filter(wanted[number]).coalesce(1).write.mode("append").parquet(path)
+
+    return path, add
+
+
+def files_stream(spark, folder, path: str) -> DataFrame:
+    schema = table(spark, folder, "events").schema
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    return reports.interval_revenue(prepare(as_records(reader.parquet(path))))
+
+
+# Ten days each: of the first month of events, the early, middle and late ones.
+THIRDS = [
+    "ts < TIMESTAMP_NTZ '2024-01-11'",
+    "ts >= TIMESTAMP_NTZ '2024-01-11' AND ts < TIMESTAMP_NTZ '2024-01-21'",
+    "ts >= TIMESTAMP_NTZ '2024-01-21'",
+]
+
+
+@checked_by(CDR + f"""
+SELECT code AS PAYTYPE_515, CAST(sum(rev) AS DECIMAL(16,3)) AS revenue, {SLOT} AS interval_start
+FROM cdr WHERE t < TIMESTAMP '2024-01-11' OR t >= TIMESTAMP '2024-01-21' GROUP BY 1, 3
+HAVING {SLOT} + INTERVAL '15 minutes' <= {CLOSED}""")
+def stream_late_files(spark, folder):
+    """Files in the order late, early, middle: a batch is late against those before the last."""
+    path, add = event_files(spark, folder, THIRDS)
+    for number in (2, 0, 1):
+        add(number)
+    return plain_times(appended(spark, files_stream(spark, folder, path)), "interval_start")
+
+
+@checked_by(closed_sql(REVENUE_SQL, "ORDER BY 3, 1"))
+def stream_stopped_and_resumed(spark, folder):
+    """A query on a timer is stopped after one file and goes on from its checkpoint."""
+    path, add = event_files(spark, folder, THIRDS)
+    out, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
+    add(0)
+    stream = files_stream(spark, folder, path)
+    first = stream_appended(stream, out, checkpoint, trigger={"processingTime": "1 second"})
+    first.processAllAvailable()
+    stop_all(spark)
+    add(1)
+    add(2)
+    stream_appended(stream, out, checkpoint, trigger=AT_ONCE).awaitTermination()
+    return plain_times(spark.read.schema(stream.schema).parquet(out), "interval_start")
+
+
+@checked_by(SQL["upsert_last_write"])
+def stream_upsert_of_many_batches(spark, folder):
+    """Updates of one year after the other, written as changes and compacted now and then."""
+    path, source = new_folder(spark, "stored"), new_folder(spark, "updates")
+    write_version(segments(spark, folder), path)
+    updates = priorities(table(spark, folder, "orders"))
+    years = F.year("o_orderdate")
+    for part in (years < 1993, *[years == year for year in range(1993, 1998)], years > 1997):
+        updates.filter(part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_upsert(
+        stream, path, new_folder(spark, "checkpoint"), "key", ["o_orderdate", "o_orderkey"],
+        ["label"], compact_every=3, trigger=AT_ONCE,
+    ).awaitTermination()
+    return read_dimension(spark, path)
+
+
+@checked_by(MIN_MAX_SQL)
+def stream_min_max_updates_joined(spark, folder):
+    """Changes of several batches, joined every two batches."""
+    path, add = event_files(spark, folder, THIRDS)
+    for number in range(3):
+        add(number)
+    schema = table(spark, folder, "events").schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    report = reports.interval_min_max(prepare(as_records(source)))
+    keys, kept = ["PAYTYPE_515", "interval_start"], new_folder(spark, "updates")
+    checkpoint = new_folder(spark, "checkpoint")
+    stream_updates(
+        report, kept, checkpoint, keys=keys, compact_every=2, trigger=AT_ONCE
+    ).awaitTermination()
+    return plain_times(read_updates(spark, kept, keys), "interval_start")

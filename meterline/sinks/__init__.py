@@ -3,13 +3,24 @@
 from meterline.sinks.records import land_cdr
 from meterline.sinks.reports import preview, write_report
 from meterline.sinks.request_log import log_messages, write_request_log
-from meterline.sinks.versions import read_latest, write_version
+from meterline.sinks.versions import (
+    VersionConflict,
+    merge_table,
+    merge_version,
+    read_latest,
+    write_changes,
+    write_version,
+)
 
 __all__ = [
+    "VersionConflict",
     "land_cdr",
     "log_messages",
+    "merge_table",
+    "merge_version",
     "preview",
     "read_latest",
+    "write_changes",
     "write_report",
     "write_request_log",
     "write_version",

@@ -1,25 +1,46 @@
 """A table kept as numbered versions, so that it can be rewritten while it is read.
 
-Plain files allow no update of single rows. A new version is a new folder, and readers
-take the newest one whose write has finished.
+Plain files allow no update of single rows. A version is a folder, written aside and then
+renamed to the number after the one it was made from, which fails if another writer has
+taken that number. A version holds the whole table, or only changed rows of a keyed table,
+to be laid over the versions before it. On a file system whose rename of folders is not
+atomic (some object stores), let one writer at a time write a table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from uuid import uuid4
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from meterline.operators.dimension import upsert
+from meterline.session import cut_lineage
 from meterline.sources.paths import expand_home
 
 _PREFIX = "version="
+_CHANGES = "_CHANGES"
+_VERSION = "__version"
+TRIES = 20
+
+
+class VersionConflict(RuntimeError):
+    """Another writer has published a version since the base was read."""
+
 
+def _path(spark: SparkSession, *parts: str):
+    return spark._jvm.org.apache.hadoop.fs.Path("/".join(parts))
 
-def _folder(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(expand_home(path))
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+def _files(spark: SparkSession, path: str):
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return _path(spark, expand_home(path)).getFileSystem(conf)
 
 
 def _versions(spark: SparkSession, path: str, finished: bool) -> list[int]:
-    folder, files = _folder(spark, path)
+    files, folder = _files(spark, path), _path(spark, expand_home(path))
     if not files.exists(folder):
         return []
     found = []
@@ -35,27 +56,156 @@ def _location(path: str, version: int) -> str:
     return f"{expand_home(path)}/{_PREFIX}{version:010d}"
 
 
+def _changed_key(spark: SparkSession, path: str, version: int) -> str | None:
+    """The key of a version that holds changes, or None for one that holds the table."""
+    files, marker = _files(spark, path), _path(spark, _location(path, version), _CHANGES)
+    if not files.exists(marker):
+        return None
+    stream = files.open(marker)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def latest_version(spark: SparkSession, path: str) -> int:
+    """The number to build on: of the newest version, or 0."""
+    return max(_versions(spark, path, finished=False), default=0)
+
+
+def _publish(table: DataFrame, path: str, number: int, changed_key: str | None = None) -> None:
+    """Write aside, then rename; raises ``VersionConflict`` if the number is taken."""
+    spark, files = table.sparkSession, _files(table.sparkSession, path)
+    staged = f"{expand_home(path)}/_staged-{uuid4().hex}"
+    table.write.parquet(staged)
+    if changed_key is not None:
+        out = files.create(_path(spark, staged, _CHANGES))
+        out.write(changed_key.encode())
+        out.close()
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 0)
+    try:
+        context.rename(_path(spark, staged), _path(spark, _location(path, number)), options)
+    except Py4JJavaError as error:
+        files.delete(_path(spark, staged), True)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            raise VersionConflict(f"version {number} of {path} is taken") from None
+        raise
+
+
 def write_version(
-    table: DataFrame, path: str, version: int | None = None, keep: int | None = None
+    table: DataFrame, path: str, base: int | None = None, keep: int | None = None
 ) -> int:
-    """Write the next version and return its number.
+    """Publish the table as the next version and return its number.
 
-    Two writers of one version cannot both succeed. Giving the number, as a streaming
-    query does with its batch number, makes a repeated write replace itself. ``keep``
-    drops all but that many versions once the new one is complete.
+    With ``base``, the version that the table was made from, it fails if there is a newer
+    one. Without, the table replaces whatever is there. ``keep`` drops all but that many
+    whole versions, and the changes before them, once the new one is there.
     """
     spark = table.sparkSession
-    known = _versions(spark, path, finished=False)
-    number = version if version is not None else (known[-1] + 1 if known else 1)
-    mode = "error" if version is None else "overwrite"
-    table.write.mode(mode).parquet(_location(path, number))
-    if keep is not None:
-        folder, files = _folder(spark, path)
-        for old in [n for n in known if n < number][: -(keep - 1) or None]:
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path(_location(path, old)), True)
+    for _ in range(TRIES):
+        number = (latest_version(spark, path) if base is None else base) + 1
+        try:
+            _publish(table, path, number)
+        except VersionConflict:
+            if base is not None:
+                raise
+            continue
+        if keep is not None:
+            _drop_old(spark, path, keep)
+        return number
+    raise VersionConflict(f"{path} is written too often by others")
+
+
+def _drop_old(spark: SparkSession, path: str, keep: int) -> None:
+    known = _versions(spark, path, finished=True)
+    whole = [n for n in known if _changed_key(spark, path, n) is None]
+    files = _files(spark, path)
+    for old in [n for n in known if whole[-keep:] and n < whole[-keep:][0]]:
+        files.delete(_path(spark, _location(path, old)), True)
+
+
+def merge_version(
+    spark: SparkSession,
+    path: str,
+    merge: Callable[[DataFrame | None], DataFrame],
+    keep: int | None = None,
+) -> int:
+    """Publish ``merge`` of the newest version, and merge again if another writer was faster."""
+    for _ in range(TRIES):
+        base = latest_version(spark, path)
+        try:
+            return write_version(merge(read_latest(spark, path)), path, base, keep)
+        except VersionConflict:
+            continue
+    raise VersionConflict(f"{path} is written too often by others")
+
+
+def write_changes(
+    changes: DataFrame, path: str, key: str, compact_every: int = 20, keep: int = 2
+) -> int:
+    """Publish rows that replace or join those with their key, each key once.
+
+    Costs as much as the changes; every ``compact_every`` of them the whole table is written
+    again, unless another writer publishes meanwhile.
+    """
+    spark = changes.sparkSession
+    stored = cut_lineage(changes)
+    for _ in range(TRIES):
+        number = latest_version(spark, path) + 1
+        try:
+            _publish(stored, path, number, key)
+            break
+        except VersionConflict:
+            continue
+    else:
+        raise VersionConflict(f"{path} is written too often by others")
+    if len(_changes_since_whole(spark, path)[1]) >= compact_every:
+        try:
+            write_version(read_latest(spark, path), path, number, keep)
+        except VersionConflict:
+            pass  # whoever was faster will compact
     return number
 
 
+def _changes_since_whole(spark: SparkSession, path: str) -> tuple[int | None, list[int]]:
+    """The newest whole version and the changes after it, oldest first."""
+    changes: list[int] = []
+    for number in reversed(_versions(spark, path, finished=True)):
+        if _changed_key(spark, path, number) is None:
+            return number, changes[::-1]
+        changes.append(number)
+    return None, changes[::-1]
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
-    finished = _versions(spark, path, finished=True)
-    return spark.read.parquet(_location(path, finished[-1])) if finished else None
+    """The newest whole version with all later changes, or None if there is nothing."""
+    whole, changes = _changes_since_whole(spark, path)
+    table = None if whole is None else spark.read.parquet(_location(path, whole))
+    if not changes:
+        return table
+    key = _changed_key(spark, path, changes[-1])
+    parts = [
+        spark.read.parquet(_location(path, n)).withColumn(_VERSION, F.lit(n)) for n in changes
+    ]
+    changed = parts[0]
+    for part in parts[1:]:
+        changed = changed.unionByName(part)
+    columns = [name for name in changed.columns if name not in (key, _VERSION)]
+    if table is None:
+        table = changed.drop(_VERSION).limit(0)
+    return upsert(table, changed, key, [_VERSION], columns)
+
+
+def merge_table(
+    spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Replace a table of the session's catalog by ``merge`` of it.
+
+    The merged rows are written to the shared folder first, as a table cannot be read while
+    it is overwritten. Whether readers see a moment without rows depends on the table's
+    format; a format with row-level merges of its own is better served by those.
+    """
+    cut_lineage(merge(spark.read.table(table))).write.mode("overwrite").insertInto(table)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +18,9 @@ def builtin_mapping(
     return spark.createDataFrame(list(rows), MAPPING)
 
 
-def _read_sheet(spark: SparkSession, path: str) -> DataFrame:
-    # A sheet holds about a million rows at most, so it fits one machine by its format.
-    frame = pd.read_excel(path)
-    return spark.createDataFrame(frame)
-
-
 def _read_mapping(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith((".xlsx", ".xls")):
-        return _read_sheet(spark, path)
+        raise ValueError(f"{path} is a sheet: save it as CSV or Parquet, which Spark reads")
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
     return spark.read.schema(MAPPING).option("header", True).csv(path)
@@ -39,19 +32,15 @@ def load_mapping(
     fallback: Iterable[tuple[int, str]] | None = None,
     validate_unique: bool = False,
 ) -> DataFrame:
-    """Read the mapping from CSV, Parquet or a sheet.
+    """Read the mapping from CSV or Parquet.
 
-    ``fallback`` rows replace a mapping that is missing or, for a sheet, unreadable for
-    want of a reader; without them the error is raised. Every other error is raised too.
+    ``fallback`` rows replace a mapping whose path does not exist; without them the error is
+    raised. Every other error is raised too, also that of a sheet.
     A code that occurs more than once multiplies its records, unless ``validate_unique``
     turns it into an error.
     """
     try:
         mapping = _read_mapping(spark, expand_home(path))
-    except (FileNotFoundError, ImportError):
-        if fallback is None:
-            raise
-        return builtin_mapping(spark, fallback)
     except AnalysisException as error:
         if fallback is None or error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -1,6 +1,6 @@
 """Reports and lookups as Structured Streaming queries, and their control."""
 
-from meterline.streaming.control import progress_rows, stop_all
+from meterline.streaming.control import ProgressLog, log_progress, progress_rows, stop_all
 from meterline.streaming.jobs import start_reports, stream_upsert
 from meterline.streaming.queries import (
     read_complete,
@@ -12,6 +12,8 @@ from meterline.streaming.queries import (
 )
 
 __all__ = [
+    "ProgressLog",
+    "log_progress",
     "progress_rows",
     "read_complete",
     "read_updates",

@@ -3,74 +3,109 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from meterline.operators import reports
-from meterline.operators.dimension import upsert
-from meterline.plans.revenue import FOLDERS
-from meterline.sinks.versions import write_version
-from meterline.sources.tables import read_dimension
-from meterline.streaming.queries import EVERY_30_SECONDS, start_batches, stream_appended
+from meterline.operators.dimension import last_write, upsert
+from meterline.operators.rollup import daily_from, roll_up
+from meterline.plans.revenue import FOLDERS, reports_from
+from meterline.sinks.versions import merge_table, write_changes
+from meterline.sources.paths import expand_home
+from meterline.streaming.queries import EVERY_30_SECONDS, start_batches
+from meterline.streaming.runs import folders, remove, run_name
 
 
 def start_reports(
     records: DataFrame,
     mapping: DataFrame,
-    target: str,
-    checkpoints: str,
+    targets: str | list[str],
+    checkpoint: str,
     key: str = "PAYTYPE_515",
     width: str = reports.INTERVAL,
     delay: str = reports.DELAY,
-    day_starts: str | None = None,
     form: str = "csv",
+    name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
-) -> dict[str, StreamingQuery]:
-    """One append query per report, each with its own folder and its own checkpoint.
+) -> StreamingQuery:
+    """One query that reads the stream once and writes all four reports to every target.
 
-    The stream is read once per report. Where that costs too much, append ``roll_up`` of
-    the stream instead and make the reports from its table with ``plans.reports_from``.
+    It rolls the records up by date, interval and pay type; each micro-batch makes the
+    reports from the rows that have become final. Intervals are written once the watermark
+    has passed them. A day is written once an interval of a later day is; the rows of open
+    days, a few per interval, lie beside the checkpoint. Dates are those of the session's
+    zone, also where that has summer time. Files lie in one folder for each batch, which a
+    repeated batch replaces; read them with ``recursiveFileLookup``.
     """
-    frames = {
-        "daily_revenue": reports.daily_revenue(records, delay, day_starts),
-        "interval_revenue": reports.interval_revenue(records, key, width, delay),
-        "interval_min_max": reports.interval_min_max(records, key, width, delay),
-        "interval_count_by_name": reports.interval_count_by_name(
-            records, mapping, key, width, delay
-        ),
-    }
-    return {
-        name: stream_appended(
-            frame,
-            f"{target}/{FOLDERS[name]}",
-            f"{checkpoints}/{FOLDERS[name]}",
-            form=form,
-            name=name,
-            trigger=trigger,
-        )
-        for name, frame in frames.items()
-    }
+    places = [expand_home(t) for t in ([targets] if isinstance(targets, str) else targets)]
+    rolled = roll_up(records, key, width, delay)
+    run = run_name(records.sparkSession, checkpoint).removeprefix("run=")
+    state = f"{expand_home(checkpoint)}/open-days"
+
+    def write(report: DataFrame, folder: str, batch: int) -> None:
+        stored = report.persist()
+        try:
+            for place in places:
+                writer = stored.write.mode("overwrite").format(form)
+                writer = writer.option("header", True) if form == "csv" else writer
+                writer.save(f"{place}/{folder}/{run}-{batch:010d}")
+        finally:
+            stored.unpersist()
+
+    def make_reports(final: DataFrame, batch: int) -> None:
+        spark = final.sparkSession
+        final = final.persist()
+        try:
+            days = final
+            known = [n for n in folders(spark, state, "batch=") if n < batch]
+            if known:
+                before = spark.read.schema(final.schema).parquet(f"{state}/batch={known[-1]}")
+                days = days.unionByName(before)
+            newest = days.agg(F.max("date")).first()[0]
+            still_open = days.filter(F.col("date") >= F.lit(newest)) if newest else days
+            still_open.write.mode("overwrite").parquet(f"{state}/batch={batch}")
+            if newest and not final.isEmpty():
+                made = reports_from(final, mapping, key)
+                for report, folder in FOLDERS.items():
+                    if report != "daily_revenue":
+                        write(getattr(made, report), folder, batch)
+                closed = days.filter(F.col("date") < F.lit(newest))
+                write(daily_from(closed), FOLDERS["daily_revenue"], batch)
+            for old in known[:-1]:
+                remove(spark, f"{state}/batch={old}")
+        finally:
+            final.unpersist()
+
+    return start_batches(rolled, checkpoint, "append", make_reports, name, trigger)
 
 
 def stream_upsert(
     updates: DataFrame,
-    dimension_path: str,
+    dimension_path: str | None,
     checkpoint: str,
     key: str,
     order: list[str],
     columns: list[str],
     keep: int = 2,
+    compact_every: int = 20,
+    table: str | None = None,
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Merge every micro-batch into the dimension, as its next version.
+    """Merge every micro-batch into the dimension.
 
     Within a batch the last write by ``order`` wins, and a later batch wins over an earlier
-    one. A batch that is repeated after a failure leads to the same rows again.
+    one. A batch that is repeated after a failure leads to the same rows again. A batch
+    writes only the rows it changes, and the whole dimension every ``compact_every``
+    batches. With ``table``, a table of the catalog is overwritten instead.
     """
-    schema = updates.select(key, *columns).schema
 
     def merge(batch: DataFrame, _: int) -> None:
-        base = read_dimension(batch.sparkSession, dimension_path, schema=schema)
-        write_version(upsert(base, batch, key, order, columns), dimension_path, keep=keep)
+        if table:
+            spark = batch.sparkSession
+            merge_table(spark, table, lambda base: upsert(base, batch, key, order, columns))
+        elif not batch.isEmpty():
+            latest = last_write(batch, key, order, columns)
+            write_changes(latest, dimension_path, key, compact_every, keep)
 
     return start_batches(updates, checkpoint, "append", merge, name, trigger)

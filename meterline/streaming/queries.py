@@ -19,6 +19,7 @@ from meterline.schemas import REQUEST_TOPIC
 from meterline.sinks.request_log import log_messages
 from meterline.sinks.versions import read_latest, write_version
 from meterline.sources.paths import expand_home
+from meterline.streaming.runs import folders, remove, run_name
 
 # Fixed value: the time between two micro-batches.
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
@@ -91,10 +92,14 @@ def stream_complete(
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Write the whole sorted report on every trigger, as a new version below ``path``."""
+    """Write the whole sorted report on every trigger, as the next version below ``path``.
 
-    def replace(report: DataFrame, batch: int) -> None:
-        write_version(report.orderBy(*order), path, version=batch, keep=keep)
+    A repeated batch writes the same report once more, and a new checkpoint goes on with
+    the next number, so the newest version is always the current report.
+    """
+
+    def replace(report: DataFrame, _: int) -> None:
+        write_version(report.orderBy(*order), path, keep=keep)
 
     return start_batches(stream, checkpoint, "complete", replace, name, trigger)
 
@@ -107,20 +112,55 @@ def stream_updates(
     stream: DataFrame,
     path: str,
     checkpoint: str,
+    keys: list[str] | None = None,
+    compact_every: int = 100,
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
-    """Write the rows each trigger changed. A repeated batch replaces its own folder."""
+    """Write the rows each trigger changed. A repeated batch replaces its own folder.
+
+    The folders of one checkpoint lie together, so a new one starts a report of its own.
+    With ``keys``, all changes are joined to one table every ``compact_every`` batches.
+    """
+    path = expand_home(path)
+    folder = f"{path}/{run_name(stream.sparkSession, checkpoint)}"
 
     def keep_changes(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{expand_home(path)}/batch={batch}")
+        spark = changed.sparkSession
+        changed.write.mode("overwrite").parquet(f"{folder}/changes/batch={batch}")
+        if keys and (batch + 1) % compact_every == 0:
+            compact_updates(spark, folder, keys, batch)
 
     return start_batches(stream, checkpoint, "update", keep_changes, name, trigger)
 
 
-def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The report as of now: the last change of every key."""
-    changes = spark.read.parquet(expand_home(path))
+def compact_updates(spark: SparkSession, folder: str, keys: list[str], batch: int) -> None:
+    """Join the changes up to a batch; the folders they came from go once that is written."""
+    if batch not in folders(spark, f"{folder}/joined", "batch="):
+        current = _last_changes(spark, folder, keys).withColumn("batch", F.lit(batch))
+        current.drop("batch").write.mode("overwrite").parquet(f"{folder}/joined/batch={batch}")
+    for kind in ("changes", "joined"):
+        for old in folders(spark, f"{folder}/{kind}", "batch=", finished=False):
+            if old < batch or (kind == "changes" and old == batch):
+                remove(spark, f"{folder}/{kind}/batch={old}")
+
+
+def _last_changes(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
+    joined = folders(spark, f"{folder}/joined", "batch=")
+    since = max(joined, default=-1)
+    places = [f"{folder}/joined/batch={since}"] if joined else []
+    for batch in folders(spark, f"{folder}/changes", "batch="):
+        if batch > since:
+            places.append(f"{folder}/changes/batch={batch}")
+    numbered = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("long")
+    changes = spark.read.parquet(*places).withColumn("batch", numbered)
     values = [name for name in changes.columns if name not in (*keys, "batch")]
     last = F.max_by(F.struct(*values), "batch").alias("last")
     return changes.groupBy(*keys).agg(last).select(*keys, "last.*")
+
+
+def read_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The report as of now: the last change of every key, of the newest checkpoint."""
+    path = expand_home(path)
+    newest = max(folders(spark, path, "run=", finished=False, number=str))
+    return _last_changes(spark, f"{path}/run={newest}", keys)

@@ -10,14 +10,14 @@ def test_reports(spark, tmp_path, capsys):
     target = str(tmp_path / "out")
     arguments = ["reports", str(tmp_path / "brief.csv"), "--brief", "--fallback", "--single-file"]
     assert main([*arguments, "--mapping", str(tmp_path / "absent.csv"), "--target", target]) == 0
-    assert "174000.0" in capsys.readouterr().out
+    assert "89.125" in capsys.readouterr().out
     (daily,) = (tmp_path / "out" / "daily_revenue").glob("*.csv")
-    assert daily.read_text() == "date,total_revenue\n2021-06-22,174000.0\n"
+    assert daily.read_text() == "date,total_revenue\n2023-11-05,89.125\n"
 
 
 def test_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    later = "12:00:00 2021/06/25,0,1000\n"
+    later = "12:00:00 2023/11/06,0,1000\n12:00:00 2023/11/08,0,1000\n"
     (tmp_path / "in" / "brief.csv").write_text(BRIEF_ROWS + later)
     (tmp_path / "map.csv").write_text("PayType,value\n0,Prepaid\n")
     target = tmp_path / "out"
@@ -25,11 +25,12 @@ def test_stream(spark, tmp_path):
     arguments += [str(tmp_path / "map.csv"), "--target", str(target)]
     assert main([*arguments, "--checkpoints", str(tmp_path / "checkpoints")]) == 0
     lines = set()
-    for file in (target / "daily_revenue").glob("*.csv"):
+    for file in (target / "daily_revenue").rglob("*.csv"):
         lines |= set(file.read_text().splitlines())
-    assert lines == {"date,total_revenue", "2021-06-22,174000.0"}
-    named = spark.read.option("header", True).csv(str(target / "revenue_count_15min_by_paytype"))
-    assert named.filter("value IS NULL").count() == 3 and named.count() == 6
+    assert lines == {"date,total_revenue", "2023-11-05,89.125"}
+    reader = spark.read.option("header", True).option("recursiveFileLookup", True)
+    named = reader.csv(str(target / "revenue_count_15min_by_paytype"))
+    assert named.filter("value IS NULL").count() == 3 and named.count() == 8
     assert spark.streams.active == []
 
 

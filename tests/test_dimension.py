@@ -25,7 +25,7 @@ from meterline import (
 from meterline.operators.joins import fits_broadcast, hot_keys, salted_join, sized_join
 from meterline.plans.dimension import dimension_from
 from meterline.schemas import DIMENSION_ALIASES
-from meterline.sinks.versions import read_latest
+from meterline.sinks.versions import VersionConflict, merge_version, read_latest, write_changes
 
 
 @pytest.fixture
@@ -142,6 +142,63 @@ def test_unfinished_and_old_versions(spark, tmp_path):
     assert write_version(spark.range(1), path) == 10
 
 
+def test_two_writers_of_one_base(spark, tmp_path):
+    """The slower one fails, and merges again on what the faster one has written."""
+    path = str(tmp_path / "table")
+    schema = "name string, country_code string"
+    write_version(spark.createDataFrame([("a", "0")], schema), path)
+    mine = upsert_row(spark, read_latest(spark, path), "b")
+    assert write_version(upsert_row(spark, read_latest(spark, path), "c"), path, base=1) == 2
+    with pytest.raises(VersionConflict):
+        write_version(mine, path, base=1)
+    seen = []
+
+    def merge(base):
+        if not seen:  # somebody is faster once more
+            write_version(upsert_row(spark, base, "d"), path, base=2)
+        seen.append(bag(base))
+        return upsert_row(spark, base, "b")
+
+    assert merge_version(spark, path, merge) == 4
+    assert len(seen) == 2
+    assert sorted(r.name for r in read_latest(spark, path).collect()) == ["a", "b", "c", "d"]
+    assert not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("_")]
+
+
+def upsert_row(spark, base, name):
+    return base.unionByName(spark.createDataFrame([(name, "0")], base.schema))
+
+
+def test_changes_are_laid_over_versions(spark, tmp_path):
+    path, schema = str(tmp_path / "table"), "name string, country_code string"
+    expected: dict = {}
+    for number in range(9):
+        changes = {f"k{number % 4}": str(number), f"n{number}": "new"}
+        rows_ = spark.createDataFrame(list(changes.items()), schema)
+        write_changes(rows_, path, "name", compact_every=3, keep=1)
+        expected |= changes
+        assert dict(rows(read_latest(spark, path))) == expected
+    assert len(list((tmp_path / "table").iterdir())) <= 4
+    # A whole version replaces all changes before it.
+    write_version(spark.createDataFrame([("only", "1")], schema), path)
+    assert rows(read_latest(spark, path)) == [("only", "1")]
+
+
+def test_loading_into_a_catalog_table(spark, city_files, tmp_path):
+    empty = empty_dimension(spark)
+    empty.write.option("path", str(tmp_path / "t")).format("parquet").saveAsTable("loaded_cities")
+    try:
+        load_into(spark, city_files, table="loaded_cities")
+        more = tmp_path / "more"
+        more.mkdir()
+        (more / "d.csv").write_text("name,country_code\nAustin,AUS\nOslo,NOR\n")
+        load_into(spark, str(more), table="loaded_cities")
+        merged = dict(rows(read_dimension(spark, table="loaded_cities")))
+    finally:
+        spark.sql("DROP TABLE loaded_cities")
+    assert merged["Austin"] == "AUS" and merged["Oslo"] == "NOR" and len(merged) == 6
+
+
 def test_reading_a_catalog_table(spark):
     cities = spark.createDataFrame([("A", "B")], "name string, country_code string")
     cities.createOrReplaceTempView("cities")

@@ -56,24 +56,29 @@ def records(spark):
 
 
 def test_brief_sample(spark, brief):
+    def on(text: str) -> datetime:
+        return datetime.fromisoformat(f"2023-11-05 {text}")
+
+    assert rows(daily_revenue(brief)) == [(on("00:00").date(), 89.125)]
     assert rows(interval_revenue(brief, "PayType")) == [
-        (0, 55000.0, at("12:30")),
-        (1, 15000.0, at("12:30")),
-        (2, 20000.0, at("12:30")),
-        (0, 22000.0, at("12:45")),
-        (1, 18000.0, at("12:45")),
-        (0, 28000.0, at("13:00")),
-        (1, 16000.0, at("13:00")),
+        (1, 4.0, on("08:00")),
+        (0, 4.0, on("08:15")),
+        (2, 0.75, on("08:15")),
+        (0, 0.125, on("08:30")),
+        (1, 60.0, on("22:45")),
+        (2, 10.25, on("22:45")),
+        (0, 0.875, on("23:00")),
+        (0, 9.125, on("23:45")),
     ]
-    assert rows(interval_min_max(brief, "PayType"))[0] == (0, 25000.0, 30000.0, at("12:30"))
+    assert rows(interval_min_max(brief, "PayType"))[0] == (1, 1.5, 2.5, on("08:00"))
     named = rows(interval_count_by_name(brief, builtin_mapping(spark, THREE), "PayType"))
     assert named[:3] == [
-        ("Corporate", 1, 20000.0, at("12:30")),
-        ("Postpaid", 1, 15000.0, at("12:30")),
-        ("Prepaid", 2, 55000.0, at("12:30")),
+        ("Postpaid", 2, 4.0, on("08:00")),
+        ("Corporate", 1, 0.75, on("08:15")),
+        ("Prepaid", 1, 4.0, on("08:15")),
     ]
     fallback = rows(interval_count_by_name(brief, builtin_mapping(spark), "PayType"))
-    assert fallback[0] == (None, 1, 20000.0, at("12:30"))
+    assert fallback[1] == (None, 1, 0.75, on("08:15"))
 
 
 def test_windows_are_half_open_and_nulls_group(records):
