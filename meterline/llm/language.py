@@ -36,8 +36,11 @@ SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 20_000
 MOST_LANGUAGES = 500  # the most frequent ones
 
-# Of the sampled texts left out, the accepted ones must be right this often.
-TARGET_PRECISION = 0.995
+# Of the sampled texts left out, the accepted ones must be right this often. A best language
+# that is not even so many times as likely as chance is rejected in any case.
+TARGET_PRECISION = 0.99
+LEAST_LIFT = 1.2
+MOST_LIMIT = 0.5
 
 
 @dataclass(frozen=True)
@@ -213,7 +216,8 @@ def descend(examples: list, wanted: np.ndarray, kinds: int, rng: np.random.Gener
 def calibrated(model: LanguageModel, logits: np.ndarray, wanted: np.ndarray) -> LanguageModel:
     """With the temperature of least loss, and the least limit that keeps the precision.
 
-    The limit never lies above an even chance against all other languages together.
+    The limit lies a little above chance at least, and never above an even chance against
+    all other languages together: a text in two languages is no reason to drop it.
     """
     temperatures = np.geomspace(0.25, 8, 61)
     losses = [
@@ -224,7 +228,8 @@ def calibrated(model: LanguageModel, logits: np.ndarray, wanted: np.ndarray) ->
     chances = softmax(logits / temperature)
     best, right = chances.max(axis=1), chances.argmax(axis=1) == wanted
     limit = 0.0
-    for candidate in np.linspace(0, 0.5, 51):
+    chance = LEAST_LIFT / len(model.languages)
+    for candidate in np.linspace(min(chance, MOST_LIMIT), MOST_LIMIT, 51):
         limit = float(candidate)
         accepted = best >= candidate
         if not accepted.any() or right[accepted].mean() >= TARGET_PRECISION:

@@ -102,10 +102,15 @@ def test_one_row_per_language(spark):
 
 
 def test_uncertain_texts_are_rejected():
-    chances = np.array([[4.0, 0], [3, 0], [0.2, 0], [0, 3.0]] * 50)
-    wanted = np.array([0, 0, 1, 1] * 50)
-    empty = language.LanguageModel(("a", "b"), np.zeros((1, 2)), np.zeros(2), 1.0, 0.0)
-    fitted = language.calibrated(empty, chances, wanted)
-    best = language.softmax(chances / fitted.temperature).max(axis=1)
-    assert (best[2::4] < fitted.limit).all() or fitted.limit == 0.5
-    assert (best[0::4] >= fitted.limit).all()
+    """The least limit at which the accepted ones are right often enough, above chance."""
+    wanted = np.array([0, 1, 2, 3] * 100)
+    sure = np.eye(4)[wanted] * 4
+    unsure = np.tile([0.6, 0, 0, 0], (400, 1))
+    logits, goal = np.concatenate([sure, unsure]), np.concatenate([wanted, wanted])
+    empty = language.LanguageModel(("a", "b", "c", "d"), np.zeros((1, 4)), np.zeros(4), 1.0, 0.0)
+    fitted = language.calibrated(empty, logits, goal)
+    best = language.softmax(logits / fitted.temperature).max(axis=1)
+    assert (best[:400] >= fitted.limit).all() and (best[400:] < fitted.limit).all()
+    # Nothing wrong, nothing rejected but what is hardly above chance.
+    fitted = language.calibrated(empty, sure, wanted)
+    assert fitted.limit == pytest.approx(1.2 / 4)
