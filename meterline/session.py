@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,3 +88,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = new_folder(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where they would not find it by themselves.
+
+    They find it if the driver runs in its folder or names that in PYTHONPATH. Otherwise its
+    modules are sent along once, as a zip file.
+    """
+    root, context = Path(__file__).resolve().parents[1], spark.sparkContext
+    known = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if str(root) in map(os.path.realpath, known) or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="meterline-")) / "meterline.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted((root / "meterline").rglob("*.py")):
+            packed.write(module, module.relative_to(root))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
