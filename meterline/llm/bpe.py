@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meterline.llm.columns import by_slices, hidden, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, shown
 
 CHUNK_CHARS = 1 << 16  # of a text at once
 BUFFER_SYMBOLS = 1 << 12  # of a long piece at once
@@ -406,7 +406,7 @@ def per_text(docs: DataFrame, text_col: str, results: list[T.StructField], work)
             )
 
     schema = T.StructType([*source.schema.fields, *results])
-    return shown(source.mapInArrow(compute, schema), names, *(f.name for f in results))
+    return shown(in_batches(source, compute, schema), names, *(f.name for f in results))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -434,7 +434,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", words: bool = Tr
             yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
     schema = T.StructType([*source.schema.fields, T.StructField("decoded", T.StringType())])
-    return shown(source.mapInArrow(compute, schema), names, "decoded")
+    return shown(in_batches(source, compute, schema), names, "decoded")
 
 
 def token_digests(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:

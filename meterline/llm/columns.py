@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from meterline.session import ship_package
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -35,6 +38,12 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def in_batches(df: DataFrame, work: Callable, schema: T.StructType | str) -> DataFrame:
+    """``df`` through a function of Arrow batches, which may use this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(work, schema)
+
+
 def by_slices(
     batches: Iterable[pa.RecordBatch], text: str, most_bytes: int = 8 << 20
 ) -> Iterator[pa.RecordBatch]:

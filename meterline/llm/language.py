@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.columns import by_slices, hidden, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, shown
 
 UNKNOWN = "und"
 LONGEST_GRAM = 4
@@ -271,7 +271,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
         T.StructField("score", T.DoubleType()),
         T.StructField("accepted", T.BooleanType()),
     ]
-    judged = source.mapInArrow(judge, T.StructType([*source.schema.fields, *added]))
+    judged = in_batches(source, judge, T.StructType([*source.schema.fields, *added]))
     return shown(judged, names, "lang_pred", "score", "accepted")
 
 

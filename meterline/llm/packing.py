@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.llm.bpe import encoder
-from meterline.llm.columns import by_slices, hidden
+from meterline.llm.columns import by_slices, hidden, in_batches
 from meterline.session import cut_lineage
 
 CAPACITY = 2048
@@ -101,7 +101,7 @@ def cut_pieces(
                 ["_id", "piece", "start", "length", "ids_crc32"],
             )
 
-    return source.mapInArrow(compute, schema)
+    return in_batches(source, compute, schema)
 
 
 def placed(pieces: DataFrame, capacity: int, most_open: int) -> DataFrame:
@@ -117,7 +117,7 @@ def placed(pieces: DataFrame, capacity: int, most_open: int) -> DataFrame:
 
     added = [T.StructField(name, T.LongType()) for name in ("sequence_id", "offset")]
     schema = T.StructType([*pieces.schema.fields, *added])
-    return pieces.mapInArrow(compute, schema)
+    return in_batches(pieces, compute, schema)
 
 
 def pack(

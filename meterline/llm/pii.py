@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from meterline.llm import char_tagger
 from meterline.llm.char_tagger import Tagger
-from meterline.llm.columns import by_slices, hidden, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, shown
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -302,7 +302,7 @@ def find(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Data
             yield batch.append_column("personal", pa.array(rows, to_arrow_type(kind)))
 
     schema = T.StructType([*source.schema.fields, T.StructField("personal", kind)])
-    return shown(source.mapInArrow(search, schema), names, "personal")
+    return shown(in_batches(source, search, schema), names, "personal")
 
 
 def listed(spans: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.llm import golay
-from meterline.llm.columns import by_slices, hidden, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, shown
 from meterline.llm.components import components
 from meterline.session import cut_lineage
 
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
     rest = [c for c in docs.columns if c != text_col]
     plain = docs.select(*rest, F.col(text_col).cast("binary").alias("_text"))
     schema = T.StructType([*docs.select(*rest).schema.fields, T.StructField("_fp", T.LongType())])
-    return plain.mapInArrow(compute, schema)
+    return in_batches(plain, compute, schema)
 
 
 def keys_of(values: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray]]:
@@ -116,7 +116,7 @@ def key_rows(distinct: DataFrame, wide: bool) -> DataFrame:
                             [pa.array(keys.view(np.int64)), pa.array(signed[rows])], ["_key", name]
                         )
 
-    return distinct.mapInArrow(emit, f"_key long, {name} long")
+    return in_batches(distinct, emit, f"_key long, {name} long")
 
 
 def close_pairs(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:

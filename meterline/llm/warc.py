@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.columns import hidden
+from meterline.llm.columns import hidden, in_batches
 from meterline.session import cut_lineage, new_folder
 
 # Fixed values of the format.
@@ -178,8 +178,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                             rows = []
                 yield batch_of(rows)
 
-    return files.select("content").mapInArrow(
-        parse, "key string, record_type string, payload_digest string, payload_bytes long, refers_to string"
+    return in_batches(files.select("content"), parse, "key string, record_type string, payload_digest string, payload_bytes long, refers_to string"
     )
 
 
