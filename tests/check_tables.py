@@ -51,7 +51,7 @@ def main() -> int:
 
     arguments = sys.argv[1:]
     folder = arguments[0] if arguments else "/root/testdata/sf0.01"
-    wanted = arguments[1:] or list(queries())
+    wanted = arguments[1:] or list(oracle_sql())
     spark = build_session("check", "local[8]", spark__sql__shuffle__partitions="8")
     spark.sparkContext.setLogLevel("OFF")
     connection = open_tables(folder)
