@@ -269,7 +269,8 @@ def _totals_before(totals: DataFrame, inner: int) -> DataFrame:
     if inner == 1:
         return sums_before(totals, W.orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1))
     coarse = F.floor(F.col(_RANGE) / inner).cast("int").alias("__coarse")
-    fine = totals.select(coarse, _RANGE, *names)
+    # Read twice below, so the rows behind it are read once.
+    fine = cut_lineage(totals.select(coarse, _RANGE, *names))
     in_coarse = W.partitionBy("__coarse").orderBy(_RANGE).rowsBetween(W.unboundedPreceding, -1)
     earlier = sums_before(
         fine.groupBy("__coarse").agg(*[F.sum(n).alias(n) for n in names]),

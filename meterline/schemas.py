@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 # The 16 columns of a full call-detail record, in file order.
-# The start date does not fit an int; the record id may be in scientific notation and
-# the subscriber numbers are too long for a bigint, so these three stay text.
 FULL_CDR = T.StructType(
     [
         T.StructField("ROAMSTATE_519", T.IntegerType()),

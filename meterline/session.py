@@ -49,6 +49,7 @@ def build_session(
 
 def object_store_settings(endpoint: str, access_key: str, secret_key: str) -> dict[str, str]:
     """Settings for an S3-compatible store addressed by path, to pass on to ``config``."""
+    # The names of the file system's settings.
     prefix = "spark.hadoop.fs.s3a."
     return {
         prefix + "endpoint": endpoint if "://" in endpoint else f"http://{endpoint}",
