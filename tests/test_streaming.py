@@ -460,7 +460,7 @@ def test_joined_updates_replace_their_folders(spark, three_days, tmp_path):
 
 def test_progress_beyond_what_spark_remembers(spark, tmp_path):
     source, kept = str(tmp_path / "in"), str(tmp_path / "progress")
-    spark.range(130 * 7).repartition(130).write.parquet(source)
+    spark.range(40 * 7).repartition(40).write.parquet(source)
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "20")
     listener = log_progress(spark, kept)
     try:
@@ -473,8 +473,8 @@ def test_progress_beyond_what_spark_remembers(spark, tmp_path):
         spark.streams.removeListener(listener)
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     progress = progress_rows(spark, kept, query)
-    assert progress.agg(F.sum("input_rows")).first()[0] == 130 * 7
-    assert progress.filter("input_rows > 0").select("batch_id").distinct().count() == 130
+    assert progress.agg(F.sum("input_rows")).first()[0] == 40 * 7
+    assert progress.filter("input_rows > 0").select("batch_id").distinct().count() == 40
 
 
 def test_amounts_in_a_stream_keep_their_type(spark, three_days):
