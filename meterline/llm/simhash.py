@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.llm import golay
-from meterline.llm.columns import by_slices, hidden, in_batches, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, shown, shuffle_partitions
 from meterline.llm.components import components
 from meterline.session import cut_lineage
 
@@ -123,7 +123,9 @@ def close_pairs(distinct: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """All pairs a < b of the fingerprints in ``_fp`` that differ in 1 to ``most_bits`` bits."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError(f"the keys find differences of up to {MOST_BITS} bits")
-    met = key_rows(distinct, True).join(key_rows(distinct, False), "_key")
+    # A fingerprint makes about 70 keys, so the few bytes of many are spread before.
+    spread = distinct.repartition(shuffle_partitions(distinct), "_fp")
+    met = key_rows(spread, True).join(key_rows(spread, False), "_key")
     differing = F.bit_count(F.col("_a").bitwiseXOR(F.col("_b")))
     return met.filter(differing.between(1, most_bits)).select(
         F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b")

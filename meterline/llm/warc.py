@@ -156,7 +156,6 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     raises. Keys are strings; payload bytes of a revisit are null. A folder without archives
     gives an empty table.
     """
-    # The archives of one call are read by as many tasks as there are.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
 
     def parse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
