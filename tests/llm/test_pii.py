@@ -139,9 +139,11 @@ def test_a_long_text_is_tagged_as_its_parts(tagger):
     assert np.mean(hit) > 0.9
 
 
-def test_windows_without_digits_or_at_signs_have_no_tags(tagger):
+def test_windows_without_telling_signs_have_no_tags(tagger):
     (tags,) = pii.tagged([pii.symbols("no such thing " * 50)], tagger)
     assert not tags.any()
+    telling = [i for i, sign in enumerate(pii.SIGNS, 6) if sign in "@(["]
+    assert np.flatnonzero(pii.TELLING).tolist() == sorted([pii.DIGIT, *telling])
 
 
 def test_nulls_empty_texts_and_repeats(docs_of, tagger):
