@@ -175,7 +175,7 @@ def fit(
         return model
     left = [t for t, out in zip(texts + fragments, [*parts, *parts], strict=True) if out]
     logits = means([code_points(t) for t in left], weights)[0] + bias
-    return calibrated(model, logits, np.concatenate([wanted[parts], wanted[parts]]))
+    return calibrated(model, logits, np.concatenate([wanted[parts], wanted[parts]]), parts.sum())
 
 
 def fragment(text: str, rng: np.random.Generator) -> str:
@@ -213,11 +213,15 @@ def descend(examples: list, wanted: np.ndarray, kinds: int, rng: np.random.Gener
     return embedding @ layer, bias
 
 
-def calibrated(model: LanguageModel, logits: np.ndarray, wanted: np.ndarray) -> LanguageModel:
+def calibrated(
+    model: LanguageModel, logits: np.ndarray, wanted: np.ndarray, wholes: int | None = None
+) -> LanguageModel:
     """With the temperature of least loss, and the least limit that keeps the precision.
 
     The limit lies a little above chance at least, and never above an even chance against
-    all other languages together: a text in two languages is no reason to drop it.
+    all other languages together: a text in two languages is no reason to drop it. Only the
+    first ``wholes`` rows count for the limit, those of whole texts: pieces of a few words
+    are for the temperature.
     """
     temperatures = np.geomspace(0.25, 8, 61)
     losses = [
@@ -226,7 +230,7 @@ def calibrated(model: LanguageModel, logits: np.ndarray, wanted: np.ndarray) ->
     ]
     temperature = float(temperatures[int(np.argmin(losses))])
     chances = softmax(logits / temperature)
-    best, right = chances.max(axis=1), chances.argmax(axis=1) == wanted
+    best, right = chances.max(axis=1)[:wholes], (chances.argmax(axis=1) == wanted)[:wholes]
     limit = 0.0
     chance = LEAST_LIFT / len(model.languages)
     for candidate in np.linspace(min(chance, MOST_LIMIT), MOST_LIMIT, 51):
