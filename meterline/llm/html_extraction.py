@@ -68,7 +68,6 @@ TAG_SCORES = {"a": -0.3, "li": -0.2, "div": -0.3, "td": -0.2, "tr": -0.2, "ul":
 LEAST_TAG_SCORE = -50.0
 LEAST_PROSE_SCORE = -0.2  # so that no paragraph of one word is lost
 PROSE = INLINE | {"p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote"}
-EXCLUDED_TAG_SCORE = -1.0
 EPOCHS = 3
 LEARNING_RATE = 0.05
 LEAST_SUPPORT = 20  # words that must be seen in an element before it is judged
@@ -194,13 +193,12 @@ class Page:
 
 
 def score(token: Token, weights: Weights) -> float:
+    if token.aside:
+        return 0.0
     if not token.key:
-        each = 0.0 if token.aside else LINK_WORD_SCORE if "a" in token.within else WORD_SCORE
-        return each * len(token.text.split())
+        return (LINK_WORD_SCORE if "a" in token.within else WORD_SCORE) * len(token.text.split())
     known = weights.tags.get(token.key)
-    if known is None:
-        known = default_score(token.key)
-    return max(known, EXCLUDED_TAG_SCORE) if token.aside else known
+    return default_score(token.key) if known is None else known
 
 
 def default_score(key: str) -> float:
@@ -270,8 +268,8 @@ def learn(pages: Iterable[tuple[str, str]]) -> Weights:
             found = best_region([score(t, weights) for t in tokens])
             if region_text(tokens[slice(*wanted)]) == region_text(tokens[slice(*found)]):
                 continue
-            change = Counter(t.key for t in tokens[slice(*wanted)] if t.key)
-            change.subtract(t.key for t in tokens[slice(*found)] if t.key)
+            change = Counter(t.key for t in tokens[slice(*wanted)] if t.key and not t.aside)
+            change.subtract(t.key for t in tokens[slice(*found)] if t.key and not t.aside)
             for key, n in change.items():
                 moved = tags.get(key, default_score(key)) + LEARNING_RATE * n
                 name = key.removeprefix("/").partition(".")[0]

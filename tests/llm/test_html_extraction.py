@@ -52,6 +52,16 @@ def test_small_pages(page, text):
     assert he.main_text(page, PLAIN) == text
 
 
+@pytest.mark.parametrize("box", ["nav", "aside", 'div class="related"'])
+def test_a_box_of_links_beside_a_short_text_costs_nothing(box):
+    links = "".join(f'<li><a href="/{i}">Link {i}</a></li>' for i in range(40))
+    box = f"<{box}><ul>{links}</ul></{box.partition(' ')[0]}>"
+    body = "one two three four five six seven " * 10
+    for parts in (("<h1>Title</h1><p>A short lead</p>", f"<p>{body}</p>"), (f"<p>{body}</p>", "<p>The end of it</p>")):
+        page = f"<body><article>{parts[0]}{box}{parts[1]}</article></body>"
+        assert he.main_text(page, PLAIN) == " ".join(re.sub("<.*?>", " ", " ".join(parts)).split())
+
+
 def test_pages_of_the_table(pages, spark):
     got = {r.page_id: r for r in op3_html_extraction(spark, "/root/testdata/sf0.01").collect()}
     assert len(got) == len(pages)
