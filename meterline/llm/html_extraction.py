@@ -13,7 +13,7 @@ import html
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -41,6 +41,7 @@ ASIDE_WORDS = {
 }
 HEADER_WORDS = {"header", "masthead", "banner", "topbar"}  # outside of articles only
 NOT_HIDDEN = {"html", "body", "article", "main"}
+NEGATING = {"has", "no", "with", "without"}  # what follows in a class does not name the element
 CLOSES = {  # an opened element ends an open one of these, looking no further than the stops
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -95,40 +96,71 @@ class Token:
 
 @dataclass
 class Element:
+    """An element in the order of the page; ``last`` is the number of the last one within."""
+
+    number: int
     name: str
     keys: tuple[str, ...]
-    aside: bool
+    up: Element | None
+    named: bool  # to leave out by its name, or as learned
+    worded: bool  # by a word of its class
+    closed: bool = False
+    last: int = 0
+    words: int = 0
+    plain: int = 0  # words outside of links and named ones
+    named_within: bool = False
+    aside: bool = False
 
 
 def keys_of(name: str, rest: str) -> tuple[str, ...]:
     words: dict[str, None] = {}
     for match in NAMING.finditer(rest) if "=" in rest else ():
-        for word in WORD.findall(match[1] or match[2] or match[3] or ""):
-            words[word.lower()] = None
+        for each in (match[1] or match[2] or match[3] or "").split():
+            parts = [word.lower() for word in WORD.findall(each)]
+            cut = next((i for i, word in enumerate(parts[:-1]) if word in NEGATING), len(parts))
+            words |= dict.fromkeys(parts[:cut])
+            if cut < len(parts):
+                words["-".join(parts[cut:])] = None
     return (name, *(f"{name}.{word}" for word in words))
 
 
-def is_aside(name: str, keys: tuple[str, ...], in_main: bool, weights: Weights) -> bool:
+def is_named(name: str, keys: tuple[str, ...], in_main: bool, weights: Weights) -> bool:
     if name in NOT_HIDDEN:
         return False
+    return name in ASIDE or not weights.aside.isdisjoint(keys) or (name == "header" and not in_main)
+
+
+def is_worded(name: str, keys: tuple[str, ...], in_main: bool) -> bool:
     words = {key.partition(".")[2] for key in keys[1:]}
-    if name in ASIDE or words & ASIDE_WORDS or not weights.aside.isdisjoint(keys):
-        return True
-    return not in_main and (name == "header" or bool(words & HEADER_WORDS))
+    if name == "article":
+        return bool(words & ASIDE_WORDS)
+    return name not in NOT_HIDDEN and bool(words & ASIDE_WORDS or (not in_main and words & HEADER_WORDS))
 
 
 class Page:
-    """Reads a page into tokens, with the elements open at each."""
+    """Reads a page into tokens, with the elements open at each.
+
+    Which elements are left out is known at the end of the page. A word of a class tells so
+    only of an element without most of the page's words (links aside), unless the main article
+    or element lies beside it; an article whose class says so is left out in such an element,
+    in the main article and behind it. The main article (the one of most words) counts even inside an element
+    to leave out, if no more words lie outside of all such. Other articles there do not.
+    """
 
     def __init__(self, weights: Weights):
-        self.weights, self.open = weights, []
+        self.weights = weights
+        self.never_closed: set[int] = set()
+        self.reset()
 
-    def aside(self) -> bool:
-        return any(e.aside for e in self.open)
+    def reset(self) -> None:
+        self.open: list[Element] = []
+        self.elements: list[Element] = []
+        self.around_main: set[int] = set()
 
     def pop_to(self, names: set[str], stops: set[str]) -> None:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].name in names:
+                self.open[i].closed = True
                 del self.open[i:]
                 return
             if self.open[i].name in stops:
@@ -141,55 +173,125 @@ class Page:
             self.pop_to({"p"}, PARAGRAPH_STOPS)
         if name in MAIN or name == "body":
             # Main text is not part of a menu that was never closed.
-            first = next((i for i, e in enumerate(self.open) if e.aside), len(self.open))
-            del self.open[first:]
+            hides = [i for i, e in enumerate(self.open) if e.named or e.worded]
+            if name in MAIN:
+                self.around_main.update(self.open[i].number for i in hides)
+                hides = [i for i in hides if self.open[i].number in self.never_closed]
+            del self.open[hides[0] if hides else len(self.open) :]
         keys = keys_of(name, rest)
         if name not in VOID and not rest.endswith("/>"):
             in_main = any(e.name in MAIN for e in self.open)
-            self.open.append(Element(name, keys, is_aside(name, keys, in_main, self.weights)))
+            up, number = self.open[-1] if self.open else None, len(self.elements)
+            named = is_named(name, keys, in_main, self.weights)
+            self.open.append(Element(number, name, keys, up, named, is_worded(name, keys, in_main), last=number))
+            self.elements.append(self.open[-1])
         return keys
 
     def end(self, name: str) -> tuple[str, ...]:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i].name == name:
                 keys = self.open[i].keys
+                self.open[i].closed = True
                 del self.open[i:]
                 return keys
         return (name,)
 
-    def tokens(self, page: str) -> Iterator[Token]:
+    def tokens(self, page: str) -> list[Token]:
+        self.reset()
+        parts = list(self.parts(page))
+        if never := {i for i in self.around_main if not self.elements[i].closed} - self.never_closed:
+            self.never_closed = never
+            self.reset()
+            parts = list(self.parts(page))
+        self.judge(parts)
+        return [replace(t, aside=True) if not t.aside and e and e.aside else t for t, e in parts]
+
+    def judge(self, parts: list[tuple[Token, Element | None]]) -> None:
+        """Tell of each element whether it, or one around it, is left out."""
+        if not any(e.named or e.worded for e in self.elements):
+            return
+        for e in self.elements:
+            e.named_within = e.named or bool(e.up and e.up.named_within)
+        own, plain, total, loose = Counter(), Counter(), 0, 0  # words right inside each
+        for token, e in parts:
+            if not token.key:
+                n = len(token.text.split())
+                if e is None:
+                    loose += n
+                else:
+                    own[e.number] += n
+                if "a" not in token.within and not (e and e.named_within):
+                    total += n
+                    if e:
+                        plain[e.number] += n
+        for e in reversed(self.elements):
+            e.words += own[e.number]
+            e.plain += plain[e.number]
+            if e.up:
+                e.up.words += e.words
+                e.up.plain += e.plain
+                e.up.last = max(e.up.last, e.last)
+        best = {}
+        for e in self.elements:
+            if e.name in MAIN and not e.worded and e.words > (best[e.name].words if e.name in best else 0):
+                best[e.name] = e
+        article = best.get("article")
+
+        def holds_most(e: Element) -> bool:
+            beside = any(m.last < e.number or e.last < m.number for m in best.values())
+            return 2 * e.plain > total and not beside
+
+        hides = {e.number for e in self.elements if e.named or (e.worded and e.name != "article" and not holds_most(e))}
+
+        def spread(cleared: set[int]) -> None:
+            for e in self.elements:
+                within = bool(e.up and e.up.aside)
+                if e.name == "article" and e.worded:
+                    e.aside = within or bool(article and article.number < e.number)
+                else:
+                    e.aside = e.number in hides or (within and e.number not in cleared)
+
+        spread(set())
+        outside = loose + sum(own[e.number] for e in self.elements if not e.aside)
+        if cleared := {m.number for m in best.values() if m.aside and m.words >= outside}:
+            spread(cleared)
+
+    def parts(self, page: str) -> Iterator[tuple[Token, Element | None]]:
+        """Tokens, each with the innermost element open there."""
         at = 0
         while match := MARKUP.search(page, at):
             if match.start() > at:
-                yield self.run(page[at : match.start()])
+                yield self.run(page[at : match.start()]), self.inner()
             at = match.end()
             if match["data"] is not None:
-                yield self.run(html.escape(match["data"]))
+                yield self.run(html.escape(match["data"])), self.inner()
             if not match["name"]:
                 continue
             name, block = match["name"].lower(), match["name"].lower() not in INLINE
             if match["end"]:
-                was = self.aside()
-                keys = self.end(name)
-                yield self.tag(keys, "/", block, was)
+                was = self.inner()
+                yield self.tag(self.end(name), "/", block), was
                 continue
             if name in RAW and not match["rest"].endswith("/>"):
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else len(page)
-                yield self.tag((name,), "", block, True)
+                yield self.tag((name,), "", block, True), self.inner()
                 continue
             keys = self.start(name, match["rest"])
-            yield self.tag(keys, "", block, self.aside())
+            yield self.tag(keys, "", block), self.inner()
         if at < len(page):
-            yield self.run(page[at:])
+            yield self.run(page[at:]), self.inner()
+
+    def inner(self) -> Element | None:
+        return self.open[-1] if self.open else None
 
-    def tag(self, keys: tuple[str, ...], mark: str, block: bool, aside: bool) -> Token:
+    def tag(self, keys: tuple[str, ...], mark: str, block: bool, aside: bool = False) -> Token:
         known = [k for k in keys if mark + k in self.weights.tags]
         return Token(mark + (known[-1] if known else keys[-1]), "", block, aside, ())
 
     def run(self, text: str) -> Token:
         within = tuple(dict.fromkeys(k for e in self.open for k in e.keys))
-        return Token("", html.unescape(text) if "&" in text else text, False, self.aside(), within)
+        return Token("", html.unescape(text) if "&" in text else text, False, False, within)
 
 
 def score(token: Token, weights: Weights) -> float:
@@ -225,7 +327,7 @@ def region_text(tokens: list[Token]) -> str:
 
 
 def main_text(page: str, weights: Weights) -> str:
-    tokens = list(Page(weights).tokens(page))
+    tokens = Page(weights).tokens(page)
     low, high = best_region([score(t, weights) for t in tokens])
     return region_text(tokens[low:high])
 
@@ -246,7 +348,7 @@ def learn(pages: Iterable[tuple[str, str]]) -> Weights:
     pages = [(p, t) for p, t in pages if p and t]
     seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for page, text in pages:
-        tokens = list(Page(Weights()).tokens(page))
+        tokens = Page(Weights()).tokens(page)
         low, high = labelled_region(tokens, text)
         for i, token in enumerate(tokens):
             for key in token.within if not token.key else ():
@@ -263,7 +365,7 @@ def learn(pages: Iterable[tuple[str, str]]) -> Weights:
     weights = Weights(tags, frozenset(aside))
     for _ in range(EPOCHS):
         for page, text in pages:
-            tokens = list(Page(weights).tokens(page))
+            tokens = Page(weights).tokens(page)
             wanted = labelled_region(tokens, text)
             found = best_region([score(t, weights) for t in tokens])
             if region_text(tokens[slice(*wanted)]) == region_text(tokens[slice(*found)]):

@@ -62,6 +62,50 @@ def test_a_box_of_links_beside_a_short_text_costs_nothing(box):
         assert he.main_text(page, PLAIN) == " ".join(re.sub("<.*?>", " ", " ".join(parts)).split())
 
 
+BODY = "one two three four five six seven " * 10
+TEXT = BODY.strip()
+
+
+@pytest.mark.parametrize("name", ["layout has-sidebar", "no-comments", "search-result", "share-enabled", "post withComments"])
+@pytest.mark.parametrize("rest", ["", '<div class="sidebar">links</div>', "<footer>end</footer>"])
+def test_a_wrapper_of_most_words_is_kept(name, rest):
+    page = f'<body><nav>a b c</nav><div class="{name}"><p>{BODY}</p>{rest}</div></body>'
+    assert he.main_text(page, PLAIN) == TEXT
+    assert he.main_text(page.replace("<p>", '<div class="page"><p>'), PLAIN) == TEXT
+
+
+def test_words_after_has_or_no_are_ignored_in_small_elements_too():
+    page = f'<body><p>{BODY}</p><div class="no-share has-sidebar"><p>Kept words</p></div><div class="share">Lost</div></body>'
+    assert he.main_text(page, PLAIN) == TEXT + " Kept words"
+
+
+@pytest.mark.parametrize(
+    "box",
+    [
+        '<section class="comments"><article class="comment"><p>Great post</p></article></section>',
+        '<section class="comments"><article><p>Great post</p></article></section>',
+        '<article class="comment"><p>Great post</p></article>',
+        f'<section class="comments">{"<article class=comment><p>Great post I say</p></article>" * 60}</section>',
+        f'<section class="comments"><p>{BODY * 3}</p></section>',
+        "<aside><article><p>Teaser</p></article></aside>",
+    ],
+)
+def test_articles_of_comments_are_left_out(box):
+    assert he.main_text(f"<body><article><p>{BODY}</p></article>{box}</body>", PLAIN) == TEXT
+    assert he.main_text(f"<body><main><article><p>{BODY}</p></article>{box}</main></body>", PLAIN) == TEXT
+    if "<article" in box:
+        assert he.main_text(f'<body><article class="post"><p>{BODY}</p>{box}</article></body>', PLAIN) == TEXT
+
+
+def test_the_main_article_counts_wherever_it_lies():
+    for around in ('<div class="layout sidebar-left">%s</div>', "<nav>menu %s</nav>", "<nav><ul><li>menu%s", '<div class="widget">%s'):
+        page = f"<body>{around % f'<article><p>{BODY}</p></article>'}<div class='comments'>{BODY * 2}</div></body>"
+        assert he.main_text(page, PLAIN) == TEXT
+    articles = "".join(f"<article><p>{BODY}{i}</p></article>" for i in range(3))
+    page = f'<body><div class="layout sidebar-left">{articles}</div></body>'
+    assert he.main_text(page, PLAIN) == " ".join(f"{BODY}{i}" for i in range(3))
+
+
 def test_pages_of_the_table(pages, spark):
     got = {r.page_id: r for r in op3_html_extraction(spark, "/root/testdata/sf0.01").collect()}
     assert len(got) == len(pages)
