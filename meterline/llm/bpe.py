@@ -1,7 +1,7 @@
 """Byte-pair encoding as a streaming transducer, and its way back to text.
 
 A merge can change the tokens before it only through a chain of merges of rising rank, each
-taking the left part of the one before as its right part. The longest such chain, counted in
+taking the left part of the one before, or the token it made, as its right part. The longest such chain, counted in
 symbols, is the lookahead: whatever follows, tokens that end so far before the end of what
 has been read are final. So a piece of any length is encoded in a buffer of fixed size.
 """
@@ -145,12 +145,12 @@ class Vocabulary:
 
         The merges are taken from the last to the first. ``reach[t]`` is the longest chain of
         later merges that begins with one whose right part is t; a merge that takes away or
-        gives back its left part continues such a chain.
+        gives back its left part continues such a chain, and so does one that makes its token.
         """
         reach: dict[int, int] = {}
         longest = 1
-        for (left, right), _ in sorted(self.ranks.items(), key=lambda m: -m[1]):
-            chain = self.symbols(left) + reach.get(left, 0)
+        for (left, right), rank in sorted(self.ranks.items(), key=lambda m: -m[1]):
+            chain = self.symbols(left) + max(reach.get(left, 0), reach.get(self.made[rank], 0))
             longest = max(longest, chain)
             reach[right] = max(reach.get(right, 0), chain)
         return longest

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 from hashlib import sha256
 
@@ -103,6 +104,44 @@ def test_the_lookahead_is_sufficient(own):
                 assert a == b
 
 
+def vocabulary_of(merges):
+    """A vocabulary of one-letter symbols without word ends."""
+    own = bpe.Vocabulary.__new__(bpe.Vocabulary)
+    own.suffix = "</w>"
+    own.names = list(dict.fromkeys([*"abcehtz", *(left + right for left, right in merges)]))
+    number = {name: i for i, name in enumerate(own.names)}
+    own.ranks, own.made = {}, [number[left + right] for left, right in merges]
+    for rank, (left, right) in enumerate(merges):
+        own.ranks[number[left], number[right]] = rank
+    own.lookahead = own.sufficient_lookahead()
+    return own
+
+
+def test_the_lookahead_follows_the_merged_token():
+    assert vocabulary_of([("h", "e"), ("t", "he"), ("z", "the")]).lookahead == 3
+
+
+def test_the_lookahead_against_all_short_texts():
+    rng = random.Random(4)
+    for _ in range(120):
+        known, merges = [*"abc"], []
+        while len(merges) < 7:
+            pair = rng.choice(known), rng.choice(known)
+            if pair not in merges and len("".join(pair)) <= 5:
+                merges.append(pair)
+                known += {"".join(pair)} - set(known)
+        own = vocabulary_of(merges)
+        for text in itertools.product(range(3), repeat=7):
+            whole = own.merge(list(text))
+            for cut in range(own.lookahead + 1, 7):
+                end = 0
+                for i, token in enumerate(own.merge(list(text[:cut]))):
+                    end += own.symbols(token)
+                    if end > cut - own.lookahead:
+                        break
+                    assert token == whole[i], (merges, text, cut)
+
+
 def test_both_ways_of_merging(own):
     rng, vocabulary = random.Random(2), own.vocabulary
     for _ in range(300):
