@@ -43,7 +43,6 @@ TELLING = np.zeros(SYMBOLS, bool)
 TELLING[[DIGIT, *(6 + SIGNS.index(sign) for sign in "@([")]] = True
 WINDOW, STRIDE = 128, 64
 WINDOWS_AT_ONCE = 2048
-LONGEST_ADDED = 80
 
 # Training reads at most about so many rows, of at most so many characters each, and makes at
 # most so many windows of each sort.
@@ -182,7 +181,7 @@ def added_spans(text: str, tags: np.ndarray, base: list[Span]) -> list[Span]:
         while end > start and not text[end - 1].isalnum():
             end -= 1
         span = text[start:end]
-        if end - start > LONGEST_ADDED or not holds(kind, span):
+        if not holds(kind, span):
             continue
         outside = text[start - 1 : start] + text[end : end + 1]
         if any(c.isalnum() for c in outside):

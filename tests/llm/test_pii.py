@@ -51,6 +51,14 @@ def test_base_spans_of_the_documents(table, documents, tagger):
     assert sum(not s.base for spans in got.values() for s in spans) <= 5
 
 
+def test_long_obfuscated_addresses_are_added():
+    address = "first.middle.last" * 4 + " (at) " + "mail.department." * 4 + "example.org"
+    text = f"write to {address}, soon"
+    tags = np.zeros(len(text), np.int8)
+    tags[9 : 9 + len(address)] = 1
+    assert pii.added_spans(text, tags, []) == [(9, 0, 9 + len(address))]
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     tagger = char_tagger.Tagger.fresh(5, 3, rng)
