@@ -267,10 +267,12 @@ def examples(texts: list[str], rng: np.random.Generator) -> tuple[np.ndarray, np
 def fit(
     docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS, seed: int = 11
 ) -> Tagger | None:
-    """Train on a bounded sample of rows, chosen by a hash; None if no row of it has a span."""
+    """Train on a bounded sample of distinct texts, chosen by a hash; None if none has a span."""
     usable = docs.select(text_col).filter(F.length(text_col) <= SAMPLE_CHARS)
+    texts = usable.agg(F.approx_count_distinct(text_col)).first()[0]
     place = F.pmod(F.xxhash64(text_col), F.lit(1 << 30)) / (1 << 30)
-    rows = usable.filter(place < sample_rows / max(1, docs.count())).limit(2 * sample_rows).collect()
+    sampled = usable.filter(place < sample_rows / max(1, texts)).distinct()
+    rows = sampled.orderBy(place, text_col).limit(2 * sample_rows).collect()
     rng = np.random.default_rng(seed)
     windows, tags = examples(sorted({row[0] for row in rows}), rng)
     if not len(windows) or not tags.any():

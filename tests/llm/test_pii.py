@@ -8,6 +8,7 @@ import pytest
 from brute import personal
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import bag
 from meterline.llm import char_tagger, pii
@@ -59,6 +60,17 @@ def test_long_obfuscated_addresses_are_added():
     assert pii.added_spans(text, tags, []) == [(9, 0, 9 + len(address))]
 
 
+def test_the_sample_holds_distinct_texts(spark, monkeypatch):
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    texts = spark.range(3000).select(F.concat(F.lit("write to a@b.org "), "id").alias("text"))
+    hot = texts.orderBy(place).limit(1).crossJoin(spark.range(3000)).select("text")
+    seen = []
+    monkeypatch.setattr(pii, "examples", lambda chosen, rng: (seen.append(chosen), (np.array([]), np.array([])))[1])
+    pii.fit(hot.unionByName(texts), sample_rows=300)
+    pii.fit(texts.repartition(3).unionByName(hot), sample_rows=300)
+    assert seen[0] == seen[1] and 240 <= len(seen[0]) <= 360
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     tagger = char_tagger.Tagger.fresh(5, 3, rng)
