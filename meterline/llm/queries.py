@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, html_extraction, language, packing, pii, quality, secret_scan, simhash, warc
+from meterline.llm import (
+    bpe,
+    exact_dedup,
+    html_extraction,
+    importance,
+    language,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    simhash,
+    warc,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -110,6 +122,11 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop("text", "n_lines", "n_echoes", "n_plain_words", "failed")
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -121,6 +138,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "op11_importance": op11_importance,
 }
 
 SQL = {
@@ -194,4 +212,58 @@ SQL = {
                        + (10 * n_echoes > n_words)::INT >= 2) AS kept
         FROM measured
     """,
+    "op11_importance": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+                CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS t
+        ), texts AS (
+            SELECT 0 AS side, row_number() OVER () AS row, doc_id, text FROM documents
+            UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark
+        ), words AS (
+            SELECT side, row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+        ), runs AS (
+            SELECT side, row, unnest(list_concat(w,
+                list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                list_transform(range(1, len(w) - 1),
+                               lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS f
+            FROM words
+        ), counted AS (
+            SELECT side, row, f, count(*) AS n FROM runs GROUP BY ALL
+        ), features AS (
+            SELECT f, xor(list_reduce(
+                list_transform(range(length(hex(encode(f))) // 2),
+                               lambda i: ('0x' || hex(encode(f))[2 * i + 1:2 * i + 2])::BIGINT),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295),
+                4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT f FROM counted), crc
+        ), placed AS (
+            SELECT side, row, bucket, sum(n) AS n FROM counted JOIN features USING (f) GROUP BY ALL
+        ), sums AS (
+            SELECT bucket, coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s,
+                   coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t FROM placed GROUP BY 1
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000)
+                / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))))::BIGINT AS gain FROM sums
+        ), weighed AS (
+            SELECT row, sum(n * gain)::BIGINT AS weight, sum(n)::BIGINT AS n_features
+            FROM placed JOIN gains USING (bucket) WHERE side = 0 GROUP BY 1
+        ), scored AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+                   coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((
+                       ('0x' || sha256('42:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT
+                   AS score
+            FROM words LEFT JOIN weighed USING (row) WHERE side = 0
+        ), placed_scores AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place,
+                   count(*) OVER () AS able
+            FROM scored WHERE n_words >= 20
+        )
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN place <= 5 * able // 100 THEN place END AS rank
+        FROM scored LEFT JOIN placed_scores USING (doc_id)
+    """,
 }
