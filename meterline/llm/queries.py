@@ -12,6 +12,7 @@ from meterline.llm import (
     html_extraction,
     importance,
     language,
+    mixing,
     packing,
     pii,
     quality,
@@ -127,6 +128,10 @@ def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_language_id": op2_language_id,
@@ -139,6 +144,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
     "op11_importance": op11_importance,
+    "op13_mixing": op13_mixing,
 }
 
 SQL = {
@@ -266,4 +272,39 @@ SQL = {
                CASE WHEN place <= 5 * able // 100 THEN place END AS rank
         FROM scored LEFT JOIN placed_scores USING (doc_id)
     """,
+    "op13_mixing": r"""
+        WITH RECURSIVE docs AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+                   ('0x' || sha256('42:' || doc_id)[1:15])::BIGINT AS place
+            FROM documents
+        ), sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+            FROM docs GROUP BY 1
+        ), levels AS (
+            SELECT 0 AS step, sum(source_size)::HUGEINT AS rest, sum(weight)::HUGEINT AS w FROM sources
+            UNION ALL
+            SELECT step + 1,
+                   sum(source_size) - sum(CASE WHEN 3 * source_size * w < weight * rest
+                                               THEN 3 * source_size ELSE 0 END),
+                   sum(CASE WHEN 3 * source_size * w < weight * rest THEN 0 ELSE weight END)
+            FROM levels, sources WHERE step < 40 GROUP BY step, rest, w
+        ), level AS (
+            SELECT rest, w FROM levels ORDER BY step DESC LIMIT 1
+        ), targets AS (
+            SELECT source, source_size,
+                   CASE WHEN 3 * source_size * w < weight * rest THEN (3 * source_size)::DOUBLE
+                        ELSE (weight * rest)::DOUBLE / w::DOUBLE END AS target
+            FROM sources, level
+        ), laid AS (
+            SELECT doc_id, size, source_size, target, floor(target)::BIGINT AS goal,
+                   coalesce(sum(size) OVER (PARTITION BY docs.source ORDER BY place, doc_id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begin
+            FROM docs JOIN targets ON docs.source IS NOT DISTINCT FROM targets.source
+        )
+        SELECT doc_id, size, source_size, target,
+               (CASE WHEN source_size = 0 THEN 0 ELSE goal // source_size * size
+                   + greatest(0, least(size, goal % source_size - begin)) END)::BIGINT AS taken
+        FROM laid
+    """,
 }
