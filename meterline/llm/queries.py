@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
+    alignment,
     bpe,
     exact_dedup,
     html_extraction,
@@ -128,6 +129,11 @@ def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.cross_tokenizer(table(spark, folder, "documents"), *files)
+
+
 def op13_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -144,6 +150,7 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
     "op11_importance": op11_importance,
+    "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }
 

@@ -22,6 +22,7 @@ COLUMNS = {
     "op9_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op10_quality": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op11_importance": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op12_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
     "op13_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
 }
 
