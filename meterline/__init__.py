@@ -24,8 +24,11 @@ from meterline.schemas import BRIEF, FULL, Layout
 from meterline.session import build_session, object_store_settings
 from meterline.sinks import (
     VersionConflict,
+    drop_old,
+    held_table,
     land_cdr,
     log_messages,
+    merge_buckets,
     merge_table,
     merge_version,
     preview,
@@ -52,6 +55,7 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_lookups,
     start_reports,
     stop_all,
     stream_appended,

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from meterline.operators.joins import fits_broadcast, sized_join
 from meterline.session import cut_lineage
 
+_OLD_KEY, _NEW_KEY = "__old_key", "__new_key"
+
 
 def load_counter_columns() -> list[Column]:
     """Read, accepted and not accepted rows of a load, over its ``accepted`` flag."""
@@ -43,18 +45,22 @@ def upsert(
 ) -> DataFrame:
     """``base`` with the last update per key replacing or joining its rows.
 
-    ``base`` holds each key once. Few updated keys are broadcast and the base is not
-    shuffled at all; many are merged by a full join of two sides without repeated keys.
-    ``limits`` are passed on to ``fits_broadcast``.
+    ``base`` holds each key once; null is a key like any other. Few updated keys are
+    broadcast and the base is not shuffled at all; many are merged by a full join of two
+    sides without repeated keys. ``limits`` are passed on to ``fits_broadcast``.
     """
     latest = cut_lineage(last_write(updates, key, order, columns))
     if fits_broadcast(latest, **limits):
-        kept = base.select(key, *columns).join(F.broadcast(latest.select(key)), key, "left_anti")
+        updated = F.broadcast(latest.select(F.col(key).alias(_NEW_KEY)))
+        same = F.col(key).eqNullSafe(F.col(_NEW_KEY))
+        kept = base.select(key, *columns).join(updated, same, "left_anti")
         return kept.unionByName(latest)
-    merged = base.select(key, F.struct(*columns).alias("old")).join(
-        latest.select(key, F.struct(*columns).alias("new")), key, "full"
-    )
-    return merged.select(key, F.coalesce("new", "old").alias("row")).select(key, "row.*")
+    old = base.select(F.col(key).alias(_OLD_KEY), F.struct(*columns).alias("old"))
+    new = latest.select(F.col(key).alias(_NEW_KEY), F.struct(*columns).alias("new"))
+    merged = old.join(new, F.col(_OLD_KEY).eqNullSafe(F.col(_NEW_KEY)), "full")
+    return merged.select(
+        F.coalesce(_NEW_KEY, _OLD_KEY).alias(key), F.coalesce("new", "old").alias("row")
+    ).select(key, "row.*")
 
 
 def find(dimension: DataFrame, key: str, value: object) -> DataFrame:

@@ -60,6 +60,32 @@ def hot_keys(df: DataFrame, key: str, partitions: int) -> DataFrame | None:
     return None if found.isEmpty() else found
 
 
+def with_tasks(df: DataFrame, key: str, hot: DataFrame | None, others: int) -> DataFrame:
+    if hot is None:
+        return df.withColumn(_TASKS, F.lit(others))
+    joined = df.join(F.broadcast(hot), key, "left")
+    return joined.withColumn(_TASKS, F.coalesce(_TASKS, F.lit(others)))
+
+
+def with_salt(
+    left: DataFrame, key: str, hot: DataFrame | None, others: int, empty: int, unique: str | None
+) -> DataFrame:
+    """``left`` with ``__salt``, a number below the tasks of its key, the same in every run.
+
+    With ``unique``, a column that tells rows apart, it is a hash of that. Otherwise it is
+    drawn at random, so that equal rows are spread too, and written before it is used: a
+    task that runs again gets the same rows, but perhaps in another order. A stream is not
+    written; there the draw repeats because each task reads its files in order.
+    """
+    tasks = F.when(F.col(key).isNull(), empty).otherwise(F.col(_TASKS))
+    if unique:
+        salt = F.pmod(F.xxhash64(unique), tasks)
+    else:
+        salt = F.floor(F.rand(29) * tasks)
+    salted = with_tasks(left, key, hot, others).withColumn(_SALT, salt.cast("int")).drop(_TASKS)
+    return salted if unique or left.isStreaming else cut_lineage(salted)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -68,26 +94,18 @@ def salted_join(
     hot: DataFrame | None = None,
     others: int = 1,
     empty: int = 1,
+    unique: str | None = None,
 ) -> DataFrame:
     """Join with the rows of a key spread over several tasks.
 
     ``hot`` gives the number of tasks for some keys, ``others`` that for all other keys, and
     ``empty`` that for rows without a key, which match nothing. The right side's rows of a
-    key are repeated once per task. The salt does not depend on what a row holds, so equal
-    rows are spread too, and a task that runs again draws the same.
+    key are repeated once per task. ``unique`` is as in ``with_salt``.
     """
-
-    def with_tasks(df: DataFrame) -> DataFrame:
-        if hot is None:
-            return df.withColumn(_TASKS, F.lit(others))
-        joined = df.join(F.broadcast(hot), key, "left")
-        return joined.withColumn(_TASKS, F.coalesce(_TASKS, F.lit(others)))
-
-    tasks = F.when(F.col(key).isNull(), empty).otherwise(F.col(_TASKS))
-    salted_left = with_tasks(left).withColumn(_SALT, F.floor(F.rand(29) * tasks).cast("int"))
+    salted_left = with_salt(left, key, hot, others, empty, unique)
     salts = F.explode(F.sequence(F.lit(0), F.col(_TASKS) - 1))
-    salted_right = with_tasks(right).withColumn(_SALT, salts).drop(_TASKS)
-    return salted_left.drop(_TASKS).join(salted_right, [key, _SALT], how).drop(_SALT)
+    salted_right = with_tasks(right, key, hot, others).withColumn(_SALT, salts).drop(_TASKS)
+    return salted_left.join(salted_right, [key, _SALT], how).drop(_SALT)
 
 
 def sized_join(
@@ -100,24 +118,29 @@ def sized_join(
     stream_tasks: int = 8,
     key_rows: DataFrame | None = None,
     even: bool = False,
+    unique: str | None = None,
 ) -> DataFrame:
     """Join a large left side, batch or stream, to a table on one equal-named key.
 
     ``how`` is inner, left, left_semi or left_anti. A stream cannot be searched for hot
     keys beforehand, so there every key is spread over ``stream_tasks`` tasks. ``key_rows``
     is searched in place of a left side that is dear to compute, and ``even`` says that no
-    key of it can be hot.
+    key of it can be hot. ``unique`` names a column of the left side that no two rows share;
+    with it, spreading a hot key does not write the left side first.
     """
     if fits_broadcast(right, max_rows, max_bytes):
         joined = left.join(F.broadcast(right), key, how)
     elif left.isStreaming:
-        joined = salted_join(left, right, key, how, None, stream_tasks, stream_tasks)
+        joined = salted_join(left, right, key, how, None, stream_tasks, stream_tasks, unique)
     elif even:
         joined = left.join(right, key, how)
     else:
         partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # Written, so that both sides of the join see the same numbers.
         found = hot_keys((key_rows if key_rows is not None else left).select(key), key, partitions)
-        joined = salted_join(left, right, key, how, found, empty=partitions)
+        if found is None and unique is None:
+            joined = left.join(right, key, how)
+        else:
+            joined = salted_join(left, right, key, how, found, empty=partitions, unique=unique)
     added = [] if how in ("left_semi", "left_anti") else right.columns
     return joined.select(*left.columns, *[name for name in added if name != key])

@@ -18,12 +18,20 @@ from meterline.functions import cache_status, convert_amount
 from meterline.operators import dimension as dim
 from meterline.operators import ordered, reports, requests, rollup
 from meterline.operators.prepare import prepare, with_event_time
-from meterline.plans.dimension import dimension_from, load_dimension, load_into
+from meterline.plans.dimension import dimension_from, load_dimension, load_into, put_rows
 from meterline.plans.requests import answer_requests
 from meterline.plans.revenue import FOLDERS, report_set, reports_from, run_reports
 from meterline.schemas import BRIEF, FULL
 from meterline.session import new_folder
-from meterline.sinks import land_cdr, preview, write_report, write_request_log, write_version
+from meterline.sinks import (
+    land_cdr,
+    merge_buckets,
+    preview,
+    write_changes,
+    write_report,
+    write_request_log,
+    write_version,
+)
 from meterline.sources import (
     builtin_mapping,
     empty_dimension,
@@ -41,6 +49,7 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_lookups,
     start_reports,
     stop_all,
     stream_appended,
@@ -661,6 +670,20 @@ def upsert_last_write_shuffled(spark, folder):
     return dim.upsert(base, updates, "key", order, ["label"], max_rows=0)
 
 
+@checked_by(SQL["upsert_last_write"])
+def upsert_in_buckets(spark, folder):
+    """The same updates year by year, into a table of which a merge rewrites some buckets."""
+    path = new_folder(spark, "buckets")
+    write_version(segments(spark, folder), path)
+    updates = priorities(table(spark, folder, "orders"))
+    years = F.year("o_orderdate")
+    for part in (years < 1993, *[years == year for year in range(1993, 1998)], years > 1997):
+        merge_buckets(
+            updates.filter(part), path, "key", ["o_orderdate", "o_orderkey"], ["label"], 16, keep=1, min_age=0
+        )
+    return read_dimension(spark, path)
+
+
 # --- lookups and their log ------------------------------------------------------------
 
 CITIES = """
@@ -716,7 +739,7 @@ FROM requests LEFT JOIN cities ON city = name""")
 def lookup_all_shuffled(spark, folder):
     """The same without a broadcast, as for a dimension too large for one."""
     asked = request_table(spark, folder).select("request_id", "city")
-    return dim.lookup(asked, cities(spark, folder), max_bytes=0)
+    return dim.lookup(asked, cities(spark, folder), max_bytes=0, unique="request_id")
 
 
 @checked_by(CITIES + """
@@ -1113,3 +1136,106 @@ def stream_min_max_updates_joined(spark, folder):
         report, kept, checkpoint, keys=keys, compact_every=2, trigger=AT_ONCE
     ).awaitTermination()
     return plain_times(read_updates(spark, kept, keys), "interval_start")
+
+
+@checked_by(SQL["upsert_last_write"])
+def stream_upsert_into_buckets(spark, folder):
+    """Order priorities arrive as a stream; each batch rewrites the buckets that it touches."""
+    path = new_folder(spark, "stored")
+    write_version(segments(spark, folder), path)
+    orders = table_stream(spark, folder, "orders")
+    stream_upsert(
+        priorities(orders), path, new_folder(spark, "checkpoint"), "key",
+        ["o_orderdate", "o_orderkey"], ["label"], buckets=16, trigger=AT_ONCE,
+    ).awaitTermination()
+    return read_dimension(spark, path)
+
+
+# Before the second third of the events, building customers change; before the last, names
+# become known that were not.
+LIVE = CITIES + """,
+versions AS (
+  SELECT c_name AS name, n_name AS first_code,
+         CASE WHEN c_mktsegment = 'BUILDING' THEN 'BUILDING' ELSE n_name END AS later_code
+  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+unknown AS (SELECT 'Nobody' || substr(c_name, 9) AS name FROM customer),
+answers AS (
+  SELECT request_id, city,
+         CASE WHEN ts < TIMESTAMP '2024-01-11' THEN v.first_code
+              WHEN ts < TIMESTAMP '2024-01-21' THEN v.later_code
+              ELSE coalesce(v.later_code, CASE WHEN u.name IS NOT NULL THEN 'NOWHERE' END) END
+         AS country_code
+  FROM requests r LEFT JOIN versions v ON r.city = v.name LEFT JOIN unknown u ON r.city = u.name)
+"""
+
+
+def dimension_updates(spark, folder) -> list[DataFrame]:
+    """What is known at first, and two updates of it."""
+    customers = table(spark, folder, "customer")
+    building = customers.filter("c_mktsegment = 'BUILDING'")
+    unknown = F.concat(F.lit("Nobody"), F.substr("c_name", F.lit(9)))
+    return [
+        cities(spark, folder),
+        building.select(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("country_code")),
+        customers.select(unknown.alias("name"), F.lit("NOWHERE").alias("country_code")),
+    ]
+
+
+def live_answers(spark, folder, update: Callable[[DataFrame], object], **dimension) -> DataFrame:
+    """One running stream of lookups; the dimension is updated between its batches."""
+    source, add = event_files(spark, folder, THIRDS)
+    out = new_folder(spark, "answers")
+    events = table(spark, folder, "events")
+    events.limit(0).write.parquet(source)  # a stream needs its folder
+    schema = events.schema
+    asked = city_requests(spark.readStream.schema(schema).parquet(source))
+    query = start_lookups(
+        asked.select("request_id", "city"), out, new_folder(spark, "checkpoint"),
+        trigger={"processingTime": "0 seconds"}, **dimension,
+    )
+    try:
+        for number, rows in enumerate(dimension_updates(spark, folder)):
+            update(rows)
+            add(number)
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    answers = spark.read.option("recursiveFileLookup", True).parquet(out)
+    return answers.select("request_id", "city", "country_code", "found")
+
+
+LIVE_SQL = LIVE + """
+SELECT request_id, city, country_code, country_code IS NOT NULL AS found FROM answers"""
+
+
+@checked_by(LIVE_SQL)
+def stream_lookup_live(spark, folder):
+    """Updates are compacted at once and old versions removed, while the stream goes on."""
+    path = new_folder(spark, "stored")
+
+    def update(rows: DataFrame) -> None:
+        write_changes(rows, path, "name", compact_every=1, keep=1, min_age=0)
+
+    return live_answers(spark, folder, update, dimension_path=path)
+
+
+@checked_by(LIVE_SQL)
+def stream_lookup_live_in_buckets(spark, folder):
+    path = new_folder(spark, "stored")
+
+    def update(rows: DataFrame) -> None:
+        merge_buckets(rows, path, "name", ["name"], ["country_code"], 8, keep=1, min_age=0)
+
+    return live_answers(spark, folder, update, dimension_path=path)
+
+
+@checked_by(LIVE_SQL)
+def stream_lookup_live_in_a_catalog_table(spark, folder):
+    name = f"dimension_{uuid4().hex}"
+    empty = empty_dimension(spark)
+    empty.write.option("path", new_folder(spark, "table")).format("parquet").saveAsTable(name)
+
+    def update(rows: DataFrame) -> None:
+        put_rows(spark, rows, "name", ["name"], ["country_code"], table=name)
+
+    return live_answers(spark, folder, update, table=name)

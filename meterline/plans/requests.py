@@ -22,7 +22,7 @@ def answer_requests(
     requested less than ``seconds`` before. The hit percentage counts the request itself.
     """
     repeats = repeat_within(requests, seconds=seconds, **cutting).drop("previous_ts")
-    answers = lookup(repeats, dimension, key_rows=requests)
+    answers = lookup(repeats, dimension, key_rows=requests, unique="request_id")
     served = F.col("found") & F.col("repeated") & (F.col("country_code") != "")
     # Cut here, or each pass of the running rate would repeat the two steps above.
     judged = cut_lineage(

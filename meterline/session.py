@@ -95,14 +95,17 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where they would not find it by themselves.
+    """Send this package along once, as a zip file, for Python workers to import.
 
-    They find it if the driver runs in its folder or names that in PYTHONPATH. Otherwise its
-    modules are sent along once, as a zip file.
+    Workers of other machines do not see the driver's folders. Those of a local session do,
+    if the driver runs in the package's folder or names that in PYTHONPATH.
     """
     root, context = Path(__file__).resolve().parents[1], spark.sparkContext
     known = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
-    if str(root) in map(os.path.realpath, known) or context.applicationId in _shipped:
+    one_process = context.master == "local" or context.master.startswith("local[")
+    if one_process and str(root) in map(os.path.realpath, known):
+        return
+    if context.applicationId in _shipped:
         return
     archive = Path(tempfile.mkdtemp(prefix="meterline-")) / "meterline.zip"
     with zipfile.ZipFile(archive, "w") as packed:

@@ -5,6 +5,9 @@ from meterline.sinks.reports import preview, write_report
 from meterline.sinks.request_log import log_messages, write_request_log
 from meterline.sinks.versions import (
     VersionConflict,
+    drop_old,
+    held_table,
+    merge_buckets,
     merge_table,
     merge_version,
     read_latest,
@@ -14,8 +17,11 @@ from meterline.sinks.versions import (
 
 __all__ = [
     "VersionConflict",
+    "drop_old",
+    "held_table",
     "land_cdr",
     "log_messages",
+    "merge_buckets",
     "merge_table",
     "merge_version",
     "preview",

@@ -22,6 +22,7 @@ def read_dimension(
 ) -> DataFrame:
     """The newest complete version below ``path``, or a table of the session's catalog."""
     if table:
+        spark.catalog.refreshTable(table)
         return spark.read.table(table)
     newest = read_latest(spark, path)
     return empty_dimension(spark, schema) if newest is None else newest

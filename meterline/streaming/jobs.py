@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from meterline.operators import reports
-from meterline.operators.dimension import last_write, upsert
+from meterline.operators.dimension import last_write, lookup, upsert
 from meterline.operators.rollup import daily_from, roll_up
 from meterline.plans.revenue import FOLDERS, reports_from
-from meterline.sinks.versions import merge_table, write_changes
+from meterline.schemas import DIMENSION
+from meterline.sinks.versions import (
+    RETIRED_SECONDS,
+    held_table,
+    merge_buckets,
+    merge_table,
+    versions_of_table,
+    write_changes,
+)
 from meterline.sources.paths import expand_home
+from meterline.sources.tables import empty_dimension
 from meterline.streaming.queries import EVERY_30_SECONDS, start_batches
 from meterline.streaming.runs import folders, remove, run_name
 
@@ -89,6 +99,8 @@ def stream_upsert(
     keep: int = 2,
     compact_every: int = 20,
     table: str | None = None,
+    buckets: int | None = None,
+    min_age: float = RETIRED_SECONDS,
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
@@ -97,15 +109,62 @@ def stream_upsert(
     Within a batch the last write by ``order`` wins, and a later batch wins over an earlier
     one. A batch that is repeated after a failure leads to the same rows again. A batch
     writes only the rows it changes, and the whole dimension every ``compact_every``
-    batches. With ``table``, a table of the catalog is overwritten instead.
+    batches. With ``buckets``, the dimension is laid out in so many, and a batch rewrites
+    those that it touches. With ``table``, a table of the catalog gets a new version instead.
+    Old versions are removed as ``drop_old`` says.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         if table:
             spark = batch.sparkSession
-            merge_table(spark, table, lambda base: upsert(base, batch, key, order, columns))
+            merge_table(
+                spark, table, lambda base: upsert(base, batch, key, order, columns), keep, min_age
+            )
+        elif buckets:
+            merge_buckets(batch, dimension_path, key, order, columns, buckets, keep, min_age)
         elif not batch.isEmpty():
             latest = last_write(batch, key, order, columns)
-            write_changes(latest, dimension_path, key, compact_every, keep)
+            write_changes(latest, dimension_path, key, compact_every, keep, min_age)
 
     return start_batches(updates, checkpoint, "append", merge, name, trigger)
+
+
+def start_lookups(
+    requests: DataFrame,
+    path: str,
+    checkpoint: str,
+    dimension_path: str | None = None,
+    table: str | None = None,
+    request_key: str = "city",
+    key: str = "name",
+    how: str = "left",
+    form: str = "parquet",
+    schema: T.StructType = DIMENSION,
+    name: str | None = None,
+    trigger: dict = EVERY_30_SECONDS,
+    **joining: object,
+) -> StreamingQuery:
+    """Look every micro-batch up in the dimension as it is then, while others update it.
+
+    A batch takes the newest version and holds it by a lease until its answers are written,
+    so no writer removes files that it reads. The answers of a batch lie in a folder of
+    their own, which a repeated batch replaces; read them with ``recursiveFileLookup``.
+    ``joining`` is passed on to ``sized_join``, which sees a batch, not a stream.
+    """
+    spark = requests.sparkSession
+    target = f"{expand_home(path)}/{run_name(spark, checkpoint).removeprefix('run=')}"
+
+    def answer(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        versions = dimension_path or versions_of_table(spark, table)
+        asked = batch.persist()
+        try:
+            with held_table(spark, versions) as newest:
+                if newest is None:
+                    newest = spark.read.table(table) if table else empty_dimension(spark, schema)
+                answers = lookup(asked, newest, request_key, key, how, **joining)
+                answers.write.mode("overwrite").format(form).save(f"{target}-{number:010d}")
+        finally:
+            asked.unpersist()
+
+    return start_batches(requests, checkpoint, "append", answer, name, trigger)

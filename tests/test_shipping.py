@@ -35,3 +35,20 @@ def test_a_driver_elsewhere(tmp_path):
         cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=120,
     )
     assert "FOUND 600" in run.stdout, run.stderr[-2000:]
+
+
+def test_ships_unless_workers_share_the_drivers_folder(monkeypatch):
+    """A driver that runs in the package's folder says nothing about other machines."""
+    from types import SimpleNamespace
+
+    from meterline import session
+
+    sent = []
+    for number, master in enumerate(["local", "local[8]", "local-cluster[2,1,900]", "spark://h:7077", "yarn"]):
+        context = SimpleNamespace(
+            master=master, applicationId=f"app-{number}", addPyFile=lambda _, m=master: sent.append(m)
+        )
+        monkeypatch.chdir(ROOT)
+        for _ in range(2):
+            session.ship_package(SimpleNamespace(sparkContext=context))
+    assert sent == ["local-cluster[2,1,900]", "spark://h:7077", "yarn"]

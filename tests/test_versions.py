@@ -1,0 +1,202 @@
+"""Versions that readers hold, tables of the catalog with several writers, and buckets."""
+
+from __future__ import annotations
+
+from pathlib import Path
+from uuid import uuid4
+
+import pytest
+from helpers import bag, rows
+
+from meterline import empty_dimension, held_table, merge_buckets, read_dimension, upsert, write_changes, write_version
+from meterline.operators.dimension import lookup
+from meterline.plans.dimension import put_rows
+from meterline.sinks import versions
+from meterline.sinks.versions import drop_old, merge_table, read_latest
+
+CITIES = "name string, country_code string"
+
+
+def cities(spark, *pairs):
+    return spark.createDataFrame(list(pairs), CITIES)
+
+
+def names(path) -> list[int]:
+    return sorted(int(p.name[8:]) for p in Path(path).iterdir() if p.name.startswith("version="))
+
+
+def test_a_held_table_outlives_compaction(spark, tmp_path):
+    path = str(tmp_path / "d")
+    write_version(cities(spark, ("a", "0")), path)
+    write_changes(cities(spark, ("b", "1")), path, "name")
+    with held_table(spark, path) as table:
+        for number in range(4):
+            write_changes(cities(spark, ("a", str(number))), path, "name", 1, keep=1, min_age=0)
+        assert bag(table) == [("a", "0"), ("b", "1")]
+        assert {1, 2} <= set(names(path))
+        with held_table(spark, path) as newest:
+            assert dict(rows(newest)) == {"a": "3", "b": "1"}
+    drop_old(spark, path, keep=1, min_age=0)
+    assert len(names(path)) == 1 and dict(rows(read_latest(spark, path))) == {"a": "3", "b": "1"}
+    marks = [p.name for kind in ("_leases", "_retired") for p in (tmp_path / "d" / kind).iterdir()]
+    assert [m for m in marks if not m.startswith(".")] == []
+
+
+def test_retired_versions_stay_for_a_time(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    for value in "abc":
+        write_version(cities(spark, (value, value)), path, keep=1, min_age=60)
+    assert names(path) == [1, 2, 3]
+    now = versions.time.time
+    monkeypatch.setattr(versions.time, "time", lambda: now() + 61)
+    write_version(cities(spark, ("d", "d")), path, keep=1, min_age=60)
+    assert names(path) == [3, 4]
+
+
+def test_leases_past_their_time_hold_nothing(spark, tmp_path):
+    path = str(tmp_path / "d")
+    write_version(cities(spark, ("a", "0")), path)
+    with held_table(spark, path, seconds=-1):
+        write_version(cities(spark, ("b", "0")), path, keep=1, min_age=0)
+        assert names(path) == [2]
+
+
+def test_a_reader_that_was_overtaken_takes_the_newer_version(spark, tmp_path, monkeypatch):
+    """Between its look at the versions and its lease, the version is retired."""
+    path, mark, seen = str(tmp_path / "d"), versions._mark, []
+    write_version(cities(spark, ("a", "0")), path)
+
+    def slow_mark(spark_, path_, folder, *parts):
+        if folder == "_leases" and not seen:
+            seen.append(parts[0])
+            write_version(cities(spark, ("b", "0")), path, keep=1, min_age=0)
+        return mark(spark_, path_, folder, *parts)
+
+    monkeypatch.setattr(versions, "_mark", slow_mark)
+    with held_table(spark, path) as table:
+        assert seen == [1] and rows(table) == [("b", "0")]
+
+
+def test_nothing_to_hold(spark, tmp_path):
+    with held_table(spark, str(tmp_path / "none")) as table:
+        assert table is None
+
+
+@pytest.fixture
+def catalog_table(spark, tmp_path):
+    name = f"t_{uuid4().hex}"
+    cities(spark, ("a", "0")).write.option("path", str(tmp_path / "t")).format("parquet").saveAsTable(name)
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_two_writers_of_a_catalog_table(spark, catalog_table):
+    """A second writer gets in between read and write, and between publishing and pointing."""
+    calls = []
+
+    def slow(base):
+        calls.append(bag(base))
+        if len(calls) == 1:
+            put_rows(spark, cities(spark, ("b", "1"), ("a", "1")), "name", ["name"], ["country_code"], table=catalog_table)
+        return upsert(base, cities(spark, ("c", "2")), "name", ["name"], ["country_code"])
+
+    assert merge_table(spark, catalog_table, slow) == 2
+    assert calls == [[("a", "0")], [("a", "1"), ("b", "1")]]
+    assert bag(read_dimension(spark, table=catalog_table)) == [("a", "1"), ("b", "1"), ("c", "2")]
+
+
+def test_a_slow_writer_does_not_point_back(spark, catalog_table, monkeypatch):
+    point, once = versions._point_to_newest, []
+
+    def overtaken(spark_, table, path):
+        if not once:
+            once.append(1)
+            put_rows(spark, cities(spark, ("late", "9")), "name", ["name"], ["country_code"], table=catalog_table)
+        return point(spark_, table, path)
+
+    monkeypatch.setattr(versions, "_point_to_newest", overtaken)
+    put_rows(spark, cities(spark, ("first", "8")), "name", ["name"], ["country_code"], table=catalog_table)
+    assert dict(rows(read_dimension(spark, table=catalog_table))) == {"a": "0", "first": "8", "late": "9"}
+
+
+def test_readers_never_see_a_catalog_table_empty(spark, catalog_table):
+    seen = []
+
+    def watch(base):
+        # While the next version is made and written, the table is as it was.
+        seen.append(spark.read.table(catalog_table).count())
+        return base.unionByName(cities(spark, (f"n{len(seen)}", "0")))
+
+    for _ in range(3):
+        merge_table(spark, catalog_table, watch)
+        seen.append(spark.read.table(catalog_table).count())
+    assert seen == [1, 2, 2, 3, 3, 4]
+
+
+def test_a_partitioned_catalog_table_is_refused(spark, tmp_path):
+    name = f"t_{uuid4().hex}"
+    cities(spark, ("a", "0")).write.partitionBy("country_code").option("path", str(tmp_path / "p")).saveAsTable(name)
+    with pytest.raises(ValueError, match="partitions"):
+        merge_table(spark, name, lambda base: base)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_merge_writes_touched_buckets_only(spark, tmp_path):
+    path = str(tmp_path / "d")
+    base = spark.range(20_000).selectExpr("concat('k', id) as name", "'old' as country_code")
+    merge_buckets(base, path, "name", ["name"], ["country_code"], buckets=64)
+    assert bag(read_dimension(spark, path)) == bag(base)
+    # 20 of 20,000 keys, and a new one.
+    keys = [(f"k{i}", "new") for i in range(0, 20_000, 1000)] + [("fresh", "new"), (None, "null")]
+    assert merge_buckets(cities(spark, *keys), path, "name", ["name"], ["country_code"], keep=1, min_age=0) == 2
+    second = tmp_path / "d" / "version=0000000002"
+    written = {int(p.name.split("=")[1]) for p in second.iterdir() if p.name.startswith("__bucket=")}
+    bucket = "pmod(xxhash64(name), 64)"
+    touched = {r[0] for r in cities(spark, *keys).selectExpr(bucket).collect()}
+    assert written == touched and len(touched) < 23
+    expected = dict(rows(base)) | dict(keys)
+    assert dict(rows(read_dimension(spark, path))) == expected
+    # Of the first version, the buckets that the second one replaced are gone.
+    kept = {int(p.name.split("=")[1]) for p in (tmp_path / "d" / "version=0000000001").iterdir() if p.name.startswith("__bucket=")}
+    assert kept == set(range(64)) - touched
+    # Bytes written follow the touched buckets, not the table.
+    size = lambda folder: sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+    merge_buckets(cities(spark, ("k7", "newer")), path, "name", ["name"], ["country_code"], keep=1, min_age=0)
+    assert size(tmp_path / "d" / "version=0000000003") < 0.05 * sum(size(p) for p in (tmp_path / "d").iterdir())
+    assert dict(rows(read_dimension(spark, path))) == expected | {"k7": "newer"}
+
+
+def test_bucket_merges_of_two_writers(spark, tmp_path, monkeypatch):
+    path, publish, once = str(tmp_path / "d"), versions._publish, []
+    order, columns = ["name"], ["country_code"]
+    merge_buckets(cities(spark, ("a", "0"), ("b", "0")), path, "name", order, columns, buckets=2)
+
+    def overtaken(*arguments, **options):
+        if not once:
+            once.append(1)
+            merge_buckets(cities(spark, ("a", "1"), ("c", "1")), path, "name", order, columns)
+        return publish(*arguments, **options)
+
+    monkeypatch.setattr(versions, "_publish", overtaken)
+    assert merge_buckets(cities(spark, ("b", "2"), ("c", "2")), path, "name", order, columns) == 3
+    assert dict(rows(read_dimension(spark, path))) == {"a": "1", "b": "2", "c": "2"}
+
+
+def test_buckets_after_other_kinds_of_versions(spark, tmp_path):
+    path = str(tmp_path / "d")
+    write_version(cities(spark, ("a", "0")), path)
+    write_changes(cities(spark, ("b", "1")), path, "name")
+    merge_buckets(cities(spark, ("c", "2")), path, "name", ["name"], ["country_code"], buckets=4)
+    write_changes(cities(spark, ("b", "3")), path, "name")
+    expected = {"a": "0", "b": "3", "c": "2"}
+    assert dict(rows(read_dimension(spark, path))) == expected
+    merge_buckets(empty_dimension(spark), path, "name", ["name"], ["country_code"], buckets=4)
+    merge_buckets(empty_dimension(spark), path, "name", ["name"], ["country_code"], keep=1, min_age=0)
+    assert dict(rows(read_dimension(spark, path))) == expected
+
+
+def test_a_lookup_of_a_table_in_buckets(spark, tmp_path):
+    path = str(tmp_path / "d")
+    merge_buckets(cities(spark, ("a", "0"), ("b", "1")), path, "name", ["name"], ["country_code"])
+    asked = spark.createDataFrame([("a",), ("x",)], "city string")
+    assert bag(lookup(asked, read_dimension(spark, path))) == [("a", "0", True), ("x", None, False)]
