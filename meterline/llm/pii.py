@@ -41,6 +41,8 @@ PAD, DIGIT, SMALL, LARGE, OTHER_LETTER, OTHER = range(6)
 SYMBOLS = 6 + len(SIGNS)
 TELLING = np.zeros(SYMBOLS, bool)
 TELLING[[DIGIT, *(6 + SIGNS.index(sign) for sign in "@([")]] = True
+BLANK = np.zeros(SYMBOLS, bool)
+BLANK[[6 + SIGNS.index(sign) for sign in " \t\n"]] = True
 WINDOW, STRIDE = 128, 64
 WINDOWS_AT_ONCE = 2048
 
@@ -90,7 +92,9 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 
 
 def is_ip(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    """Whether all parts are at most 255; they may have any number of zeros in front."""
+    parts = [part.lstrip("0") for part in text.split(".")]
+    return all(len(part) < 3 or (len(part) == 3 and part <= "255") for part in parts)
 
 
 def is_card(text: str) -> bool:
@@ -150,12 +154,22 @@ def reconciled(tags: np.ndarray, length: int) -> np.ndarray:
     return whole[:length]
 
 
+def near_signs(marks: np.ndarray) -> np.ndarray:
+    """The characters of words with a digit, an at-sign or an opening bracket, and of the words
+    beside them. All spans that hold personal data of these kinds lie within such words."""
+    blank = BLANK[marks]
+    word = np.cumsum(np.diff(blank, prepend=True) & ~blank)  # from 1; a blank has the word's before
+    telling = np.zeros(word[-1] + 3, bool)
+    telling[word[TELLING[marks]]] = True
+    telling[1:-1] |= telling[:-2] | telling[2:]
+    return telling[word] & ~blank
+
+
 def tagged(marks: list[np.ndarray], tagger: Tagger) -> list[np.ndarray]:
-    """The tags of each text. A window without a digit, an at-sign or an opening bracket (as
-    in "name (at) host.org") holds no personal data of these kinds: all its characters have
-    tag 0, and it need not be decoded."""
+    """The tags of each text. Only windows that reach into words near a telling sign are
+    decoded; the tags of others could not become a span."""
     cut = [windows_of(m) for m in marks]
-    live = [TELLING[w].any(axis=1) for w in cut]
+    live = [windows_of(near_signs(m)).any(axis=1) if len(m) else np.zeros(len(c), bool) for m, c in zip(marks, cut, strict=True)]
     tags = [np.zeros(w.shape, np.int8) for w in cut]
     places = [(i, j) for i, alive in enumerate(live) for j in np.flatnonzero(alive)]
     for at in range(0, len(places), WINDOWS_AT_ONCE):

@@ -49,7 +49,8 @@ def digits_of(text: str) -> str:
 
 def personal(text: str) -> list[tuple[str, int, int]]:
     found = [("email", m) for m in EMAIL.finditer(text)]
-    found += [("ip", m) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    small = re.compile("0*([0-9]{0,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])")
+    found += [("ip", m) for m in IP.finditer(text) if all(map(small.fullmatch, m[0].split(".")))]
     for m in CARD.finditer(text):
         digits = digits_of(m[0])
         if 14 <= len(digits) <= 19 and luhn(digits):

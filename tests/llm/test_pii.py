@@ -159,13 +159,42 @@ def test_a_long_text_is_tagged_as_its_parts(tagger):
     assert np.mean(hit) > 0.9
 
 
-def test_windows_without_telling_signs_have_no_tags(tagger):
+def test_windows_far_from_telling_signs_have_no_tags(tagger):
     (tags,) = pii.tagged([pii.symbols("no such thing " * 50)], tagger)
     assert not tags.any()
     telling = [i for i, sign in enumerate(pii.SIGNS, 6) if sign in "@(["]
     assert np.flatnonzero(pii.TELLING).tolist() == sorted([pii.DIGIT, *telling])
 
 
+def test_words_near_signs():
+    def near(text):
+        return "".join(c if n else "_" for c, n in zip(text, pii.near_signs(pii.symbols(text)), strict=True))
+
+    assert near("far away name (at) host . org and more") == "_________name_(at)_host_______________"
+    assert near("x 10 . 20 . 30 y z\n") == "x_10_._20_._30_y___"
+    assert near("a b  c") == "______" and near(" 7 ") == "_7_"
+
+
+@pytest.mark.parametrize("lead", [0, 40, 63, 64, 65, 100, 127, 200])
+def test_skipped_windows_change_no_span(tagger, monkeypatch, lead):
+    """The head of an address may lie in a window without any sign."""
+    text = "plain words here " * 20
+    text = text[:lead] + " " + "long.local.part." * 9 + "x (at) host.example.org or (571) 555-6437 " + text
+    found = {}
+    for skip in (True, False):
+        if not skip:
+            monkeypatch.setattr(pii, "near_signs", lambda marks: np.ones(len(marks), bool))
+        (tags,) = pii.tagged([pii.symbols(text)], tagger)
+        found[skip] = pii.added_spans(text, tags, pii.base_spans(text))
+    assert found[True] == found[False]
+
+
+@pytest.mark.parametrize("part", ["0" * 5000, "0" * 4999 + "7", "0255", "256", "9" * 5000, "00", "999"])
+def test_parts_of_any_length(part):
+    text = f"at 1.2.3.{part} or {part}.2.3.4"
+    assert named(pii.base_spans(text)) == personal(text)
+
+
 def test_nulls_empty_texts_and_repeats(docs_of, tagger):
     mail = "é write to a.b@c.example now"
     docs = docs_of([(1, None), (2, ""), (3, mail), (3, mail), (None, "1.2.3.4")])
