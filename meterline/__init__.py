@@ -10,13 +10,21 @@ from meterline.operators.reports import (
     interval_min_max,
     interval_revenue,
 )
-from meterline.operators.requests import oldest_key, recent_keys, request_stats, response_times
+from meterline.operators.requests import (
+    oldest_key,
+    recent_keys,
+    request_stats,
+    response_roll_up,
+    response_times,
+    response_times_from,
+)
 from meterline.operators.rollup import roll_up
 from meterline.plans import (
     answer_requests,
     load_dimension,
     load_into,
     put_rows,
+    rate_load,
     report_set,
     run_reports,
 )
@@ -55,6 +63,7 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_answers,
     start_lookups,
     start_reports,
     stop_all,

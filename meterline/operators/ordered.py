@@ -9,8 +9,8 @@ sample) decide only how even the ranges are, never what the result is. What one
 know of the ranges before it is a table of at most a few rows per range.
 
 Up to ``COARSE_RANGES`` ranges come from one list of cut points. Where a table needs more,
-each of those, or each key with many rows, is cut again at points that are found where the
-sample lies and kept in a table, so the driver never holds more than the first list.
+each of those is cut again at points that are found where the sample lies and kept in a
+table, so the driver never holds more than the first list, and no task all points of a key.
 
 A table is read several times here, each time only in the columns needed. If it is itself
 the result of heavy work, write it first (``session.cut_lineage``).
@@ -157,10 +157,19 @@ def _point_index(df: DataFrame, order: tuple[str, ...], bits: int) -> Column:
     return F.when(points.isNull(), 0).otherwise(inner)
 
 
-def _beside(df: DataFrame, small: DataFrame, same: Column, most_rows: int) -> DataFrame:
-    """A left join to a table of so many rows, broadcast only if that is proven small."""
-    fits = most_rows <= BROADCAST_ROWS and fits_broadcast(small)
-    return df.join(F.broadcast(small) if fits else small, same, "left")
+def _beside(
+    df: DataFrame, small: DataFrame, number: str, order: tuple[str, ...], most_rows: int, spread: int
+) -> DataFrame:
+    """A left join to a table of a row for each number, at most so many.
+
+    It is broadcast if that is proven small. Otherwise the rows of a number are spread over
+    ``spread`` tasks by a hash of their order, each with a copy of the number's row.
+    """
+    if most_rows <= BROADCAST_ROWS and fits_broadcast(small):
+        return df.join(F.broadcast(small), number, "left")
+    copies = small.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    salted = df.withColumn("__copy", F.pmod(F.xxhash64(*order), F.lit(spread)).cast("int"))
+    return salted.join(copies, [number, "__copy"], "left").drop("__copy")
 
 
 def _in_ranges(
@@ -176,11 +185,11 @@ def _in_ranges(
         return tagged, len(cuts) + 1, 1
     again = cut_again(tagged, _RANGE, order, total, rows_per_range)
     inner = 1 + (again.agg(F.max(F.size("__points"))).first()[0] or 0)
-    again = again.withColumnRenamed(_RANGE, "__coarse")
-    joined = _beside(tagged, again, F.col(_RANGE) == F.col("__coarse"), len(cuts) + 1)
+    joined = _beside(tagged, again, _RANGE, order, len(cuts) + 1, inner)
     number = F.col(_RANGE) * inner + _point_index(df, order, inner.bit_length())
-    ranged = joined.withColumn(_RANGE, number.cast("int")).drop("__points", "__coarse")
-    return ranged, (len(cuts) + 1) * inner, inner
+    ranged = joined.withColumn(_RANGE, number.cast("int")).drop("__points")
+    # Written, as rows are searched for their points but are read twice by what follows.
+    return cut_lineage(ranged), (len(cuts) + 1) * inner, inner
 
 
 def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Column:
@@ -222,11 +231,14 @@ def running_hit_rate(
     hit: str = "hit",
     rows_per_range: int = ROWS_PER_RANGE,
     coarse_ranges: int = COARSE_RANGES,
+    requests_before: int = 0,
+    hits_before: int = 0,
 ) -> DataFrame:
     """Per request the requests, hits and hit percentage up to and including it.
 
     One shuffle of the rows: they are totalled inside their range, and the totals of all
-    earlier ranges (one row per range) are added.
+    earlier ranges (one row per range) are added. ``requests_before`` and ``hits_before``
+    are those of a log that ended before this one.
     """
     order = (time, tie_breaker)
     tagged, ranges, inner = _in_ranges(log, order, rows_per_range, coarse_ranges)
@@ -242,8 +254,8 @@ def running_hit_rate(
         F.count("*").alias("__requests"), F.count_if(hit).alias("__hits")
     )
     before = _totals_before(totals, inner)
-    requests = F.col("running_requests") + F.col("__requests")
-    hits = F.col("running_hits") + F.col("__hits")
+    requests = F.col("running_requests") + F.col("__requests") + F.lit(requests_before)
+    hits = F.col("running_hits") + F.col("__hits") + F.lit(hits_before)
     small = F.broadcast(before) if ranges <= BROADCAST_ROWS else before
     return (
         counted.join(small, _RANGE, "left")
@@ -298,7 +310,10 @@ def repeat_within(
     total = log.count()
     ranges = -(-total // rows_per_range)
     if ranges > coarse_ranges:
-        flagged = _previous_with_many_hot_keys(log, order, total, rows_per_range)
+        if _some_key_fills_ranges(log, key, rows_per_range):
+            flagged = _previous_in_ranges(log, order, rows_per_range, coarse_ranges)
+        else:
+            flagged = _previous(log, order)
     else:
         planned = plan_cuts(
             log, *order, rows_per_range=rows_per_range, coarse_ranges=coarse_ranges, total=total
@@ -320,33 +335,42 @@ def _previous(log: DataFrame, order: tuple[str, str, str]) -> DataFrame:
     )
 
 
-def _previous_with_many_hot_keys(
-    log: DataFrame, order: tuple[str, str, str], total: int, rows_per_range: int
+def _some_key_fills_ranges(log: DataFrame, key: str, rows_per_range: int) -> bool:
+    """Whether a key has rows for two ranges or more, by a sample that is summed up per key."""
+    share = min(1.0, _SAMPLES_PER_RANGE / rows_per_range)
+    counts = log.select(key).sample(share, seed=19).groupBy(key).agg(F.count("*").alias("__rows"))
+    return not counts.filter(F.col("__rows") >= 2 * rows_per_range * share).isEmpty()
+
+
+def _previous_in_ranges(
+    log: DataFrame, order: tuple[str, str, str], rows_per_range: int, coarse_ranges: int
 ) -> DataFrame:
-    """``previous_ts`` where the ranges of hot keys are too many for one list of cut points."""
-    key, *inner_order = order
-    again = cut_again(log, key, tuple(inner_order), total, rows_per_range)
-    if again.isEmpty():
-        return _previous(log, order)
-    ranges = -(-total // rows_per_range)
-    # One row per hot key, each of two ranges at least.
-    places = W.orderBy(F.col(key)).rowsBetween(W.unboundedPreceding, -1)
-    numbered = again.withColumn(
-        "__begin", F.coalesce(F.sum(F.size("__points") + 1).over(places), F.lit(0))
+    """``previous_ts`` where there are more ranges than one list of cut points can hold.
+
+    The whole order of (key, time) is cut, first by the list and then inside each of its
+    ranges, so a key may fill any number of ranges and many keys may share one. The row
+    before a range is the last one of the range before: one row for each range tells it.
+    """
+    key, time, tie_breaker = order
+    tagged, ranges, inner = _in_ranges(log, order, rows_per_range, coarse_ranges)
+    in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
+    parts = tagged.repartitionById(ranges, F.col(_RANGE))
+    previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
+
+    last = F.max(F.struct(F.col(key).alias("key"), F.col(time).alias("time"))).alias("__last")
+    coarse = F.floor(F.col(_RANGE) / inner).cast("int").alias("__coarse")
+    ends = cut_lineage(tagged.groupBy(_RANGE).agg(last).select(coarse, _RANGE, "__last"))
+    in_coarse = W.partitionBy("__coarse").orderBy(_RANGE)
+    # At most ``coarse_ranges`` rows.
+    earlier = ends.groupBy("__coarse").agg(F.max("__last").alias("__last")).select(
+        "__coarse", F.lag("__last").over(W.orderBy("__coarse")).alias("__earlier")
     )
-    hot = cut_lineage(numbered.withColumnRenamed(key, "__hot_key"))
-    last, longest = hot.agg(
-        F.max(F.col("__begin") + F.size("__points")), F.max(F.size("__points"))
-    ).first()
-    whole = max(1, ranges - last)
-    by_hash = F.pmod(F.xxhash64(key), F.lit(whole))
-    in_range = whole + F.col("__begin") + _point_index(log, tuple(inner_order), longest.bit_length())
-    joined = _beside(log, hot, F.col(key).eqNullSafe(F.col("__hot_key")), ranges)
-    number = F.when(F.col("__points").isNull(), by_hash).otherwise(in_range)
-    tagged = joined.withColumn(_RANGE, number.cast("int"))
-    is_hot = F.col("__points").isNotNull()
-    flagged = _carried_previous(tagged, order, is_hot, whole + last + 1, 2 * ranges)
-    return flagged.drop("__points", "__begin", "__hot_key")
+    before = F.coalesce(F.lag("__last").over(in_coarse), F.col("__earlier")).alias("__before")
+    carried = ends.join(F.broadcast(earlier), "__coarse").select(_RANGE, before)
+    joined = previous.join(F.broadcast(carried) if ranges <= BROADCAST_ROWS else carried, _RANGE)
+    same_key = F.col(key).eqNullSafe(F.col("__before.key"))
+    found = F.coalesce("previous_ts", F.when(same_key, F.col("__before.time")))
+    return joined.withColumn("previous_ts", found).drop(_RANGE, "__before")
 
 
 def _previous_with_hot_keys(

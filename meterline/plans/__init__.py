@@ -1,7 +1,7 @@
 """Whole jobs made of the operators: reports, dimension loads and answered requests."""
 
 from meterline.plans.dimension import load_dimension, load_into, put_rows
-from meterline.plans.requests import answer_requests
+from meterline.plans.requests import answer_requests, rate_load
 from meterline.plans.revenue import ReportSet, report_set, reports_from, run_reports
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "load_dimension",
     "load_into",
     "put_rows",
+    "rate_load",
     "report_set",
     "reports_from",
     "run_reports",

@@ -19,10 +19,10 @@ from meterline.operators import dimension as dim
 from meterline.operators import ordered, reports, requests, rollup
 from meterline.operators.prepare import prepare, with_event_time
 from meterline.plans.dimension import dimension_from, load_dimension, load_into, put_rows
-from meterline.plans.requests import answer_requests
+from meterline.plans.requests import answer_requests, rate_load
 from meterline.plans.revenue import FOLDERS, report_set, reports_from, run_reports
 from meterline.schemas import BRIEF, FULL
-from meterline.session import new_folder
+from meterline.session import cut_lineage, new_folder
 from meterline.sinks import (
     land_cdr,
     merge_buckets,
@@ -49,6 +49,7 @@ from meterline.streaming import (
     progress_rows,
     read_complete,
     read_updates,
+    start_answers,
     start_lookups,
     start_reports,
     stop_all,
@@ -684,6 +685,14 @@ def upsert_in_buckets(spark, folder):
     return read_dimension(spark, path)
 
 
+# Ten days each: of the first month of events, the early, middle and late ones.
+THIRDS = [
+    "ts < TIMESTAMP_NTZ '2024-01-11'",
+    "ts >= TIMESTAMP_NTZ '2024-01-11' AND ts < TIMESTAMP_NTZ '2024-01-21'",
+    "ts >= TIMESTAMP_NTZ '2024-01-21'",
+]
+
+
 # --- lookups and their log ------------------------------------------------------------
 
 CITIES = """
@@ -823,6 +832,35 @@ def repeat_within_ttl_in_ranges(spark, folder):
     return plain_times(repeats, "ts", "previous_ts")
 
 
+# Three of four requests ask for one name.
+HOT = CITIES + """,
+hot AS (
+  SELECT request_id, ts, CASE WHEN request_id % 4 > 0 THEN 'Customer#hot' ELSE city END AS city
+  FROM requests)
+"""
+
+
+@checked_by(HOT + REPEATS.replace("FROM requests", "FROM hot"))
+def repeat_within_ttl_in_a_tree(spark, folder):
+    """One key with most rows, cut in two levels, as where one list of cut points is too short."""
+    name = F.when(F.col("request_id") % 4 > 0, "Customer#hot").otherwise(F.col("city"))
+    asked = request_table(spark, folder).select("request_id", "ts", name.alias("city"))
+    rows = asked.count()
+    repeats = ordered.repeat_within(asked, rows_per_range=max(1, rows // 64), coarse_ranges=8)
+    return plain_times(repeats, "ts", "previous_ts")
+
+
+@checked_by(SQL["running_hit_rate"])
+def running_hit_rate_of_loads(spark, folder):
+    """The log arrives in three loads; each reads only itself and the totals before it."""
+    rated, closed = new_folder(spark, "rated"), new_folder(spark, "closed")
+    events = table(spark, folder, "events")
+    for number, third in enumerate(THIRDS):
+        log = city_requests(events.filter(third)).select("request_id", "ts", "hit")
+        rate_load(log, f"load{number}", rated, closed)
+    return plain_times(spark.read.parquet(rated), "ts").drop("hit", "load")
+
+
 @checked_by(CITIES + f""",
 repeats AS ({REPEATS}),
 judged AS (
@@ -864,6 +902,47 @@ def response_times(spark, folder):
     return plain_times(rounded, "interval_start")
 
 
+@checked_by(CITIES + """
+SELECT interval_start, cache_status, count(*) AS requests,
+       round(avg(response_time), 6) AS mean_response, max(response_time) AS max_response,
+       true AS rank_is_close
+FROM (SELECT date_trunc('day', ts) AS interval_start, * FROM requests
+      UNION ALL SELECT NULL, * FROM requests)
+GROUP BY 1, 2""")
+def response_times_of_a_roll_up(spark, folder):
+    """Days and the whole time, from one table of quarter hours with sketches of the quantiles.
+
+    The rank of each quantile is counted in the requests themselves.
+    """
+    log = request_table(spark, folder)
+    return checked_response_times(log, cut_lineage(requests.response_roll_up(log)))
+
+
+def checked_response_times(log: DataFrame, rolled: DataFrame) -> DataFrame:
+    days = requests.response_times_from(rolled)
+    always = requests.response_times_from(rolled, width=None)
+    times = days.unionByName(always.withColumn("interval_start", F.lit(None).cast("timestamp")))
+    starts = F.array(F.date_trunc("day", "ts"), F.lit(None).cast("timestamp"))
+    own = log.select(
+        F.col("cache_status").alias("status"), F.explode(starts).alias("start"), "response_time"
+    )
+    inside = (F.col("cache_status") == F.col("status")) & F.col("interval_start").eqNullSafe(
+        F.col("start")
+    )
+    counted = times.join(own, inside).groupBy(*times.columns).agg(
+        F.count_if(F.col("response_time") <= F.col("p95_response")).alias("below"),
+        F.count_if(F.col("response_time") < F.col("p95_response")).alias("under"),
+    )
+    off = F.greatest(
+        F.col("under") / F.col("requests") - 0.95, 0.95 - F.col("below") / F.col("requests")
+    )
+    # An exact quantile of few requests is off by up to one of them.
+    close = off <= 0.02 + 1 / F.col("requests")
+    rounded = counted.withColumn("mean_response", F.round("mean_response", 6))
+    judged = rounded.withColumn("rank_is_close", close)
+    return plain_times(judged, "interval_start").drop("below", "under", "p95_response")
+
+
 LOG_SQL = CITIES + f"""
 SELECT request_id, r.ts, city, response_time, cache_status,
        CAST({PERCENTAGE} AS DOUBLE) AS cache_hit_percentage
@@ -1068,14 +1147,6 @@ def files_stream(spark, folder, path: str) -> DataFrame:
     return reports.interval_revenue(prepare(as_records(reader.parquet(path))))
 
 
-# Ten days each: of the first month of events, the early, middle and late ones.
-THIRDS = [
-    "ts < TIMESTAMP_NTZ '2024-01-11'",
-    "ts >= TIMESTAMP_NTZ '2024-01-11' AND ts < TIMESTAMP_NTZ '2024-01-21'",
-    "ts >= TIMESTAMP_NTZ '2024-01-21'",
-]
-
-
 @checked_by(CDR + f"""
 SELECT code AS PAYTYPE_515, CAST(sum(rev) AS DECIMAL(16,3)) AS revenue, {SLOT} AS interval_start
 FROM cdr WHERE t < TIMESTAMP '2024-01-11' OR t >= TIMESTAMP '2024-01-21' GROUP BY 1, 3
@@ -1239,3 +1310,32 @@ def stream_lookup_live_in_a_catalog_table(spark, folder):
         put_rows(spark, rows, "name", ["name"], ["country_code"], table=name)
 
     return live_answers(spark, folder, update, table=name)
+
+
+@checked_by(SQL["answered_requests"])
+def stream_answered_requests(spark, folder):
+    """Requests arrive in three files; what is known of earlier ones lies in a state in buckets."""
+    source, out, stored = (new_folder(spark, name) for name in ("requests", "answers", "cities"))
+    write_version(cities(spark, folder), stored)
+    events = table(spark, folder, "events")
+    for third in THIRDS:
+        events.filter(third).coalesce(1).write.mode("append").parquet(source)
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    asked = city_requests(reader.parquet(source)).select("request_id", "ts", "city", "response_time")
+    start_answers(
+        asked, out, new_folder(spark, "checkpoint"), dimension_path=stored, buckets=8, trigger=AT_ONCE
+    ).awaitTermination()
+    answers = spark.read.option("recursiveFileLookup", True).parquet(out)
+    return plain_times(answers, "ts")
+
+
+@checked_by(SQL["response_times_of_a_roll_up"])
+def stream_response_times(spark, folder):
+    """The roll-up as a stream of changes, read as it is at the end."""
+    path = new_folder(spark, "rolled")
+    log = city_requests(table_stream(spark, folder, "events")).withWatermark("ts", "1 day")
+    checkpoint, keys = new_folder(spark, "checkpoint"), ["cache_status", "interval_start"]
+    stream_updates(
+        requests.response_roll_up(log), path, checkpoint, trigger=AT_ONCE
+    ).awaitTermination()
+    return checked_response_times(request_table(spark, folder), read_updates(spark, path, keys))

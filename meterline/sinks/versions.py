@@ -22,7 +22,7 @@ from contextlib import contextmanager
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators.dimension import last_write, upsert
@@ -355,6 +355,20 @@ def read_latest(spark: SparkSession, path: str, version: int | None = None) -> D
     return upsert(table, changed, key, [_VERSION], columns)
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def read_touched(rows: DataFrame, key: str, path: str, version: int) -> DataFrame | None:
+    """Of a version in buckets, those that may hold a key of ``rows``; None if there are none."""
+    spark = rows.sparkSession
+    layout = _layout(spark, path, version) if version else None
+    if layout is None:
+        return None
+    touched = rows.select(bucket_of(key, layout["buckets"]).alias(_BUCKET)).distinct().collect()
+    return _read_buckets(spark, path, layout, sorted(row[0] for row in touched))
+
+
 def merge_buckets(
     updates: DataFrame,
     path: str,
@@ -380,7 +394,7 @@ def merge_buckets(
         finished = number in _versions(spark, path, finished=True)
         layout = _layout(spark, path, number) if finished else None
         count = layout["buckets"] if layout else buckets
-        bucket = F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias(_BUCKET)
+        bucket = bucket_of(key, count).alias(_BUCKET)
         if layout:
             # At most a row for each bucket.
             touched = sorted(row[0] for row in latest.select(bucket).distinct().collect())

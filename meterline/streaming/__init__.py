@@ -1,7 +1,7 @@
 """Reports and lookups as Structured Streaming queries, and their control."""
 
 from meterline.streaming.control import ProgressLog, log_progress, progress_rows, stop_all
-from meterline.streaming.jobs import start_lookups, start_reports, stream_upsert
+from meterline.streaming.jobs import start_answers, start_lookups, start_reports, stream_upsert
 from meterline.streaming.queries import (
     read_complete,
     read_updates,
@@ -17,6 +17,7 @@ __all__ = [
     "progress_rows",
     "read_complete",
     "read_updates",
+    "start_answers",
     "start_lookups",
     "start_reports",
     "stop_all",

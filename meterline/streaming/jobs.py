@@ -2,28 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from meterline.operators import reports
 from meterline.operators.dimension import last_write, lookup, upsert
+from meterline.operators.joins import sized_join
+from meterline.operators.ordered import repeat_within
 from meterline.operators.rollup import daily_from, roll_up
+from meterline.plans.requests import judge_requests, rate_requests
 from meterline.plans.revenue import FOLDERS, reports_from
-from meterline.schemas import DIMENSION
+from meterline.schemas import DIMENSION, SECONDS_TO_LIVE
+from meterline.session import cut_lineage
 from meterline.sinks.versions import (
     RETIRED_SECONDS,
     held_table,
+    latest_version,
     merge_buckets,
     merge_table,
+    read_touched,
     versions_of_table,
     write_changes,
 )
 from meterline.sources.paths import expand_home
 from meterline.sources.tables import empty_dimension
 from meterline.streaming.queries import EVERY_30_SECONDS, start_batches
-from meterline.streaming.runs import folders, remove, run_name
+from meterline.streaming.runs import folders, read_note, remove, run_name, write_note
 
 
 def start_reports(
@@ -155,16 +164,86 @@ def start_lookups(
     target = f"{expand_home(path)}/{run_name(spark, checkpoint).removeprefix('run=')}"
 
     def answer(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        versions = dimension_path or versions_of_table(spark, table)
         asked = batch.persist()
         try:
-            with held_table(spark, versions) as newest:
-                if newest is None:
-                    newest = spark.read.table(table) if table else empty_dimension(spark, schema)
+            with newest_dimension(batch.sparkSession, dimension_path, table, schema) as newest:
                 answers = lookup(asked, newest, request_key, key, how, **joining)
                 answers.write.mode("overwrite").format(form).save(f"{target}-{number:010d}")
         finally:
             asked.unpersist()
 
     return start_batches(requests, checkpoint, "append", answer, name, trigger)
+
+
+@contextmanager
+def newest_dimension(
+    spark: SparkSession, path: str | None, table: str | None, schema: T.StructType = DIMENSION
+) -> Iterator[DataFrame]:
+    """The dimension as it is now, held while the block runs."""
+    with held_table(spark, path or versions_of_table(spark, table)) as newest:
+        if newest is None:
+            newest = spark.read.table(table) if table else empty_dimension(spark, schema)
+        yield newest
+
+
+def start_answers(
+    requests: DataFrame,
+    path: str,
+    checkpoint: str,
+    dimension_path: str | None = None,
+    table: str | None = None,
+    seconds: int = SECONDS_TO_LIVE,
+    buckets: int = 64,
+    name: str | None = None,
+    trigger: dict = EVERY_30_SECONDS,
+    **cutting: int,
+) -> StreamingQuery:
+    """``answer_requests`` on a stream: the log's rows, with the running percentage, as they come.
+
+    Requests of a batch count as later than those of the batches before. What a batch must
+    know of these lies beside the checkpoint: the last time of each city, in a table of
+    hash buckets of which a batch reads and rewrites those of its own cities, and the totals
+    so far. A repeated batch starts from the state before it, also if it was ended after
+    writing its own, and replaces its rows. Read them with ``recursiveFileLookup``.
+    """
+    target = f"{expand_home(path)}/{run_name(requests.sparkSession, checkpoint).removeprefix('run=')}"
+    seen_path, totals = f"{expand_home(checkpoint)}/last-seen", f"{expand_home(checkpoint)}/totals"
+
+    def answer(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = [n for n in folders(spark, totals, "batch=", finished=False) if n < number]
+        before = read_note(spark, f"{totals}/batch={known[-1]}") if known else {}
+        seen_version = before.get("seen", 0)
+        asked = cut_lineage(batch)
+        repeats = repeat_within(asked, seconds=seconds, **cutting)
+        seen = read_touched(asked, "city", seen_path, seen_version)
+        if seen is not None:
+            repeats = since_last_seen(repeats, seen, seconds)
+        with newest_dimension(spark, dimension_path, table) as newest:
+            judged = judge_requests(repeats.drop("previous_ts"), newest, asked)
+        sums = {"requests": before.get("requests", 0), "hits": before.get("hits", 0)}
+        given = {f"{name}_before": n for name, n in sums.items()}
+        rated = rate_requests(judged, **given, **cutting)
+        rated.write.mode("overwrite").parquet(f"{target}-{number:010d}")
+        if latest_version(spark, seen_path) == seen_version:
+            last = asked.select("city", F.col("ts").alias("last_ts"), "request_id")
+            order = ["last_ts", "request_id"]
+            merge_buckets(last, seen_path, "city", order, ["last_ts"], buckets, keep=2, min_age=0)
+        hit = F.count_if(F.col("cache_status") == "HIT")
+        here = judged.agg(F.count("*").alias("requests"), hit.alias("hits")).first()
+        sums = {name: n + here[name] for name, n in sums.items()}
+        note = sums | {"seen": latest_version(spark, seen_path)}
+        write_note(spark, f"{totals}/batch={number}", note)
+        for old in known[:-1]:
+            remove(spark, f"{totals}/batch={old}")
+
+    return start_batches(requests, checkpoint, "append", answer, name, trigger)
+
+
+def since_last_seen(repeats: DataFrame, seen: DataFrame, seconds: int) -> DataFrame:
+    """Repeats that also know the last time of each city before them."""
+    joined = sized_join(repeats, seen, "city", unique="request_id")
+    previous = F.coalesce("previous_ts", "last_ts")
+    limit = previous + F.make_dt_interval(secs=F.lit(seconds))
+    repeated = F.coalesce(F.col("ts") < limit, F.lit(False))
+    return joined.withColumns({"previous_ts": previous, "repeated": repeated}).drop("last_ts")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from uuid import uuid4
 
@@ -24,6 +25,10 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
         out = files.create(file, False)
         out.write(f"run={time.time_ns():020d}-{uuid4().hex[:8]}".encode())
         out.close()
+    return _text(spark, file, files)
+
+
+def _text(spark: SparkSession, file, files) -> str:
     stream = files.open(file)
     try:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -31,6 +36,22 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
         stream.close()
 
 
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """A small JSON file, there whole or not at all."""
+    file, files = _file(spark, path)
+    folder, _, name = path.rpartition("/")
+    aside, _ = _file(spark, f"{folder}/_{name}-{uuid4().hex}")
+    out = files.create(aside, True)
+    out.write(json.dumps(note).encode())
+    out.close()
+    files.delete(file, False)
+    files.rename(aside, file)
+
+
+def read_note(spark: SparkSession, path: str) -> dict:
+    return json.loads(_text(spark, *_file(spark, path)))
+
+
 def folders(
     spark: SparkSession, path: str, prefix: str, finished: bool = True, number: type = int
 ) -> list:

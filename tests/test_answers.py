@@ -1,0 +1,105 @@
+"""Answers on a stream: equal to those of a batch, also when a batch is repeated."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from helpers import bag
+
+from meterline import answer_requests, start_answers, start_lookups, write_version
+from meterline.sinks import versions
+from meterline.streaming import jobs
+
+START = datetime(2024, 1, 1)
+REQUESTS = "request_id long, ts timestamp, city string, response_time double"
+AT_ONCE = {"availableNow": True}
+
+
+def some_requests(n=400):
+    rng = random.Random(4)
+    times = sorted(rng.randrange(30_000) for _ in range(n))
+    pick = lambda: rng.choice(["hot", "hot", None, f"c{rng.randrange(12)}", f"c{rng.randrange(200)}"])
+    return [(i, START + timedelta(seconds=t), pick(), 0.5) for i, t in enumerate(times)]
+
+
+@pytest.fixture
+def asked(spark, tmp_path):
+    """Requests in four files in order of time, as a stream of one file a batch."""
+    data, source = some_requests(), str(tmp_path / "requests")
+    for at in (0, 100, 101, 250):
+        part = data[at : {0: 100, 100: 101, 101: 250, 250: 400}[at]]
+        spark.createDataFrame(part, REQUESTS).coalesce(1).write.mode("append").parquet(source)
+    cities = spark.createDataFrame(
+        [("hot", "H"), ("c3", ""), *((f"c{i}", f"C{i}") for i in range(4, 60))], "name string, country_code string"
+    )
+    write_version(cities, str(tmp_path / "cities"))
+    stream = spark.readStream.schema(REQUESTS).option("maxFilesPerTrigger", 1).parquet(source)
+    expected = answer_requests(spark.createDataFrame(data, REQUESTS), cities)
+    return stream, bag(expected), str(tmp_path / "cities")
+
+
+def run(spark, tmp_path, asked, stop_at=None):
+    stream, _, cities = asked
+    query = start_answers(
+        stream, str(tmp_path / "out"), str(tmp_path / "state"), dimension_path=cities, buckets=4, trigger=AT_ONCE
+    )
+    if stop_at is None:
+        query.awaitTermination()
+    else:
+        with pytest.raises(Exception, match="ended here"):
+            query.awaitTermination()
+
+
+def answers(spark, tmp_path):
+    return bag(spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "out")))
+
+
+def test_a_stream_answers_like_a_batch(spark, tmp_path, asked):
+    run(spark, tmp_path, asked)
+    assert answers(spark, tmp_path) == asked[1]
+    assert len(list((tmp_path / "state" / "totals").glob("batch=*"))) <= 2
+
+
+@pytest.mark.parametrize("place", ["merge_buckets", "write_note", "latest_version", "remove"])
+def test_a_batch_that_is_repeated_counts_once(spark, tmp_path, asked, monkeypatch, place):
+    """Ended before and after the state is written, and before and after the totals are."""
+    work, calls = getattr(jobs, place), []
+
+    def ends_once(*arguments, **options):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("ended here")
+        return work(*arguments, **options)
+
+    monkeypatch.setattr(jobs, place, ends_once)
+    if place == "remove":
+        monkeypatch.setattr(jobs, place, lambda *a: (_ for _ in ()).throw(RuntimeError("ended here")))
+    run(spark, tmp_path, asked, stop_at=place)
+    monkeypatch.setattr(jobs, place, work)
+    run(spark, tmp_path, asked)
+    assert answers(spark, tmp_path) == asked[1]
+
+
+def test_a_lookup_stream_holds_what_it_reads(spark, tmp_path, asked, monkeypatch):
+    """Versions are replaced and dropped between the reading and the writing of a batch."""
+    stream, _, cities = asked
+    work, seen = jobs.lookup, []
+
+    def overtaken(requests, dimension, *arguments, **options):
+        found = work(requests, dimension, *arguments, **options)
+        new = spark.createDataFrame([("hot", f"H{len(seen)}")], "name string, country_code string")
+        versions.write_changes(new, cities, "name", compact_every=1, keep=1, min_age=0)
+        seen.append(1)
+        return found
+
+    monkeypatch.setattr(jobs, "lookup", overtaken)
+    out = str(tmp_path / "found")
+    start_lookups(stream, out, str(tmp_path / "c"), dimension_path=cities, trigger=AT_ONCE).awaitTermination()
+    found = spark.read.option("recursiveFileLookup", True).parquet(out)
+    assert found.count() == 400 and len(seen) == 4
+    codes = {r.country_code for r in found.filter("city = 'hot'").select("country_code").distinct().collect()}
+    assert {"H", "H1", "H2"} <= codes
+    versions.drop_old(spark, cities, keep=1, min_age=0)
+    assert len([p for p in (tmp_path / "cities").iterdir() if p.name.startswith("version=")]) == 1

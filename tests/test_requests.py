@@ -16,15 +16,21 @@ from meterline import (
     log_messages,
     oldest_key,
     parse_log_messages,
+    rate_load,
     read_request_log,
     recent_keys,
     repeat_within,
     request_stats,
+    response_roll_up,
     response_times,
+    response_times_from,
     running_hit_rate,
     write_request_log,
 )
+from meterline.operators import ordered
 from meterline.operators.ordered import _in_ranges, plan_cuts, range_index
+from meterline.plans import requests as requests_plan
+from meterline.plans.requests import LateRequests
 from meterline.sources.request_log import topic_options
 
 START = datetime(2024, 1, 1)
@@ -292,3 +298,82 @@ def test_log_columns_not_used_are_not_parsed(spark, tmp_path):
     write_request_log(log, path)
     hits = read_request_log(spark, path).withColumn("hit", F.col("cache_status") == "HIT")
     assert "ReadSchema: struct<cache_status:string>" in plan(request_stats(hits))
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_one_key_with_all_rows_is_cut_as_a_tree(spark, monkeypatch, small):
+    """No range gets more than twice its rows, also where the cut points are no small table."""
+    rng = random.Random(5)
+    data = [(i, START + timedelta(seconds=rng.randrange(4000)), "hot", False) for i in range(2000)]
+    log = spark.createDataFrame(data, SCHEMA).repartition(5)
+    if not small:
+        monkeypatch.setattr(ordered, "BROADCAST_ROWS", 0)
+    order = ("city", "ts", "request_id")
+    tagged, ranges, inner = _in_ranges(log, order, 5, 16)
+    sizes = Counter(row["__range"] for row in tagged.collect())
+    assert inner > 1 and max(sizes.values()) <= 2 * 5 + 1 and len(sizes) > 300
+    repeats = ordered._previous_in_ranges(log, order, 25, 8)
+    got = {row["request_id"]: row["previous_ts"] for row in repeats.collect()}
+    assert got == {i: previous for i, (previous, _) in expected_repeats(data).items()}
+    assert ordered._some_key_fills_ranges(log, "city", 25)
+
+
+def test_rates_of_loads(spark, tmp_path):
+    data = sorted(skewed(900, 3), key=lambda r: (r[1], r[0]))
+    cuts = [0, 300, 301, 301, 900]
+    rated, closed = str(tmp_path / "rated"), str(tmp_path / "closed")
+    loads = [spark.createDataFrame(data[a:b], SCHEMA) for a, b in zip(cuts, cuts[1:])]
+    for number, load in enumerate(loads):
+        totals = rate_load(load, f"l{number}", rated, closed, rows_per_range=100)
+    assert totals == {"requests": 900, "hits": sum(h for *_, h in data)}
+    again = rate_load(loads[-1], "l3", rated, closed)  # repeated after a failure
+    assert again == totals
+    got = {r["request_id"]: tuple(r)[4:7] for r in spark.read.parquet(rated).collect()}
+    assert got == expected_running(data)
+    with pytest.raises(ValueError, match="l1 was loaded before l3"):
+        rate_load(loads[1], "l1", rated, closed)
+    with pytest.raises(LateRequests):
+        rate_load(loads[1], "l9", rated, closed)
+
+
+def test_a_load_reads_no_earlier_one(spark, tmp_path, monkeypatch):
+    rated, closed = str(tmp_path / "rated"), str(tmp_path / "closed")
+    data = [(i, START + timedelta(seconds=i), "x", i % 3 == 0) for i in range(60)]
+    rate_load(spark.createDataFrame(data[:40], SCHEMA), "a", rated, closed)
+    (tmp_path / "rated" / "load=a").rename(tmp_path / "gone")
+    plans = []
+    running = requests_plan.running_hit_rate
+    monkeypatch.setattr(
+        requests_plan, "running_hit_rate", lambda *a, **o: plans.append(running(*a, **o)) or plans[-1]
+    )
+    rate_load(spark.createDataFrame(data[40:], SCHEMA), "b", rated, closed)
+    assert "load=a" not in plan(plans[0]) and str(tmp_path / "rated") not in plan(plans[0])
+    got = {r["request_id"]: tuple(r)[4:7] for r in spark.read.parquet(rated).collect()}
+    assert got == {i: v for i, v in expected_running(data).items() if i >= 40}
+
+
+def test_quantiles_from_merged_sketches(spark):
+    rng = random.Random(2)
+    data = [(START + timedelta(minutes=15 * (i % 300)), rng.expovariate(1), ("HIT", "MISS")[i % 2]) for i in range(60_000)]
+    data += [(START, None, "HIT"), (START, None, "OTHER"), (None, 3.0, "HIT")]
+    log = spark.createDataFrame(data, "ts timestamp, response_time double, cache_status string")
+    rolled = response_roll_up(log)
+    assert rolled.filter("cache_status = 'HIT'").count() <= 301
+    for width in ("1 day", "30 days", None):
+        times = response_times_from(rolled, width).collect()
+        for row in times:
+            start = row["interval_start"] if width else None
+            days = {"1 day": 1, "30 days": 30, None: 10_000}[width]
+            own = sorted(
+                v for ts, v, s in data
+                if s == row.cache_status and v is not None and (ts is not None)
+                and (start is None or start <= ts < start + timedelta(days=days))
+            )
+            if row.cache_status == "OTHER":
+                assert (row.requests, row.p95_response, row.max_response) == (1, None, None)
+                continue
+            assert row.max_response == own[-1] and row.mean_response == pytest.approx(sum(own) / len(own))
+            rank = sum(v <= row.p95_response for v in own) / len(own)
+            assert abs(rank - 0.95) < 0.01
+    exact = {r.cache_status: r.requests for r in response_times_from(rolled, None).collect()}
+    assert exact == {"HIT": 30_001, "MISS": 30_000, "OTHER": 1}
