@@ -25,6 +25,9 @@ from meterline.plans import (
     load_into,
     put_rows,
     rate_load,
+    read_loads,
+    read_roll_up,
+    refresh_roll_up,
     report_set,
     run_reports,
 )

@@ -18,7 +18,14 @@ from meterline.functions import cache_status, convert_amount
 from meterline.operators import dimension as dim
 from meterline.operators import ordered, reports, requests, rollup
 from meterline.operators.prepare import prepare, with_event_time
-from meterline.plans.dimension import dimension_from, load_dimension, load_into, put_rows
+from meterline.plans.dimension import (
+    dimension_from,
+    load_dimension,
+    load_into,
+    put_rows,
+    read_loads,
+)
+from meterline.plans.landed import read_roll_up, refresh_roll_up
 from meterline.plans.requests import answer_requests, rate_load
 from meterline.plans.revenue import FOLDERS, report_set, reports_from, run_reports
 from meterline.schemas import BRIEF, FULL
@@ -416,6 +423,22 @@ def landed_daily_revenue(spark, folder):
     return reports.daily_revenue(read_landed_cdr(spark, path))
 
 
+@checked_by(REVENUE_SQL)
+def refreshed_interval_revenue(spark, folder):
+    """One day is landed in part at first; when it is landed again, only that day is read."""
+    landed, rolled = new_folder(spark, "landed"), new_folder(spark, "rolled")
+    prepared = records(spark, folder)
+    late = F.to_date("timestamp") == F.lit("2024-01-15")
+    land_cdr(prepared.filter(~late | (F.col("PAYTYPE_515") == 0)), landed)
+    refresh_roll_up(spark, landed, rolled)
+    land_cdr(prepared.filter(late), landed)
+    numbers = refresh_roll_up(spark, landed, rolled)
+    if numbers["read"] != 1 or numbers["dropped"]:
+        raise AssertionError(f"one day was to be read again, not {numbers}")
+    made = reports_from(read_roll_up(spark, rolled), builtin_mapping(spark, NAMES))
+    return plain_times(made.interval_revenue, "interval_start")
+
+
 @checked_by("""
 SELECT l_orderkey, l_linenumber,
        CAST(CAST(l_extendedprice AS DECIMAL(10,3)) * CAST(0.0001 AS DECIMAL(5,4))
@@ -570,6 +593,20 @@ def dimension_after_two_loads(spark, folder):
     return read_dimension(spark, stored)
 
 
+@checked_by(FILE_ROWS + """
+SELECT 'first' AS load, total, succeeded, failed, name FROM (
+  SELECT count(*) AS total, count(code) AS succeeded, count(*) - count(code) AS failed
+  FROM file_rows), (SELECT name FROM file_rows WHERE code IS NULL)""")
+def kept_load(spark, folder):
+    """The counters of a load and the rows that it rejected, read from where they are kept."""
+    history = new_folder(spark, "history")
+    files, stored = dimension_files(spark, folder), new_folder(spark, "stored")
+    for _ in range(2):  # a load that is repeated replaces itself
+        load_into(spark, files, stored, history=history, load="first")
+    counters, rejected = read_loads(spark, history)
+    return rejected.select("load", "name").join(F.broadcast(counters), "load")
+
+
 def two_loads(spark, folder) -> tuple[str, str]:
     """Files of all customers, then some that change a few of them and add suppliers."""
     first, second = new_folder(spark, "first"), new_folder(spark, "second")

@@ -1,0 +1,110 @@
+"""Days that are rolled up again only when they change; loads that are kept."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from helpers import bag, plan
+
+from meterline import land_cdr, load_into, read_landed_cdr, roll_up
+from meterline.plans import landed as plan_of_days
+from meterline.plans.dimension import read_loads
+from meterline.plans.landed import landed_days, read_roll_up, refresh_roll_up
+
+RECORDS = "timestamp timestamp, PAYTYPE_515 int, revenue_toman decimal(6,3)"
+
+
+def records(spark, days, amount="1.500"):
+    from decimal import Decimal
+
+    rows = [
+        (datetime(2024, 3, day, hour, minute), code, Decimal(amount))
+        for day in days for hour, minute, code in ((0, 5, 0), (12, 40, 1), (12, 44, 1), (23, 59, None))
+    ]
+    return spark.createDataFrame(rows, RECORDS)
+
+
+@pytest.fixture
+def places(spark, tmp_path):
+    landed, rolled = str(tmp_path / "landed"), str(tmp_path / "rolled")
+    land_cdr(records(spark, range(1, 31)), landed)
+    return landed, rolled
+
+
+def whole(spark, landed):
+    return bag(roll_up(read_landed_cdr(spark, landed).drop("event_date")))
+
+
+def test_only_changed_days_are_read(spark, places, monkeypatch):
+    landed, rolled = places
+    assert read_roll_up(spark, rolled) is None
+    assert refresh_roll_up(spark, landed, rolled) == {"read": 30, "dropped": 0, "kept": 0}
+    assert bag(read_roll_up(spark, rolled)) == whole(spark, landed)
+    assert refresh_roll_up(spark, landed, rolled) == {"read": 0, "dropped": 0, "kept": 30}
+
+    seen, work = [], plan_of_days.roll_up
+    monkeypatch.setattr(plan_of_days, "roll_up", lambda df, *a: seen.append(df) or work(df, *a))
+    land_cdr(records(spark, [17], "2.500"), landed)
+    assert refresh_roll_up(spark, landed, rolled) == {"read": 1, "dropped": 0, "kept": 29}
+    assert "event_date=2024-03-17" in plan(seen[0]) or "2024-03-17" in plan(seen[0])
+    assert seen[0].count() == 4
+    assert bag(read_roll_up(spark, rolled)) == whole(spark, landed)
+
+
+def test_days_come_and_go(spark, places):
+    landed, rolled = places
+    refresh_roll_up(spark, landed, rolled)
+    from pathlib import Path
+
+    gone = next(Path(landed).glob("event_date=2024-03-05"))
+    gone.rename(Path(landed).parent / "away")
+    land_cdr(records(spark, [31]), landed)
+    assert refresh_roll_up(spark, landed, rolled) == {"read": 1, "dropped": 1, "kept": 29}
+    assert bag(read_roll_up(spark, rolled)) == whole(spark, landed)
+
+
+def test_a_refresh_that_is_overtaken(spark, places, monkeypatch):
+    landed, rolled = places
+    refresh_roll_up(spark, landed, rolled)
+    land_cdr(records(spark, [3, 4], "7.000"), landed)
+    work, once = plan_of_days.write_version, []
+
+    def overtaken(*arguments):
+        if not once:
+            once.append(1)
+            refresh_roll_up(spark, landed, rolled)
+        return work(*arguments)
+
+    monkeypatch.setattr(plan_of_days, "write_version", overtaken)
+    # The other one has done the work already.
+    assert refresh_roll_up(spark, landed, rolled) == {"read": 0, "dropped": 0, "kept": 30}
+    assert bag(read_roll_up(spark, rolled)) == whole(spark, landed)
+
+
+def test_parts_without_a_manifest_go(spark, places, tmp_path):
+    landed, rolled = places
+    for amount in ("1.000", "2.000", "3.000", "4.000"):
+        land_cdr(records(spark, range(1, 31), amount), landed)
+        refresh_roll_up(spark, landed, rolled, keep=1, min_age=0)
+    assert len(list((tmp_path / "rolled" / "parts").glob("part=*"))) == 1
+    assert bag(read_roll_up(spark, rolled)) == whole(spark, landed)
+
+
+def test_prints_open_no_file(spark, places):
+    text = plan(landed_days(spark, places[0]))
+    assert "binaryFile" in text and "content" not in text.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_loads_are_kept(spark, tmp_path):
+    files, history = tmp_path / "files", str(tmp_path / "history")
+    files.mkdir()
+    (files / "a.csv").write_text("city,country_code\nRome,IT\n,DE\nParis,\n")
+    for load in ("one", "one", None):
+        load_into(spark, str(files), str(tmp_path / "d"), history=history, load=load)
+    counters, rejected = read_loads(spark, history)
+    assert sorted(tuple(r)[:3] for r in counters.collect()) == [(3, 1, 2)] * 2
+    assert "one" in {r.load for r in counters.collect()} and rejected.count() == 4
+    # A load that ended before its counters is not there yet.
+    (tmp_path / "history" / "counters" / "load=one").rename(tmp_path / "lost")
+    assert read_loads(spark, history)[1].count() == 2
