@@ -48,6 +48,7 @@ from meterline.sinks import (
     write_request_log,
     write_version,
 )
+from meterline.sinks.joined import join_batches, read_batches
 from meterline.sources import (
     builtin_mapping,
     empty_dimension,
@@ -62,6 +63,7 @@ from meterline.sources import (
     stream_request_log,
 )
 from meterline.streaming import (
+    join_progress,
     log_progress,
     progress_rows,
     read_complete,

@@ -13,6 +13,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from meterline.functions import cache_status, convert_amount
 from meterline.operators import dimension as dim
@@ -39,6 +40,7 @@ from meterline.sinks import (
     write_request_log,
     write_version,
 )
+from meterline.sinks.joined import join_batches, read_batches
 from meterline.sources import (
     builtin_mapping,
     empty_dimension,
@@ -52,6 +54,7 @@ from meterline.sources import (
     stream_request_log,
 )
 from meterline.streaming import (
+    join_progress,
     log_progress,
     progress_rows,
     read_complete,
@@ -321,8 +324,17 @@ SELECT target, r.* FROM (VALUES ('first'), ('second')) AS targets(target), (
   FROM cdr LEFT JOIN {NAMED} ON cdr.code = m.c GROUP BY {SLOT}, m.value {slots}) AS r"""
 
 
-def written_rows(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
+def written_rows(
+    spark: SparkSession,
+    targets: dict[str, str],
+    readers: dict[str, Callable[[str, str], DataFrame]] | None = None,
+) -> DataFrame:
     """The four reports written as CSV below each target, in common columns."""
+
+    def read(place: str, schema: str) -> DataFrame:
+        reader = spark.read.schema(schema).option("header", True)
+        return reader.option("recursiveFileLookup", True).csv(place)
+
     money, none = "decimal(16,3)", F.lit(None)
     layouts = {
         "daily_revenue": (
@@ -348,8 +360,7 @@ def written_rows(spark: SparkSession, targets: dict[str, str]) -> DataFrame:
     parts = []
     for target, place in targets.items():
         for report, (schema, columns) in layouts.items():
-            reader = spark.read.schema(schema).option("header", True)
-            written = reader.option("recursiveFileLookup", True).csv(f"{place}/{FOLDERS[report]}")
+            written = (readers or {}).get(target, read)(f"{place}/{FOLDERS[report]}", schema)
             typed = [
                 column.cast(kind).alias(name)
                 for column, (name, kind) in zip(columns, names.items(), strict=True)
@@ -1139,15 +1150,24 @@ def stream_lookup_log(spark, folder):
 BATCHES = 160
 
 
-@checked_by(f"""
-SELECT input_rows, count(*) AS batches, {BATCHES} AS different_ids, 0 AS first_id,
-       {BATCHES - 1} AS last_id
-FROM (SELECT count(*) AS input_rows FROM events GROUP BY event_id % {BATCHES}) GROUP BY 1""")
+def progress_sql(batches: int) -> str:
+    return f"""
+SELECT input_rows, count(*) AS batches, {batches} AS different_ids, 0 AS first_id,
+       {batches - 1} AS last_id
+FROM (SELECT count(*) AS input_rows FROM events GROUP BY event_id % {batches}) GROUP BY 1"""
+
+
+@checked_by(progress_sql(BATCHES))
 def stream_progress(spark, folder):
     """Every trigger of a stream of many small files, also those Spark itself forgets."""
+    return progress_counts(progress_rows(spark, *progress_of_many(spark, folder, BATCHES)))
+
+
+def progress_of_many(spark, folder, batches: int) -> tuple[str, StreamingQuery]:
+    """Where the progress of an ended stream of many batches is kept, and the stream."""
     source, kept = new_folder(spark, "files"), new_folder(spark, "progress")
-    parts = table(spark, folder, "events").select((F.col("event_id") % BATCHES).alias("part"), "user_id")
-    parts.repartitionById(BATCHES, F.col("part").cast("int")).write.parquet(source)
+    parts = table(spark, folder, "events").select((F.col("event_id") % batches).alias("part"), "user_id")
+    parts.repartitionById(batches, F.col("part").cast("int")).write.parquet(source)
     stream = spark.readStream.schema(parts.schema).option("maxFilesPerTrigger", 1).parquet(source)
     listener = log_progress(spark, kept)
     try:
@@ -1157,7 +1177,11 @@ def stream_progress(spark, folder):
         listener.wait_for(query)
     finally:
         spark.streams.removeListener(listener)
-    rows = progress_rows(spark, kept, query).filter("input_rows > 0")
+    return kept, query
+
+
+def progress_counts(rows: DataFrame) -> DataFrame:
+    rows = rows.filter("input_rows > 0")
     ids = rows.agg(
         F.count_distinct("batch_id").cast("int").alias("different_ids"),
         F.min("batch_id").cast("int").alias("first_id"),
@@ -1167,6 +1191,37 @@ def stream_progress(spark, folder):
     return counts.withColumns({name: F.lit(n) for name, n in ids.first().asDict().items()})
 
 
+@checked_by(progress_sql(40))
+def stream_progress_joined(spark, folder):
+    """The same after the files of all triggers were joined into one and then removed."""
+    kept, query = progress_of_many(spark, folder, 40)
+    for _ in range(2):
+        join_progress(spark, kept, least=10, min_age=0)
+    return progress_counts(progress_rows(spark, kept, query))
+
+
+@checked_by(written_sql(closed=True))
+def stream_written_reports_joined(spark, folder):
+    """Report folders of three batches, joined for one target and as they are for the other."""
+    source, add = event_files(spark, folder, THIRDS)
+    for number in range(3):
+        add(number)
+    events = table(spark, folder, "events")
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    targets = {name: new_folder(spark, name) for name in TARGETS}
+    start_reports(
+        prepare(as_records(reader.parquet(source))), builtin_mapping(spark, NAMES),
+        [*targets.values()], new_folder(spark, "checkpoint"), trigger=AT_ONCE,
+    ).awaitTermination()
+
+    def joined(place: str, schema: str) -> DataFrame:
+        for _ in range(2):
+            join_batches(spark, place, schema, "csv", least=1, min_age=0)
+        return read_batches(spark, place, schema, "csv")
+
+    return written_rows(spark, targets, {"second": joined})
+
+
 def event_files(spark, folder, wanted: list[str]) -> tuple[str, Callable[[int], None]]:
     """An empty folder and a function that adds the events of one condition as one file."""
     path = new_folder(spark, "files")

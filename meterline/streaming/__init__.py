@@ -1,6 +1,12 @@
 """Reports and lookups as Structured Streaming queries, and their control."""
 
-from meterline.streaming.control import ProgressLog, log_progress, progress_rows, stop_all
+from meterline.streaming.control import (
+    ProgressLog,
+    join_progress,
+    log_progress,
+    progress_rows,
+    stop_all,
+)
 from meterline.streaming.jobs import start_answers, start_lookups, start_reports, stream_upsert
 from meterline.streaming.queries import (
     read_complete,
@@ -13,6 +19,7 @@ from meterline.streaming.queries import (
 
 __all__ = [
     "ProgressLog",
+    "join_progress",
     "log_progress",
     "progress_rows",
     "read_complete",

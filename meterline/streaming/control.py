@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from meterline.sinks.joined import join_batches, read_batches
+from meterline.sinks.versions import RETIRED_SECONDS
 from meterline.sources.paths import expand_home
 
 PROGRESS = (
@@ -67,6 +69,13 @@ def log_progress(spark: SparkSession, path: str) -> ProgressLog:
     return listener
 
 
+def join_progress(
+    spark: SparkSession, path: str, least: int = 100, min_age: float = RETIRED_SECONDS
+) -> int:
+    """Join the files of single triggers below ``path``; readers go on meanwhile."""
+    return join_batches(spark, path, PROGRESS, "json", least, 0, 2, min_age)
+
+
 def progress_row(progress: dict) -> dict:
     """One trigger. Late rows are counted after the partial aggregate: groups, not records."""
     state = progress.get("stateOperators", [])
@@ -87,7 +96,6 @@ def progress_row(progress: dict) -> dict:
 
 
 def progress_rows(spark: SparkSession, path: str, query: StreamingQuery | None = None) -> DataFrame:
-    """One row per trigger, of all queries or of all runs of one."""
-    reader = spark.read.schema(PROGRESS).option("recursiveFileLookup", True)
-    rows = reader.json(expand_home(path))
+    """One row per trigger, of all queries or of all runs of one, joined or not."""
+    rows = read_batches(spark, path, PROGRESS, "json", depth=2)
     return rows if query is None else rows.filter(F.col("query") == str(query.id))

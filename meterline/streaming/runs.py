@@ -68,6 +68,21 @@ def folders(
     return sorted(found)
 
 
+def entries(spark: SparkSession, path: str) -> dict[str, int]:
+    """The visible files and folders in a folder, with their bytes."""
+    file, files = _file(spark, path)
+    if not files.exists(file):
+        return {}
+    found = {}
+    for status in files.listStatus(file):
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            folder = status.isDirectory()
+            size = files.getContentSummary(status.getPath()).getLength() if folder else status.getLen()
+            found[name] = size
+    return found
+
+
 def remove(spark: SparkSession, path: str) -> None:
     file, files = _file(spark, path)
     files.delete(file, True)
