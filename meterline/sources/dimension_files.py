@@ -7,6 +7,7 @@ number of different headers adds a job or a plan branch.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,8 +24,47 @@ from meterline.sources.paths import expand_home
 _DIALECT = {"quote": '"', "escape": '"', "columnPruning": False}
 
 
+# So many files are opened for their first line alone, some at a time; beyond, and where a
+# file is slow to open, a text scan on the cluster is faster.
+MOST_OPENED, AT_A_TIME = 10_000, 32
+
+
 def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """One row per file: its first line. Only the first split of a file can hold it."""
+    """One row per file: its first line with visible text.
+
+    Up to ``MOST_OPENED`` files are opened and read up to the end of that line, whatever
+    their size; only these lines reach the driver. More files are scanned as text.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    places = listed.select("path", F.col("_metadata.file_path").alias("file_path"))
+    known = places.limit(MOST_OPENED + 1).collect()
+    if len(known) > MOST_OPENED:
+        return _scanned_header_lines(spark, path, pattern)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    with ThreadPoolExecutor(AT_A_TIME) as pool:
+        headers = [*pool.map(lambda row: _first_line(spark, conf, row.path), known)]
+    rows = [(row.file_path, h) for row, h in zip(known, headers, strict=True) if h is not None]
+    return spark.createDataFrame(rows, "file_path string, header string")
+
+
+def _first_line(spark: SparkSession, conf, path: str) -> str | None:
+    java = spark._jvm
+    place = java.org.apache.hadoop.fs.Path(path)
+    codec = java.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    opened = place.getFileSystem(conf).open(place)
+    try:
+        plain = opened if codec is None else codec.createInputStream(opened)
+        lines = java.java.io.BufferedReader(java.java.io.InputStreamReader(plain, "UTF-8"))
+        while (line := lines.readLine()) is not None:
+            if line.strip(" "):
+                return line.removeprefix("\ufeff")
+        return None
+    finally:
+        opened.close()
+
+
+def _scanned_header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    """The same by a scan. Only the first split of a file can hold its first line."""
     lines = (
         spark.read.option("pathGlobFilter", pattern)
         .text(path)
@@ -37,7 +77,7 @@ def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
         .filter((F.col("block_start") == 0) & (F.length(F.trim("value")) > 0))
     )
     first = lines.groupBy("file_path").agg(F.min_by("value", "line_id").alias("header"))
-    return first.withColumn("header", F.regexp_replace("header", r"^\uFEFF", ""))
+    return cut_lineage(first.withColumn("header", F.regexp_replace("header", r"^\uFEFF", "")))
 
 
 def _positions(headers: DataFrame, width: int, names: list[str]) -> DataFrame:
@@ -87,7 +127,7 @@ def read_dimension_files(
     none can be split: pass ``multi_line=False``.
     """
     path = expand_home(path)
-    headers = cut_lineage(_header_lines(spark, path, pattern))
+    headers = _header_lines(spark, path, pattern)
     width = headers.agg(F.max(F.size(F.split("header", ",")))).first()[0]
     if width is None:
         raise ValueError(f"no file with a header line matches {pattern} in {path}")

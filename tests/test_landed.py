@@ -6,11 +6,13 @@ from datetime import datetime
 
 import pytest
 from helpers import bag, plan
+from pyspark.sql import functions as F
 
-from meterline import land_cdr, load_into, read_landed_cdr, roll_up
+from meterline import land_cdr, load_into, read_dimension_files, read_landed_cdr, roll_up
 from meterline.plans import landed as plan_of_days
 from meterline.plans.dimension import read_loads
 from meterline.plans.landed import landed_days, read_roll_up, refresh_roll_up
+from meterline.sources import dimension_files
 
 RECORDS = "timestamp timestamp, PAYTYPE_515 int, revenue_toman decimal(6,3)"
 
@@ -108,3 +110,32 @@ def test_loads_are_kept(spark, tmp_path):
     # A load that ended before its counters is not there yet.
     (tmp_path / "history" / "counters" / "load=one").rename(tmp_path / "lost")
     assert read_loads(spark, history)[1].count() == 2
+
+
+def test_header_lines_read_little_of_large_files(spark, tmp_path, monkeypatch):
+    """What is read for the headers does not grow with the files."""
+    import gzip
+
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "blank lines.csv").write_text("\n  \n﻿city,country_code\nx,y\n")
+    (tmp_path / "windows.csv").write_bytes("﻿Näme,code\r\na,b\r\n".encode())
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as out:
+        out.write("City,countyCode\nz,y\n")
+
+    def bytes_read() -> int:
+        statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics()
+        return statistics.get("file").getLong("bytesRead") or 0
+
+    spent, found = [], []
+    for lines in (20_000, 1_000_000):
+        (tmp_path / "large.csv").write_text("name,CountryCode\n" + "some city,XY\n" * lines)
+        before = bytes_read()
+        headers = dimension_files._header_lines(spark, str(tmp_path), "*.csv*")
+        spent.append(bytes_read() - before)
+        found.append(bag(headers.withColumn("file_path", F.regexp_extract("file_path", "([^/]+)$", 1))))
+    assert spent[1] < spent[0] + 100_000
+    assert [h for _, h in found[1]] == ["city,country_code", "name,CountryCode", "City,countyCode", "Näme,code"]
+    monkeypatch.setattr(dimension_files, "MOST_OPENED", 2)
+    scanned = dimension_files._header_lines(spark, str(tmp_path), "*.csv*")
+    assert bag(scanned.withColumn("file_path", F.regexp_extract("file_path", "([^/]+)$", 1))) == found[1]
+    assert read_dimension_files(spark, str(tmp_path), pattern="[le]*.csv").filter("accepted").count() == 1_000_000
