@@ -38,6 +38,8 @@ COARSE_RANGES = 4096
 _SAMPLES_PER_RANGE = 40
 _CELLS_PER_RANGE = 8
 _RANGE = "__range"
+_HASH = "__hash"
+_GRID = ("__points", "__low", "__wide", "__below")
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
@@ -102,15 +104,16 @@ def plan_cuts(
 
 
 def cut_again(
-    df: DataFrame, group: str, order: tuple[str, ...], total: int, rows_per_range: int
+    df: DataFrame, group: Column, order: tuple[str, ...], rows_per_range: int
 ) -> DataFrame:
-    """``__points`` that cut each group of more than two ranges' rows, found on a sample.
+    """``__points`` that cut each range of more than two ranges' rows, found on a sample.
 
-    One row per such group, written to the shared folder. The sample has a fixed number of
-    rows per range; only the rows of one group in the sample meet in one task.
+    ``group`` gives the number of a row's range. One row per such range, written to the
+    shared folder. The sample has a fixed number of rows per final range; only the rows of
+    one group in the sample meet in one task.
     """
     share = min(1.0, _SAMPLES_PER_RANGE / rows_per_range)
-    in_group = W.partitionBy(group)
+    in_group = W.partitionBy(_RANGE)
     ranges = F.floor(F.col("__rows") / (rows_per_range * share))
     place = F.col("__place")
     # The row before the first and that before each further range is no cut point.
@@ -118,8 +121,9 @@ def cut_again(
         (place - 1) * ranges / F.col("__rows")
     )
     sampled = (
-        df.select(group, *order)
+        df.select(*order)
         .sample(share, seed=19)
+        .withColumn(_RANGE, group)
         .withColumns(
             {
                 "__rows": F.count("*").over(in_group),
@@ -128,8 +132,33 @@ def cut_again(
         )
     )
     point = F.struct(*[_comparable(df, name) for name in order])
-    points = sampled.filter((ranges >= 2) & (place > 0) & starts).groupBy(group)
-    return cut_lineage(points.agg(F.sort_array(F.collect_set(point)).alias("__points")))
+    points = sampled.filter((ranges >= 2) & (place > 0) & starts).groupBy(_RANGE)
+    found = points.agg(F.sort_array(F.collect_set(point)).alias("__points"))
+    kind = df.schema[order[0]].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.IntegralType)):
+        return cut_lineage(found)
+    first = lambda p: F.unix_date(p[order[0]]) if isinstance(kind, T.DateType) else p[order[0]]
+    numbers = F.transform("__points", lambda p: first(p).cast("bigint"))
+    return cut_lineage(with_grid(cut_lineage(found.withColumn("__numbers", numbers))))
+
+
+def with_grid(points: DataFrame) -> DataFrame:
+    """For rows with sorted ``__numbers``: a grid over them, and how many lie below each cell.
+
+    The grid is ``__low``, the first number, ``__wide``, the width of a cell, and ``__below``
+    with one entry more than cells. All are null where the numbers span too much.
+    """
+    low, high = F.get("__numbers", F.lit(0)), F.element_at("__numbers", -1)
+    cells = F.size("__numbers") * _CELLS_PER_RANGE
+    # Halves, as the whole difference may not fit.
+    fits = F.shiftright(high, 1) - F.shiftright(low, 1) < (1 << 61)
+    wide = F.call_function("div", high - low, cells.cast("bigint")) + 1
+    spanned = points.withColumn("__low", F.when(fits, low)).withColumn("__wide", F.when(fits, wide))
+    start = lambda i: F.col("__low") + i * F.col("__wide")
+    below = F.transform(
+        F.sequence(F.lit(0), cells), lambda i: F.size(F.filter("__numbers", lambda v: v < start(i)))
+    )
+    return spanned.withColumn("__below", F.when(fits, below)).drop("__numbers")
 
 
 def _constant(values: str, element: T.DataType) -> Column:
@@ -153,8 +182,22 @@ def _point_index(df: DataFrame, order: tuple[str, ...], bits: int) -> Column:
     """The number of the row's own ``__points`` at or below it; 0 if it has none."""
     row = F.struct(*[_comparable(df, name) for name in order])
     points = F.col("__points")
-    inner = _reached(points, F.size(points), row, bits)
-    return F.when(points.isNull(), 0).otherwise(inner)
+    searched = _reached(points, F.size(points), row, bits)
+    number = _as_number(df, order[0])
+    if "__below" not in df.columns:
+        return F.when(points.isNull(), 0).otherwise(searched)
+    # As in ``range_index``: a cell without a cut point tells the place at once.
+    low, wide, below = F.col("__low"), F.col("__wide"), F.col("__below")
+    last = F.size(below) - 1
+    cell = F.least(F.call_function("div", number - low, wide), last.cast("bigint")).cast("int")
+    return (
+        F.when(points.isNull(), 0)
+        .when(low.isNull(), searched)
+        .when(number < low, 0)
+        .when(cell >= last, F.size(points))
+        .when(F.get(below, cell) == F.get(below, cell + 1), F.get(below, cell))
+        .otherwise(searched)
+    )
 
 
 def _beside(
@@ -180,14 +223,15 @@ def _in_ranges(
     cuts = plan_cuts(
         df, *order, rows_per_range=rows_per_range, coarse_ranges=coarse_ranges, total=total
     )
-    tagged = df.withColumn(_RANGE, range_index(df, order, cuts))
+    coarse = range_index(df, order, cuts)
+    tagged = df.withColumn(_RANGE, coarse)
     if -(-total // rows_per_range) <= coarse_ranges:
         return tagged, len(cuts) + 1, 1
-    again = cut_again(tagged, _RANGE, order, total, rows_per_range)
+    again = cut_again(df, coarse, order, rows_per_range)
     inner = 1 + (again.agg(F.max(F.size("__points"))).first()[0] or 0)
     joined = _beside(tagged, again, _RANGE, order, len(cuts) + 1, inner)
-    number = F.col(_RANGE) * inner + _point_index(df, order, inner.bit_length())
-    ranged = joined.withColumn(_RANGE, number.cast("int")).drop("__points")
+    number = F.col(_RANGE) * inner + _point_index(joined, order, inner.bit_length())
+    ranged = joined.withColumn(_RANGE, number.cast("int")).drop(*_GRID)
     # Written, as rows are searched for their points but are read twice by what follows.
     return cut_lineage(ranged), (len(cuts) + 1) * inner, inner
 
@@ -350,14 +394,18 @@ def _previous_in_ranges(
     The whole order of (key, time) is cut, first by the list and then inside each of its
     ranges, so a key may fill any number of ranges and many keys may share one. The row
     before a range is the last one of the range before: one row for each range tells it.
+    Keys are in the order of a hash, a number, so that only rows of keys that are cut are
+    searched for their place.
     """
     key, time, tie_breaker = order
-    tagged, ranges, inner = _in_ranges(log, order, rows_per_range, coarse_ranges)
+    hashed = log.withColumn(_HASH, F.shiftright(F.xxhash64(key), 2))
+    tagged, ranges, inner = _in_ranges(hashed, (_HASH, *order), rows_per_range, coarse_ranges)
     in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
     parts = tagged.repartitionById(ranges, F.col(_RANGE))
     previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
 
-    last = F.max(F.struct(F.col(key).alias("key"), F.col(time).alias("time"))).alias("__last")
+    fields = [F.col(_HASH), F.col(key).alias("key"), F.col(time).alias("time")]
+    last = F.max(F.struct(*fields)).alias("__last")
     coarse = F.floor(F.col(_RANGE) / inner).cast("int").alias("__coarse")
     ends = cut_lineage(tagged.groupBy(_RANGE).agg(last).select(coarse, _RANGE, "__last"))
     in_coarse = W.partitionBy("__coarse").orderBy(_RANGE)
@@ -370,7 +418,7 @@ def _previous_in_ranges(
     joined = previous.join(F.broadcast(carried) if ranges <= BROADCAST_ROWS else carried, _RANGE)
     same_key = F.col(key).eqNullSafe(F.col("__before.key"))
     found = F.coalesce("previous_ts", F.when(same_key, F.col("__before.time")))
-    return joined.withColumn("previous_ts", found).drop(_RANGE, "__before")
+    return joined.withColumn("previous_ts", found).drop(_RANGE, _HASH, "__before")
 
 
 def _previous_with_hot_keys(

@@ -377,3 +377,15 @@ def test_quantiles_from_merged_sketches(spark):
             assert abs(rank - 0.95) < 0.01
     exact = {r.cache_status: r.requests for r in response_times_from(rolled, None).collect()}
     assert exact == {"HIT": 30_001, "MISS": 30_000, "OTHER": 1}
+
+
+@pytest.mark.parametrize("order", [("ts", "request_id"), ("request_id",), ("day", "ts", "request_id"), ("big", "request_id")])
+def test_grids_inside_ranges_tell_the_same_places(spark, order):
+    """Equal numbers, few numbers, and numbers that span more than a grid can."""
+    log = spark.createDataFrame(skewed(1500, 6), SCHEMA).withColumns(
+        {"day": F.to_date("ts"), "big": F.xxhash64("request_id")}
+    )
+    tagged, ranges, inner = _in_ranges(log, order, 10, 6)
+    assert inner > 1
+    found = [row["__range"] for row in tagged.orderBy(*order).collect()]
+    assert found == sorted(found) and max(Counter(found).values()) <= 2 * 10 + 1
