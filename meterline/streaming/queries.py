@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from meterline.schemas import REQUEST_TOPIC
 from meterline.sinks.request_log import log_messages
-from meterline.sinks.versions import read_latest, write_version
+from meterline.sinks.versions import RETIRED_SECONDS, read_latest, write_version
 from meterline.sources.paths import expand_home
 from meterline.streaming.runs import folders, remove, run_name
 
@@ -89,17 +89,19 @@ def stream_complete(
     checkpoint: str,
     order: list[str],
     keep: int = 2,
+    min_age: float = RETIRED_SECONDS,
     name: str | None = None,
     trigger: dict = EVERY_30_SECONDS,
 ) -> StreamingQuery:
     """Write the whole sorted report on every trigger, as the next version below ``path``.
 
     A repeated batch writes the same report once more, and a new checkpoint goes on with
-    the next number, so the newest version is always the current report.
+    the next number, so the newest version is always the current report. Of older ones,
+    ``keep`` stay, and those that were replaced less than ``min_age`` seconds ago.
     """
 
     def replace(report: DataFrame, _: int) -> None:
-        write_version(report.orderBy(*order), path, keep=keep)
+        write_version(report.orderBy(*order), path, keep=keep, min_age=min_age)
 
     return start_batches(stream, checkpoint, "complete", replace, name, trigger)
 

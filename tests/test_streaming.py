@@ -153,9 +153,11 @@ def test_complete_and_update_equal_the_batch(spark, three_days, tmp_path):
     report = interval_min_max(stream(spark, three_days))
     keys = ["interval_start", "PAYTYPE_515"]
     path = str(tmp_path / "complete")
-    stream_complete(report, path, str(tmp_path / "c1"), keys, trigger=AT_ONCE).awaitTermination()
+    stream_complete(
+        report, path, str(tmp_path / "c1"), keys, min_age=0, trigger=AT_ONCE
+    ).awaitTermination()
     assert rows(read_complete(spark, path).orderBy(*keys)) == expected
-    assert len(list((tmp_path / "complete").iterdir())) == 2
+    assert len(list((tmp_path / "complete").glob("version=*"))) == 2
     path = str(tmp_path / "updates")
     stream_updates(report, path, str(tmp_path / "c2"), trigger=AT_ONCE).awaitTermination()
     current = read_updates(spark, path, keys).select("PAYTYPE_515", "min_revenue", "max_revenue",
