@@ -10,6 +10,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,10 @@ def _header_lines(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     with ThreadPoolExecutor(AT_A_TIME) as pool:
         headers = [*pool.map(lambda row: _first_line(spark, conf, row.path), known)]
     rows = [(row.file_path, h) for row, h in zip(known, headers, strict=True) if h is not None]
-    return spark.createDataFrame(rows, "file_path string, header string")
+    columns = zip(*rows, strict=True) if rows else ((), ())
+    arrays = [pa.array(column, pa.string()) for column in columns]
+    # As a table of Arrow it is a local relation, which takes no job to read.
+    return spark.createDataFrame(pa.table(arrays, names=["file_path", "header"]))
 
 
 def _first_line(spark: SparkSession, conf, path: str) -> str | None:

@@ -62,7 +62,7 @@ def test_a_stream_answers_like_a_batch(spark, tmp_path, asked):
     assert len(list((tmp_path / "state" / "totals").glob("batch=*"))) <= 2
 
 
-@pytest.mark.parametrize("place", ["merge_buckets", "write_note", "latest_version", "remove"])
+@pytest.mark.parametrize("place", ["merge_buckets", "write_note", "remove"])
 def test_a_batch_that_is_repeated_counts_once(spark, tmp_path, asked, monkeypatch, place):
     """Ended before and after the state is written, and before and after the totals are."""
     work, calls = getattr(jobs, place), []

@@ -34,14 +34,14 @@ def join(spark, path, **options):
 
 
 def test_many_units_leave_few_files_and_all_rows(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(joined, "MOST_PARTS", 3)
+    monkeypatch.setattr(joined, "MOST_PARTS", 2)
     path = tmp_path / "out"
-    for at in range(0, 1200, 150):
+    for at in range(0, 750, 150):
         add(path, range(at, at + 150))
         assert join(spark, path) in (149, 150)
         assert values(spark, path) == list(range(at + 150))
     assert join(spark, path) == 0  # only the newest is left, but what was joined goes now
-    assert files(path) < 30 and values(spark, path) == list(range(1200))
+    assert files(path) < 30 and values(spark, path) == list(range(750))
 
 
 def test_units_stay_for_readers_that_began_before(spark, tmp_path, monkeypatch):
