@@ -10,7 +10,7 @@ makes the probabilities honest, and a limit found there rejects uncertain texts.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 
 import numpy as np
@@ -30,11 +30,12 @@ RATE = 2.0
 FRAGMENT_WORDS = 12  # half of the training examples are short pieces of the sampled texts
 BLOCK = 1 << 19
 
-# The sample: at most about so many rows, shared evenly by the languages, each of at most so
-# many characters. Fitting reads no more than these, whatever the size of the table.
+# The sample: at most about so many rows, or so many for each language if that is more,
+# shared evenly by the languages, each of at most so many characters. Fitting reads no more
+# than these, whatever the size of the table. All labelled languages are learned.
 SAMPLE_ROWS = 4000
+LANGUAGE_ROWS = 20
 SAMPLE_CHARS = 20_000
-MOST_LANGUAGES = 500  # the most frequent ones
 
 # Of the sampled texts left out, the accepted ones must be right this often. A best language
 # that is not even so many times as likely as chance is rejected in any case.
@@ -46,13 +47,17 @@ MOST_LIMIT = 0.5
 @dataclass(frozen=True)
 class LanguageModel:
     languages: tuple[str, ...]
-    weights: np.ndarray  # of each bucket and language: embedding times linear layer
+    weights: np.ndarray  # of each bucket: its embedding, or that times the linear layer
     bias: np.ndarray
     temperature: float
     limit: float
+    layer: np.ndarray | None = None  # where there are more languages than dimensions
+
+    def logits(self, means: np.ndarray) -> np.ndarray:
+        return (means if self.layer is None else means @ self.layer) + self.bias
 
     def probabilities(self, means: np.ndarray) -> np.ndarray:
-        return softmax((means + self.bias) / self.temperature)
+        return softmax(self.logits(means) / self.temperature)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -120,22 +125,24 @@ def means(points: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np
     return sums / np.maximum(counts, 1)[:, None], counts
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> DataFrame:
-    """Labelled rows taken by a hash of the id, about as many of each language."""
+def sample(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
+) -> tuple[DataFrame, int]:
+    """Labelled rows taken by a hash of the id, about as many of each language; and how many."""
     usable = docs.filter(
         F.col(lang_col).isNotNull()
         & F.col(text_col).isNotNull()
         & (F.length(text_col) <= SAMPLE_CHARS)
     )
-    share = usable.groupBy(lang_col).agg(F.count("*").alias("_n"))
-    # One row for each language, and no more than the model may have.
-    share = share.orderBy(F.desc("_n"), lang_col).limit(MOST_LANGUAGES)
-    found = share.collect()
+    # One row for each language, which is a class of the model.
+    found = usable.groupBy(lang_col).agg(F.count("*").alias("_n")).orderBy(lang_col).collect()
+    rows = max(rows, LANGUAGE_ROWS * len(found))
     share = docs.sparkSession.createDataFrame(
         [(lang, rows / len(found) / n) for lang, n in found], "_lang string, _share double"
     )
     place = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(1 << 30)) / (1 << 30)
-    return usable.join(F.broadcast(share), F.col(lang_col) == F.col("_lang")).filter(place < F.col("_share"))
+    chosen = usable.join(F.broadcast(share), F.col(lang_col) == F.col("_lang"))
+    return chosen.filter(place < F.col("_share")), rows
 
 
 def fit(
@@ -151,8 +158,9 @@ def fit(
     Rows with a null text or language are not learned from. Only texts and languages are
     used; the id merely picks the sample. ``docs`` must already be without held-out rows.
     """
-    chosen = sample(docs.select(id_col, text_col, lang_col), id_col, text_col, lang_col, sample_rows)
-    rows = chosen.select(text_col, lang_col).limit(2 * sample_rows).collect()
+    labelled = docs.select(id_col, text_col, lang_col)
+    chosen, bound = sample(labelled, id_col, text_col, lang_col, sample_rows)
+    rows = chosen.select(text_col, lang_col).limit(2 * bound).collect()
     examples = sorted((text, lang) for text, lang in rows if any(map(str.isalpha, text)))
     if not examples:
         return None
@@ -160,21 +168,22 @@ def fit(
     languages = sorted({lang for _, lang in examples})
     wanted = np.array([languages.index(lang) for _, lang in examples])
     parts = np.arange(len(examples)) % 5 == 4  # left out for the calibration
-    if not parts.any():
-        parts[:] = False
     texts = [text for text, _ in examples]
     fragments = [fragment(text, rng) for text in texts]
-    weights, bias = descend(
+    embedding, layer, bias = descend(
         [counted(t) for t, out in zip(texts + fragments, [*parts, *parts], strict=True) if not out],
         np.concatenate([wanted[~parts], wanted[~parts]]),
         len(languages),
         rng,
     )
-    model = LanguageModel(tuple(languages), weights, bias, 1.0, 0.0)
+    # Few languages: the layer goes into the embeddings, so a text takes a number for each.
+    few = len(languages) <= DIMENSIONS
+    weights, layer = (embedding @ layer, None) if few else (embedding, layer)
+    model = LanguageModel(tuple(languages), weights, bias, 1.0, 0.0, layer)
     if not parts.any():
         return model
     left = [t for t, out in zip(texts + fragments, [*parts, *parts], strict=True) if out]
-    logits = means([code_points(t) for t in left], weights)[0] + bias
+    logits = model.logits(means([code_points(t) for t in left], weights)[0])
     return calibrated(model, logits, np.concatenate([wanted[parts], wanted[parts]]), parts.sum())
 
 
@@ -210,7 +219,7 @@ def descend(examples: list, wanted: np.ndarray, kinds: int, rng: np.random.Gener
             layer -= 0.1 * rate * np.outer(mean, error)
             bias -= 0.01 * rate * error
             embedding[buckets] -= 4 * rate * shares[:, None] * back
-    return embedding @ layer, bias
+    return embedding, layer, bias
 
 
 def calibrated(
@@ -238,7 +247,7 @@ def calibrated(
         accepted = best >= candidate
         if not accepted.any() or right[accepted].mean() >= TARGET_PRECISION:
             break
-    return LanguageModel(model.languages, model.weights, model.bias, temperature, limit)
+    return replace(model, temperature=temperature, limit=limit)
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:

@@ -114,3 +114,19 @@ def test_uncertain_texts_are_rejected():
     # Nothing wrong, nothing rejected but what is hardly above chance.
     fitted = language.calibrated(empty, sure, wanted)
     assert fitted.limit == pytest.approx(1.2 / 4)
+
+
+def test_every_labelled_language_is_learned(spark):
+    """Six hundred languages of 8 texts each, all known and told apart by their letters."""
+    import itertools
+
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèñøå"
+    pairs = list(itertools.islice(itertools.combinations(letters, 2), 595)) + [(c, c) for c in "αβγδε"]
+    texts = [(i, " ".join(["".join((a, b, a))] * (3 + i % 4)), f"l{k:03}") for k, (a, b) in enumerate(pairs) for i in range(8)]
+    rows = [(8 * int(lang[1:]) + i, text, lang) for i, text, lang in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    assert len(model.languages) == 600 and model.weights.shape[1] == language.DIMENSIONS
+    found = language.identify(docs, model).select("lang", "lang_pred").collect()
+    assert {r.lang_pred for r in found} <= set(model.languages)
+    assert len({r.lang_pred for r in found}) > 200
