@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.llm.bpe import per_text
+from meterline.session import cut_lineage
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -194,8 +195,23 @@ def ablations(
     return totals.select(F.explode(F.array(*each)).alias("_row")).select("_row.*")
 
 
+def stored_ledger(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The ledger without the texts, written to the shared folder: no policy reads a text again."""
+    return cut_lineage(ledger(docs, text_col, rules).drop(text_col))
+
+
+def apply_policy(entries: DataFrame, policy: Policy = STANDARD, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """A ledger with base_failed, kept and policy_version, the version that judged."""
+    base = F.col("failed").bitwiseAND(F.lit(mask(BASE, rules))) != 0
+    return entries.withColumns(
+        {
+            "base_failed": base,
+            "kept": ~base & verdict(policy, rules),
+            "policy_version": F.lit(policy.version),
+        }
+    )
+
+
 def judge(docs: DataFrame, text_col: str = "text", policy: Policy = STANDARD) -> DataFrame:
-    """The ledger of ``docs`` with base_failed and kept."""
-    entries = ledger(docs, text_col)
-    base = F.col("failed").bitwiseAND(F.lit(mask(BASE))) != 0
-    return entries.withColumns({"base_failed": base, "kept": ~base & verdict(policy)})
+    """The ledger of ``docs``, texts included, with base_failed, kept and policy_version."""
+    return apply_policy(ledger(docs, text_col), policy)

@@ -120,8 +120,14 @@ def op9_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality.judge(table(spark, folder, "documents").select("doc_id", "text"))
-    return judged.drop("text", "n_lines", "n_echoes", "n_plain_words", "failed")
+    entries = quality.stored_ledger(table(spark, folder, "documents").select("doc_id", "text"))
+    return quality.apply_policy(entries).drop("n_lines", "n_echoes", "n_plain_words")
+
+
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What each rule of the policy does alone, from the stored ledger's bits."""
+    entries = quality.stored_ledger(table(spark, folder, "documents").select("doc_id", "text"))
+    return quality.ablations(entries)
 
 
 def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
@@ -149,11 +155,59 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_secrets": op9_secrets,
     "op10_quality": op10_quality,
+    "quality_ablations": quality_ablations,
     "op11_importance": op11_importance,
     "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }
 
+# The ledger of the quality rules: measurements, and a bit for each rule in order.
+LEDGER_SQL = r"""
+    WITH t AS (
+        SELECT doc_id, coalesce(text, '') AS text,
+               list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                           lambda w: w <> '') AS words
+        FROM documents
+    ), places AS (
+        SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS run
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM t)
+    ), again AS (
+        SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1
+    ), covered AS (
+        SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+        FROM again, range(8) AS r(k) GROUP BY doc_id
+    ), lines AS (
+        SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+    ), measured AS (
+        SELECT doc_id, len(words) AS n_words,
+               length(array_to_string(words, '')) AS word_chars,
+               length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(n_dup_lines, 0) AS n_dup_lines,
+               coalesce(n_repeat_words, 0) AS n_repeat_words,
+               coalesce(n_lines, 0) AS n_lines,
+               len(list_filter(range(2, len(words) + 1),
+                               lambda i: words[i] = words[i - 1])) AS n_echoes,
+               len(list_filter(words, lambda w: regexp_matches(w, '\p{L}'))) AS n_plain
+        FROM t LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+    )
+    , ledger AS (
+        SELECT *, (n_words < 20)::BIGINT
+                  + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT
+                  + 4 * (10 * n_symbols > 3 * n_words)::BIGINT
+                  + 8 * (10 * n_echoes > 3 * n_words)::BIGINT
+                  + 16 * (word_chars > 25 * n_words)::BIGINT
+                  + 32 * (2 * word_chars < 3 * n_words)::BIGINT
+                  + 64 * (10 * n_plain < 3 * n_words)::BIGINT
+                  + 128 * (n_lines >= 5 AND 10 * n_dup_lines > 5 * n_lines)::BIGINT
+                  + 256 * (10 * n_symbols > n_words)::BIGINT
+                  + 512 * (n_lines >= 5 AND 10 * n_dup_lines > 3 * n_lines)::BIGINT
+                  + 1024 * (10 * n_echoes > n_words)::BIGINT AS failed
+        FROM measured
+    )
+"""
+
 SQL = {
     "op4_warc": """
         WITH t AS (
@@ -183,47 +237,29 @@ SQL = {
                doc_id = max(doc_id) OVER g AS kept, sha256(plain) AS text_sha256
         FROM t WINDOW g AS (PARTITION BY plain)
     """,
-    "op10_quality": r"""
-        WITH t AS (
-            SELECT doc_id, coalesce(text, '') AS text,
-                   list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
-                               lambda w: w <> '') AS words
-            FROM documents
-        ), places AS (
-            SELECT doc_id, i, array_to_string(words[i:i + 7], ' ') AS run
-            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM t)
-        ), again AS (
-            SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1
-        ), covered AS (
-            SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
-            FROM again, range(8) AS r(k) GROUP BY doc_id
-        ), lines AS (
-            SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
-            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
-            WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
-        ), measured AS (
-            SELECT doc_id, len(words) AS n_words,
-                   length(array_to_string(words, '')) AS word_chars,
-                   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-                   coalesce(n_dup_lines, 0) AS n_dup_lines,
-                   coalesce(n_repeat_words, 0) AS n_repeat_words,
-                   coalesce(n_lines, 0) AS n_lines,
-                   len(list_filter(range(2, len(words) + 1),
-                                   lambda i: words[i] = words[i - 1])) AS n_echoes,
-                   len(list_filter(words, lambda w: regexp_matches(w, '\p{L}'))) AS n_plain
-            FROM t LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
-        )
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    "op10_quality": LEDGER_SQL
+    + """
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed,
                n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-               NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words
-                    OR 10 * n_symbols > 3 * n_words OR 10 * n_echoes > 3 * n_words
-                    OR word_chars > 25 * n_words OR 2 * word_chars < 3 * n_words
-                    OR 10 * n_plain < 3 * n_words
-                    OR (n_lines >= 5 AND 10 * n_dup_lines > 5 * n_lines)
-                    OR (10 * n_symbols > n_words)::INT
-                       + (n_lines >= 5 AND 10 * n_dup_lines > 3 * n_lines)::INT
-                       + (10 * n_echoes > n_words)::INT >= 2) AS kept
-        FROM measured
+               failed & 255 = 0 AND bit_count(failed & 1792) < 2 AS kept, 2 AS policy_version
+        FROM ledger
+    """,
+    "quality_ablations": LEDGER_SQL
+    + """
+        , rules(rule, bit) AS (VALUES
+            ('few_words', 1), ('repeated_windows', 2), ('many_symbols', 4), ('echoed_words', 8),
+            ('long_words', 16), ('short_words', 32), ('few_plain_words', 64),
+            ('repeated_lines', 128), ('some_symbols', 256), ('some_repeated_lines', 512),
+            ('some_echoes', 1024)
+        ), each AS (
+            SELECT rule, failed, failed & bit <> 0 AS hit, failed & ~bit AS rest
+            FROM rules LEFT JOIN ledger ON true
+        )
+        SELECT 2 AS version, rule, count(*) FILTER (hit) AS failed,
+               count(*) FILTER ((rest & 255 = 0 AND bit_count(rest & 1792) < 2)
+                   AND NOT (failed & 255 = 0 AND bit_count(failed & 1792) < 2)) AS changed,
+               count(failed) AS n_rows
+        FROM each GROUP BY rule
     """,
     "op11_importance": r"""
         WITH crc AS (

@@ -108,3 +108,16 @@ def test_bits_follow_the_rules():
     assert quality.mask(["few_words", "many_symbols"]) == 0b101
     with pytest.raises(KeyError):
         quality.mask(["no such rule"])
+
+
+def test_a_stored_ledger_serves_all_policies(spark, docs_of):
+    good = " ".join(f"word{i}" for i in range(30))
+    docs = docs_of([(1, None), (2, good), (3, "# " * 40), (3, "# " * 40)])
+    entries = quality.stored_ledger(docs)
+    assert "text" not in entries.columns
+    assert "MapInArrow" not in entries._jdf.queryExecution().toString()
+    for policy in (quality.BASIC, quality.STANDARD):
+        got = quality.apply_policy(entries, policy)
+        assert bag(got.select("doc_id", "failed", "kept")) == bag(quality.judge(docs, policy=policy).select("doc_id", "failed", "kept"))
+        assert {r.policy_version for r in got.collect()} == {policy.version}
+    assert quality.apply_policy(quality.stored_ledger(docs.limit(0))).count() == 0

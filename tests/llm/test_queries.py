@@ -20,7 +20,8 @@ COLUMNS = {
     "op7_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     "op8_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
     "op9_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
-    "op10_quality": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
+    "op10_quality": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, failed bigint, policy_version int",
+    "quality_ablations": "version int, rule string, failed bigint, changed bigint, n_rows bigint",
     "op11_importance": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
     "op12_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string",
     "op13_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
