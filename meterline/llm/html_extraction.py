@@ -2,9 +2,11 @@
 
 A page is a sequence of words and tags. Words score positive, tags negative, and one linear
 scan finds the contiguous run with the largest sum. What lies in elements known as menus,
-forms and the like scores nothing and is left out of the region. Weights of tags and classes
-are learned from a bounded set of labelled pages: by how many of the words inside an element
-belong to the main text, and by a perceptron on the best regions.
+forms and the like scores nothing and is left out of the region. All this is learned from a
+bounded set of labelled pages: which elements to leave out by how many of their words belong
+to the main text, first scores of tags by how many of them lie outside of it, and these are
+mended by a perceptron on the best regions. Usual names of elements and classes judge only
+what no labelled page has shown.
 """
 
 from __future__ import annotations
@@ -71,16 +73,24 @@ LEAST_PROSE_SCORE = -0.2  # so that no paragraph of one word is lost
 PROSE = INLINE | {"p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "pre", "blockquote"}
 EPOCHS = 3
 LEARNING_RATE = 0.05
+TAG_SUPPORT = 5  # tags that the default score counts as
 LEAST_SUPPORT = 20  # words that must be seen in an element before it is judged
 MOST_MAIN_SHARE = 0.1  # of them, for it to be left out
+LEAST_MAIN_SHARE = 0.5  # of them, for it to stay whatever its name
 
 
 @dataclass(frozen=True)
 class Weights:
-    """Scores of tags by key, and keys of elements to leave out. A key is a name or name.word."""
+    """What labelled pages teach of keys; a key is a name or name.word.
+
+    Scores of tags, elements to leave out, and elements that hold main text. Only keys that no
+    labelled page has shown are judged by the usual names, and those only with ``usual``.
+    """
 
     tags: dict[str, float] = field(default_factory=dict)
     aside: frozenset[str] = frozenset()
+    main: frozenset[str] = frozenset()
+    usual: bool = True
 
 
 @dataclass(frozen=True)
@@ -91,7 +101,7 @@ class Token:
     text: str
     block: bool  # whether it parts blocks
     aside: bool
-    within: tuple[str, ...]
+    link: bool  # text inside a link
 
 
 @dataclass
@@ -104,6 +114,10 @@ class Element:
     up: Element | None
     named: bool  # to leave out by its name, or as learned
     worded: bool  # by a word of its class
+    in_main: bool  # what is around it, so that no step looks through all that is open
+    link: bool
+    first: tuple[str, ...]  # its keys that nothing around it has
+    hiding: Element | None = None  # the innermost to leave out by name or word, itself included
     closed: bool = False
     last: int = 0
     words: int = 0
@@ -127,14 +141,17 @@ def keys_of(name: str, rest: str) -> tuple[str, ...]:
 def is_named(name: str, keys: tuple[str, ...], in_main: bool, weights: Weights) -> bool:
     if name in NOT_HIDDEN:
         return False
-    return name in ASIDE or not weights.aside.isdisjoint(keys) or (name == "header" and not in_main)
+    if not weights.aside.isdisjoint(keys) or name == "head":
+        return True
+    usual = name in ASIDE or (name == "header" and not in_main)
+    return usual and weights.usual and name not in weights.main
 
 
-def is_worded(name: str, keys: tuple[str, ...], in_main: bool) -> bool:
-    words = {key.partition(".")[2] for key in keys[1:]}
-    if name == "article":
-        return bool(words & ASIDE_WORDS)
-    return name not in NOT_HIDDEN and bool(words & ASIDE_WORDS or (not in_main and words & HEADER_WORDS))
+def is_worded(name: str, keys: tuple[str, ...], in_main: bool, weights: Weights) -> bool:
+    words = {key.partition(".")[2] for key in keys[1:] if key not in weights.main}
+    if not weights.usual or name in NOT_HIDDEN - {"article"}:
+        return False
+    return bool(words & ASIDE_WORDS or (name != "article" and not in_main and words & HEADER_WORDS))
 
 
 class Page:
@@ -156,45 +173,80 @@ class Page:
         self.open: list[Element] = []
         self.elements: list[Element] = []
         self.around_main: set[int] = set()
+        # Places in the open elements by name, of those to leave out, and of the never closed.
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.hides: list[int] = []
+        self.never: list[int] = []
+        self.keys_open: Counter[str] = Counter()
+
+    def marks(self, e: Element) -> list[list[int]]:
+        """The lists of places that an element stands in."""
+        lists = [self.places[e.name]]
+        if e.hiding is e:
+            lists.append(self.hides)
+            if e.number in self.never_closed:
+                lists.append(self.never)
+        return lists
+
+    def push(self, e: Element) -> None:
+        for places in self.marks(e):
+            places.append(len(self.open))
+        self.keys_open.update(e.keys)
+        self.open.append(e)
+        self.elements.append(e)
+
+    def cut(self, at: int) -> None:
+        """Leave all elements from a place on; each is left once, so pages take linear time."""
+        while len(self.open) > at:
+            e = self.open.pop()
+            for places in self.marks(e):
+                places.pop()
+            self.keys_open.subtract(e.keys)
+
+    def last_of(self, names: set[str]) -> int:
+        return max((self.places[name][-1] for name in names if self.places[name]), default=-1)
 
     def pop_to(self, names: set[str], stops: set[str]) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].name in names:
-                self.open[i].closed = True
-                del self.open[i:]
-                return
-            if self.open[i].name in stops:
-                return
+        at = self.last_of(names)
+        if at > self.last_of(stops):
+            self.open[at].closed = True
+            self.cut(at)
 
     def start(self, name: str, rest: str) -> tuple[str, ...]:
         if name in CLOSES:
             self.pop_to(*CLOSES[name])
         elif name not in INLINE and name not in VOID:
             self.pop_to({"p"}, PARAGRAPH_STOPS)
-        if name in MAIN or name == "body":
-            # Main text is not part of a menu that was never closed.
-            hides = [i for i, e in enumerate(self.open) if e.named or e.worded]
-            if name in MAIN:
-                self.around_main.update(self.open[i].number for i in hides)
-                hides = [i for i in hides if self.open[i].number in self.never_closed]
-            del self.open[hides[0] if hides else len(self.open) :]
+        # Main text is not part of a menu that was never closed.
+        if name in MAIN:
+            hiding = self.open[-1].hiding if self.open else None
+            while hiding and hiding.number not in self.around_main:
+                self.around_main.add(hiding.number)
+                hiding = hiding.up.hiding if hiding.up else None
+            self.cut(self.never[0] if self.never else len(self.open))
+        elif name == "body":
+            self.cut(self.hides[0] if self.hides else len(self.open))
         keys = keys_of(name, rest)
         if name not in VOID and not rest.endswith("/>"):
-            in_main = any(e.name in MAIN for e in self.open)
-            up, number = self.open[-1] if self.open else None, len(self.elements)
+            up, number = self.inner(), len(self.elements)
+            in_main = bool(up and (up.in_main or up.name in MAIN))
             named = is_named(name, keys, in_main, self.weights)
-            self.open.append(Element(number, name, keys, up, named, is_worded(name, keys, in_main), last=number))
-            self.elements.append(self.open[-1])
+            worded = is_worded(name, keys, in_main, self.weights)
+            link = name == "a" or bool(up and up.link)
+            first = tuple(k for k in keys if not self.keys_open[k])
+            e = Element(number, name, keys, up, named, worded, in_main, link, first, last=number)
+            e.hiding = e if named or worded else up.hiding if up else None
+            self.push(e)
         return keys
 
     def end(self, name: str) -> tuple[str, ...]:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].name == name:
-                keys = self.open[i].keys
-                self.open[i].closed = True
-                del self.open[i:]
-                return keys
-        return (name,)
+        at = self.last_of({name})
+        if at < 0:
+            return (name,)
+        e = self.open[at]
+        e.closed = True
+        self.cut(at)
+        return e.keys
 
     def tokens(self, page: str) -> list[Token]:
         self.reset()
@@ -204,6 +256,7 @@ class Page:
             self.reset()
             parts = list(self.parts(page))
         self.judge(parts)
+        self.inners = [e for _, e in parts]
         return [replace(t, aside=True) if not t.aside and e and e.aside else t for t, e in parts]
 
     def judge(self, parts: list[tuple[Token, Element | None]]) -> None:
@@ -220,7 +273,7 @@ class Page:
                     loose += n
                 else:
                     own[e.number] += n
-                if "a" not in token.within and not (e and e.named_within):
+                if not token.link and not (e and e.named_within):
                     total += n
                     if e:
                         plain[e.number] += n
@@ -287,18 +340,18 @@ class Page:
 
     def tag(self, keys: tuple[str, ...], mark: str, block: bool, aside: bool = False) -> Token:
         known = [k for k in keys if mark + k in self.weights.tags]
-        return Token(mark + (known[-1] if known else keys[-1]), "", block, aside, ())
+        return Token(mark + (known[-1] if known else keys[-1]), "", block, aside, False)
 
     def run(self, text: str) -> Token:
-        within = tuple(dict.fromkeys(k for e in self.open for k in e.keys))
-        return Token("", html.unescape(text) if "&" in text else text, False, False, within)
+        link = bool(self.open) and self.open[-1].link
+        return Token("", html.unescape(text) if "&" in text else text, False, False, link)
 
 
 def score(token: Token, weights: Weights) -> float:
     if token.aside:
         return 0.0
     if not token.key:
-        return (LINK_WORD_SCORE if "a" in token.within else WORD_SCORE) * len(token.text.split())
+        return (LINK_WORD_SCORE if token.link else WORD_SCORE) * len(token.text.split())
     known = weights.tags.get(token.key)
     return default_score(token.key) if known is None else known
 
@@ -343,26 +396,59 @@ def labelled_region(tokens: list[Token], text: str) -> tuple[int, int]:
     return low, high
 
 
-def learn(pages: Iterable[tuple[str, str]]) -> Weights:
-    """Weights from labelled pages, pairs of a page and its main text; none gives the defaults."""
+def bounded(key: str, value: float) -> float:
+    prose = key.removeprefix("/").partition(".")[0] in PROSE
+    return min(TAG_SCORE / 5, max(LEAST_PROSE_SCORE if prose else LEAST_TAG_SCORE, value))
+
+
+def shares_outside(pages: list[tuple[str, str]], weights: Weights) -> dict[str, float]:
+    """First scores of tags: the share of each outside of main texts, drawn to the default."""
+    counts: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    for page, text in pages:
+        tokens = Page(weights).tokens(page)
+        low, high = labelled_region(tokens, text)
+        for i, token in enumerate(tokens):
+            if token.key and not token.aside:
+                counts[token.key][low <= i < high] += 1
+    return {
+        key: bounded(key, (TAG_SUPPORT * default_score(key) - out) / (TAG_SUPPORT + out + main))
+        for key, (out, main) in counts.items()
+    }
+
+
+def learn(pages: Iterable[tuple[str, str]], usual: bool = True) -> Weights:
+    """Weights from labelled pages, pairs of a page and its main text; none gives the defaults.
+
+    The usual names take no part in learning: classes and elements to leave out, and the scores
+    of tags, come from the labels. Without ``usual`` they take none in the extraction either.
+    """
     pages = [(p, t) for p, t in pages if p and t]
     seen: dict[str, list[int]] = defaultdict(lambda: [0, 0])
     for page, text in pages:
-        tokens = Page(Weights()).tokens(page)
+        reader = Page(Weights(usual=False))
+        tokens = reader.tokens(page)
         low, high = labelled_region(tokens, text)
-        for i, token in enumerate(tokens):
-            for key in token.within if not token.key else ():
-                seen[key][low <= i < high] += len(token.text.split())
-    plain = {key for key in seen if "." not in key}
-    aside = {
-        key
+        words = [[0, 0] for _ in reader.elements]
+        for i, (token, e) in enumerate(zip(tokens, reader.inners, strict=True)):
+            if not token.key and e:
+                words[e.number][low <= i < high] += len(token.text.split())
+        for e in reversed(reader.elements):
+            for side, n in enumerate(words[e.number]):
+                if e.up:
+                    words[e.up.number][side] += n
+                for key in e.first:
+                    seen[key][side] += n
+    # Names of general use are not judged, only classes and the elements that pages are made of.
+    known = {
+        key: main / (out + main)
         for key, (out, main) in seen.items()
-        if out + main >= LEAST_SUPPORT and main <= MOST_MAIN_SHARE * (out + main)
-        # A plain name is judged only where it is not a common one.
-        and (key not in plain or key in ASIDE)
+        if out + main >= LEAST_SUPPORT and ("." in key or key in ASIDE or key == "header")
     }
-    tags: dict[str, float] = {}
-    weights = Weights(tags, frozenset(aside))
+    aside = frozenset(key for key, share in known.items() if share <= MOST_MAIN_SHARE)
+    shown = frozenset(key for key, share in known.items() if share >= LEAST_MAIN_SHARE)
+    weights = Weights({}, aside, shown, usual=False)
+    tags = weights.tags
+    tags |= shares_outside(pages, weights)
     for _ in range(EPOCHS):
         for page, text in pages:
             tokens = Page(weights).tokens(page)
@@ -374,10 +460,8 @@ def learn(pages: Iterable[tuple[str, str]]) -> Weights:
             change.subtract(t.key for t in tokens[slice(*found)] if t.key and not t.aside)
             for key, n in change.items():
                 moved = tags.get(key, default_score(key)) + LEARNING_RATE * n
-                name = key.removeprefix("/").partition(".")[0]
-                least = LEAST_PROSE_SCORE if name in PROSE else LEAST_TAG_SCORE
-                tags[key] = min(TAG_SCORE / 5, max(least, moved))
-    return weights
+                tags[key] = bounded(key, moved)
+    return replace(weights, usual=usual)
 
 
 def extract(pages: DataFrame, weights: Weights, html_col: str = "html") -> DataFrame:

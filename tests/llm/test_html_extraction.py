@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -123,6 +124,53 @@ def test_weights_come_from_labelled_pages(spark):
     assert not {"p", "article", "body"} & weights.aside
 
 
+def nameless(page: str) -> str:
+    return re.sub(r"<(/?)(nav|footer|header|aside)\b", r"<\1div", page)
+
+
+@pytest.mark.parametrize(("change", "least"), [(str, 0.99), (nameless, 0.95)])
+def test_labels_alone_decide_on_unseen_pages(spark, pages, change, least):
+    """Without the usual names. Of nameless menus and footers only the scan can tell."""
+    labelled = labelled_pages(spark, "/root/testdata/sf0.01")
+    labelled = labelled[: len(labelled) // 2]
+    weights = he.learn([(change(page), text) for page, text in labelled], usual=False)
+    assert not weights.usual and weights.tags and max(weights.tags.values()) < 0
+    untaught = he.Weights(aside=weights.aside if change is nameless else frozenset(), usual=False)
+    seen = {page for page, _ in labelled}
+    unseen = [page["html"] for page in pages if page["html"] not in seen]
+    right = scanned = plain = 0
+    for page in unseen:
+        text = he.main_text(change(page), weights)
+        right += text == article(page)
+        scanned += text != he.region_text(he.Page(weights).tokens(change(page)))
+        plain += he.main_text(change(page), untaught) == article(page)
+    assert len(unseen) >= 100 and right >= least * len(unseen) and plain < 0.5 * len(unseen)
+    if change is nameless:
+        assert scanned >= 0.95 * len(unseen)
+
+
+def test_labels_clear_a_usual_name():
+    box = f'<div class="search"><p>{BODY}</p></div>'
+    page = f"<body><article><p>Some words</p></article>{box}</body>"
+    assert TEXT not in he.main_text(page, PLAIN)
+    weights = he.learn([(f"<body><nav>a b c</nav>{box}</body>", TEXT)] * 3)
+    assert "div.search" in weights.main and TEXT in he.main_text(page, weights)
+
+
+@pytest.mark.parametrize(
+    "unit",
+    ["<b>x ", "<div>x ", '<div class="ad">x ', '<article class="ad">x ', '<div class="ad"><article>x ', "</i><div>x ", "<td><p>x "],
+)
+def test_time_is_linear_in_elements_never_closed(unit):
+    def spent(n):
+        started = time.process_time()
+        he.main_text(unit * n, PLAIN)
+        return time.process_time() - started
+
+    spent(1000)
+    assert spent(32_000) < 3 * 8 * spent(4_000) + 0.5
+
+
 def test_a_strange_class_is_learned():
     word = "one two three four five six seven eight nine ten "
     page = f'<body><div class="qqbox">{word * 3}</div><p>{word}main words</p></body>'
