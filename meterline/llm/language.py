@@ -4,7 +4,9 @@ Letters are lower-cased, everything else separates words. The runs of one to fou
 of a word, its two edges included, are hashed into buckets; the mean of their embeddings
 goes through a linear layer and a softmax. Both are trained by stochastic gradient descent
 on a bounded sample. A temperature fitted on a part of the sample left out of the training
-makes the probabilities honest, and a limit found there rejects uncertain texts.
+makes the probabilities honest, and a limit found there rejects uncertain texts. One more
+class, of no language, learns from pieces of the sample whose letters are shuffled or drawn
+at random; a text as likely of it as nearly all such pieces of texts left out is rejected.
 """
 
 from __future__ import annotations
@@ -28,6 +30,12 @@ DIMENSIONS = 16
 EPOCHS = 6
 RATE = 2.0
 FRAGMENT_WORDS = 12  # half of the training examples are short pieces of the sampled texts
+# Examples of no language: as many as of a language, or this share of all if that is more.
+# They are no shorter than so many words, since a short word may well be one of a language.
+NOISE_SHARE = 0.1
+NOISE_WORDS = (4, 60)
+KEPT_SHARE = 0.999  # of the sampled whole texts left out are not rejected as noise
+REJECTED_SHARE = 0.95  # of the noise made of them is, if that leaves them
 BLOCK = 1 << 19
 
 # The sample: at most about so many rows, or so many for each language if that is more,
@@ -52,13 +60,26 @@ class LanguageModel:
     temperature: float
     limit: float
     layer: np.ndarray | None = None  # where there are more languages than dimensions
+    noise_limit: float = 1.0  # texts that are more probably of no language are rejected
 
     def logits(self, means: np.ndarray) -> np.ndarray:
         return (means if self.layer is None else means @ self.layer) + self.bias
 
     def probabilities(self, means: np.ndarray) -> np.ndarray:
+        """Of each language, and behind them of none."""
         return softmax(self.logits(means) / self.temperature)
 
+    def none(self, texts: list[str]) -> np.ndarray:
+        """The chance of each text to be of no language."""
+        found = means([code_points(text) for text in texts], self.weights)[0]
+        return 1 - self.probabilities(found)[:, : len(self.languages)].sum(axis=1)
+
+    def accepts(self, chances: np.ndarray) -> np.ndarray:
+        """Whether the best language is certain enough among languages, and the text is no noise."""
+        own = chances[:, : len(self.languages)]
+        certain = own.max(axis=1) >= self.limit * own.sum(axis=1)
+        return certain & (1 - own.sum(axis=1) <= self.noise_limit)
+
 
 def softmax(logits: np.ndarray) -> np.ndarray:
     raised = np.exp(logits - logits.max(axis=-1, keepdims=True))
@@ -170,10 +191,14 @@ def fit(
     parts = np.arange(len(examples)) % 5 == 4  # left out for the calibration
     texts = [text for text, _ in examples]
     fragments = [fragment(text, rng) for text in texts]
+    every, classes = texts + fragments, np.concatenate([wanted, wanted])
+    out = np.concatenate([parts, parts])
+    learned = [text for text, left in zip(texts, parts, strict=True) if not left]
+    noisy = noise(learned, max(2 * len(learned) // len(languages), int(2 * NOISE_SHARE * len(learned)), 1), rng)
     embedding, layer, bias = descend(
-        [counted(t) for t, out in zip(texts + fragments, [*parts, *parts], strict=True) if not out],
-        np.concatenate([wanted[~parts], wanted[~parts]]),
-        len(languages),
+        [counted(text) for text, left in zip(every, out, strict=True) if not left] + [counted(text) for text in noisy],
+        np.concatenate([classes[~out], np.full(len(noisy), len(languages))]),
+        len(languages) + 1,
         rng,
     )
     # Few languages: the layer goes into the embeddings, so a text takes a number for each.
@@ -182,9 +207,35 @@ def fit(
     model = LanguageModel(tuple(languages), weights, bias, 1.0, 0.0, layer)
     if not parts.any():
         return model
-    left = [t for t, out in zip(texts + fragments, [*parts, *parts], strict=True) if out]
-    logits = model.logits(means([code_points(t) for t in left], weights)[0])
-    return calibrated(model, logits, np.concatenate([wanted[parts], wanted[parts]]), parts.sum())
+    left = [text for text, left in zip(every, out, strict=True) if left]
+    logits = model.logits(means([code_points(text) for text in left], weights)[0])
+    model = calibrated(model, logits[:, : len(languages)], classes[out], parts.sum())
+    whole = model.none(left[: parts.sum()])
+    other = model.none(noise(left[: parts.sum()], 2 * parts.sum(), rng))
+    return replace(model, noise_limit=noise_limit(whole, other))
+
+
+def noise_limit(whole: np.ndarray, other: np.ndarray) -> float:
+    """The most lenient limit that still rejects nearly all noise, if it keeps whole texts."""
+    kept = np.quantile(whole, KEPT_SHARE)
+    return float(max(kept, np.quantile(other, 1 - REJECTED_SHARE)) if len(other) else kept)
+
+
+def noise(texts: list[str], number: int, rng: np.random.Generator) -> list[str]:
+    """Pieces of texts, words kept in length, with letters shuffled or, in turn, drawn anew."""
+    alphabet = np.array(sorted({c for text in texts for c in text.lower() if c.isalpha()}))
+    made = []
+    for i in range(number):
+        words = texts[int(rng.integers(len(texts)))].split()
+        size = int(rng.integers(NOISE_WORDS[0], NOISE_WORDS[1] + 1))
+        at = int(rng.integers(0, max(1, len(words) - size + 1)))
+        chars = np.array(list(" ".join(words[at : at + size]).lower()))
+        places = np.flatnonzero([c.isalpha() for c in chars])
+        drawn = rng.choice(alphabet, len(places)) if i % 2 else rng.permutation(chars[places])
+        chars[places] = drawn
+        if len(places):
+            made.append("".join(chars))
+    return made
 
 
 def fragment(text: str, rng: np.random.Generator) -> str:
@@ -255,8 +306,9 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
 
     A text that is null, empty or without a letter has language ``und``, score 0 and is not
     accepted; so has every text if there is no model. Whole texts of any length are read, in
-    blocks. A text whose score is below the model's limit keeps its language, but is not
-    accepted. Ties go to the language first in the alphabet. Rows stay as they are.
+    blocks. A text whose score is below the model's limit, or that is more probably of no
+    language than the model allows, keeps its best language, but is not accepted. The limit of
+    the score holds among languages, the score itself counts the chance of none as well. Ties go to the language first in the alphabet. Rows stay as they are.
     """
     source, names = hidden(docs)
     text = next(k for k, name in names.items() if name == text_col)
@@ -270,10 +322,11 @@ def identify(docs: DataFrame, model: LanguageModel | None, text_col: str = "text
                 points = [code_points(t or "") for t in batch.column(text).to_pylist()]
                 averages, counts = means(points, known.weights)
                 chances = known.probabilities(averages)
-                for i, best in enumerate(chances.argmax(axis=1)):
+                taken = known.accepts(chances)
+                for i, best in enumerate(chances[:, : len(known.languages)].argmax(axis=1)):
                     if counts[i]:
                         found[i], scores[i] = known.languages[best], float(chances[i, best])
-                        accepted[i] = scores[i] >= known.limit
+                        accepted[i] = bool(taken[i])
             columns = [pa.array(found), pa.array(scores), pa.array(accepted)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "accepted"]

@@ -130,3 +130,71 @@ def test_every_labelled_language_is_learned(spark):
     found = language.identify(docs, model).select("lang", "lang_pred").collect()
     assert {r.lang_pred for r in found} <= set(model.languages)
     assert len({r.lang_pred for r in found}) > 200
+
+
+def shuffled(text, rng):
+    chars = np.array(list(text.lower()))
+    places = np.flatnonzero([c.isalpha() for c in chars])
+    chars[places] = rng.permutation(chars[places])
+    return "".join(chars)
+
+
+def accepted(texts, model):
+    found = language.means([language.code_points(t) for t in texts], model.weights)[0]
+    return model.accepts(model.probabilities(found)).mean()
+
+
+def test_noise_is_rejected_and_mixed_texts_are_kept(documents, model):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    random = [" ".join("".join(rng.choice(letters, rng.integers(2, 9))) for _ in range(rng.integers(10, 80))) for _ in range(300)]
+    assert accepted(random, model) <= 0.05
+    texts = [d for d in documents if d["lang"] and d["text"] and len(d["text"].split()) >= 10]
+    assert accepted([shuffled(d["text"], rng) for d in texts[:300]], model) <= 0.05
+    by = {}
+    for d in texts:
+        by.setdefault(d["lang"], []).append(d["text"])
+    first, *others = sorted(by)
+    mixed = [f"{a} {b}" for other in others for a, b in zip(by[first][:50], by[other][:50])]
+    assert len(mixed) >= 100 and accepted(mixed, model) == 1
+
+
+def plain_mean(text, weights):
+    points = [0, *(ord(c) if c.isalpha() else 0 for c in text.lower()), 0]
+    factors, most = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F), 0xFFFFFFFF
+    found = []
+    for length in (1, 2, 3, 4):
+        for i in range(len(points) - length + 1):
+            run = points[i : i + length]
+            if not (any(run) if length < 3 else all(run[1:-1])):
+                continue
+            mixed = (length * 0x165667B1 + sum(p * f for p, f in zip(run, factors))) & most
+            found.append(weights[((mixed ^ mixed >> 15) * 0x2C1B3C6D & most) >> 32 - language.BUCKET_BITS])
+    return np.mean(found, axis=0) if found else None
+
+
+def test_predictions_against_a_plain_implementation(table, model):
+    got = language.identify(table.filter("length(text) < 3000 and doc_id % 3 = 0"), model).collect()
+    assert len(got) > 100
+    for r in got:
+        mean = plain_mean(r.text, model.weights)
+        if mean is None:
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0, False)
+            continue
+        logits = (mean if model.layer is None else mean @ model.layer) + model.bias
+        raised = np.exp((logits - logits.max()) / model.temperature)
+        own = (raised / raised.sum())[: len(model.languages)]
+        assert r.lang_pred == model.languages[int(own.argmax())] and r.score == pytest.approx(own.max(), abs=1e-5)
+        wanted = own.max() >= model.limit * own.sum() and 1 - own.sum() <= model.noise_limit
+        assert r.accepted == wanted
+
+
+def test_the_noise_limit_keeps_texts_first():
+    whole, other = np.linspace(0, 0.2, 1000), np.linspace(0.9, 1, 100)
+    assert 0.9 < language.noise_limit(whole, other) < 0.95
+    assert language.noise_limit(whole, other / 10) == pytest.approx(np.quantile(whole, language.KEPT_SHARE))
+    assert language.noise_limit(whole, other[:0]) <= 0.2
+    rng = np.random.default_rng(1)
+    made = language.noise(["Über die Straße, 12 Mal am Tag"], 6, rng)
+    assert len(made) == 6 and all([len(w) for w in m.split()] == [4, 3, 7, 2, 3, 2, 3] for m in made)
+    assert language.noise(["12 34"], 3, rng) == []
