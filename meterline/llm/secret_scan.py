@@ -3,7 +3,9 @@
 Two first-order models, of random strings and of ordinary identifiers, are counted from
 labelled samples: what the patterns find, and the words left when it is taken out. A long
 token among those counts as ordinary only in the shape of words and numbers; any other may be
-a secret that no pattern finds, and teaches nothing. A run of identifier characters is a secret if the log-likelihood ratio of the two is high enough.
+a secret that no pattern finds, and teaches nothing. A run of identifier characters is a
+secret if the log-likelihood ratio of the two is high enough, whatever it is made of; UUIDs
+within it say nothing, and names in code are read as their words.
 Counting, scoring and finding places are DataFrame functions throughout.
 """
 
@@ -33,9 +35,14 @@ SEPARATORS = "+/=_-"  # say nothing about what surrounds them
 CODES = 128
 SYMBOLS = 62  # letters and digits
 
+# Fixed value: the shape of a UUID. It is random by design and no secret, so it says nothing.
+UUID = r"(?i)(?<![0-9a-z])[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}(?![0-9a-z])"
+
 # Words, humps and numbers between separators; possessive, so that no token outgrows the stack.
 WORD = "(?:[A-Z]++|[A-Z]?[a-z]++(?:[A-Z][a-z]{2,}+)*+)[0-9]{0,4}+|[0-9]++"
-ORDINARY = rf"^[+/=_-]*+(?:(?:{WORD})(?:[+/=_-]++|$))*+$"
+NAME = WORD.replace("{2,}", "")  # humps of one letter as well: enough to read, not to learn from
+HUMP = "(?<=[a-z0-9])(?=[A-Z])"
+ORDINARY, NAMES = (rf"^[+/=_-]*+(?:(?:{word})(?:[+/=_-]++|$))*+$" for word in (WORD, NAME))
 
 SAMPLE_ROWS = 4000  # about so many texts teach the models, whatever the size of the table
 SMOOTHING = 0.5
@@ -137,8 +144,27 @@ def pairs(numbers: Column) -> Column:
     )
 
 
-def score(token: Column, ratios: Column) -> Column:
-    return F.aggregate(pairs(codes(token)), F.lit(0.0), lambda sum_, pair: sum_ + F.get(ratios, pair))
+def score(token: Column, ratios: Column, once: bool = False) -> Column:
+    """The sum of all pairs, or of the distinct ones, so that no repetition adds evidence."""
+    each = F.array_distinct(pairs(codes(token))) if once else pairs(codes(token))
+    return F.aggregate(each, F.lit(0.0), lambda sum_, pair: sum_ + F.get(ratios, pair))
+
+
+def without_ids(token: Column) -> Column:
+    """The token with a separator for each identifier of a known public shape."""
+    return F.when(token.contains("-"), F.regexp_replace(token, UUID, "-")).otherwise(token)
+
+
+def evidence(token: Column, ratios: Column) -> Column:
+    """The score of a token as the models should read it.
+
+    Identifiers of a public shape say nothing. A token in the shape of words and numbers is
+    read as lower-case words, parted at its humps: names in code have pairs that prose lacks.
+    A pair that comes again says nothing new, so a long run of the same is no secret.
+    """
+    words = F.lower(F.regexp_replace(token, HUMP, "-"))
+    shaped = token.rlike("[A-Z]") & token.rlike(NAMES)
+    return score(F.when(shaped, words).otherwise(without_ids(token)), ratios, once=True)
 
 
 def ratio_column(model: SecretModel) -> Column:
@@ -191,7 +217,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS)
         model = SecretModel(ratios, LEAST_SCORE)
         long_ones = tokens.filter(~F.col("random") & (F.length("token") >= LEAST_RUN))
         usual = long_ones.agg(
-            F.percentile_approx(score(F.col("token"), ratio_column(model)), ORDINARY_SHARE, 10_000)
+            F.percentile_approx(evidence(F.col("token"), ratio_column(model)), ORDINARY_SHARE, 10_000)
         ).first()[0]
     finally:
         tokens.unpersist()
@@ -230,11 +256,7 @@ def scan(docs: DataFrame, model: SecretModel, text_col: str = "text") -> DataFra
     rows = source.withColumn("_text", F.coalesce(F.col(given), F.lit("")))
     rows = with_base_spans(rows, "_text").withColumn("_m_random", all_of(F.col("_text"), LONG_RUN))
     ratios = ratio_column(model)
-    # Digits are in nearly every random string, and in few words.
-    likely = F.transform(
-        F.col("_m_random"),
-        lambda run: run.rlike("[0-9]") & run.rlike("[A-Za-z]") & (score(run, ratios) >= model.limit),
-    )
+    likely = F.transform(F.col("_m_random"), lambda run: evidence(run, ratios) >= model.limit)
     rows = rows.withColumn("_v_random", likely)
     rows = rows.withColumn("_random", placed(F.col("_text"), LONG_RUN, F.col("_m_random"), F.col("_v_random")))
     base = F.concat("_assign", "_access", "_hex")

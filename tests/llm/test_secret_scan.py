@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import string
+import uuid
 
 import pytest
 from brute import secrets
@@ -87,6 +88,45 @@ def test_unlabelled_keys_in_the_sample_do_not_hide_themselves(spark, table, docu
     assert sum(kind == "random" for spans in got.values() for _, kind in spans) <= found + 2
 
 
+def hits(spark, model, tokens):
+    docs = spark.createDataFrame([(i, f"the of {t} and it") for i, t in enumerate(tokens)], "doc_id long, text string")
+    return [tokens[r.doc_id] for r in secret_scan.scan(docs, model).filter(F.size("secrets") > 0).collect()]
+
+
+@pytest.mark.parametrize("letters", [string.ascii_letters, string.ascii_letters + string.digits, string.ascii_lowercase, string.ascii_uppercase + string.digits])
+def test_random_strings_need_no_digit(spark, model, letters):
+    rng = random.Random(11)
+    keys = ["".join(rng.choices(letters, k=20)) for _ in range(200)]
+    assert len(hits(spark, model, keys)) >= 180
+
+
+def test_names_in_code_and_uuids_are_left_alone(spark, model):
+    rng = random.Random(12)
+    ids = [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(200)]
+    ids += [f"id={i}/v2" for i in ids[:50]] + [i.upper() for i in ids[50:100]]
+    assert hits(spark, model, ids) == []
+    names = [
+        "getElementsByClassName", "user_profile_settings_v2", "/usr/local/share/applications", "InternationalizationService",
+        "application/x-www-form-urlencoded", "MAX_CONNECTION_TIMEOUT_MS", "2024-01-15T10-20-30", "resetPasswordOfUser",
+        "Donaudampfschifffahrtsgesellschaft", "findAllByOrderDate", "HttpRequestHandler", "https/www-site-net/path/index",
+    ]
+    assert hits(spark, model, names) == []
+    key = "".join(rng.choices(string.ascii_letters + string.digits, k=24))
+    assert hits(spark, model, [f"{ids[0]}={key}"]) == [f"{ids[0]}={key}"]
+
+
+def test_shapes_against_python(spark, model):
+    ratios = secret_scan.ratio_column(model)
+    pairs = [
+        ("getElementsByName", "get-elements-by-name"), ("MAX_TIME_MS", "max_time_ms"), ("plain", "plain"), ("aB3dE5gH", "aB3dE5gH"),
+        ("550e8400-e29b-41d4-a716-446655440000", "-"), ("x550e8400-e29b-41d4-a716-446655440000", "x550e8400-e29b-41d4-a716-446655440000"),
+    ]
+    docs = spark.createDataFrame(pairs, "token string, read string")
+    for row in docs.select("token", "read", secret_scan.evidence(F.col("token"), ratios).alias("found")).collect():
+        once = {ord(a) * 128 + ord(b) for a, b in zip(row["read"], row["read"][1:])}
+        assert row.found == pytest.approx(sum(model.ratios[pair] for pair in once)), row.token
+
+
 def test_copies_of_a_text_count_once(spark, table):
     hot = spark.createDataFrame([("zqx password=0123zzzz9999qqqq zqzqzq",)] * 500, "text string")
     docs = table.select("text").limit(500)
