@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meterline.llm.columns import by_slices, hidden, in_batches, shown
+from meterline.llm.columns import by_slices, hidden, in_batches, keeps, shown
 
 CHUNK_CHARS = 1 << 16  # of a text at once
 BUFFER_SYMBOLS = 1 << 12  # of a long piece at once
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 1 << 17  # and at most as many older ones, about 85 MB of a worker in all
 LONGEST_CACHED = 48
 ALL = sys.maxunicode + 1
 NEVER = 1 << 30  # the rank of a pair that no merge joins
@@ -240,24 +240,30 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # what comes again goes back to the cache
 
     def piece(self, piece: str) -> bytes:
         found = self.cache.get(piece)
         if found is None:
-            data = piece.encode()
-            if short := len(data) <= LONGEST_CACHED:
-                inner, last = self.vocabulary.inner, self.vocabulary.last
-                ids = self.vocabulary.merge([*[inner[b] for b in data[:-1]], last[data[-1]]])
-            else:
-                transducer = PieceTransducer(self.vocabulary)
-                ids = [*transducer.feed(data), *transducer.finish()]
-            found = array("I", ids).tobytes()
-            if short:
+            found = self.older.get(piece)
+            if found is None:
+                found = self.merged(piece)
+            if len(piece.encode()) <= LONGEST_CACHED:
                 if len(self.cache) >= CACHED_PIECES:
-                    self.cache.clear()
+                    self.older, self.cache = self.cache, {}
                 self.cache[piece] = found
         return found
 
+    def merged(self, piece: str) -> bytes:
+        data = piece.encode()
+        if len(data) <= LONGEST_CACHED:
+            inner, last = self.vocabulary.inner, self.vocabulary.last
+            ids = self.vocabulary.merge([*[inner[b] for b in data[:-1]], last[data[-1]]])
+        else:
+            transducer = PieceTransducer(self.vocabulary)
+            ids = [*transducer.feed(data), *transducer.finish()]
+        return array("I", ids).tobytes()
+
     def plain(self, text: str) -> bytes:
         """The ids of a text without added tokens."""
         if text.isascii():
@@ -380,10 +386,11 @@ class Decoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+keeps(_ENCODERS)
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of a vocabulary file, read once by each worker."""
+    """The encoder of a vocabulary file, read once by each worker for an operator's tasks."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(Vocabulary(path))
     return _ENCODERS[path]

@@ -38,10 +38,37 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+_KEPT: list[dict] = []
+_owner = ""
+
+
+def keeps(cache: dict) -> None:
+    """Tell of a cache that a worker fills for one operator and no other needs."""
+    _KEPT.append(cache)
+
+
+def begin(owner: str) -> None:
+    """Empty the caches if the last task of this worker was another operator's.
+
+    Workers live on from one step of a job to the next, and so would all that they hold.
+    """
+    global _owner
+    if owner != _owner:
+        for cache in _KEPT:
+            cache.clear()
+        _owner = owner
+
+
 def in_batches(df: DataFrame, work: Callable, schema: T.StructType | str) -> DataFrame:
     """``df`` through a function of Arrow batches, which may use this package."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    owner = work.__module__
+
+    def alone(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(owner)
+        return work(batches)
+
+    return df.mapInArrow(alone, schema)
 
 
 def by_slices(

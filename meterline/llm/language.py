@@ -130,6 +130,7 @@ def means(points: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np
     sums, counts = np.zeros((texts, kinds)), np.zeros(texts)
     if not texts:
         return sums, counts
+    columns = np.ascontiguousarray(weights.T)  # one at a time, so a block takes little memory
     joined = np.concatenate(points)
     ends = np.cumsum([len(p) for p in points])
     for at in range(0, len(joined), BLOCK):
@@ -139,10 +140,10 @@ def means(points: list[np.ndarray], weights: np.ndarray) -> tuple[np.ndarray, np
         first, last = owner[0], owner[-1] + 1
         owner -= first
         for places, buckets in grams(block, n):
-            whose, found = owner[places], weights[buckets]
+            whose = owner[places]
             counts[first:last] += np.bincount(whose, minlength=last - first)
             for k in range(kinds):
-                sums[first:last, k] += np.bincount(whose, found[:, k], minlength=last - first)
+                sums[first:last, k] += np.bincount(whose, columns[k][buckets], minlength=last - first)
     return sums / np.maximum(counts, 1)[:, None], counts
 
 

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from helpers import bag
-from meterline.llm import bpe
+from meterline.llm import bpe, columns
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PARTS = [
@@ -173,6 +173,28 @@ def test_digests(spark, documents, library, docs_of):
         assert row.decoded_sha256 == sha256(decoded.encode()).hexdigest()
 
 
+def test_the_cache_is_bounded_and_frequent_pieces_stay(own, monkeypatch):
+    tool, merges = bpe.Encoder(own.vocabulary), []
+    monkeypatch.setattr(bpe, "CACHED_PIECES", 8)
+    monkeypatch.setattr(own.vocabulary, "merge", lambda ids, f=own.vocabulary.merge: merges.append(1) or f(ids))
+    wanted = tool.plain("the")
+    for i in range(100):
+        word = "".join(chr(97 + int(c)) for c in str(i))
+        assert tool.plain(f"the x{word}") == wanted + bpe.Encoder(own.vocabulary).plain(f"x{word}")
+        assert len(tool.cache) <= 8 and len(tool.older) <= 8
+    merges.clear()
+    assert tool.plain("the") == wanted and not merges
+
+
+def test_a_worker_gives_its_cache_back_for_another_operator(own):
+    columns.begin("packing")
+    first = bpe.encoder(PATH)
+    columns.begin("packing")
+    assert bpe.encoder(PATH) is first
+    columns.begin("language")
+    assert not bpe._ENCODERS
+
+
 def test_round_trip_through_words(docs_of):
     docs = docs_of([(1, None), (2, ""), (3, "Some words, 12 é!"), (3, "Some words, 12 é!"), (None, "é漢 " * 70_000)])
     back = bpe.decode(bpe.encode(docs, PATH), PATH)

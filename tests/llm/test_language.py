@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -198,3 +199,18 @@ def test_the_noise_limit_keeps_texts_first():
     made = language.noise(["Über die Straße, 12 Mal am Tag"], 6, rng)
     assert len(made) == 6 and all([len(w) for w in m.split()] == [4, 3, 7, 2, 3, 2, 3] for m in made)
     assert language.noise(["12 34"], 3, rng) == []
+
+
+def test_a_block_takes_no_more_memory_with_more_languages():
+    points = [language.code_points("abcdefg " * (language.BLOCK // 16))]
+
+    def peak(kinds: int) -> int:
+        weights = np.zeros((1 << language.BUCKET_BITS, kinds), np.float32)
+        tracemalloc.start()
+        try:
+            language.means(points, weights)
+            return tracemalloc.get_traced_memory()[1] - weights.nbytes
+        finally:
+            tracemalloc.stop()
+
+    assert peak(40) < peak(2) + (4 << 20)
