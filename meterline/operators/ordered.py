@@ -38,6 +38,7 @@ COARSE_RANGES = 4096
 _SAMPLES_PER_RANGE = 40
 _CELLS_PER_RANGE = 8
 _RANGE = "__range"
+_TASK = "__task"
 _HASH = "__hash"
 _GRID = ("__points", "__low", "__wide", "__below")
 _JSON = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
@@ -236,6 +237,18 @@ def _in_ranges(
     return cut_lineage(ranged), (len(cuts) + 1) * inner, inner
 
 
+def _dealt(tagged: DataFrame, ranges: int, rows_per_range: int) -> DataFrame:
+    """``tagged`` dealt by ``__task``: neighbouring ranges share one while they are small.
+
+    A task gets about ``ROWS_PER_RANGE`` rows, or less where the cluster asks for more tasks;
+    a range is never parted. So the number of tasks follows the rows, not that of ranges.
+    """
+    usual = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(ranges, max(usual, -(-ranges * rows_per_range // ROWS_PER_RANGE)))
+    task = F.call_function("div", F.col(_RANGE).cast("bigint") * tasks, F.lit(ranges))
+    return tagged.withColumn(_TASK, task.cast("int")).repartitionById(tasks, F.col(_TASK))
+
+
 def range_index(df: DataFrame, order: tuple[str, ...], cuts: list[Cut]) -> Column:
     """The number of cut points at or below the row."""
     if not cuts:
@@ -286,9 +299,9 @@ def running_hit_rate(
     """
     order = (time, tie_breaker)
     tagged, ranges, inner = _in_ranges(log, order, rows_per_range, coarse_ranges)
-    inside = W.partitionBy(_RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    # A partition per range, so that the window needs no shuffle of its own.
-    counted = tagged.repartitionById(ranges, F.col(_RANGE)).withColumns(
+    inside = W.partitionBy(_TASK, _RANGE).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    # Whole ranges in a partition, so that the window needs no shuffle of its own.
+    counted = _dealt(tagged, ranges, rows_per_range).withColumns(
         {
             "running_requests": F.count("*").over(inside),
             "running_hits": F.count_if(hit).over(inside),
@@ -307,7 +320,7 @@ def running_hit_rate(
         .withColumn(
             "cache_hit_percentage", hit_percentage(F.col("running_hits"), F.col("running_requests"))
         )
-        .drop(_RANGE, "__requests", "__hits")
+        .drop(_RANGE, _TASK, "__requests", "__hits")
     )
 
 
@@ -365,7 +378,8 @@ def repeat_within(
         frequency = Counter(cut.first for cut in planned)
         cuts = [cut for cut in planned if frequency[cut.first] > 1]
         if cuts:
-            flagged = _previous_with_hot_keys(log, order, cuts, len(planned) + 1 - len(cuts))
+            whole = len(planned) + 1 - len(cuts)
+            flagged = _previous_with_hot_keys(log, order, cuts, whole, rows_per_range)
         else:
             flagged = _previous(log, order)
     limit = F.col("previous_ts") + F.make_dt_interval(secs=F.lit(seconds))
@@ -400,8 +414,8 @@ def _previous_in_ranges(
     key, time, tie_breaker = order
     hashed = log.withColumn(_HASH, F.shiftright(F.xxhash64(key), 2))
     tagged, ranges, inner = _in_ranges(hashed, (_HASH, *order), rows_per_range, coarse_ranges)
-    in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
-    parts = tagged.repartitionById(ranges, F.col(_RANGE))
+    in_part = W.partitionBy(_TASK, _RANGE, key).orderBy(time, tie_breaker)
+    parts = _dealt(tagged, ranges, rows_per_range)
     previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
 
     fields = [F.col(_HASH), F.col(key).alias("key"), F.col(time).alias("time")]
@@ -418,13 +432,13 @@ def _previous_in_ranges(
     joined = previous.join(F.broadcast(carried) if ranges <= BROADCAST_ROWS else carried, _RANGE)
     same_key = F.col(key).eqNullSafe(F.col("__before.key"))
     found = F.coalesce("previous_ts", F.when(same_key, F.col("__before.time")))
-    return joined.withColumn("previous_ts", found).drop(_RANGE, _HASH, "__before")
+    return joined.withColumn("previous_ts", found).drop(_RANGE, _TASK, _HASH, "__before")
 
 
 def _previous_with_hot_keys(
-    log: DataFrame, order: tuple[str, str, str], cuts: list[Cut], whole: int
+    log: DataFrame, order: tuple[str, str, str], cuts: list[Cut], whole: int, rows_per_range: int
 ) -> DataFrame:
-    """``previous_ts`` with the keys of ``cuts`` cut and all others in ``whole`` partitions."""
+    """``previous_ts`` with the keys of ``cuts`` cut and all others in ``whole`` ranges."""
     key, time, tie_breaker = order
     hot = {cut.first for cut in cuts}
     is_hot = F.col(key).isin([k for k in hot if k is not None])
@@ -434,16 +448,22 @@ def _previous_with_hot_keys(
     in_range = F.lit(whole) + range_index(log, order, cuts)
     tagged = log.withColumn(_RANGE, F.when(is_hot, in_range).otherwise(by_hash))
 
-    return _carried_previous(tagged, order, is_hot, whole + len(cuts) + 1, 2 * len(cuts))
+    ranges = whole + len(cuts) + 1
+    return _carried_previous(tagged, order, is_hot, ranges, rows_per_range, 2 * len(cuts))
 
 
 def _carried_previous(
-    tagged: DataFrame, order: tuple[str, str, str], is_hot: Column, partitions: int, most: int
+    tagged: DataFrame,
+    order: tuple[str, str, str],
+    is_hot: Column,
+    ranges: int,
+    rows_per_range: int,
+    most: int,
 ) -> DataFrame:
     """``previous_ts`` inside each range, or else the last time of the key's range before."""
     key, time, tie_breaker = order
-    in_part = W.partitionBy(_RANGE, key).orderBy(time, tie_breaker)
-    parts = tagged.repartitionById(partitions, F.col(_RANGE))
+    in_part = W.partitionBy(_TASK, _RANGE, key).orderBy(time, tie_breaker)
+    parts = _dealt(tagged, ranges, rows_per_range)
     previous = parts.withColumn("previous_ts", F.lag(time).over(in_part))
 
     # One row per hot key and range it reaches into: at most ``most``.
@@ -457,5 +477,5 @@ def _carried_previous(
     return (
         previous.join(F.broadcast(carried) if most <= BROADCAST_ROWS else carried, same, "left")
         .withColumn("previous_ts", F.coalesce("previous_ts", "__carried"))
-        .drop(_RANGE, "__carry_range", "__carry_key", "__carried")
+        .drop(_RANGE, _TASK, "__carry_range", "__carry_key", "__carried")
     )

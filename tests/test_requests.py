@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_UP, Decimal
@@ -191,6 +192,16 @@ def test_ordered_passes_shuffle_the_rows_once(spark):
     assert text.count("hashpartitioning(__range") == 1 and heavy <= 4
 
 
+@pytest.mark.parametrize(("per_range", "coarse"), [(3, 4096), (3, 16)])
+def test_many_small_ranges_take_no_more_tasks_than_their_rows_need(spark, per_range, coarse):
+    """In one level of cuts and in two; the session's 8 tasks are enough for 2,500 rows."""
+    log = spark.createDataFrame(skewed(2500, 7), SCHEMA)
+    cutting = {"rows_per_range": per_range, "coarse_ranges": coarse}
+    for passed in (running_hit_rate(log, **cutting), repeat_within(log, **cutting)):
+        dealt = re.findall(r"shufflepartitionidpassthrough\(.*?, (\d+)\)", plan(passed))
+        assert dealt and set(dealt) == {"8"}
+
+
 def test_running_example(spark):
     hits = [False, False, True, True]
     data = [(i, START + timedelta(seconds=i), "x", h) for i, h in enumerate(hits)]
