@@ -29,7 +29,7 @@ from meterline.llm.columns import by_slices, hidden, in_batches, keeps, shown
 
 CHUNK_CHARS = 1 << 16  # of a text at once
 BUFFER_SYMBOLS = 1 << 12  # of a long piece at once
-CACHED_PIECES = 1 << 17  # and at most as many older ones, about 85 MB of a worker in all
+CACHED_PIECES = 1 << 18  # and at most as many older ones, about 140 MB of a worker in all
 LONGEST_CACHED = 48
 ALL = sys.maxunicode + 1
 NEVER = 1 << 30  # the rank of a pair that no merge joins
@@ -247,23 +247,18 @@ class Encoder:
         if found is None:
             found = self.older.get(piece)
             if found is None:
-                found = self.merged(piece)
-            if len(piece.encode()) <= LONGEST_CACHED:
-                if len(self.cache) >= CACHED_PIECES:
-                    self.older, self.cache = self.cache, {}
-                self.cache[piece] = found
+                data = piece.encode()
+                if len(data) > LONGEST_CACHED:
+                    transducer = PieceTransducer(self.vocabulary)
+                    return array("I", [*transducer.feed(data), *transducer.finish()]).tobytes()
+                inner, last = self.vocabulary.inner, self.vocabulary.last
+                ids = self.vocabulary.merge([*[inner[b] for b in data[:-1]], last[data[-1]]])
+                found = array("I", ids).tobytes()
+            if len(self.cache) >= CACHED_PIECES:
+                self.older, self.cache = self.cache, {}
+            self.cache[piece] = found
         return found
 
-    def merged(self, piece: str) -> bytes:
-        data = piece.encode()
-        if len(data) <= LONGEST_CACHED:
-            inner, last = self.vocabulary.inner, self.vocabulary.last
-            ids = self.vocabulary.merge([*[inner[b] for b in data[:-1]], last[data[-1]]])
-        else:
-            transducer = PieceTransducer(self.vocabulary)
-            ids = [*transducer.feed(data), *transducer.finish()]
-        return array("I", ids).tobytes()
-
     def plain(self, text: str) -> bytes:
         """The ids of a text without added tokens."""
         if text.isascii():
